@@ -6,33 +6,51 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from opsframe.functions.shapes import DOUBLE, TEXT, TEXTS, list_of, shape
 
 # Record fields, allowed words and bounds.
 SEVERITIES = ("low", "medium", "high", "critical")
 LANES = ("fast_lane", "customs_review", "quarantine")
 SIGNAL_GRADES = ("a", "b", "c", "d")
 
-SEVERITY_REPORT = T.StructType.fromDDL(
-    "severity string, summary string, affected_systems array<string>, "
-    "recommended_action string"
+SEVERITY_REPORT = shape(
+    severity=TEXT,
+    summary=TEXT,
+    affected_systems=TEXTS,
+    recommended_action=TEXT,
+)
+CARGO_DECISION = shape(
+    lane=TEXT,
+    reason=TEXT,
+    risk_score=DOUBLE,
+)
+MISSION_PLAN = shape(
+    mission_name=TEXT,
+    origin=TEXT,
+    destination=TEXT,
+    steps=TEXTS,
+    estimated_days=DOUBLE,
 )
-CARGO_DECISION = T.StructType.fromDDL("lane string, reason string, risk_score double")
-MISSION_PLAN = T.StructType.fromDDL(
-    "mission_name string, origin string, destination string, "
-    "steps array<string>, estimated_days double"
+FINDING = shape(
+    anomaly_type=TEXT,
+    confidence=DOUBLE,
+    notes=TEXT,
 )
-FINDING = T.StructType.fromDDL("anomaly_type string, confidence double, notes string")
-FILE_REPORT = T.StructType.fromDDL(
-    "title string, "
-    "findings array<struct<anomaly_type: string, confidence: double, notes: string>>"
+FILE_REPORT = shape(
+    title=TEXT,
+    findings=list_of(FINDING),
 )
-ROUTE_ANSWER = T.StructType.fromDDL(
-    "question string, top_routes array<string>, rationale string"
+ROUTE_ANSWER = shape(
+    question=TEXT,
+    top_routes=TEXTS,
+    rationale=TEXT,
 )
-TELEMETRY_REPORT = T.StructType.fromDDL(
-    "signal_grade string, headline string, watch_items array<string>, "
-    "position_line string"
+TELEMETRY_REPORT = shape(
+    signal_grade=TEXT,
+    headline=TEXT,
+    watch_items=TEXTS,
+    position_line=TEXT,
 )
 
 

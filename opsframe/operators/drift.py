@@ -460,9 +460,15 @@ def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
 
     ``exact=False`` estimates the distinct counts with HyperLogLog++: one pass
     whose tasks each send one row, which is the form for very large tables.
+    A negative zero is shown as zero.
     """
     fields = _atomic_fields(df)
     distinct = F.count_distinct if exact else F.approx_count_distinct
+
+    def shown(extreme: Column, dtype: T.DataType) -> Column:
+        fraction = isinstance(dtype, (T.DoubleType, T.FloatType))
+        return (extreme + F.lit(0.0).cast(dtype) if fraction else extreme).cast("string")
+
     totals = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[
@@ -471,8 +477,8 @@ def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
             for c in (
                 F.count(f"`{f.name}`").alias(f"filled{i}"),
                 distinct(F.col(f"`{f.name}`")).alias(f"distinct{i}"),
-                F.min(f"`{f.name}`").cast("string").alias(f"min{i}"),
-                F.max(f"`{f.name}`").cast("string").alias(f"max{i}"),
+                shown(F.min(f"`{f.name}`"), f.dataType).alias(f"min{i}"),
+                shown(F.max(f"`{f.name}`"), f.dataType).alias(f"max{i}"),
             )
         ],
     )

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.functions.shapes import TEXT, TIMESTAMP, shape
 from opsframe.sources.scratch import read_parquet_or_empty, shared_dir
 
 Model = Callable[[list[str]], list[str]]
@@ -24,7 +25,11 @@ Model = Callable[[list[str]], list[str]]
 ALERT_SEVERITIES = ("high", "critical")
 POSITION_LINE = "latitude %s, longitude %s"
 
-CACHE = T.StructType.fromDDL("key string, response string, written_at timestamp")
+CACHE = shape(
+    key=TEXT,
+    response=TEXT,
+    written_at=TIMESTAMP,
+)
 
 
 @dataclass(frozen=True)
@@ -239,7 +244,7 @@ def parse_position(df: DataFrame, json_col: str, root: str = "iss_position") ->
 
     A payload without a position gives nulls.
     """
-    payload = T.StructType.fromDDL(f"`{root}` struct<latitude: string, longitude: string>")
+    payload = shape(**{root: shape(latitude=TEXT, longitude=TEXT)})
     place = F.col(f"_payload.`{root}`")
     line = F.when(
         F.col("latitude").isNotNull() & F.col("longitude").isNotNull(),

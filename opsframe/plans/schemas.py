@@ -5,41 +5,85 @@ Fixed values: table names, column names and types.
 
 from __future__ import annotations
 
-from pyspark.sql import types as T
+from opsframe.functions.shapes import BIGINT, BOOLEAN, DATE, DOUBLE, TEXT, shape
 
-PLANETS = T.StructType.fromDDL(
-    "planet_id bigint, planet_name string, planet_type string, "
-    "distance_from_sun_au double, orbital_period_days double, is_habitable boolean, "
-    "has_orbital_station boolean, has_surface_hub boolean"
+PLANETS = shape(
+    planet_id=BIGINT,
+    planet_name=TEXT,
+    planet_type=TEXT,
+    distance_from_sun_au=DOUBLE,
+    orbital_period_days=DOUBLE,
+    is_habitable=BOOLEAN,
+    has_orbital_station=BOOLEAN,
+    has_surface_hub=BOOLEAN,
 )
-MOONS = T.StructType.fromDDL(
-    "moon_id bigint, moon_name string, planet_id bigint, orbital_radius_km double, "
-    "is_habitable boolean, has_orbital_station boolean, has_surface_hub boolean"
+MOONS = shape(
+    moon_id=BIGINT,
+    moon_name=TEXT,
+    planet_id=BIGINT,
+    orbital_radius_km=DOUBLE,
+    is_habitable=BOOLEAN,
+    has_orbital_station=BOOLEAN,
+    has_surface_hub=BOOLEAN,
 )
-ASTEROIDS = T.StructType.fromDDL(
-    "asteroid_id bigint, asteroid_name string, asteroid_belt string, designation string, "
-    "diameter_km double, is_mining_colony boolean, has_station boolean"
+ASTEROIDS = shape(
+    asteroid_id=BIGINT,
+    asteroid_name=TEXT,
+    asteroid_belt=TEXT,
+    designation=TEXT,
+    diameter_km=DOUBLE,
+    is_mining_colony=BOOLEAN,
+    has_station=BOOLEAN,
 )
-SPACECRAFT = T.StructType.fromDDL(
-    "spacecraft_id bigint, spacecraft_name string, registration_number string, "
-    "spacecraft_type string, manufacturer string, capacity_tonnes double, "
-    "max_speed_kmps double, fuel_type string, home_station_id bigint, "
-    "current_status string, commissioned_date date"
+SPACECRAFT = shape(
+    spacecraft_id=BIGINT,
+    spacecraft_name=TEXT,
+    registration_number=TEXT,
+    spacecraft_type=TEXT,
+    manufacturer=TEXT,
+    capacity_tonnes=DOUBLE,
+    max_speed_kmps=DOUBLE,
+    fuel_type=TEXT,
+    home_station_id=BIGINT,
+    current_status=TEXT,
+    commissioned_date=DATE,
 )
-SPACE_STATIONS = T.StructType.fromDDL(
-    "station_id bigint, station_name string, station_type string, planet_id bigint, "
-    "moon_id bigint, asteroid_id bigint, orbital_altitude_km double, "
-    "capacity_tonnes double, is_operational boolean, commissioned_date date"
+SPACE_STATIONS = shape(
+    station_id=BIGINT,
+    station_name=TEXT,
+    station_type=TEXT,
+    planet_id=BIGINT,
+    moon_id=BIGINT,
+    asteroid_id=BIGINT,
+    orbital_altitude_km=DOUBLE,
+    capacity_tonnes=DOUBLE,
+    is_operational=BOOLEAN,
+    commissioned_date=DATE,
 )
-PILOTS = T.StructType.fromDDL(
-    "pilot_id bigint, pilot_name string, license_number string, license_class string, "
-    "species string, home_planet_id bigint, hire_date date, rating double, "
-    "total_missions bigint, is_active boolean"
+PILOTS = shape(
+    pilot_id=BIGINT,
+    pilot_name=TEXT,
+    license_number=TEXT,
+    license_class=TEXT,
+    species=TEXT,
+    home_planet_id=BIGINT,
+    hire_date=DATE,
+    rating=DOUBLE,
+    total_missions=BIGINT,
+    is_active=BOOLEAN,
 )
-SHIPPING_ROUTES = T.StructType.fromDDL(
-    "route_id bigint, route_name string, origin_station_id bigint, origin_hub_id bigint, "
-    "destination_station_id bigint, destination_hub_id bigint, distance_million_km double, "
-    "avg_transit_days double, fuel_cost_credits double, risk_level string, is_active boolean"
+SHIPPING_ROUTES = shape(
+    route_id=BIGINT,
+    route_name=TEXT,
+    origin_station_id=BIGINT,
+    origin_hub_id=BIGINT,
+    destination_station_id=BIGINT,
+    destination_hub_id=BIGINT,
+    distance_million_km=DOUBLE,
+    avg_transit_days=DOUBLE,
+    fuel_cost_credits=DOUBLE,
+    risk_level=TEXT,
+    is_active=BOOLEAN,
 )
 
 TABLES = {

@@ -7,11 +7,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsframe.functions.records import LANES
-
-MANIFEST = T.StructType.fromDDL(
-    "manifest_id string, origin_station string, destination_station string, "
-    "declared_items array<struct<item: string, tonnes: double, hazard_class: string>>, "
-    "pilot_certification string, customs_flags array<string>"
+from opsframe.functions.shapes import DOUBLE, TEXT, TEXTS, list_of, shape
+
+MANIFEST = shape(
+    manifest_id=TEXT,
+    origin_station=TEXT,
+    destination_station=TEXT,
+    declared_items=list_of(shape(item=TEXT, tonnes=DOUBLE, hazard_class=TEXT)),
+    pilot_certification=TEXT,
+    customs_flags=TEXTS,
 )
 
 
