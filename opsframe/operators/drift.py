@@ -463,35 +463,55 @@ def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
     A negative zero is shown as zero.
     """
     fields = _atomic_fields(df)
-    distinct = F.count_distinct if exact else F.approx_count_distinct
 
     def shown(extreme: Column, dtype: T.DataType) -> Column:
         fraction = isinstance(dtype, (T.DoubleType, T.FloatType))
         return (extreme + F.lit(0.0).cast(dtype) if fraction else extreme).cast("string")
 
-    totals = df.agg(
+    def per_column(totals: DataFrame, names: Sequence[str]) -> DataFrame:
+        """The single row of totals as one row per column."""
+        rows = [
+            F.struct(F.lit(f.name).alias("column"), *[F.col(f"{n}{i}").alias(n) for n in names])
+            for i, f in enumerate(fields)
+        ]
+        return totals.select("n_rows", F.inline(F.array(*rows)))
+
+    basics = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[
             c
             for i, f in enumerate(fields)
             for c in (
                 F.count(f"`{f.name}`").alias(f"filled{i}"),
-                distinct(F.col(f"`{f.name}`")).alias(f"distinct{i}"),
-                shown(F.min(f"`{f.name}`"), f.dataType).alias(f"min{i}"),
-                shown(F.max(f"`{f.name}`"), f.dataType).alias(f"max{i}"),
+                shown(F.min(f"`{f.name}`"), f.dataType).alias(f"min_value{i}"),
+                shown(F.max(f"`{f.name}`"), f.dataType).alias(f"max_value{i}"),
+                F.lit(f.dataType.simpleString()).alias(f"type{i}"),
             )
         ],
+        *[
+            F.approx_count_distinct(f"`{f.name}`").alias(f"n_distinct{i}")
+            for i, f in enumerate(fields)
+            if not exact
+        ],
     )
-    rows = [
-        F.struct(
-            F.lit(f.name).alias("column"),
-            F.lit(f.dataType.simpleString()).alias("type"),
-            F.col("n_rows"),
-            (F.col("n_rows") - F.col(f"filled{i}")).alias("n_nulls"),
-            F.col(f"distinct{i}").alias("n_distinct"),
-            F.col(f"min{i}").alias("min_value"),
-            F.col(f"max{i}").alias("max_value"),
+    names = ["type", "filled", "min_value", "max_value"]
+    if exact:
+        # Kept apart: text extremes in the same aggregate would turn it into a sort.
+        counts = df.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            *[F.count_distinct(F.col(f"`{f.name}`")).alias(f"n_distinct{i}") for i, f in enumerate(fields)],
         )
-        for i, f in enumerate(fields)
-    ]
-    return totals.select(F.inline(F.array(*rows)))
+        joined = per_column(basics, names).join(
+            per_column(counts, ["n_distinct"]).drop("n_rows"), "column"
+        )
+    else:
+        joined = per_column(basics, [*names, "n_distinct"])
+    return joined.select(
+        "column",
+        "type",
+        "n_rows",
+        (F.col("n_rows") - F.col("filled")).alias("n_nulls"),
+        "n_distinct",
+        "min_value",
+        "max_value",
+    )

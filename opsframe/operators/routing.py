@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 HAZARD_FREE = "none"
 HAZARD_UNKNOWN = "unknown"
 HAZARD_RANKS = {"none": 0, "unknown": 1, "radiological": 2}
-BIOHAZARD = r"^biohazard-([0-9]{1,6})$"
+BIOHAZARD = "biohazard-"
 QUARANTINE_FLAGS = ("expired_certification", "biohazard_present", "origin_not_registered")
 REVIEW_FLAGS = ("incomplete_declaration",)
 EXPIRED = "expired"
@@ -57,15 +57,12 @@ def reroute(trips: DataFrame, edges: DataFrame, closed: DataFrame, k: int) -> Da
 
 def hazard_rank(hazard: Column) -> Column:
     """none < unknown < radiological < biohazard-n by n; other words count as unknown."""
-    level = F.regexp_extract(hazard, BIOHAZARD, 1).try_cast("int")
-    fixed = F.lit(None).cast("int")
-    for word, rank in HAZARD_RANKS.items():
-        fixed = F.when(hazard == word, F.lit(rank)).otherwise(fixed)
-    return F.coalesce(
-        level + F.lit(max(HAZARD_RANKS.values()) + 1),
-        fixed,
-        F.lit(HAZARD_RANKS[HAZARD_UNKNOWN]),
-    )
+    first_level = max(HAZARD_RANKS.values()) + 1
+    level = F.substr(hazard, F.lit(len(BIOHAZARD) + 1)).try_cast("int")
+    rank = F.when(hazard.startswith(BIOHAZARD) & (level >= 0), level + F.lit(first_level))
+    for word, value in HAZARD_RANKS.items():
+        rank = rank.when(hazard == word, F.lit(value))
+    return rank.otherwise(F.lit(HAZARD_RANKS[HAZARD_UNKNOWN]))
 
 
 def with_hazard(manifests: DataFrame) -> DataFrame:
@@ -74,21 +71,19 @@ def with_hazard(manifests: DataFrame) -> DataFrame:
     The worst is taken inside the row; a manifest without items has rank -1.
     """
     ranked = F.transform(
-        "declared_items",
+        F.coalesce("declared_items", F.array()),
         lambda i: F.struct(
-            hazard_rank(i["hazard_class"]).alias("rank"),
-            i["item"].alias("item"),
-            i["hazard_class"].alias("hazard_class"),
+            hazard_rank(i["hazard_class"]).alias("hazard_rank"),
+            i["item"].alias("worst_item"),
+            i["hazard_class"].alias("worst_class"),
         ),
     )
-    worst = F.array_max(ranked)
-    return (
-        manifests.withColumn("_worst", worst)
-        .withColumn("hazard_rank", F.coalesce("_worst.rank", F.lit(-1)))
-        .withColumn("worst_item", F.col("_worst.item"))
-        .withColumn("worst_class", F.col("_worst.hazard_class"))
-        .drop("_worst")
+    absent = F.lit(None).cast("string")
+    nothing = F.struct(
+        F.lit(-1).alias("hazard_rank"), absent.alias("worst_item"), absent.alias("worst_class")
     )
+    # inline() yields the fields of one struct, which is then computed only once.
+    return manifests.select("*", F.inline(F.array(F.coalesce(F.array_max(ranked), nothing))))
 
 
 def max_hazard(manifests: DataFrame, key: str = "manifest_id") -> DataFrame:

@@ -57,7 +57,11 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 GROUP BY n_name
 """
 ORACLES["s4_list_files"] = "SELECT DISTINCT source FROM documents"
-ORACLES["s5_text_capped"] = "SELECT left(text || chr(10), 65536) AS text FROM documents"
+ORACLES["s5_text_files"] = """
+SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
+WHERE line <> '' GROUP BY line
+"""
+ORACLES["s5_text_capped"] = "SELECT doc_id, left(text, 65536) AS text FROM documents"
 ORACLES["s6_manifests"] = f"""
 WITH {_MANIFESTS}
 SELECT manifest_id, pilot_certification, n_items, tonnes, hazards, flags, false AS corrupt

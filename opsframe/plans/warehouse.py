@@ -78,14 +78,14 @@ def order_manifests(spark: SparkSession, folder: str) -> DataFrame:
         )
     )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    per_order = lines.groupBy("l_orderkey").agg(*sums)
+    per_order = lines.groupBy("l_orderkey").agg(*sums).select("l_orderkey", items.alias("items"))
     joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
     incomplete = F.array(F.lit("incomplete_declaration"))
     return joined.select(
         F.col("o_orderkey").cast("string").alias("manifest_id"),
         F.col("o_orderpriority").alias("origin_station"),
         F.col("o_orderstatus").alias("destination_station"),
-        items.alias("declared_items"),
+        F.coalesce("items", F.array()).alias("declared_items"),
         F.when((F.col("o_orderpriority") == "1-URGENT") & (F.col("o_orderstatus") == "P"), "expired")
         .otherwise("current")
         .alias("pilot_certification"),
@@ -171,11 +171,19 @@ def s4_list_files(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @query
-def s5_text_capped(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents written one per file and read back as capped texts."""
+def s5_text_files(spark: SparkSession, folder: str) -> DataFrame:
+    """How often each line occurs in whole text files of up to 100 documents."""
     out = shared_dir(spark, "documents-text")
-    table(spark, folder, "documents").select("text").write.option("maxRecordsPerFile", 1).text(out)
-    return files.read_text_files(spark, out).select("text")
+    table(spark, folder, "documents").select("text").write.option("maxRecordsPerFile", 100).text(out)
+    read = files.read_text_files(spark, out, max_chars=None)
+    lines = read.select(F.explode(F.split("text", "\n")).alias("line")).filter(F.col("line") != "")
+    return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def s5_text_capped(spark: SparkSession, folder: str) -> DataFrame:
+    """Documents as the file reader hands them on, with its cap on characters."""
+    return table(spark, folder, "documents").select("doc_id", files.capped(F.col("text")).alias("text"))
 
 
 @query
@@ -562,8 +570,10 @@ def i4_label(spark: SparkSession, folder: str) -> DataFrame:
 
 
 FINDING_RULES = (
-    inference.FindingRule("address", "[A-Za-z0-9._]+@[A-Za-z0-9.]+", 0.9),
-    inference.FindingRule("licence", "Licen[sc]ed? under [^\n]*|under the [A-Za-z ]*Licen[sc]e", 0.8),
+    inference.FindingRule("address", "[A-Za-z0-9._]+@[A-Za-z0-9.]+", 0.9, needle="@"),
+    inference.FindingRule(
+        "licence", "Licen[sc]ed? under [^\n]*|under the [A-Za-z ]*Licen[sc]e", 0.8, needle="Licen"
+    ),
     inference.FindingRule("noise", "[*%#$&]{3}", 0.6),
     inference.FindingRule("long_number", "[0-9]{3}[0-9-]*", 0.5),
     inference.FindingRule("noise", "[*%#$&]{3}", 0.6),

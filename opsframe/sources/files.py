@@ -6,7 +6,7 @@ import posixpath
 from urllib.parse import urlsplit
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MAX_CHARS = 65536  # Fixed value: default cap of a file read, in characters.
@@ -54,6 +54,12 @@ def list_files(spark: SparkSession, root: str, subdir: str = "") -> DataFrame:
     )
 
 
+def capped(text: Column, max_chars: int | None = MAX_CHARS) -> Column:
+    """Line ends as ``\\n``, then at most that many characters; None keeps all."""
+    plain = F.regexp_replace(text, "\r\n?", "\n")
+    return plain if max_chars is None else F.substring(plain, 1, max_chars)
+
+
 def read_text_files(
     spark: SparkSession,
     root: str,
@@ -64,7 +70,5 @@ def read_text_files(
 
     The cap counts characters; pass None to keep whole files.
     """
-    text = F.regexp_replace(F.decode("content", "utf-8"), "\r\n?", "\n")
-    if max_chars is not None:
-        text = F.substring(text, 1, max_chars)
+    text = capped(F.decode("content", "utf-8"), max_chars)
     return _files(spark, root, subdir).select("path", text.alias("text"))
