@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from opsframe.functions.shapes import DOUBLE, TEXT, TEXTS, list_of, shape
+from opsframe.functions.shapes import BOOLEAN, DOUBLE, TEXT, TEXTS, list_of, shape
 
 # Record fields, allowed words and bounds.
 SEVERITIES = ("low", "medium", "high", "critical")
@@ -52,6 +52,7 @@ TELEMETRY_REPORT = shape(
     watch_items=TEXTS,
     position_line=TEXT,
 )
+COMPATIBILITY_REPORT = shape(compatible=BOOLEAN, mismatches=TEXTS, suggested_actions=TEXTS)
 
 
 @dataclass(frozen=True)

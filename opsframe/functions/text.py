@@ -43,7 +43,7 @@ def doubled(col: Column) -> Column:
 
 
 def fixed(col: Column, digits: int = 2) -> Column:
-    """Number as text with a fixed number of decimals."""
+    """Number as text with a fixed number of decimals, halves of its decimal form rounded up."""
     return F.format_string(f"%.{digits}f", col.cast("double"))
 
 

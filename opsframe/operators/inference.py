@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsframe.functions.shapes import TEXT, TIMESTAMP, shape
+from opsframe.functions.text import fixed
 from opsframe.sources.scratch import read_parquet_or_empty, shared_dir
 
 Model = Callable[[list[str]], list[str]]
@@ -175,6 +176,13 @@ def extract_findings(docs: DataFrame, text_col: str, rules: Sequence[FindingRule
     return docs.select(*others, F.inline(F.array_distinct(F.array_compact(F.array(*found)))))
 
 
+def finding_line() -> Column:
+    """A finding as one line: type, confidence with two decimals, notes."""
+    return F.concat(
+        F.col("anomaly_type"), F.lit(" (confidence="), fixed(F.col("confidence")), F.lit("): "), F.col("notes")
+    )
+
+
 def escalate(df: DataFrame, severity: str = "record.severity") -> DataFrame:
     """Rows whose severity calls for an alert."""
     return df.filter(F.col(severity).isin(*ALERT_SEVERITIES))

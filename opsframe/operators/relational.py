@@ -149,14 +149,17 @@ def qualified_with_evidence(
     ``per_home`` comes from ``evidence_per_home``; people without a known home
     are kept with the flag false.
     """
+    homes = per_home.select(
+        F.col("home").alias("_home"), F.col("n_places").alias("_places"), F.col("n_evidenced").alias("_evidenced")
+    )
     joined = qualified(people, licence_col, licence_map, craft_type).join(
-        per_home, F.col(home_col) == F.col("home"), "left"
+        homes, F.col(home_col) == F.col("_home"), "left"
     )
     return joined.select(
         *people.columns,
-        F.coalesce("n_places", F.lit(0)).alias("n_places"),
-        F.coalesce("n_evidenced", F.lit(0)).alias("n_evidenced"),
-        (F.coalesce("n_evidenced", F.lit(0)) > 0).alias("has_evidence"),
+        F.coalesce("_places", F.lit(0)).alias("n_places"),
+        F.coalesce("_evidenced", F.lit(0)).alias("n_evidenced"),
+        (F.coalesce("_evidenced", F.lit(0)) > 0).alias("has_evidence"),
     )
 
 

@@ -29,7 +29,8 @@ def reroute(trips: DataFrame, edges: DataFrame, closed: DataFrame, k: int) -> Da
     ``closed`` hold (origin, destination). The joins start from the distinct
     closed trips and meet the second leg on both its ends, so the work is the
     closed trips times the departures of their origins, not all pairs around a
-    hub. ``rank <= k`` is applied per task before the rows are shuffled.
+    hub. ``rank <= k`` is applied per task before the rows are shuffled. Pass
+    stored ``edges`` (``scratch.written``): three branches read them.
     """
     pair = ["origin", "destination"]
     closed = closed.select(*pair).distinct()

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from opsframe.operators import drift, relational, routing
 from opsframe.operators.guarded import guarded_sql
 from opsframe.plans.schemas import SPACECRAFT_DRIFT, TABLES
+from opsframe.sources.scratch import written
 from opsframe.sources.tables import Source, refresh_tables
 
 
@@ -127,8 +128,11 @@ def reroute_in_transit(
         F.col("origin_station_id").alias("origin"),
         F.col("destination_station_id").alias("destination"),
     )
-    edges = routing.corridor_costs(
-        active, "origin_station_id", "destination_station_id", "avg_transit_days"
+    edges = written(
+        routing.corridor_costs(
+            active, "origin_station_id", "destination_station_id", "avg_transit_days"
+        ),
+        "corridors",
     )
     return routing.reroute(trips, edges, closed, k)
 

@@ -391,6 +391,10 @@ ORACLES["i5_findings"] = " UNION ".join(
     f"WHERE regexp_matches(text, '{pattern}')"
     for kind, pattern, confidence in _RULES
 )
+ORACLES["i5_finding_lines"] = f"""
+SELECT doc_id, anomaly_type || printf(' (confidence=%.2f): ', confidence) || notes AS line
+FROM ({ORACLES["i5_findings"]})
+"""
 ORACLES["i6_escalate"] = f"""
 WITH {_ANSWERS} SELECT doc_id, severity FROM responses WHERE severity IN ('high', 'critical')
 """
@@ -403,6 +407,12 @@ FROM (
   FROM events)
 """
 
+ORACLES["f1_scalars"] = """
+SELECT event_id, json_extract_string(props, '$.k') AS stripped,
+  CAST(json_extract_string(props, '$.k') AS BIGINT) * 2 AS doubled, printf('%.2f', value) AS shown,
+  CAST(NULL AS BIGINT) AS unreadable
+FROM events
+"""
 ORACLES["g1_guarded"] = """
 SELECT c_mktsegment, count(*) AS n_orders, round(avg(o_totalprice), 2) AS mean_price
 FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment

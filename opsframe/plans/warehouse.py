@@ -18,7 +18,7 @@ from opsframe.functions import records, text
 from opsframe.functions.shapes import BIGINT, DATE, DOUBLE, TEXT, shape
 from opsframe.operators import drift, guarded, inference, observe, relational, review, routing
 from opsframe.sources import files, manifests, tables
-from opsframe.sources.scratch import shared_dir
+from opsframe.sources.scratch import shared_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -362,7 +362,7 @@ def r11_reroute(spark: SparkSession, folder: str) -> DataFrame:
     )
     leaving = named.filter(F.col("r_name") == "EUROPE").select(F.col("n_nationkey").alias("origin"))
     arriving = named.filter(F.col("r_name") == "ASIA").select(F.col("n_nationkey").alias("destination"))
-    edges = _corridors(spark, folder)
+    edges = written(_corridors(spark, folder), "corridors")
     closed = edges.join(leaving, "origin", "left_semi").join(arriving, "destination", "left_semi")
     return routing.reroute(closed, edges, closed, 3)
 
@@ -585,6 +585,13 @@ def i5_findings(spark: SparkSession, folder: str) -> DataFrame:
     return inference.extract_findings(_documents(spark, folder), "text", FINDING_RULES)
 
 
+@query
+def i5_finding_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The findings as report lines."""
+    found = inference.extract_findings(_documents(spark, folder), "text", FINDING_RULES)
+    return found.select("doc_id", inference.finding_line().alias("line"))
+
+
 @query
 def i6_escalate(spark: SparkSession, folder: str) -> DataFrame:
     return inference.escalate(_severities(spark, folder)).select("doc_id", "record.severity")
@@ -620,6 +627,20 @@ def i8_parse(spark: SparkSession, folder: str) -> DataFrame:
 # ---- guarded SQL, review, metrics ------------------------------------------------
 
 
+@query
+def f1_scalars(spark: SparkSession, folder: str) -> DataFrame:
+    """Text cells stripped, read, doubled and shown with fixed decimals."""
+    events = table(spark, folder, "events")
+    cell = F.concat(F.lit("\t "), F.get_json_object("props", "$.k"), F.lit(" \n"))
+    return events.select(
+        "event_id",
+        text.strip(cell).alias("stripped"),
+        text.doubled(cell).alias("doubled"),
+        text.fixed(F.col("value")).alias("shown"),
+        text.doubled(F.col("event_type")).alias("unreadable"),
+    )
+
+
 @query
 def g1_guarded(spark: SparkSession, folder: str) -> DataFrame:
     allowed = [tables.Source(n, f"{folder}/{n}.parquet") for n in ("orders", "customer")]

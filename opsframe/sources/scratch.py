@@ -5,7 +5,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
@@ -23,10 +25,19 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/opsframe/{purpose}-{uuid.uuid4().hex}"
 
 
-def read_parquet_or_empty(spark: SparkSession, path: str, schema):
-    """The table at ``path``, or an empty one when nothing was written there yet."""
-    from pyspark.errors import AnalysisException
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame stored in the shared folder and read back.
+
+    For a result that several branches of a job use: it is computed once, and
+    losing an executor later does not compute it again.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
+
+def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table at ``path``, or an empty one when nothing was written there yet."""
     try:
         return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:

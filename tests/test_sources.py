@@ -1,0 +1,166 @@
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from opsframe.functions.shapes import BIGINT, TEXT, shape
+from opsframe.plans.schemas import PLANETS, SPACE_STATIONS, SPACECRAFT
+from opsframe.sources import files, manifests, scratch, tables
+from tests import data
+
+
+def put(folder, name, text):
+    path = folder / name
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(text)
+    return str(path)
+
+
+def test_load_binds_by_header_and_types_cells(spark, tmp_path):
+    path = put(tmp_path, "s.csv", data.STATIONS)
+    loaded = tables.load_table(spark, path, SPACE_STATIONS)
+    assert loaded.schema.names == SPACE_STATIONS.names
+    row = loaded.filter("station_id = 6").first()
+    assert (row.station_name, row.planet_id, row.is_operational) == ("Forge", 3, False)
+    assert row.commissioned_date is None
+    assert loaded.filter("planet_id is null").count() == 2
+
+
+def test_load_skips_blank_lines_and_keeps_quoted_commas(spark, tmp_path):
+    planets = tables.load_table(spark, put(tmp_path, "p.csv", data.PLANETS), PLANETS)
+    assert planets.count() == 4
+    craft = tables.load_table(spark, put(tmp_path, "c.csv", data.SPACECRAFT), SPACECRAFT)
+    assert craft.filter("spacecraft_id = 2").first().spacecraft_name == "Baker, the Second"
+
+
+def test_load_missing_file_is_empty(spark, tmp_path):
+    loaded = tables.load_table(spark, str(tmp_path / "absent.csv"), PLANETS)
+    assert loaded.count() == 0 and loaded.schema.names == PLANETS.names
+    assert tables.rejected_rows(spark, str(tmp_path / "absent.csv"), PLANETS).count() == 0
+
+
+def test_load_absent_column_is_null_and_unknown_column_fails(spark, tmp_path):
+    path = put(tmp_path, "t.csv", "b,a\nx,1\n")
+    wider = shape(a=BIGINT, b=TEXT, c=TEXT)
+    assert tables.load_table(spark, path, wider).collect() == [(1, "x", None)]
+    with pytest.raises(ValueError, match="header names"):
+        tables.load_table(spark, path, shape(a=BIGINT))
+
+
+def test_load_files_with_other_column_order_fail(spark, tmp_path):
+    put(tmp_path, "parts/1.csv", "a,b\n1,x\n")
+    put(tmp_path, "parts/2.csv", "b,a\ny,2\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        tables.load_table(spark, str(tmp_path / "parts"), shape(a=BIGINT, b=TEXT)).collect()
+
+
+def test_load_line_breaks_inside_quotes(spark, tmp_path):
+    path = put(tmp_path, "m.csv", 'a,b\n1,"two\nlines ""quoted"""\n')
+    loaded = tables.load_table(spark, path, shape(a=BIGINT, b=TEXT), multi_line=True)
+    assert loaded.collect() == [(1, 'two\nlines "quoted"')]
+
+
+def test_rejected_rows_name_the_unreadable_cells(spark, tmp_path):
+    bad = tables.rejected_rows(spark, put(tmp_path, "p.csv", data.PLANETS), PLANETS)
+    assert [(r.planet_id, r.has_surface_hub, r.bad_columns) for r in bad.collect()] == [
+        ("3", "perhaps", ["has_surface_hub"])
+    ]
+    stations = tables.rejected_rows(spark, put(tmp_path, "s.csv", data.STATIONS), SPACE_STATIONS)
+    assert [r.bad_columns for r in stations.collect()] == [["commissioned_date"]]
+
+
+def test_refresh_replaces_and_counts(spark, tmp_path):
+    path = put(tmp_path, "p.csv", data.PLANETS)
+    specs = {"planets": (path, PLANETS), "gone": (str(tmp_path / "no.csv"), PLANETS)}
+    out = str(tmp_path / "out")
+    for _ in range(2):
+        assert sorted(tables.refresh_tables(spark, specs, out).collect()) == [("gone", 0), ("planets", 4)]
+    assert spark.read.parquet(f"{out}/planets").count() == 4
+
+
+def test_register_formats(spark, tmp_path):
+    table = shape(a=BIGINT, b=TEXT)
+    csv = put(tmp_path, "t.csv", "b,a\nx,1\n")
+    json = put(tmp_path, "t.json", '{"a": 2, "b": "y"}\n')
+    text = put(tmp_path, "t.txt", "z\n")
+    names = tables.register_sources(
+        spark,
+        [
+            tables.Source("from_csv", csv, "csv", table),
+            tables.Source("from_csv_inferred", csv, "csv"),
+            tables.Source("from_json", json, "json", table),
+            tables.Source("from_text", text, "text"),
+        ],
+    )
+    assert names == ["from_csv", "from_csv_inferred", "from_json", "from_text"]
+    assert spark.table("from_csv").collect() == [(1, "x")]
+    assert spark.table("from_csv_inferred").collect() == [("x", 1)]
+    assert spark.table("from_json").collect() == [(2, "y")]
+    assert spark.table("from_text").collect() == [("z",)]
+
+
+@pytest.mark.parametrize("kind", ["avro", "sheet"])
+def test_unavailable_formats_are_named(spark, kind):
+    with pytest.raises(ValueError, match=kind):
+        tables.register_sources(spark, [tables.Source("t", "/nowhere", kind)])
+
+
+def test_list_and_read_files(spark, tmp_path):
+    root = tmp_path / "root"
+    put(root, "b.log", "second\r\nline")
+    put(root, "a dir/a+b%20.md", "äöü text")
+    put(tmp_path, "root_x/secret.txt", "hidden")
+    listed = files.list_files(spark, str(root))
+    assert [(r.path, r.length) for r in listed.collect()] == [("a dir/a+b%20.md", 11), ("b.log", 12)]
+    assert [r.path for r in files.list_files(spark, f"file:{root}", "a dir").collect()] == ["a dir/a+b%20.md"]
+    texts = {r.path: r.text for r in files.read_text_files(spark, str(root)).collect()}
+    assert texts == {"b.log": "second\nline", "a dir/a+b%20.md": "äöü text"}
+    cut = {r.path: r.text for r in files.read_text_files(spark, str(root), max_chars=3).collect()}
+    assert cut == {"b.log": "sec", "a dir/a+b%20.md": "äöü"}
+    assert files.list_files(spark, str(root), "absent").count() == 0
+
+
+@pytest.mark.parametrize("subdir", ["..", "../root_x", "a/../../root_x", "/etc"])
+def test_paths_outside_the_root_are_refused(spark, tmp_path, subdir):
+    with pytest.raises(ValueError, match="escapes"):
+        files.list_files(spark, str(tmp_path / "root"), subdir)
+
+
+def test_list_does_not_read_content(spark, tmp_path):
+    put(tmp_path, "a.txt", "x")
+    plan = files.list_files(spark, str(tmp_path))._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+
+
+def test_manifests_one_per_file(spark, tmp_path):
+    for name, text in data.MANIFESTS.items():
+        put(tmp_path, name, text)
+    loaded = manifests.load_manifests(spark, str(tmp_path)).cache()
+    rows = {r.manifest_id: r for r in loaded.collect()}
+    assert len(rows) == 5 and loaded.filter("_corrupt_record is not null").count() == 1
+    assert [i.hazard_class for i in rows["M-3"].declared_items] == ["biohazard-3", "biohazard-1", "radiological"]
+    assert rows["M-4"].declared_items == [] and rows["M-1"].customs_flags == []
+
+
+def test_pick_one_is_a_function_of_the_seed(spark):
+    frame = spark.range(100).withColumnRenamed("id", "k")
+    picks = {seed: manifests.pick_one(frame.repartition(7), "k", seed).first().k for seed in range(8)}
+    assert picks == {s: manifests.pick_one(frame, "k", s).first().k for s in range(8)}
+    assert len(set(picks.values())) > 1
+
+
+def test_lanes_are_written_whole_and_unknown_lanes_fail(spark, tmp_path):
+    frame = spark.createDataFrame([(i, manifests.LANES[i % 3]) for i in range(30)], "id long, lane string")
+    out = str(tmp_path / "lanes")
+    manifests.write_by_lane(frame, out)
+    for lane in manifests.LANES:
+        part = manifests.read_lane(spark, out, lane)
+        assert part.count() == 10
+        assert "PartitionFilters: [isnotnull(lane" in part._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(PySparkException, match="unknown lane"):
+        manifests.write_by_lane(frame.withColumn("lane", F.lit("side_door")), str(tmp_path / "x"))
+
+
+def test_shared_dir_follows_the_session(spark):
+    base = spark.conf.get("spark.checkpoint.dir")
+    assert scratch.shared_dir(spark, "x").startswith(base)
+    assert scratch.shared_dir(spark, "x") != scratch.shared_dir(spark, "x")
