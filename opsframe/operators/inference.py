@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from opsframe.functions.shapes import TEXT, TIMESTAMP, shape
 from opsframe.functions.text import fixed
-from opsframe.sources.scratch import read_parquet_or_empty, shared_dir
+from opsframe.sources.scratch import read_parquet_or_empty, shared_dir, written
 
 Model = Callable[[list[str]], list[str]]
 
@@ -199,6 +199,19 @@ def read_cache(df: DataFrame, cache_path: str) -> DataFrame:
     return stored.groupBy("key").agg(first).select("key", F.col("first.response").alias("response"))
 
 
+def unique_answers(df: DataFrame, cache_path: str) -> DataFrame:
+    """``read_cache`` as a plain table scan, so that AQE can split a skewed join with it.
+
+    Keys repeat only after writers ran at the same time; then the first answers
+    are stored once more without the repeats.
+    """
+    stored = read_parquet_or_empty(df.sparkSession, cache_path, CACHE)
+    repeated = stored.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    if repeated.isEmpty():
+        return stored.select("key", "response")
+    return written(read_cache(df, cache_path), "answers")
+
+
 def infer_cached(
     df: DataFrame,
     prompt_col: str,
@@ -239,7 +252,7 @@ def infer_cached(
             respond(F.col("prompt"), make_model).alias("response"),
             F.current_timestamp().alias("written_at"),
         ).write.mode("append").parquet(cache_path)
-    answers = read_cache(df, cache_path).withColumnRenamed("key", "_key")
+    answers = unique_answers(df, cache_path).withColumnRenamed("key", "_key")
     return (
         keyed.join(answers, "_key", "left")
         .drop("_key")

@@ -2,9 +2,10 @@
 
 No join here carries a broadcast hint. Catalyst broadcasts a side when its
 statistics, or the sizes AQE measures at run time, are under the session's
-threshold, and otherwise uses a sort-merge join, whose hot partitions AQE
-splits. Sides that could repeat a key are aggregated to one row per key first,
-so no join emits pairs within a group.
+threshold, and otherwise uses a sort-merge join. Sides that could repeat a key
+are aggregated to one row per key first, so no join emits pairs within a group.
+AQE splits a hot partition only when both sides come straight from a shuffle;
+``join_salted`` is for the joins with an aggregated side.
 """
 
 from __future__ import annotations
@@ -123,6 +124,21 @@ def qualified(
     return people.filter(F.col(licence_col).isin(licences))
 
 
+SALTS = 16
+
+
+def join_salted(left: DataFrame, right: DataFrame, on: str, how: str, salts: int = SALTS) -> DataFrame:
+    """Join with narrow rows that are unique by ``on``, spreading hot keys of the left.
+
+    Every left task adds its own salt and the right rows are repeated once per
+    salt, so the rows of one key, copies included, go to as many tasks. A task
+    that runs again gives the same salt.
+    """
+    spread = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(repeated, [on, "_salt"], how).drop("_salt")
+
+
 def evidence_per_home(
     places: DataFrame, place_id: str, home: str, evidence: DataFrame, evidence_id: str
 ) -> DataFrame:
@@ -152,9 +168,8 @@ def qualified_with_evidence(
     homes = per_home.select(
         F.col("home").alias("_home"), F.col("n_places").alias("_places"), F.col("n_evidenced").alias("_evidenced")
     )
-    joined = qualified(people, licence_col, licence_map, craft_type).join(
-        homes, F.col(home_col) == F.col("_home"), "left"
-    )
+    fit = qualified(people, licence_col, licence_map, craft_type).withColumn("_home", F.col(home_col))
+    joined = join_salted(fit, homes, "_home", "left")
     return joined.select(
         *people.columns,
         F.coalesce("_places", F.lit(0)).alias("n_places"),
@@ -166,8 +181,11 @@ def qualified_with_evidence(
 def keep_evidenced(
     people: DataFrame, evidence: DataFrame, on: tuple[str, str], *, present: bool = True
 ) -> DataFrame:
-    """People with evidence (semi join), or with none (anti join)."""
-    seen = evidence.select(F.col(on[1]).alias("_seen"))
+    """People with evidence (semi join), or with none (anti join).
+
+    Repeated evidence collapses to one row per task before the shuffle.
+    """
+    seen = evidence.select(F.col(on[1]).alias("_seen")).distinct()
     how = "left_semi" if present else "left_anti"
     return people.join(seen, F.col(on[0]) == F.col("_seen"), how)
 

@@ -7,6 +7,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsframe.operators.relational import join_salted
+
 APPROVE, REJECT, CHANGES = "approve", "reject", "changes"
 STATES = ("approved", "rejected", "exhausted", "timed_out", "pending")
 
@@ -77,6 +79,8 @@ def review_state(
 
 
 def approved_only(proposals: DataFrame, states: DataFrame, on: tuple[str, str]) -> DataFrame:
-    """Proposals whose item was approved."""
+    """Proposals whose item was approved; one item may have most of the proposals."""
     approved = states.filter(F.col("state") == "approved").select(F.col(on[1]).alias("_item"))
-    return proposals.join(approved, F.col(on[0]) == F.col("_item"), "left_semi")
+    return join_salted(
+        proposals.withColumn("_item", F.col(on[0])), approved, "_item", "left_semi"
+    ).drop("_item")

@@ -149,3 +149,16 @@ def test_hot_keys_shrink_before_the_shuffle(spark):
         events, max_iterations=3, timeout=dt.timedelta(hours=1), as_of=dt.datetime(2000, 1, 1)
     )
     assert [(r.item, r.state) for r in states.filter("state = 'exhausted'").collect()] == [(0, "exhausted")]
+
+
+def test_a_hot_item_is_spread_over_tasks(spark, settings):
+    settings(
+        autoBroadcastJoinThreshold="-1",
+        adaptive__autoBroadcastJoinThreshold="-1",
+        adaptive__coalescePartitions__enabled="false",
+    )
+    left = spark.range(0, 30_000, numPartitions=24).select(F.lit(7).alias("k"), "id")
+    right = spark.createDataFrame([(7, "x")], "k int, w string").groupBy("k").agg(F.max("w").alias("w"))
+    joined = relational.join_salted(left, right, "k", "inner")
+    sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
+    assert sum(r["count"] for r in sizes) == 30_000 and max(r["count"] for r in sizes) < 15_000

@@ -88,3 +88,15 @@ def test_numbered_and_joined(spark):
     assert relational.numbered(frame, "steps").collect() == [(1, 1, "x"), (1, 2, "y")]
     shown = frame.select(relational.joined_list("steps")).collect()
     assert [r[0] for r in shown] == ["x, y", "", None]
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_equals_the_plain_one(spark, how):
+    chooser = random.Random(8)
+    rows = [(chooser.choice(["hot", "hot", "a", "b", None]), 1) for _ in range(500)]
+    left = spark.createDataFrame(rows, "k string, v int").repartition(7)
+    right = spark.createDataFrame([("hot", 1.0), ("a", 2.0), ("z", 3.0), (None, 4.0)], "k string, w double")
+    salted = relational.join_salted(left, right, "k", how, salts=5)
+    plain = left.join(right, "k", how)
+    assert salted.columns == plain.columns
+    assert Counter(salted.collect()) == Counter(plain.collect())
