@@ -64,12 +64,17 @@ def severity_json(severity: str, summary: str, systems: Sequence[str], action: s
 
 
 def build_prompts(df: DataFrame, template: str, cols: Sequence[str], name: str = "prompt") -> DataFrame:
-    """Adds the template with each ``%s`` filled from a column; null counts as empty.
+    """Adds the template with each ``{}`` filled from a column; null counts as empty.
 
     For a whole record as input, pass a column made by ``record_json``.
     """
-    values = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols]
-    return df.withColumn(name, F.format_string(template, *values))
+    fixed_parts = template.split("{}")
+    if len(fixed_parts) != len(cols) + 1:
+        raise ValueError(f"{len(cols)} columns for {len(fixed_parts) - 1} places in the template")
+    pieces = [F.lit(fixed_parts[0])]
+    for column, text in zip(cols, fixed_parts[1:]):
+        pieces += [F.coalesce(F.col(column).cast("string"), F.lit("")), F.lit(text)]
+    return df.withColumn(name, F.concat(*pieces))
 
 
 def record_json(*cols: str) -> Column:
@@ -122,7 +127,9 @@ def validate(df: DataFrame, record_col: str, rules: Sequence) -> tuple[DataFrame
     """(valid, rejected): every row is in exactly one; rejects carry ``reasons``.
 
     Unreadable JSON parses to a record of nulls and is rejected by the required
-    fields; keep the raw response column to see what came back.
+    fields; keep the raw response column to see what came back. Both frames
+    start from ``df``: store a scored frame first (``infer_cached`` does), or
+    each of them asks the model.
     """
     checked = df.withColumn(
         "reasons", F.array_compact(F.array(*[rule.problem(F.col(record_col)) for rule in rules]))

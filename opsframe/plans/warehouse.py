@@ -79,7 +79,8 @@ def order_manifests(spark: SparkSession, folder: str) -> DataFrame:
     )
     orders = table(spark, folder, "orders").select("o_orderkey", "o_orderstatus", "o_orderpriority")
     per_order = lines.groupBy("l_orderkey").agg(*sums).select("l_orderkey", items.alias("items"))
-    joined = orders.join(per_order, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    # As many rows as orders: never worth a broadcast, whatever the estimate says.
+    joined = orders.join(per_order.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left")
     incomplete = F.array(F.lit("incomplete_declaration"))
     return joined.select(
         F.col("o_orderkey").cast("string").alias("manifest_id"),
@@ -526,7 +527,7 @@ def _severities(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def i1_prompts(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
-    prompts = inference.build_prompts(docs, "Grade this report from %s.\n\n%s", ["source", "text"])
+    prompts = inference.build_prompts(docs, "Grade this report from {}.\n\n{}", ["source", "text"])
     return prompts.select("doc_id", "prompt")
 
 
@@ -535,7 +536,7 @@ def i1_record_prompts(spark: SparkSession, folder: str) -> DataFrame:
     brief = table(spark, folder, "nation").withColumn(
         "brief", inference.record_json("n_nationkey", "n_name", "n_regionkey")
     )
-    return inference.build_prompts(brief, "Plan for: %s", ["brief"]).select("n_nationkey", "prompt")
+    return inference.build_prompts(brief, "Plan for: {}", ["brief"]).select("n_nationkey", "prompt")
 
 
 @query

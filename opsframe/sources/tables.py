@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -105,8 +106,11 @@ def refresh_tables(
     for name, (path, schema) in specs.items():
         target = f"{out_dir.rstrip('/')}/{name}"
         load_table(spark, path, schema).write.mode("overwrite").parquet(target)
-        counts.append((name, spark.read.schema(schema).parquet(target).count()))
-    return spark.createDataFrame(counts, "table string, rows bigint")
+        stored = spark.read.schema(schema).parquet(target)
+        counts.append(stored.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("table"), "rows"))
+    if not counts:
+        return spark.createDataFrame([], "table string, rows bigint")
+    return reduce(DataFrame.unionAll, counts)
 
 
 @dataclass(frozen=True)

@@ -26,11 +26,15 @@ def reports(spark):
 
 
 def test_prompts(reports):
-    got = inference.build_prompts(reports, "No. %s:\n%s", ["id", "text"])
+    got = inference.build_prompts(reports, "No. {}:\n{}", ["id", "text"])
     assert got.filter("id = 1").first().prompt == "No. 1:\nall fine"
     assert got.filter("id = 5").first().prompt == "No. 5:\n"
     brief = reports.select(inference.record_json("id", "text").alias("brief"))
     assert json.loads(brief.first().brief) == {"id": 0, "text": "a leak"}
+    percent = inference.build_prompts(reports, "100% of {}", ["text"])
+    assert percent.first().prompt == "100% of a leak"
+    with pytest.raises(ValueError, match="places"):
+        inference.build_prompts(reports, "{} {}", ["text"])
 
 
 def test_infer_and_validate_split_the_input(reports):
