@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opsframe.sources.tables import Source, register_sources
 
+MAX_ROWS = 50  # Fixed value: default cap of a result.
+
 # Functions that run code or name things at run time.
 FORBIDDEN_WORDS = ("reflect", "java_method", "try_reflect", "global_temp")
 _GAP = r"(?:\s|/\*.*?\*/|--[^\n]*\n)*"
@@ -47,7 +49,7 @@ def _check_catalog(session: SparkSession, sql: str, allowed: Sequence[str]) -> N
 
 
 def guarded_sql(
-    spark: SparkSession, sources: Sequence[Source], sql: str, max_rows: int
+    spark: SparkSession, sources: Sequence[Source], sql: str, max_rows: int = MAX_ROWS
 ) -> DataFrame:
     """Result of one SELECT over the sources, at most ``max_rows`` rows.
 

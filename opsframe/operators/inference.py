@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsframe.functions.shapes import TEXT, TIMESTAMP, shape
+from opsframe.functions.shapes import INT, TEXT, TIMESTAMP, shape
 from opsframe.functions.text import fixed
 from opsframe.sources.scratch import read_parquet_or_empty, shared_dir, written
 
@@ -227,7 +227,7 @@ def infer_cached(
     cache_path: str,
     *,
     model_id: str = "model",
-    waves: int = 1,
+    waves: int = 4,
 ) -> DataFrame:
     """``infer`` with a durable cache: a prompt answered before is not asked again.
 
@@ -245,14 +245,13 @@ def infer_cached(
     )
     known = read_parquet_or_empty(spark, cache_path, CACHE).select("key")
     pending = wanted.distinct().join(known, "key", "left_anti")
+    parts = [pending]
     if waves > 1:
         store = shared_dir(spark, "pending")
         wave = F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")
         pending.withColumn("wave", wave).write.partitionBy("wave").parquet(store)
-        stored = spark.read.schema("key string, prompt string, wave int").parquet(store)
-        parts = [stored.filter(F.col("wave") == w) for w in range(waves)]
-    else:
-        parts = [pending]
+        stored = spark.read.schema(shape(key=TEXT, prompt=TEXT, wave=INT)).parquet(store)
+        parts = [] if stored.isEmpty() else [stored.filter(F.col("wave") == w) for w in range(waves)]
     for part in parts:
         part.select(
             "key",

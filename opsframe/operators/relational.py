@@ -179,14 +179,22 @@ def qualified_with_evidence(
 
 
 def keep_evidenced(
-    people: DataFrame, evidence: DataFrame, on: tuple[str, str], *, present: bool = True
+    people: DataFrame,
+    evidence: DataFrame,
+    on: tuple[str, str],
+    *,
+    present: bool = True,
+    salts: int = 1,
 ) -> DataFrame:
     """People with evidence (semi join), or with none (anti join).
 
-    Repeated evidence collapses to one row per task before the shuffle.
+    Repeated evidence collapses to one row per task before the shuffle. Where
+    one key may hold many of the people, too, pass ``salts=SALTS``.
     """
     seen = evidence.select(F.col(on[1]).alias("_seen")).distinct()
     how = "left_semi" if present else "left_anti"
+    if salts > 1:
+        return join_salted(people.withColumn("_seen", F.col(on[0])), seen, "_seen", how, salts).drop("_seen")
     return people.join(seen, F.col(on[0]) == F.col("_seen"), how)
 
 

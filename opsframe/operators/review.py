@@ -10,15 +10,18 @@ from pyspark.sql import functions as F
 from opsframe.operators.relational import join_salted
 
 APPROVE, REJECT, CHANGES = "approve", "reject", "changes"
+# Default limits of a review.
+MAX_ITERATIONS = 3
+TIMEOUT = timedelta(hours=1)
 STATES = ("approved", "rejected", "exhausted", "timed_out", "pending")
 
 
 def review_state(
     decisions: DataFrame,
     *,
-    max_iterations: int,
-    timeout: timedelta,
     as_of: datetime,
+    max_iterations: int = MAX_ITERATIONS,
+    timeout: timedelta = TIMEOUT,
 ) -> DataFrame:
     """(item, state, decided_at, opened_at): where each item stands at ``as_of``.
 
@@ -30,7 +33,7 @@ def review_state(
 
     No task sorts or holds all rows of an item: the first decision is an
     aggregate, and the rank of change requests is cut to ``max_iterations + 1``
-    in every task before the shuffle.
+    in every task before the shuffle (by Spark, for limits up to 1000).
     """
     limit = max_iterations + 1
     now = F.lit(as_of.isoformat(sep=" ")).cast(decisions.schema["ts"].dataType)

@@ -81,6 +81,9 @@ def test_evidence_flags(spark):
     unseen = relational.keep_evidenced(places, evidence, ("place", "place"), present=False)
     assert [r.place for r in seen.collect()] == [101]
     assert sorted(r.place for r in unseen.collect()) == [100, 200]
+    for present, expected in ((True, [101]), (False, [100, 200])):
+        salted = relational.keep_evidenced(places, evidence, ("place", "place"), present=present, salts=3)
+        assert salted.columns == places.columns and sorted(r.place for r in salted.collect()) == expected
 
 
 def test_numbered_and_joined(spark):
