@@ -14,6 +14,7 @@ WHITESPACE = (
 )
 
 MAX_INLINE_ENTRIES = 1000
+EXACT = 9.0e15  # Up to here a double holds every whole number.
 
 
 def strip(col: Column) -> Column:
@@ -26,7 +27,10 @@ def blank_to_null(col: Column) -> Column:
 
 
 def typed(raw: Column, dtype: T.DataType) -> Column:
-    """Cast one raw text cell. Blank or unreadable cells become null."""
+    """Cast one raw text cell. Blank or unreadable cells become null.
+
+    An integer column also takes a whole number written as 5.0 or 5e3.
+    """
     text = blank_to_null(raw)
     if isinstance(dtype, T.StringType):
         return text
@@ -34,6 +38,10 @@ def typed(raw: Column, dtype: T.DataType) -> Column:
         return F.when(text == "true", F.lit(True)).when(text == "false", F.lit(False))
     if isinstance(dtype, T.DateType):
         return F.try_to_date(text, "yyyy-MM-dd")
+    if isinstance(dtype, T.IntegralType):
+        number = text.try_cast("double")
+        whole = F.when((number == F.floor(number)) & (F.abs(number) < EXACT), number)
+        return F.coalesce(text.try_cast(dtype), whole.try_cast(dtype))
     return text.try_cast(dtype)
 
 
@@ -67,7 +75,7 @@ def canonical(col: Column, dtype: T.DataType) -> Column:
     """
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         number = col.cast("double")
-        whole = (number == F.floor(number)) & (F.abs(number) < F.lit(9.0e15))
+        whole = (number == F.floor(number)) & (F.abs(number) < F.lit(EXACT))
         return F.when(whole, number.try_cast("bigint").cast("string")).otherwise(
             number.cast("string")
         )

@@ -14,9 +14,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.functions.shapes import BIGINT, DOUBLE, TEXT, shape
 from opsframe.functions.text import canonical, is_atomic, is_numeric, strip
 
 MASK_BITS = 62
+MATCH = shape(col_a=TEXT, col_b=TEXT, n_a=BIGINT, n_b=BIGINT, n_common=BIGINT, score=DOUBLE)
 
 
 @dataclass(frozen=True)
@@ -66,6 +68,8 @@ def match_columns(a: DataFrame, b: DataFrame, min_score: float = 0.0) -> DataFra
     masks are then counted, and pairs of columns are formed from the counts.
     """
     fields_a, fields_b = _atomic_fields(a), _atomic_fields(b)
+    if not fields_a or not fields_b:
+        return a.sparkSession.createDataFrame([], MATCH)
     n_a = len(fields_a)
     slots_a = list(zip(fields_a, range(n_a)))
     slots_b = list(zip(fields_b, range(n_a, n_a + len(fields_b))))
@@ -129,6 +133,8 @@ def match_columns_sketched(
     pair is the two estimates minus that of the merged sketch.
     """
     fields_a, fields_b = _atomic_fields(a), _atomic_fields(b)
+    if not fields_a or not fields_b:
+        return a.sparkSession.createDataFrame([], MATCH)
 
     def side(df: DataFrame, own: list, tag: str, other: list, other_tag: str) -> DataFrame:
         mine = [canonical(F.col(f"`{f.name}`"), f.dataType).alias(f"{tag}{i}") for i, f in enumerate(own)]
@@ -172,58 +178,48 @@ def unit_drift(
     disagree is a conflict, has no ratio, and makes ``constant`` false.
     """
 
-    def side(df: DataFrame, key: str, mine: int) -> DataFrame:
-        value = [
-            F.col(f"`{pair[s]}`").cast("double") if s == mine else F.lit(None).cast("double")
-            for pair in col_pairs
+    names = [sorted({pair[s] for pair in col_pairs}) for s in (0, 1)]
+
+    def side(df: DataFrame, mine: int) -> DataFrame:
+        key = key_pair[mine]
+        cells = [
+            (F.col(f"`{n}`").cast("double") if s == mine else F.lit(None).cast("double")).alias(f"{s}_{i}")
             for s in (0, 1)
+            for i, n in enumerate(names[s])
         ]
-        labels = [f"{'ab'[s]}{i}" for i in range(len(col_pairs)) for s in (0, 1)]
-        text = canonical(F.col(f"`{key}`"), df.schema[key].dataType)
-        return df.select(text.alias("key"), *[v.alias(n) for v, n in zip(value, labels)])
+        return df.select(canonical(F.col(f"`{key}`"), df.schema[key].dataType).alias("key"), *cells)
 
-    rows = side(a, key_pair[0], 0).unionAll(side(b, key_pair[1], 1))
-    labels = rows.columns[1:]
+    rows = side(a, 0).unionAll(side(b, 1))
     per_key = (
         rows.filter(F.col("key").isNotNull())
         .groupBy("key")
-        .agg(*[f(n).alias(f"{g}_{n}") for n in labels for f, g in ((F.min, "lo"), (F.max, "hi"))])
+        .agg(*[f(c).alias(f"{g}_{c}") for c in rows.columns[1:] for f, g in ((F.min, "lo"), (F.max, "hi"))])
     )
 
-    def pair_columns(i: int) -> list[Column]:
-        low_a, high_a, low_b, high_b = (F.col(f"{g}_{s}{i}") for s in "ab" for g in ("lo", "hi"))
+    def compared(pair: tuple[str, str]) -> Column:
+        at = [f"{s}_{names[s].index(pair[s])}" for s in (0, 1)]
+        low_a, low_b = (F.col(f"lo_{c}") for c in at)
+        high_a, high_b = (F.col(f"hi_{c}") for c in at)
         usable = low_a.isNotNull() & low_b.isNotNull()
         conflict = usable & ((low_a != high_a) | (low_b != high_b))
         fine = usable & ~conflict & (low_a != 0) & (low_b != 0)
-        return [
-            F.when(fine, F.try_divide(low_b, low_a)).alias(f"ratio{i}"),
-            F.when(conflict, F.lit(1)).alias(f"conflict{i}"),
-        ]
-
-    ratios = per_key.select(*[c for i in range(len(col_pairs)) for c in pair_columns(i)])
-    totals = ratios.agg(
-        *[
-            c
-            for i in range(len(col_pairs))
-            for c in (
-                F.count(f"ratio{i}").alias(f"n{i}"),
-                F.count(f"conflict{i}").alias(f"c{i}"),
-                F.min(f"ratio{i}").alias(f"min{i}"),
-                F.max(f"ratio{i}").alias(f"max{i}"),
-            )
-        ]
-    )
-    reports = [
-        F.struct(
+        return F.struct(
             F.lit(pair[0]).alias("col_a"),
             F.lit(pair[1]).alias("col_b"),
-            F.col(f"n{i}").alias("n_keys"),
-            F.col(f"c{i}").alias("n_conflicts"),
-            F.col(f"min{i}").alias("min_ratio"),
-            F.col(f"max{i}").alias("max_ratio"),
+            F.when(fine, F.try_divide(low_b, low_a)).alias("ratio"),
+            F.when(conflict, F.lit(1)).alias("conflict"),
         )
-        for i, pair in enumerate(col_pairs)
-    ]
+
+    totals = (
+        per_key.select(F.inline(F.array(*[compared(pair) for pair in col_pairs])))
+        .groupBy("col_a", "col_b")
+        .agg(
+            F.count("ratio").alias("n_keys"),
+            F.count("conflict").alias("n_conflicts"),
+            F.min("ratio").alias("min_ratio"),
+            F.max("ratio").alias("max_ratio"),
+        )
+    )
     spread = F.col("max_ratio") - F.col("min_ratio")
     constant = (
         (F.col("n_keys") > 0)
@@ -231,10 +227,8 @@ def unit_drift(
         & (spread <= F.abs("max_ratio") * F.lit(tolerance))
     )
     off_one = F.abs(F.col("max_ratio") - F.lit(1.0)) > F.lit(tolerance)
-    return (
-        totals.select(F.inline(F.array(*reports)))
-        .withColumn("constant", F.coalesce(constant, F.lit(False)))
-        .withColumn("changed", F.col("constant") & F.coalesce(off_one, F.lit(False)))
+    return totals.withColumn("constant", F.coalesce(constant, F.lit(False))).withColumn(
+        "changed", F.col("constant") & F.coalesce(off_one, F.lit(False))
     )
 
 
@@ -269,16 +263,16 @@ def compatibility_findings(
     or numeric columns found on one side only), missing and extra.
     """
     spark = a.sparkSession
-    shape = "kind string, col_a string, col_b string, detail string, action string"
+    finding = shape(kind=TEXT, col_a=TEXT, col_b=TEXT, detail=TEXT, action=TEXT)
     only_a, only_b, changed = schema_findings(a, b)
     static = spark.createDataFrame(
         [
             ("type_changed", n, n, f"{ta} to {tb}", f"cast {n} from {ta} to {tb}")
             for n, ta, tb in changed
         ],
-        shape,
+        finding,
     )
-    scores = match_columns(a.select(*only_a), b.select(*only_b), min_score) if only_a and only_b else None
+    scores = match_columns(a.select(*only_a), b.select(*only_b), min_score)
     numeric_a = {f.name for f in a.schema.fields if is_numeric(f.dataType)}
     numeric_b = {f.name for f in b.schema.fields if is_numeric(f.dataType)}
     candidates = [(n, n) for n in a.columns if n in numeric_a & numeric_b and n != key_pair[0]]
@@ -288,23 +282,21 @@ def compatibility_findings(
         for y in only_b
         if x in numeric_a and y in numeric_b and x != key_pair[0] and y != key_pair[1]
     ]
-    found = static
-    if scores is not None:
-        best_a = Window.partitionBy("col_a").orderBy(F.desc("score"), "col_b")
-        best_b = Window.partitionBy("col_b").orderBy(F.desc("score"), "col_a")
-        renamed = (
-            scores.withColumn("rank_a", F.row_number().over(best_a))
-            .withColumn("rank_b", F.row_number().over(best_b))
-            .filter((F.col("rank_a") == 1) & (F.col("rank_b") == 1))
-            .select(
-                F.lit("renamed").alias("kind"),
-                "col_a",
-                "col_b",
-                F.concat(F.lit("overlap "), F.format_string("%.4f", "score")).alias("detail"),
-                F.concat(F.lit("map "), "col_a", F.lit(" to "), "col_b").alias("action"),
-            )
+    best_a = Window.partitionBy("col_a").orderBy(F.desc("score"), "col_b")
+    best_b = Window.partitionBy("col_b").orderBy(F.desc("score"), "col_a")
+    renamed = (
+        scores.withColumn("rank_a", F.row_number().over(best_a))
+        .withColumn("rank_b", F.row_number().over(best_b))
+        .filter((F.col("rank_a") == 1) & (F.col("rank_b") == 1))
+        .select(
+            F.lit("renamed").alias("kind"),
+            "col_a",
+            "col_b",
+            F.concat(F.lit("overlap "), F.format_string("%.4f", "score")).alias("detail"),
+            F.concat(F.lit("map "), "col_a", F.lit(" to "), "col_b").alias("action"),
         )
-        found = found.unionAll(renamed)
+    )
+    found = static.unionAll(renamed)
     if candidates:
         factor = F.format_string("%.6f", (F.col("min_ratio") + F.col("max_ratio")) / 2)
         units = (
@@ -378,15 +370,9 @@ def diff_tables(a: DataFrame, b: DataFrame | None, key: Sequence[str]) -> DataFr
     added, removed, changed, or ambiguous when a key has copies that differ
     within a table. An absent ``b`` means the comparison is skipped: no rows.
     """
-    shape = T.StructType(
-        [
-            *[a.schema[k] for k in key],
-            T.StructField("status", T.StringType()),
-            T.StructField("changed_columns", T.StringType()),
-        ]
-    )
     if b is None:
-        return a.sparkSession.createDataFrame([], shape)
+        keys = {k: a.schema[k].dataType for k in key}
+        return a.sparkSession.createDataFrame([], shape(**keys, status=TEXT, changed_columns=TEXT))
     if set(a.columns) != set(b.columns):
         raise ValueError("the tables have different columns: see compatibility_findings")
     rest = [c for c in a.columns if c not in key]

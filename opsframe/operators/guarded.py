@@ -34,13 +34,14 @@ def check_sql(sql: str) -> None:
 
 
 def _check_catalog(session: SparkSession, sql: str, allowed: Sequence[str]) -> None:
-    """ValueError when the text names a catalog table or qualifies a name by database."""
+    """ValueError when the text names a catalog table or function, or qualifies a name."""
     words = {w.lower() for w in re.findall(r"\w+", sql)}
     known = {name.lower() for name in allowed}
     tables = {t.name.lower() for t in session.catalog.listTables() if not t.isTemporary}
-    reachable = (tables & words) - known
+    functions = {f.name.lower() for f in session.catalog.listFunctions() if not f.isTemporary}
+    reachable = ((tables | functions) & words) - known
     if reachable:
-        raise ValueError(f"tables not on the allow-list: {sorted(reachable)}")
+        raise ValueError(f"not on the allow-list: {sorted(reachable)}")
     qualifiers = [d.name for d in session.catalog.listDatabases()]
     qualifiers += [c.name for c in session.catalog.listCatalogs()]
     for name in qualifiers:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import posixpath
-from urllib.parse import urlsplit
+import re
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,20 +12,25 @@ from pyspark.sql import functions as F
 MAX_CHARS = 65536  # Fixed value: default cap of a file read, in characters.
 
 
+def _split(root: str) -> tuple[str, str]:
+    """(scheme and authority, normal path) of the root folder."""
+    store, path = re.fullmatch(r"([A-Za-z][\w+.-]*:(?://[^/]*)?)?(.*)", root, re.S).groups()
+    return store or "", posixpath.normpath(path)
+
+
 def _inside(root: str, subdir: str) -> str:
     """``root/subdir``; ValueError when it leaves root, compared by components."""
-    path = urlsplit(root).path
-    base = posixpath.normpath(path)
+    store, base = _split(root)
     target = posixpath.normpath(posixpath.join(base, subdir))
     if posixpath.commonpath([base, target]) != base:
         raise ValueError(f"{subdir!r} escapes the root folder")
-    return root[: len(root) - len(path)] + target
+    return store + re.sub(r"([\\*?{}\[\]])", r"\\\1", target)
 
 
 def _files(spark: SparkSession, root: str, subdir: str) -> DataFrame:
     """Every file below ``root/subdir`` with its path relative to root."""
     target = _inside(root, subdir)
-    base = posixpath.normpath(urlsplit(root).path).rstrip("/") + "/"
+    base = _split(root)[1].rstrip("/") + "/"
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
         found = reader.load(target)

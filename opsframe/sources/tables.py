@@ -35,12 +35,15 @@ def _raw_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame | No
 def _checked_raw(
     spark: SparkSession, path: str, schema: T.StructType, multi_line: bool
 ) -> DataFrame | None:
+    """The raw cells under the table's own names, whatever their case in the header."""
     raw = _raw_csv(spark, path, multi_line)
-    if raw is not None:
-        unknown = sorted(set(raw.columns) - set(schema.names))
-        if unknown:
-            raise ValueError(f"{path}: header names not in the table: {unknown}")
-    return raw
+    if raw is None:
+        return None
+    own = {name.lower(): name for name in schema.names}
+    unknown = sorted(name for name in raw.columns if name.lower() not in own)
+    if unknown:
+        raise ValueError(f"{path}: header names not in the table: {unknown}")
+    return raw.toDF(*[own[name.lower()] for name in raw.columns])
 
 
 def load_table(

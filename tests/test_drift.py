@@ -191,3 +191,9 @@ def test_profile(spark):
         assert {tuple(r) for r in drift.profile(frame, exact=exact).collect()} == expected
     empty = {r.column: r.n_distinct for r in drift.profile(frame.limit(0)).collect()}
     assert set(empty.values()) == {0}
+
+
+def test_match_without_comparable_columns(spark):
+    lists = spark.createDataFrame([([1],)], "x array<int>")
+    for match in (drift.match_columns, drift.match_columns_sketched):
+        assert match(lists, spark.range(2)).count() == 0

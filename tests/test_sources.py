@@ -46,6 +46,13 @@ def test_load_absent_column_is_null_and_unknown_column_fails(spark, tmp_path):
         tables.load_table(spark, path, shape(a=BIGINT))
 
 
+def test_load_reads_whole_numbers_and_header_case(spark, tmp_path):
+    path = put(tmp_path, "t.csv", "A,b\n5.0,x\n5e3,y\n5.5,z\n9007199254740993,w\n")
+    table = shape(a=BIGINT, b=TEXT)
+    assert [r.a for r in tables.load_table(spark, path, table).collect()] == [5, 5000, None, 9007199254740993]
+    assert [r.b for r in tables.rejected_rows(spark, path, table).collect()] == ["z"]
+
+
 def test_load_files_with_other_column_order_fail(spark, tmp_path):
     put(tmp_path, "parts/1.csv", "a,b\n1,x\n")
     put(tmp_path, "parts/2.csv", "b,a\ny,2\n")
@@ -119,6 +126,12 @@ def test_list_and_read_files(spark, tmp_path):
     assert files.list_files(spark, str(root), "absent").count() == 0
 
 
+def test_list_takes_the_root_literally(spark, tmp_path):
+    put(tmp_path, "r[ab]#1/x.txt", "in")
+    put(tmp_path, "ra#1/y.txt", "out")
+    assert [r.path for r in files.list_files(spark, str(tmp_path / "r[ab]#1")).collect()] == ["x.txt"]
+
+
 @pytest.mark.parametrize("subdir", ["..", "../root_x", "a/../../root_x", "/etc"])
 def test_paths_outside_the_root_are_refused(spark, tmp_path, subdir):
     with pytest.raises(ValueError, match="escapes"):
