@@ -38,7 +38,7 @@ def _check_catalog(session: SparkSession, sql: str, allowed: Sequence[str]) -> N
     words = {w.lower() for w in re.findall(r"\w+", sql)}
     known = {name.lower() for name in allowed}
     tables = {t.name.lower() for t in session.catalog.listTables() if not t.isTemporary}
-    functions = {f.name.lower() for f in session.catalog.listFunctions() if not f.isTemporary}
+    functions = {row[0].rsplit(".")[-1].lower() for row in session.sql("SHOW USER FUNCTIONS").collect()}
     reachable = ((tables | functions) & words) - known
     if reachable:
         raise ValueError(f"not on the allow-list: {sorted(reachable)}")

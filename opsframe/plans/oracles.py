@@ -362,6 +362,33 @@ WITH {_ANSWERS}
 SELECT doc_id, severity, CASE WHEN severity IS NOT NULL THEN summary END AS summary, systems, action
 FROM responses
 """
+ORACLES["i2_mission_steps"] = """
+SELECT n_nationkey, CAST(generate_subscripts(steps, 1) AS INTEGER) AS n, unnest(steps) AS step FROM (
+  SELECT n_nationkey, CASE WHEN contains(n_name, 'NATION_1') THEN ['load', 'fly', 'unload'] ELSE ['wait'] END AS steps
+  FROM nation WHERE contains(n_name, 'NATION_1') OR NOT contains(n_name, 'NATION_2'))
+"""
+_FILE_PROMPT = "(length('List each distinct anomaly of this file.') + 2 + length(text))"
+ORACLES["i3_file_findings"] = f"""
+WITH graded AS (
+  SELECT doc_id, text, CASE WHEN contains(text, '@') THEN 'address' WHEN contains(text, '***') THEN 'noise'
+    WHEN contains(text, 'Licen') THEN 'licence' ELSE 'clean' END AS title FROM documents
+)
+SELECT doc_id, title, 'stars' AS anomaly_type, 0.5::DOUBLE AS confidence,
+  CAST({_FILE_PROMPT} AS VARCHAR) AS notes FROM graded WHERE title = 'noise'
+UNION ALL SELECT doc_id, title, 'noise', 0.25::DOUBLE, 'n' FROM graded WHERE title = 'noise'
+UNION ALL SELECT doc_id, title, 'licence', 1.0::DOUBLE, 'n' FROM graded WHERE title = 'licence'
+"""
+ORACLES["i4_manifest_lanes"] = f"""
+WITH {_MANIFESTS}, chosen AS (
+  SELECT manifest_id, CASE WHEN contains(hazards, 'biohazard') THEN 'quarantine'
+    WHEN contains(hazards, 'radiological') THEN 'isolation'
+    WHEN contains(hazards, 'unknown') THEN 'customs_review' ELSE 'fast_lane' END AS response
+  FROM manifests
+)
+SELECT manifest_id, response, CASE WHEN response <> 'isolation' THEN response END AS label,
+  response <> 'isolation' AS accepted
+FROM chosen
+"""
 ORACLES["i3_valid"] = f"""
 WITH {_ANSWERS} SELECT doc_id, severity, summary FROM responses
 WHERE severity IN ('low', 'medium', 'high', 'critical')

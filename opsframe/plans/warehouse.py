@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from opsframe.functions import records, text
 from opsframe.functions.shapes import BIGINT, DATE, DOUBLE, TEXT, shape
 from opsframe.operators import drift, guarded, inference, observe, relational, review, routing
+from opsframe.plans import reports
 from opsframe.sources import files, manifests, tables
 from opsframe.sources.scratch import shared_dir, written
 
@@ -550,6 +551,57 @@ def i2_infer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+PLAN_MODEL = inference.KeywordModel(
+    (
+        (
+            "NATION_1",
+            '{"mission_name": "first", "origin": "o", "destination": "d", '
+            '"steps": ["load", "fly", "unload"], "estimated_days": 12.5}',
+        ),
+        ("NATION_2", '{"mission_name": "second", "origin": "o", "steps": []}'),
+    ),
+    '{"mission_name": "other", "origin": "o", "destination": "d", "steps": ["wait"], "estimated_days": 1}',
+)
+
+
+@query
+def i2_mission_steps(spark: SparkSession, folder: str) -> DataFrame:
+    """The numbered steps of a plan per nation; briefs without a full plan are left out."""
+    valid, _ = reports.mission_plans(table(spark, folder, "nation"), PLAN_MODEL)
+    return reports.steps_of(valid, "n_nationkey")
+
+
+FILE_MODEL = inference.KeywordModel(
+    (
+        ("@", '{"title": "address", "findings": [{"anomaly_type": "address", "confidence": 1.5, "notes": "n"}]}'),
+        (
+            "***",
+            '{"title": "noise", "findings": [{"anomaly_type": "stars", "confidence": 0.5, "notes": "{size}"}, '
+            '{"anomaly_type": "noise", "confidence": 0.25, "notes": "n"}]}',
+        ),
+        ("Licen", '{"title": "licence", "findings": [{"anomaly_type": "licence", "confidence": 1.0, "notes": "n"}]}'),
+    ),
+    '{"title": "clean", "findings": []}',
+)
+
+
+@query
+def i3_file_findings(spark: SparkSession, folder: str) -> DataFrame:
+    """The findings of all valid file reports; one with a confidence over 1 is not."""
+    valid, _ = reports.file_reports(_documents(spark, folder), FILE_MODEL)
+    return reports.findings_of(valid, "doc_id")
+
+
+@query
+def i4_manifest_lanes(spark: SparkSession, folder: str) -> DataFrame:
+    """Lanes by a model that reads the manifest as JSON."""
+    model = inference.KeywordModel(
+        (("biohazard", "quarantine"), ("radiological", "isolation"), ("unknown", "customs_review")), "fast_lane"
+    )
+    lanes = reports.model_lanes(order_manifests(spark, folder), model)
+    return lanes.select("manifest_id", "response", "label", "accepted")
+
+
 @query
 def i3_valid(spark: SparkSession, folder: str) -> DataFrame:
     valid, _ = inference.validate(_severities(spark, folder), "record", records.SEVERITY_RULES)
