@@ -33,23 +33,22 @@ CACHE = shape(
 )
 
 
-@dataclass(frozen=True)
-class KeywordModel:
-    """Deterministic stand-in for a model: the first keyword found decides.
+def keyword_model(answers: Sequence[tuple[str, str]], default: str) -> Callable[[], Model]:
+    """Factory of a deterministic stand-in for a model: the first keyword found decides.
 
     ``answers`` are (keyword, response) in order of precedence. ``{size}`` in a
-    response becomes the prompt length. Instances serve as their own factory.
+    response becomes the prompt length. Spark sends the functions themselves to
+    the executors, which need not have this package.
     """
 
-    answers: tuple[tuple[str, str], ...]
-    default: str
+    def make() -> Model:
+        def model(prompts: list[str]) -> list[str]:
+            found = (next((r for word, r in answers if word in p), default) for p in prompts)
+            return [response.replace("{size}", str(len(p))) for response, p in zip(found, prompts)]
 
-    def __call__(self) -> Model:
-        return lambda prompts: [self.answer(p) for p in prompts]
+        return model
 
-    def answer(self, prompt: str) -> str:
-        found = (response for word, response in self.answers if word in prompt)
-        return next(found, self.default).replace("{size}", str(len(prompt)))
+    return make
 
 
 def severity_json(severity: str, summary: str, systems: Sequence[str], action: str) -> str:

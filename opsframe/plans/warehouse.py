@@ -507,10 +507,10 @@ SEVERITY_ANSWERS = (
     ("MIT", inference.severity_json("unclear", "{size} characters", ["licence"], "ask")),
     ("GNU", inference.severity_json("medium", "{size} characters", ["licence"], "keep the notice")),
 )
-SEVERITY_MODEL = inference.KeywordModel(
+SEVERITY_MODEL = inference.keyword_model(
     SEVERITY_ANSWERS, inference.severity_json("low", "{size} characters", [], "none")
 )
-LABEL_MODEL = inference.KeywordModel(
+LABEL_MODEL = inference.keyword_model(
     (("@", "no idea"), ("***", "quarantine"), ("Licen", "customs_review")), "fast_lane"
 )
 
@@ -551,7 +551,7 @@ def i2_infer(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-PLAN_MODEL = inference.KeywordModel(
+PLAN_MODEL = inference.keyword_model(
     (
         (
             "NATION_1",
@@ -571,7 +571,7 @@ def i2_mission_steps(spark: SparkSession, folder: str) -> DataFrame:
     return reports.steps_of(valid, "n_nationkey")
 
 
-FILE_MODEL = inference.KeywordModel(
+FILE_MODEL = inference.keyword_model(
     (
         ("@", '{"title": "address", "findings": [{"anomaly_type": "address", "confidence": 1.5, "notes": "n"}]}'),
         (
@@ -595,7 +595,7 @@ def i3_file_findings(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def i4_manifest_lanes(spark: SparkSession, folder: str) -> DataFrame:
     """Lanes by a model that reads the manifest as JSON."""
-    model = inference.KeywordModel(
+    model = inference.keyword_model(
         (("biohazard", "quarantine"), ("radiological", "isolation"), ("unknown", "customs_review")), "fast_lane"
     )
     lanes = reports.model_lanes(order_manifests(spark, folder), model)

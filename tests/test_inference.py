@@ -1,4 +1,7 @@
 import json
+import os
+import subprocess
+import sys
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +11,7 @@ from opsframe.functions.text import lookup
 from opsframe.operators import inference
 
 SEVERE = inference.severity_json("high", "s", ["hull"], "dock")
-MODEL = inference.KeywordModel(
+MODEL = inference.keyword_model(
     (
         ("leak", SEVERE),
         ("garbled", "{broken"),
@@ -69,7 +72,7 @@ def test_model_is_built_once_per_task_and_asked_once_per_row(spark, reports):
 
 
 def test_labels(reports):
-    model = inference.KeywordModel((("leak", "quarantine"), ("odd", "attic")), "fast_lane")
+    model = inference.keyword_model((("leak", "quarantine"), ("odd", "attic")), "fast_lane")
     got = {r.id: (r.label, r.accepted) for r in inference.infer_label(reports, "text", model, records.LANES).collect()}
     assert got[0] == ("quarantine", True) and got[3] == (None, False) and got[5] == (None, False)
 
@@ -230,3 +233,22 @@ def test_lookup_is_bounded(spark):
     assert [r[0] for r in frame.select(lookup(F.col("k"), {"a": 1})).collect()] == [1, None, None]
     with pytest.raises(ValueError, match="too many"):
         lookup(F.col("k"), {str(i): i for i in range(5000)})
+
+
+def test_executors_do_not_need_the_package(tmp_path):
+    """Run from a folder where Python workers cannot import it."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = f"""
+import sys
+sys.path.insert(0, {root!r})
+from pyspark.sql import SparkSession
+from opsframe.plans import warehouse
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+print("rows", warehouse.i2_infer(spark, "/root/testdata/sf0.001").count(), warehouse.i4_label(spark, "/root/testdata/sf0.001").filter("accepted").count() > 0)
+spark.stop()
+"""
+    environment = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    run = subprocess.run(
+        [sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300
+    )
+    assert "rows 200 True" in run.stdout, run.stderr[-2000:]

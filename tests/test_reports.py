@@ -5,7 +5,7 @@ import pytest
 from opsframe.operators import inference, relational
 from opsframe.plans import reports
 
-GRADES = inference.KeywordModel(
+GRADES = inference.keyword_model(
     (("fire", inference.severity_json("critical", "s", ["engine", "hull"], "land")),),
     inference.severity_json("low", "s", [], "none"),
 )
@@ -48,7 +48,7 @@ def test_mission_plans(spark):
 
 
 def test_file_reports(texts):
-    model = inference.KeywordModel(
+    model = inference.keyword_model(
         (("fire", '{"title": "f", "findings": [{"anomaly_type": "fire", "confidence": 0.9, "notes": "n"}]}'),),
         '{"title": "c", "findings": [{"anomaly_type": "x", "confidence": 2, "notes": "n"}]}',
     )
