@@ -160,13 +160,8 @@ class FindingRule:
     needle: str = ""
 
 
-def extract_findings(docs: DataFrame, text_col: str, rules: Sequence[FindingRule]) -> DataFrame:
-    """One row per document and distinct finding: anomaly_type, confidence, notes.
-
-    The rules become one array expression over the whole text, so documents
-    are neither joined with the rules nor shuffled for the distinct step.
-    """
-    text = F.col(text_col)
+def findings_of_text(text: Column, rules: Sequence[FindingRule]) -> Column:
+    """The distinct findings of one whole text as a list of records."""
     found = [
         F.when(
             (text.contains(r.needle) & text.rlike(r.pattern)) if r.needle else text.rlike(r.pattern),
@@ -178,8 +173,17 @@ def extract_findings(docs: DataFrame, text_col: str, rules: Sequence[FindingRule
         )
         for r in rules
     ]
+    return F.array_distinct(F.array_compact(F.array(*found)))
+
+
+def extract_findings(docs: DataFrame, text_col: str, rules: Sequence[FindingRule]) -> DataFrame:
+    """One row per document and distinct finding: anomaly_type, confidence, notes.
+
+    The rules become one array expression over the text, so documents are
+    neither joined with the rules nor shuffled for the distinct step.
+    """
     others = [c for c in docs.columns if c != text_col]
-    return docs.select(*others, F.inline(F.array_distinct(F.array_compact(F.array(*found)))))
+    return docs.select(*others, F.inline(findings_of_text(F.col(text_col), rules)))
 
 
 def finding_line() -> Column:

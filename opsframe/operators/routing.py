@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsframe.functions.text import lookup
+from opsframe.operators.relational import join_salted
+
 # Words used in manifests.
 HAZARD_FREE = "none"
 HAZARD_UNKNOWN = "unknown"
@@ -26,47 +31,52 @@ def reroute(trips: DataFrame, edges: DataFrame, closed: DataFrame, k: int) -> Da
     """The k cheapest two-leg alternatives of every trip over a closed corridor.
 
     ``edges`` has one row per corridor (``corridor_costs``), ``trips`` and
-    ``closed`` hold (origin, destination). The joins start from the distinct
-    closed trips and meet the second leg on both its ends, so the work is the
-    closed trips times the departures of their origins, not all pairs around a
-    hub. ``rank <= k`` is applied per task before the rows are shuffled. Pass
-    stored ``edges`` (``scratch.written``): three branches read them.
+    ``closed`` hold (origin, destination). A closed trip is extended from its
+    end with fewer open corridors, over the first leg or the second, and the
+    other leg is then met on both its ends: a hub that most corridors touch
+    costs a trip no more than the quiet end of that trip. ``rank <= k`` is
+    applied per task before the rows are shuffled. Pass stored ``edges``
+    (``scratch.written``): several branches read them.
     """
     pair = ["origin", "destination"]
     closed = closed.select(*pair).distinct()
     subjects = trips.select(*pair).distinct().join(closed, pair, "left_semi")
-    usable = edges.join(closed, pair, "left_anti")
-    first = usable.select(
-        "origin", F.col("destination").alias("via"), F.col("cost").alias("cost_1")
-    )
-    second = usable.select(
-        F.col("origin").alias("via"), "destination", F.col("cost").alias("cost_2")
-    )
+    usable = edges.filter(F.col("origin") != F.col("destination")).join(closed, pair, "left_anti")
+    departures = usable.groupBy("origin").agg(F.count(F.lit(1)).alias("n_out"))
+    arrivals = usable.groupBy("destination").agg(F.count(F.lit(1)).alias("n_in"))
+    sized = join_salted(subjects, departures, "origin", "inner")
+    sized = join_salted(sized, arrivals, "destination", "inner")
+    first = usable.select("origin", F.col("destination").alias("via"), F.col("cost").alias("cost_1"))
+    second = usable.select(F.col("origin").alias("via"), "destination", F.col("cost").alias("cost_2"))
+    from_origin = sized.filter(F.col("n_out") <= F.col("n_in")).select(*pair)
+    from_destination = sized.filter(F.col("n_out") > F.col("n_in")).select(*pair)
+    legs = ["origin", "destination", "via", "cost_1", "cost_2"]
     options = (
-        subjects.join(first, "origin")
-        .filter((F.col("via") != F.col("destination")) & (F.col("via") != F.col("origin")))
+        from_origin.join(first, "origin")
         .join(second, ["via", "destination"])
+        .select(*legs)
+        .unionAll(
+            from_destination.join(second, "destination").join(first, ["origin", "via"]).select(*legs)
+        )
         .withColumn("cost", F.col("cost_1") + F.col("cost_2"))
     )
     order = Window.partitionBy(*pair).orderBy("cost", "via")
     return (
         options.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
-        .select("origin", "destination", "via", "cost_1", "cost_2", "cost", "rank")
+        .select(*legs, "cost", "rank")
     )
 
 
-def hazard_rank(hazard: Column) -> Column:
-    """none < unknown < radiological < biohazard-n by n; other words count as unknown."""
-    first_level = max(HAZARD_RANKS.values()) + 1
+def hazard_rank(hazard: Column, ranks: Mapping[str, int] = HAZARD_RANKS) -> Column:
+    """The word's rank, and above all of them biohazard-n by n; other words count as unknown."""
+    first_level = max(ranks.values()) + 1
     level = F.substr(hazard, F.lit(len(BIOHAZARD) + 1)).try_cast("int")
-    rank = F.when(hazard.startswith(BIOHAZARD) & (level >= 0), level + F.lit(first_level))
-    for word, value in HAZARD_RANKS.items():
-        rank = rank.when(hazard == word, F.lit(value))
-    return rank.otherwise(F.lit(HAZARD_RANKS[HAZARD_UNKNOWN]))
+    graded = F.when(hazard.startswith(BIOHAZARD) & (level >= 0), level + F.lit(first_level))
+    return F.coalesce(lookup(hazard, dict(ranks)), graded, F.lit(ranks[HAZARD_UNKNOWN]))
 
 
-def with_hazard(manifests: DataFrame) -> DataFrame:
+def with_hazard(manifests: DataFrame, ranks: Mapping[str, int] = HAZARD_RANKS) -> DataFrame:
     """Adds ``hazard_rank``, ``worst_item`` and ``worst_class`` of every manifest.
 
     The worst is taken inside the row; a manifest without items has rank -1.
@@ -74,7 +84,7 @@ def with_hazard(manifests: DataFrame) -> DataFrame:
     ranked = F.transform(
         F.coalesce("declared_items", F.array()),
         lambda i: F.struct(
-            hazard_rank(i["hazard_class"]).alias("hazard_rank"),
+            hazard_rank(i["hazard_class"], ranks).alias("hazard_rank"),
             i["item"].alias("worst_item"),
             i["hazard_class"].alias("worst_class"),
         ),
@@ -87,9 +97,11 @@ def with_hazard(manifests: DataFrame) -> DataFrame:
     return manifests.select("*", F.inline(F.array(F.coalesce(F.array_max(ranked), nothing))))
 
 
-def max_hazard(manifests: DataFrame, key: str = "manifest_id") -> DataFrame:
+def max_hazard(
+    manifests: DataFrame, ranks: Mapping[str, int] = HAZARD_RANKS, key: str = "manifest_id"
+) -> DataFrame:
     """The one manifest with the highest declared hazard, ties by key."""
-    return with_hazard(manifests).orderBy(F.col("hazard_rank").desc(), key).limit(1)
+    return with_hazard(manifests, ranks).orderBy(F.col("hazard_rank").desc(), key).limit(1)
 
 
 def lane_of() -> Column:

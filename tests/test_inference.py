@@ -131,6 +131,8 @@ def test_findings_are_distinct_per_document(spark):
     ]
     got = inference.extract_findings(docs, "text", rules)
     assert sorted(got.collect()) == [(1, "leak", 0.9, "leak in tank 9"), (1, "number", 0.5, "10")]
+    nested = docs.select("id", inference.findings_of_text(F.col("text"), rules).alias("findings"))
+    assert {r.id: len(r.findings) for r in nested.collect()} == {1: 2, 2: 0, 3: 0}
     assert sorted(r[0] for r in got.select(inference.finding_line()).collect()) == [
         "leak (confidence=0.90): leak in tank 9",
         "number (confidence=0.50): 10",

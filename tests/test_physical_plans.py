@@ -88,7 +88,8 @@ def test_top_groups_counts_once(spark):
     assert "ReusedExchange" in plan
 
 
-def test_ranks_are_cut_before_the_shuffle(spark):
+def test_ranks_are_cut_before_the_shuffle(spark, settings):
+    settings(autoBroadcastJoinThreshold="-1")
     for name in ("r11_reroute", "g2_review_state"):
         plan = planned(warehouse.QUERIES[name](spark, FOLDER))
         assert re.search(r"WindowGroupLimit.*Partial", plan), name

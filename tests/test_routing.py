@@ -1,6 +1,7 @@
 import itertools
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from opsframe.operators import routing
@@ -17,14 +18,15 @@ def item(hazard):
     return ("thing", 1.0, hazard)
 
 
-def test_reroute_against_brute_force(spark):
-    chooser = random.Random(3)
+@pytest.mark.parametrize("seed", [3, 4, 5])
+def test_reroute_against_brute_force(spark, seed):
+    chooser = random.Random(seed)
     nodes = range(12)
     cost = {
         (o, d): chooser.randint(1, 9)
         for o, d in itertools.product(nodes, nodes)
         # Node 0 is the hub that most corridors touch.
-        if o != d and (0 in (o, d) or chooser.random() < 0.3)
+        if 0 in (o, d) or chooser.random() < 0.3
     }
     closed = {e for e in cost if chooser.random() < 0.15}
     expected = []
@@ -45,6 +47,18 @@ def test_reroute_against_brute_force(spark):
     assert sorted((r.origin, r.destination, r.via, r.cost, r.rank) for r in got) == sorted(expected)
 
 
+def test_reroute_around_a_large_hub(spark):
+    """Half of 4,000 corridors of one hub are closed; each end knows one other way."""
+    n = 4000
+    ids = spark.range(1, n + 1)
+    hub = ids.select(F.lit(0).cast("long").alias("origin"), F.col("id").alias("destination"), F.lit(1).alias("cost"))
+    side = ids.select(F.col("id").alias("origin"), (F.col("id") % n + 1).alias("destination"), F.lit(2).alias("cost"))
+    edges = hub.unionAll(side)
+    closed = hub.filter("destination % 2 = 0")
+    got = routing.reroute(closed, edges, closed, 3)
+    assert got.count() == n // 2 and got.filter("via = destination - 1 and cost = 3 and rank = 1").count() == n // 2
+
+
 def test_reroute_without_affected_trips_is_empty(spark):
     edges = spark.createDataFrame([(1, 2, 5), (1, 3, 1), (3, 2, 1)], "origin int, destination int, cost int")
     none = edges.filter("false")
@@ -64,6 +78,12 @@ def test_hazard_order(spark):
     assert ranks[:6] == sorted(set(ranks[:6])) and ranks[6:] == [1, 1, 1]
 
 
+def test_hazard_order_of_the_caller(spark):
+    frame = manifest(spark, ("a", [item("radiological")], "current", []), ("b", [item("acid")], "current", []))
+    ranks = {"unknown": 0, "radiological": 1, "acid": 2}
+    assert routing.max_hazard(frame, ranks).first().manifest_id == "b"
+
+
 def test_worst_manifest_and_empty_items(spark):
     frame = manifest(
         spark,
