@@ -47,7 +47,8 @@ def typed(raw: Column, dtype: T.DataType) -> Column:
 
 def doubled(col: Column) -> Column:
     """Strip, read as an integer and double it; null when it is not a number."""
-    return strip(col).try_cast("bigint") * F.lit(2)
+    number = strip(col)
+    return F.when(number.rlike("^[+-]?[0-9]+$"), number.try_cast("bigint")) * F.lit(2)
 
 
 def fixed(col: Column, digits: int = 2) -> Column:
