@@ -119,6 +119,11 @@ HOSTILE = [
     "SELECT TRANSFORM(id) USING 'cat' AS (x string) FROM orders",
     "SELECT TRANSFORM(id) USING /* gap */ 'cat' AS (x string) FROM orders",
     "SELECT '--', transform(id) using -- gap\n \"cat\" as (x string) FROM orders",
+    "SELECT TRANSFORM(id) USING /* a /* nested */ gap */ 'cat' AS (x string) FROM orders",
+    "SELECT TRANSFORM(id) USING -- continued \\\n gap\n 'cat' AS (x string) FROM orders",
+    "SELECT * FROM default/* gap */.stored",
+    "FROM orders INSERT OVERWRITE DIRECTORY '{path}_out' USING parquet SELECT *",
+    "SELECT * FROM text.`/etc/hostname`",
     "SELECT missing_column FROM orders",
 ]
 
@@ -133,6 +138,11 @@ def test_guarded_refuses(spark, orders, sql):
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
 
 
+def test_guarded_check_takes_linear_time():
+    with pytest.raises(ValueError):
+        guarded.check_sql("SELECT TRANSFORM(x) USING " + "/**/" * 5000 + "'cat'")
+
+
 def test_guarded_brackets_stay_under_the_cap(spark, orders):
     union = "SELECT id FROM orders) UNION ALL (SELECT id FROM orders"
     assert guarded.guarded_sql(spark, [orders], union, 7).count() == 7
