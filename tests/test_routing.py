@@ -118,3 +118,27 @@ def test_lanes_and_their_precedence(spark):
     frame = manifest(spark, *[(str(i), *c[1:]) for i, c in enumerate(cases)])
     lanes = {int(r.manifest_id): r.lane for r in routing.route_lane(frame).collect()}
     assert [lanes[i] for i in range(len(cases))] == [c[0] for c in cases]
+
+
+def test_every_manifest_gets_the_lane_of_the_rules(spark):
+    chooser = random.Random(23)
+    hazards = ["none", "none", "unknown", "radiological", "biohazard-2", None]
+    flag_words = ["incomplete_declaration", "expired_certification", "origin_not_registered", "late", None]
+    rows = []
+    for i in range(500):
+        items = chooser.choice([None, *[[item(h) for h in chooser.choices(hazards, k=n)] for n in (0, 1, 1, 2, 3)]])
+        flags = chooser.choice([None, [], [], chooser.choices(flag_words, k=2)])
+        rows.append((str(i), items, chooser.choice(["current", "current", "expired", None]), flags))
+
+    def lane(items, certificate, flags):
+        classes = [i[2] for i in items or []]
+        bad = any(c not in ("none", "unknown", None) for c in classes)
+        if bad or certificate == "expired" or set(flags or []) & {"expired_certification", "origin_not_registered"}:
+            return "quarantine"
+        if not classes or {"unknown", None} & set(classes) or certificate is None or flags:
+            return "customs_review"
+        return "fast_lane"
+
+    got = {r.manifest_id: r.lane for r in routing.route_lane(manifest(spark, *rows)).collect()}
+    assert got == {k: lane(*rest) for k, *rest in rows}
+    assert set(got.values()) == {"quarantine", "customs_review", "fast_lane"}
