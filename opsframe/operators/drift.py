@@ -18,6 +18,7 @@ from opsframe.functions.shapes import BIGINT, DOUBLE, TEXT, shape
 from opsframe.functions.text import canonical, is_atomic, is_numeric, strip
 
 MASK_BITS = 62
+BRANCHES = 64
 MATCH = shape(col_a=TEXT, col_b=TEXT, n_a=BIGINT, n_b=BIGINT, n_common=BIGINT, score=DOUBLE)
 
 
@@ -47,6 +48,11 @@ def _atomic_fields(df: DataFrame) -> list[T.StructField]:
     return [f for f in df.schema.fields if is_atomic(f.dataType)]
 
 
+def _branched(df: DataFrame) -> DataFrame:
+    """Adds ``_branch``: results of many tasks meet in so many tasks before the last one."""
+    return df.withColumn("_branch", F.pmod(F.spark_partition_id(), F.lit(BRANCHES)))
+
+
 def _values(df: DataFrame, slots: Sequence[tuple[T.StructField, int]]) -> DataFrame:
     """(value, word, bit): every non-null cell with the position of its column."""
     cells = [
@@ -129,8 +135,8 @@ def match_columns_sketched(
 ) -> DataFrame:
     """``match_columns`` with estimated counts: one pass, no values shuffled.
 
-    One HyperLogLog sketch per column is merged across tasks; the overlap of a
-    pair is the two estimates minus that of the merged sketch.
+    One HyperLogLog sketch per column is merged across tasks, in two steps; the
+    overlap of a pair is the two estimates minus that of the merged sketch.
     """
     fields_a, fields_b = _atomic_fields(a), _atomic_fields(b)
     if not fields_a or not fields_b:
@@ -142,7 +148,10 @@ def match_columns_sketched(
         return df.select(*mine, *rest)
 
     both = side(a, fields_a, "a", fields_b, "b").unionByName(side(b, fields_b, "b", fields_a, "a"))
-    sketches = both.agg(*[F.hll_sketch_agg(c, F.lit(lg_k)).alias(c) for c in both.columns])
+    per_branch = _branched(both).groupBy("_branch").agg(
+        *[F.hll_sketch_agg(c, F.lit(lg_k)).alias(c) for c in both.columns]
+    )
+    sketches = per_branch.agg(*[F.hll_union_agg(c).alias(c) for c in both.columns])
     pairs = [
         F.struct(
             F.lit(fa.name).alias("col_a"),
@@ -445,7 +454,8 @@ def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
     """(column, type, n_rows, n_nulls, n_distinct, min_value, max_value) per column.
 
     ``exact=False`` estimates the distinct counts with HyperLogLog++: one pass
-    whose tasks each send one row, which is the form for very large tables.
+    whose tasks each send one row, about half a kilobyte per column, which is
+    the form for very large tables.
     A negative zero is shown as zero.
     """
     fields = _atomic_fields(df)

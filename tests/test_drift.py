@@ -189,8 +189,12 @@ def test_profile(spark):
     }
     for exact in (True, False):
         assert {tuple(r) for r in drift.profile(frame, exact=exact).collect()} == expected
-    empty = {r.column: r.n_distinct for r in drift.profile(frame.limit(0)).collect()}
-    assert set(empty.values()) == {0}
+    for exact in (True, False):
+        empty = drift.profile(frame.limit(0), exact=exact).collect()
+        assert {(r.n_rows, r.n_nulls, r.n_distinct, r.min_value) for r in empty} == {(0, 0, 0, None)}
+    large = spark.range(50_000, numPartitions=9).select((F.col("id") % 20_000).alias("id"))
+    estimated = drift.profile(large, exact=False).first()
+    assert estimated.n_rows == 50_000 and estimated.n_distinct == pytest.approx(20_000, rel=0.06)
 
 
 def test_match_without_comparable_columns(spark):

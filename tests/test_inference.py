@@ -254,3 +254,18 @@ spark.stop()
         [sys.executable, "-c", script], cwd=tmp_path, env=environment, capture_output=True, text=True, timeout=300
     )
     assert "rows 200 True" in run.stdout, run.stderr[-2000:]
+
+
+def test_answers_written_twice_do_not_repeat_rows(spark, tmp_path, reports):
+    cache = str(tmp_path / "cache")
+
+    def run():
+        return inference.infer_cached(reports, "text", MODEL, records.SEVERITY_REPORT, cache)
+
+    first = sorted((r.id, r.response) for r in run().collect())
+    spark.read.parquet(cache).withColumn("written_at", F.current_timestamp()).withColumn(
+        "response", F.lit("another answer")
+    ).write.mode("append").parquet(str(tmp_path / "late"))
+    spark.read.parquet(str(tmp_path / "late")).write.mode("append").parquet(cache)
+    assert inference.cached_calls(reports, cache) == 10
+    assert sorted((r.id, r.response) for r in run().collect()) == first
