@@ -20,8 +20,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.conf.get("spark.master", "local").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="opsframe-")
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{tempfile.gettempdir()}/{spark.sparkContext.applicationId}"
     return f"{base.rstrip('/')}/opsframe/{purpose}-{uuid.uuid4().hex}"
 
 

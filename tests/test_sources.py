@@ -176,6 +176,24 @@ def test_lanes_are_written_whole_and_unknown_lanes_fail(spark, tmp_path):
         manifests.write_by_lane(frame.withColumn("lane", F.lit("side_door")), str(tmp_path / "x"))
 
 
+class Settings:
+    """A session's settings, as far as the shared folder needs them."""
+
+    def __init__(self, spark, **values):
+        self.sparkContext, self.values = spark.sparkContext, values
+        self.conf = self
+
+    def get(self, name, default=None):
+        return self.values.get(name.removeprefix("spark.").replace(".", "_"), default)
+
+
+def test_shared_dir_without_the_setting(spark):
+    local = scratch.shared_dir(Settings(spark, master="local[2]"), "x")
+    assert spark.sparkContext.applicationId in local
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.shared_dir(Settings(spark, master="yarn"), "x")
+
+
 def test_shared_dir_follows_the_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert scratch.shared_dir(spark, "x").startswith(base)
