@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm import simhash
+from opsframe.llm import decontaminate, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -31,3 +31,19 @@ def op1_simhash(spark: SparkSession, folder: str) -> DataFrame:
         F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"),
         "component_id",
     )
+
+
+@query
+def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = decontaminate.scanned(docs, table(spark, folder, "benchmark"))
+    hit = F.col("contamination")
+    items = F.concat_ws(",", F.array_sort(hit["items"]))
+    return found.select(
+        "doc_id",
+        hit["n_words"].alias("n_words"),
+        decontaminate.n_hit(hit["spans"]).alias("n_hit"),
+        F.size(hit["items"]).cast("long").alias("n_items"),
+        F.sha2(items, 256).alias("items_sha256"),
+        (F.size(hit["spans"]) > 0).alias("contaminated"),
+    )
