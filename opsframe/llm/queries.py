@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm import decontaminate, simhash
+from opsframe.llm import decontaminate, quality, secrets, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,3 +47,35 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(items, 256).alias("items_sha256"),
         (F.size(hit["spans"]) > 0).alias("contaminated"),
     )
+
+
+@query
+def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
+    found = secrets.scanned(table(spark, folder, "documents").select("doc_id", "text"))
+    kinds = [rule.kind for rule in secrets.BASE]
+    counts = [
+        F.size(secrets.of_kinds(F.col("secrets"), kind)).cast("long").alias(f"n_{kind}")
+        for kind in kinds
+    ]
+    base = secrets.listed(secrets.of_kinds(F.col("secrets"), *kinds))
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(base, 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
+@query
+def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return quality.judged(docs, table(spark, folder, "labels")).select(
+        "doc_id",
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        "base_failed",
+        "kept",
+    )
