@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm import decontaminate, quality, secrets, simhash
+from opsframe.llm import decontaminate, quality, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -79,3 +79,15 @@ def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
         "base_failed",
         "kept",
     )
+
+
+@query
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = toxicity.scored(docs, table(spark, folder, "labels"))
+    return found.select(
+        "doc_id",
+        (~toxicity.in_fold("doc_id")).alias("held_out"),
+        F.col("toxicity").alias("score"),
+        (F.col("toxicity") >= toxicity.CUT).cast("int").alias("predicted"),
+    )
