@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm import decontaminate, quality, secrets, simhash, toxicity
+from opsframe.llm import decontaminate, linededup, quality, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -91,3 +91,36 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
         F.col("toxicity").alias("score"),
         (F.col("toxicity") >= toxicity.CUT).cast("int").alias("predicted"),
     )
+
+
+@query
+def op7_linededup(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    lines = F.col("lines")
+    return linededup.deduplicated(docs).select(
+        "doc_id",
+        lines["n_lines"].alias("n_lines"),
+        lines["n_dropped"].alias("n_dropped"),
+        F.sha2(lines["kept"], 256).alias("kept_sha256"),
+    )
+
+
+ORACLES["op7_linededup"] = r"""
+WITH lines AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+           generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS n
+    FROM documents),
+keyed AS (
+    SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines),
+repeated AS (
+    SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 20
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 3),
+marked AS (
+    SELECT k.*, coalesce(k.doc_id <> r.last, false) AS gone
+    FROM keyed k LEFT JOIN repeated r USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
