@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm import decontaminate, linededup, quality, secrets, simhash, toxicity
+from opsframe.llm import decontaminate, linededup, mixing, quality, secrets, simhash, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +124,10 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY n) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id
 """
+
+
+@query
+def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    names = ("size", "source_size", "target", "taken")
+    return mixing.mixed(docs).select("doc_id", *(F.col(f"mix.{name}").alias(name) for name in names))
