@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm import decontaminate, linededup, mixing, quality, secrets, simhash, toxicity
+from opsframe.llm import decontaminate, linededup, mixing, quality, secrets, sharding, simhash, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -131,3 +131,23 @@ def op10_mixing(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text", "source")
     names = ("size", "source_size", "target", "taken")
     return mixing.mixed(docs).select("doc_id", *(F.col(f"mix.{name}").alias(name) for name in names))
+
+
+@query
+def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return sharding.sharded(docs).select(
+        "doc_id",
+        sharding.text_bytes(F.col("text")).alias("size"),
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("rows").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+@query
+def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    return urls.judged(pages).select("page_id", "host", "path", "rule", "verdict")
