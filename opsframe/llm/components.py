@@ -13,38 +13,52 @@ from opsframe.sources.scratch import written
 LINKS_AT_ONCE = 500_000
 
 
-def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What connects the same nodes with fewer links, for a bounded number of links at a time."""
+class Forest:
+    """Which nodes are connected; every tree hangs from its smallest node."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def __len__(self) -> int:
+        return len(self.parent)
+
+    def clear(self) -> None:
+        self.parent.clear()
 
-    def stars(parent: dict[int, int]) -> pa.RecordBatch:
-        pairs = [(x, top(parent, x)) for x in parent]
-        pairs = [(x, r) for x, r in pairs if x != r]
+    def root(self, node: int) -> int:
+        parent = self.parent
+        parent.setdefault(node, node)
+        while parent[node] != node:
+            parent[node] = parent[parent[node]]
+            node = parent[node]
+        return node
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether the two were not connected before."""
+        x, y = self.root(a), self.root(b)
+        if x != y:
+            self.parent[max(x, y)] = min(x, y)
+        return x != y
+
+    def stars(self) -> pa.RecordBatch:
+        pairs = [(x, r) for x in list(self.parent) if (r := self.root(x)) != x]
         a, b = zip(*pairs, strict=True) if pairs else ((), ())
         return pa.RecordBatch.from_arrays(
             [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
         )
 
-    def top(parent: dict[int, int], x: int) -> int:
-        while parent[x] != x:
-            parent[x] = parent[parent[x]]
-            x = parent[x]
-        return x
 
-    parent: dict[int, int] = {}
-    n = 0
+def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """What connects the same nodes with fewer links, for a bounded number of links at a time."""
+    forest, n = Forest(), 0
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            parent.setdefault(a, a)
-            parent.setdefault(b, b)
-            x, y = top(parent, a), top(parent, b)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
+            forest.join(a, b)
         n += batch.num_rows
         if n >= LINKS_AT_ONCE:
-            yield stars(parent)
-            parent, n = {}, 0
-    if parent:
-        yield stars(parent)
+            yield forest.stars()
+            forest, n = Forest(), 0
+    yield forest.stars()
 
 
 def _minima(pairs: DataFrame) -> DataFrame:

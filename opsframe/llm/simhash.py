@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsframe.llm.components import connected
+from opsframe.llm.components import Forest, connected
 from opsframe.sources.scratch import written
 
 BITS = 64
@@ -45,6 +45,8 @@ SMALL_RUN = 48
 LARGE_RUN = 32_768
 SHINGLES_AT_ONCE = 65_536
 FINGERPRINTS_AT_ONCE = 2_048
+#: Linked fingerprints that a task remembers, so as not to connect them again.
+FOREST_NODES = 1_000_000
 
 
 def text_fingerprint(text: bytes | None, shingle: int = SHINGLE) -> int:
@@ -212,18 +214,17 @@ def _linked(distance: int):
         return found
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[tuple[int, int]] = set()
+        forest_of_task = Forest()
 
         def out(found) -> Iterator[pa.RecordBatch]:
-            pairs = {
-                (a, b) if a > b else (b, a)
+            pairs = [
+                pair
                 for x, y in found
-                for a, b in zip(x.tolist(), y.tolist(), strict=True)
-                if a != b
-            }
-            pairs -= seen
-            if len(seen) < 1_000_000:
-                seen.update(pairs)
+                for pair in zip(x.tolist(), y.tolist(), strict=True)
+                if forest_of_task.join(*pair)
+            ]
+            if len(forest_of_task) > FOREST_NODES:
+                forest_of_task.clear()
             if pairs:
                 a, b = zip(*pairs, strict=True)
                 yield pa.RecordBatch.from_arrays(
