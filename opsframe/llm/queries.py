@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm import decontaminate, linededup, mixing, quality, secrets, sharding, simhash, toxicity, urls
+from opsframe.llm import decontaminate, linededup, maintext, mixing, quality, secrets, sharding, simhash, toxicity, urls
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -66,6 +66,12 @@ def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def op4_maintext(spark: SparkSession, folder: str) -> DataFrame:
+    pages = table(spark, folder, "pages")
+    return maintext.with_main_text(pages).select("page_id", "url", "text", "n_chars")
+
+
 @query
 def op5_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
