@@ -319,13 +319,25 @@ def n_hit(spans: Column) -> Column:
     return F.aggregate(spans, F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", **names) -> DataFrame:
+def decontaminated(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text_col: str = "text",
+    n_chars_col: str | None = None,
+    **names,
+) -> DataFrame:
     """``docs`` with every hit span cut from its text; other documents stay as they are.
 
     A document of which no word is left goes; one that had none before stays.
+    ``n_chars_col``, if given, becomes the new length of a text that was cut.
     """
     hit = scanned(docs, benchmark, text_col, **names)
     spans = F.col("contamination.spans")
-    cut = F.when(F.size(spans) > 0, without_spans(F.col(text_col), spans)).otherwise(F.col(text_col))
-    whole = (F.size(spans) == 0) | (n_hit(spans) < F.col("contamination.n_words"))
-    return hit.where(whole).withColumn(text_col, cut).drop("contamination")
+    found = F.size(spans) > 0
+    left = hit.where(~found | (n_hit(spans) < F.col("contamination.n_words")))
+    cut = F.when(found, without_spans(F.col(text_col), spans)).otherwise(F.col(text_col))
+    left = left.withColumn(text_col, cut)
+    if n_chars_col is not None:
+        length = F.length(text_col).cast(docs.schema[n_chars_col].dataType)
+        left = left.withColumn(n_chars_col, F.when(found, length).otherwise(F.col(n_chars_col)))
+    return left.drop("contamination")
