@@ -91,9 +91,9 @@ class SplittingTree:
         return self.split(mine, low, middle) + self.split(quota - mine, middle, high)
 
 
-def _ordered(sources: pd.DataFrame) -> pd.DataFrame:
+def _ordered(sources: pd.DataFrame, by: str = "source") -> pd.DataFrame:
     """By code point, null last."""
-    return sources.sort_values("source", na_position="last", kind="stable", key=lambda x: x.map(
+    return sources.sort_values(by, na_position="last", kind="stable", key=lambda x: x.map(
         lambda s: s if s is None else s.encode()
     )).reset_index(drop=True)
 
@@ -122,7 +122,7 @@ def _places(shards: int, seed: int):
         parts = list(batches)
         if not parts or not sum(map(len, parts)):
             return
-        sources = _ordered(pd.concat(parts))
+        sources = _ordered(pd.concat(parts), "v")
         rng = np.random.default_rng(seed)
         draws = (sources["passes"] * sources["blocks"] + sources["last"] + 1).astype(int)
         tree = SplittingTree(int(draws.sum()), shards, rng)
@@ -134,7 +134,7 @@ def _places(shards: int, seed: int):
                 step = int(rng.integers(1, n + 1))
             steps.append(step)
         sources["step"] = steps
-        yield sources
+        yield sources[["v", "ends", "step"]]
 
     return of
 
@@ -199,8 +199,11 @@ def planned(
         .join(extra, F.col("source").eqNullSafe(F.col("u")), "left")
         .select(*plan.columns, F.coalesce("last", F.lit(-1)).alias("last"), "cut", "extra")
     )
-    schema = f"{_PLAN}, last long, cut long, extra long, ends array<long>, step long"
-    return written(plan.coalesce(1).mapInPandas(_places(shards, seed), schema), "mix")
+    plan = written(plan, "plan")
+    places = plan.select(F.col("source").alias("v"), "passes", "blocks", "last").coalesce(1)
+    places = places.mapInPandas(_places(shards, seed), "v string, ends array<long>, step long")
+    placed = plan.join(places, F.col("source").eqNullSafe(F.col("v"))).drop("v")
+    return written(placed, "mix")
 
 
 def mixed(
