@@ -141,7 +141,7 @@ class Risk:
         return a + b, x + y
 
 
-def fitted(risk: Risk, rounds: int = ROUNDS, rate: float = 0.1, decay: float = 1e-3):
+def fitted(risk: Risk, rounds: int = ROUNDS, rate: float = 0.1, decay: float = 1e-4):
     """Weights and bias after ``rounds`` Adam steps."""
     theta = np.zeros(risk.n + 1)
     theta[-1] = np.log(risk.prior / (1 - risk.prior))
@@ -169,6 +169,17 @@ class Classifier:
         return 1 / (1 + exp(-self.bias - sum(found) / sqrt(max(len(found), 1))))
 
 
+def class_prior(confirmed: list[list[int]], unlabelled: list[list[int]], known: float) -> float:
+    """The share of toxic texts: that among labelled ones, or less if their features say so.
+
+    The share of texts with a feature is at least the class prior times its
+    share among toxic texts, which bounds the prior, however labels were chosen.
+    """
+    with_one = [sum(map(bool, rows)) / max(len(rows), 1) for rows in (confirmed, unlabelled)]
+    bound = with_one[1] / with_one[0] if with_one[0] else known
+    return max(min(known, bound), 1e-4)
+
+
 def _chosen(positive: DataFrame, texts: DataFrame, n_positive: int, prior: float) -> list[str]:
     """Features that point to toxic texts, by counts over all of them."""
     many = _counted(positive, None).where(F.col("n") >= 3).orderBy(F.desc("n"), "feature")
@@ -177,8 +188,13 @@ def _chosen(positive: DataFrame, texts: DataFrame, n_positive: int, prior: float
         return []
     every = {r["feature"]: r["n"] for r in _counted(texts, set(mine)).toLocalIterator()}
     total = texts.count()
-    found = []
-    for feature, n in mine.items():
+    found, seen = [], set()
+    # The longest of a word's beginnings that have the same counts stands for them all.
+    for feature, n in sorted(mine.items(), key=lambda x: (-len(x[0]), x[0])):
+        same = (feature[: min(PREFIXES)], n, every.get(feature))
+        if same in seen:
+            continue
+        seen.add(same)
         expected = max(every.get(feature, n), n) * n_positive / total
         chance = n * log(expected) - expected - lgamma(n + 1)  # Poisson, as a logarithm
         if n >= 3 * expected and chance <= CHANCE:
@@ -214,7 +230,8 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed
         hashed = rows.select(F.xxhash64(F.lit(seed), "text").alias("h"), _rows(numbers)("text").alias("x"))
         return [r["x"] for r in hashed.orderBy("h", "x").limit(most).toLocalIterator()]
 
-    risk = Risk(sample(positive, POSITIVES), sample(texts, UNLABELLED), prior, len(chosen))
+    confirmed, unlabelled = sample(positive, POSITIVES), sample(texts, UNLABELLED)
+    risk = Risk(confirmed, unlabelled, class_prior(confirmed, unlabelled, prior), len(chosen))
     weights, bias = fitted(risk)
     return Classifier(dict(zip(chosen, weights.tolist(), strict=True)), bias)
 
