@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsframe.functions.shapes import BIGINT, DOUBLE, TEXT, shape
-from opsframe.functions.text import canonical, is_atomic, is_numeric, strip
+from opsframe.functions.text import canonical, is_atomic, is_numeric, lookup, strip
+from opsframe.sources.scratch import written
 
 MASK_BITS = 62
 BRANCHES = 64
+LG_K = 13  # Size of a profile's sketches, as a power of two.
 MATCH = shape(col_a=TEXT, col_b=TEXT, n_a=BIGINT, n_b=BIGINT, n_common=BIGINT, score=DOUBLE)
 
 
@@ -264,12 +266,15 @@ def compatibility_findings(
     *,
     min_score: float = 0.5,
     tolerance: float = 1e-9,
+    sketched: bool = False,
 ) -> DataFrame:
     """(kind, col_a, col_b, detail, action): what breaks a job copying rows a to b.
 
-    Kinds: type_changed, renamed (each other's best match by shared values),
-    unit_changed (constant ratio other than 1, between columns of the same name
-    or numeric columns found on one side only), missing and extra.
+    Kinds: renamed (each other's best match by shared values), unit_changed
+    (constant ratio other than 1, between columns of the same name or numeric
+    columns found on one side only), type_changed (of columns with the same
+    name, and of pairs found by either), missing and extra. ``sketched``
+    estimates the shared values, which shuffles no value.
     """
     spark = a.sparkSession
     finding = shape(kind=TEXT, col_a=TEXT, col_b=TEXT, detail=TEXT, action=TEXT)
@@ -281,7 +286,8 @@ def compatibility_findings(
         ],
         finding,
     )
-    scores = match_columns(a.select(*only_a), b.select(*only_b), min_score)
+    match = match_columns_sketched if sketched else match_columns
+    scores = match(a.select(*only_a), b.select(*only_b), min_score)
     numeric_a = {f.name for f in a.schema.fields if is_numeric(f.dataType)}
     numeric_b = {f.name for f in b.schema.fields if is_numeric(f.dataType)}
     candidates = [(n, n) for n in a.columns if n in numeric_a & numeric_b and n != key_pair[0]]
@@ -320,6 +326,26 @@ def compatibility_findings(
             )
         )
         found = found.unionAll(units)
+    types_a, types_b = ({f.name: f.dataType.simpleString() for f in x.schema.fields} for x in (a, b))
+    if only_a and only_b:
+        # As many rows as findings; stored, for they are read several times.
+        found = written(found, "findings")
+        old = lookup(F.col("col_a"), {n: types_a[n] for n in only_a})
+        new = lookup(F.col("col_b"), {n: types_b[n] for n in only_b})
+        retyped = (
+            found.filter(F.col("kind").isin("renamed", "unit_changed"))
+            .select("col_a", "col_b", old.alias("old"), new.alias("new"))
+            .filter(F.col("old") != F.col("new"))
+            .distinct()
+            .select(
+                F.lit("type_changed").alias("kind"),
+                "col_a",
+                "col_b",
+                F.concat("old", F.lit(" to "), "new").alias("detail"),
+                F.format_string("cast %s from %s to %s into %s", "col_a", "old", "new", "col_b").alias("action"),
+            )
+        )
+        found = found.unionAll(retyped)
     one_sided = [("missing", n, None) for n in only_a] + [("extra", None, n) for n in only_b]
     if not one_sided:
         return found
@@ -376,8 +402,9 @@ def diff_tables(a: DataFrame, b: DataFrame | None, key: Sequence[str]) -> DataFr
     """(key, status, changed_columns): rows that two tables do not share, by key.
 
     Text is trimmed before comparing and nulls equal nulls. ``status`` is
-    added, removed, changed, or ambiguous when a key has copies that differ
-    within a table. An absent ``b`` means the comparison is skipped: no rows.
+    added, removed, changed, ambiguous when a key has copies that differ within
+    a table, or copies when both have equal rows in different numbers. An absent
+    ``b`` means the comparison is skipped: no rows.
     """
     if b is None:
         keys = {k: a.schema[k].dataType for k in key}
@@ -396,7 +423,8 @@ def diff_tables(a: DataFrame, b: DataFrame | None, key: Sequence[str]) -> DataFr
         for tag in "ab"
         for name, f in (("lo", F.min), ("hi", F.max))
     ]
-    per_key = side(a, "a").unionAll(side(b, "b")).groupBy(*key).agg(*extremes)
+    copies = [F.count_if(F.col("_side") == tag).alias(f"n_{tag}") for tag in "ab"]
+    per_key = side(a, "a").unionAll(side(b, "b")).groupBy(*key).agg(*extremes, *copies)
     changed = F.concat_ws(
         ",",
         *[
@@ -413,6 +441,7 @@ def diff_tables(a: DataFrame, b: DataFrame | None, key: Sequence[str]) -> DataFr
         .when(F.col("lo_b").isNull(), F.lit("removed"))
         .when(F.col("lo_a").isNull(), F.lit("added"))
         .when(differ("lo_a", "lo_b"), F.lit("changed"))
+        .when(F.col("n_a") != F.col("n_b"), F.lit("copies"))
     )
     return (
         per_key.withColumn("status", status)
@@ -453,9 +482,10 @@ def diff_rows(a: DataFrame, b: DataFrame | None) -> DataFrame:
 def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
     """(column, type, n_rows, n_nulls, n_distinct, min_value, max_value) per column.
 
-    ``exact=False`` estimates the distinct counts with HyperLogLog++: one pass
-    whose tasks each send one row, about half a kilobyte per column, which is
-    the form for very large tables.
+    ``exact=False`` estimates the distinct counts with HyperLogLog (error
+    about one per cent): its tasks each send one row, some ten kilobytes per
+    column, which is the form for very large tables. Counts and fixed-width extremes, text extremes, and
+    distinct counts are three passes, joined per column.
     A negative zero is shown as zero.
     """
     fields = _atomic_fields(df)
@@ -472,36 +502,58 @@ def profile(df: DataFrame, *, exact: bool = True) -> DataFrame:
         ]
         return totals.select("n_rows", F.inline(F.array(*rows)))
 
-    basics = df.agg(
+    def extremes(some: Sequence[tuple[int, T.StructField]]) -> list[Column]:
+        return [
+            shown(f(f"`{field.name}`"), field.dataType).alias(f"{name}{i}")
+            for i, field in some
+            for name, f in (("min_value", F.min), ("max_value", F.max))
+        ]
+
+    # Three aggregates, since one with text extremes would sort its rows, and
+    # one of fixed-width extremes with estimates would not fit one generated method.
+    numbered = list(enumerate(fields))
+    wide = [(i, f) for i, f in numbered if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    narrow = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
-        *[
-            c
-            for i, f in enumerate(fields)
-            for c in (
-                F.count(f"`{f.name}`").alias(f"filled{i}"),
-                shown(F.min(f"`{f.name}`"), f.dataType).alias(f"min_value{i}"),
-                shown(F.max(f"`{f.name}`"), f.dataType).alias(f"max_value{i}"),
-                F.lit(f.dataType.simpleString()).alias(f"type{i}"),
-            )
-        ],
-        *[
-            F.approx_count_distinct(f"`{f.name}`").alias(f"n_distinct{i}")
-            for i, f in enumerate(fields)
-            if not exact
-        ],
+        *[F.count(f"`{f.name}`").alias(f"filled{i}") for i, f in numbered],
+        *extremes([x for x in numbered if x not in wide]),
+    )
+    def distinct(field: T.StructField) -> Column:
+        col = F.col(f"`{field.name}`")
+        if exact:
+            return F.count_distinct(col)
+        sketch = F.hll_sketch_agg(F.when(col.isNotNull(), F.xxhash64(col)), F.lit(LG_K))
+        return F.coalesce(F.hll_sketch_estimate(sketch), F.lit(0))
+
+    counts = df.agg(*[distinct(f).alias(f"n_distinct{i}") for i, f in numbered])
+    shown_wide = df.agg(F.lit(0).alias("_"), *extremes(wide))
+    none = F.lit(None).cast("string")
+    totals = [
+        narrow.select(
+            "*",
+            *[F.lit(f.dataType.simpleString()).alias(f"type{i}") for i, f in numbered],
+            *[none.alias(f"{n}{i}") for i, _ in wide for n in ("min_value", "max_value")],
+        ),
+        counts.withColumn("n_rows", F.lit(0)),
+        shown_wide.select(
+            F.lit(0).alias("n_rows"),
+            *[
+                (F.col(f"{n}{i}") if (i, f) in wide else none).alias(f"{n}{i}")
+                for i, f in numbered
+                for n in ("min_value", "max_value")
+            ],
+        ),
+    ]
+    joined = per_column(totals[0], ["type", "filled", "min_value", "max_value"]).join(
+        per_column(totals[1], ["n_distinct"]).drop("n_rows"), "column"
     )
-    names = ["type", "filled", "min_value", "max_value"]
-    if exact:
-        # Kept apart: text extremes in the same aggregate would turn it into a sort.
-        counts = df.agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            *[F.count_distinct(F.col(f"`{f.name}`")).alias(f"n_distinct{i}") for i, f in enumerate(fields)],
+    if wide:
+        texts = per_column(totals[2], ["min_value", "max_value"]).select(
+            "column", F.col("min_value").alias("_min"), F.col("max_value").alias("_max")
         )
-        joined = per_column(basics, names).join(
-            per_column(counts, ["n_distinct"]).drop("n_rows"), "column"
+        joined = joined.join(texts, "column").withColumns(
+            {"min_value": F.coalesce("min_value", "_min"), "max_value": F.coalesce("max_value", "_max")}
         )
-    else:
-        joined = per_column(basics, [*names, "n_distinct"])
     return joined.select(
         "column",
         "type",

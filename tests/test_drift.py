@@ -67,12 +67,22 @@ def test_match_with_more_columns_than_mask_bits(spark):
     assert set(got) == {(f"c{i}", f"xc{i}") for i in range(70)}
 
 
-def test_match_long_texts_by_digest(spark):
-    a = spark.createDataFrame([("x" * 500,), ("y" * 500,)], "t string")
-    b = spark.createDataFrame([("x" * 500,), ("x" * 499,)], "u string")
+def test_match_texts_of_any_length(spark):
+    import hashlib
+
+    digest = hashlib.sha256(("x" * 500).encode()).hexdigest()
+    a = spark.createDataFrame([("x" * 500,), ("y" * 500,), ("x" * 64,)], "t string")
+    b = spark.createDataFrame([("x" * 500,), ("x" * 499,), (digest,), (digest[:32],)], "u string")
     assert drift.match_columns(a, b).first().n_common == 1
 
 
+def test_match_large_whole_numbers_of_different_types(spark):
+    a = spark.createDataFrame([(9_100_000_000_000_000,), (5,), (-3,)], "n long")
+    b = a.select(F.col("n").cast("double").alias("x"), F.col("n").cast("decimal(30,4)").alias("d"))
+    got = pairs(drift.match_columns(a, b))
+    assert {pair: row.n_common for pair, row in got.items()} == {("n", "x"): 3, ("n", "d"): 3}
+
+
 def test_sketches_agree_with_exact_counts(two_versions):
     _, a, b = two_versions
     exact = pairs(drift.match_columns(a, b, 0.5))
@@ -107,10 +117,14 @@ def test_compatibility(spark, two_versions):
         ("renamed", "odd", "odd2"),
         ("renamed", "day", "since"),
         ("unit_changed", "tonnes", "kilos"),
+        ("type_changed", "id", "key"),
     }
+    assert found["type_changed", "id", "key"].action == "cast id from bigint to double into key"
+    rough = drift.compatibility_findings(a, b, ("id", "key"), sketched=True)
+    assert {(r.kind, r.col_a, r.col_b) for r in rough.collect()} == set(found)
     assert found["unit_changed", "tonnes", "kilos"].detail == "factor 1000.000000"
     report = drift.compatibility_report(a, b, ("id", "key")).first()
-    assert not report.compatible and len(report.mismatches) == len(report.suggested_actions) == 5
+    assert not report.compatible and len(report.mismatches) == len(report.suggested_actions) == 6
     same = drift.compatibility_report(a, a, ("id", "id")).first()
     assert same.compatible and same.mismatches == [] and same.suggested_actions == []
 
@@ -148,6 +162,7 @@ def test_diff_keyed(spark):
         3: ("changed", "name,n"),
         4: ("removed", ""),
         5: ("added", ""),
+        6: ("copies", ""),
         7: ("ambiguous", ""),
         None: ("changed", "n"),
     }
