@@ -13,8 +13,7 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-MAX_INLINE_ENTRIES = 1000
-EXACT = 9.0e15  # Up to here a double holds every whole number.
+WHOLE = "decimal(38,0)"
 
 
 def strip(col: Column) -> Column:
@@ -39,8 +38,8 @@ def typed(raw: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, T.DateType):
         return F.try_to_date(text, "yyyy-MM-dd")
     if isinstance(dtype, T.IntegralType):
-        number = text.try_cast("double")
-        whole = F.when((number == F.floor(number)) & (F.abs(number) < EXACT), number)
+        number = text.try_cast("decimal(38,18)")
+        whole = F.when(number == F.floor(number), number)
         return F.coalesce(text.try_cast(dtype), whole.try_cast(dtype))
     return text.try_cast(dtype)
 
@@ -60,35 +59,31 @@ def lookup(col: Column, mapping: dict) -> Column:
     """Constant mapping inlined into the projection: no join, no shuffle."""
     if not mapping:
         raise ValueError("empty mapping")
-    if len(mapping) > MAX_INLINE_ENTRIES:
-        raise ValueError(
-            f"{len(mapping)} entries are too many to inline; join a table instead"
-        )
     pairs = [F.lit(part) for entry in mapping.items() for part in entry]
     return F.try_element_at(F.create_map(*pairs), col)
 
 
 def canonical(col: Column, dtype: T.DataType) -> Column:
-    """Text form under which equal values of different types compare equal.
+    """Form under which equal values of different types compare equal; null stays null.
 
-    5000 and 5000.0 give the same text. Values over 64 characters are replaced
-    by their SHA-256, so a shuffle by value never moves whole texts.
+    5000, 5000.0 and '5000' give the same. Every value, short or long, becomes
+    the first 16 bytes of its text's SHA-256, so a shuffle by value never moves
+    whole texts and no text can pass for another.
     """
+    return F.substring(F.unhex(F.sha2(_plain_text(col, dtype), 256)), 1, 16)
+
+
+def _plain_text(col: Column, dtype: T.DataType) -> Column:
     if isinstance(dtype, (T.DoubleType, T.FloatType)):
         number = col.cast("double")
-        whole = (number == F.floor(number)) & (F.abs(number) < F.lit(EXACT))
-        return F.when(whole, number.try_cast("bigint").cast("string")).otherwise(
-            number.cast("string")
-        )
+        whole = F.when(number == F.rint(number), number.try_cast(WHOLE).cast("string"))
+        return F.coalesce(whole, number.cast("string"))
     if isinstance(dtype, T.DecimalType):
         plain = F.rtrim(col.cast("string"), F.lit("0"))
         return F.when(
             col.cast("string").contains("."), F.rtrim(plain, F.lit("."))
         ).otherwise(col.cast("string"))
-    text = col.cast("string")
-    if isinstance(dtype, T.StringType):
-        return F.when(F.length(text) > 64, F.sha2(text, 256)).otherwise(text)
-    return text
+    return col.cast("string")
 
 
 def is_numeric(dtype: T.DataType) -> bool:

@@ -18,7 +18,7 @@ from pyspark.sql import types as T
 
 from opsframe.functions.shapes import INT, TEXT, TIMESTAMP, shape
 from opsframe.functions.text import fixed
-from opsframe.sources.scratch import read_parquet_or_empty, shared_dir, written
+from opsframe.sources.scratch import read_parquet_or_empty, removed, shared_dir, written
 
 Model = Callable[[list[str]], list[str]]
 
@@ -148,7 +148,7 @@ def infer_label(
 
 @dataclass(frozen=True)
 class FindingRule:
-    """A pattern that reports one anomaly type; the first match becomes the notes.
+    """A pattern that reports one anomaly type; the text of a match becomes its notes.
 
     ``needle`` is text that every match contains: looking for it first is much
     cheaper than running the pattern over texts that cannot match.
@@ -161,19 +161,22 @@ class FindingRule:
 
 
 def findings_of_text(text: Column, rules: Sequence[FindingRule]) -> Column:
-    """The distinct findings of one whole text as a list of records."""
-    found = [
-        F.when(
-            (text.contains(r.needle) & text.rlike(r.pattern)) if r.needle else text.rlike(r.pattern),
-            F.struct(
-                F.lit(r.anomaly_type).alias("anomaly_type"),
-                F.lit(r.confidence).alias("confidence"),
-                F.regexp_extract(text, r.pattern, 0).alias("notes"),
+    """The distinct findings of one whole text, every match of every rule, as a list of records."""
+
+    def found(rule: FindingRule) -> Column:
+        matches = F.array_distinct(F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)))
+        here = text.contains(rule.needle) if rule.needle else text.isNotNull()
+        records = F.transform(
+            F.when(here, matches).otherwise(F.array().cast("array<string>")),
+            lambda match: F.struct(
+                F.lit(rule.anomaly_type).alias("anomaly_type"),
+                F.lit(rule.confidence).alias("confidence"),
+                match.alias("notes"),
             ),
         )
-        for r in rules
-    ]
-    return F.array_distinct(F.array_compact(F.array(*found)))
+        return records
+
+    return F.array_distinct(F.flatten(F.array(*[found(rule) for rule in rules])))
 
 
 def extract_findings(docs: DataFrame, text_col: str, rules: Sequence[FindingRule]) -> DataFrame:
@@ -187,7 +190,7 @@ def extract_findings(docs: DataFrame, text_col: str, rules: Sequence[FindingRule
 
 
 def finding_line() -> Column:
-    """A finding as one line: type, confidence with two decimals, notes."""
+    """A finding as one line: type, confidence with two decimals, notes (a fixed format)."""
     return F.concat(
         F.col("anomaly_type"), F.lit(" (confidence="), fixed(F.col("confidence")), F.lit("): "), F.col("notes")
     )
@@ -248,7 +251,7 @@ def infer_cached(
     )
     known = read_parquet_or_empty(spark, cache_path, CACHE).select("key")
     pending = wanted.distinct().join(known, "key", "left_anti")
-    parts = [pending]
+    parts, store = [pending], None
     if waves > 1:
         store = shared_dir(spark, "pending")
         wave = F.pmod(F.xxhash64("key"), F.lit(waves)).cast("int")
@@ -261,6 +264,8 @@ def infer_cached(
             respond(F.col("prompt"), make_model).alias("response"),
             F.current_timestamp().alias("written_at"),
         ).write.mode("append").parquet(cache_path)
+    if store is not None:
+        removed(spark, store)
     answers = unique_answers(df, cache_path).withColumnRenamed("key", "_key")
     return (
         keyed.join(answers, "_key", "left")

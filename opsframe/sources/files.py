@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-MAX_CHARS = 65536  # Fixed value: default cap of a file read, in characters.
+MAX_CHARS = 65536  # Fixed value: characters of one piece of a file, where pieces are asked for.
 
 
 def _split(root: str) -> tuple[str, str]:
@@ -27,10 +27,17 @@ def _inside(root: str, subdir: str) -> str:
     return store + re.sub(r"([\\*?{}\[\]])", r"\\\1", target)
 
 
+def _qualified(spark: SparkSession, root: str) -> str:
+    """The root as the file system writes it in front of its files' paths."""
+    path = spark._jvm.org.apache.hadoop.fs.Path("".join(_split(root)))
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.makeQualified(path).toString().rstrip("/") + "/"
+
+
 def _files(spark: SparkSession, root: str, subdir: str) -> DataFrame:
     """Every file below ``root/subdir`` with its path relative to root."""
     target = _inside(root, subdir)
-    base = _split(root)[1].rstrip("/") + "/"
+    base = _qualified(spark, root)
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     try:
         found = reader.load(target)
@@ -41,9 +48,7 @@ def _files(spark: SparkSession, root: str, subdir: str) -> DataFrame:
             [],
             "path string, modificationTime timestamp, length bigint, content binary",
         )
-    start = F.instr("path", base) + F.lit(len(base))
-    relative = F.substr(F.col("path"), start)
-    return found.withColumn("path", relative)
+    return found.withColumn("path", F.substr(F.col("path"), F.lit(len(base) + 1)))
 
 
 def list_files(spark: SparkSession, root: str, subdir: str = "") -> DataFrame:
@@ -59,21 +64,42 @@ def list_files(spark: SparkSession, root: str, subdir: str = "") -> DataFrame:
     )
 
 
-def capped(text: Column, max_chars: int | None = MAX_CHARS) -> Column:
-    """Line ends as ``\\n``, then at most that many characters; None keeps all."""
-    plain = F.regexp_replace(text, "\r\n?", "\n")
-    return plain if max_chars is None else F.substring(plain, 1, max_chars)
+def plain_lines(text: Column) -> Column:
+    """The text with line ends as ``\\n``."""
+    return F.regexp_replace(text, "\r\n?", "\n")
+
+
+def pieces(text: Column, max_chars: int = MAX_CHARS) -> Column:
+    """A text as a list of pieces of at most ``max_chars`` characters that join up to it.
+
+    An empty text is one empty piece, a null one none.
+    """
+    n = F.greatest(F.ceil(F.length(text) / F.lit(max_chars)), F.lit(1)).cast("int")
+    split = F.transform(
+        F.sequence(F.lit(0), n - 1), lambda i: F.substr(text, i * max_chars + 1, F.lit(max_chars))
+    )
+    return F.when(text.isNotNull(), split)
+
+
+def in_pieces(texts: DataFrame, max_chars: int = MAX_CHARS, text_col: str = "text") -> DataFrame:
+    """One row per piece of every text, numbered from 1 in ``piece``; no character is lost."""
+    others = [c for c in texts.columns if c != text_col]
+    split = F.posexplode(pieces(F.col(text_col), max_chars)).alias("_at", text_col)
+    return texts.select(*others, split).select(
+        *others, (F.col("_at") + 1).alias("piece"), text_col
+    )
 
 
 def read_text_files(
     spark: SparkSession,
     root: str,
     subdir: str = "",
-    max_chars: int | None = MAX_CHARS,
+    max_chars: int | None = None,
 ) -> DataFrame:
-    """(path, text): each file as one UTF-8 text, line ends as ``\\n``.
+    """(path, text): each file as one whole UTF-8 text, line ends as ``\\n``.
 
-    The cap counts characters; pass None to keep whole files.
+    With ``max_chars``, (path, piece, text): long texts in numbered pieces.
     """
-    text = capped(F.decode("content", "utf-8"), max_chars)
-    return _files(spark, root, subdir).select("path", text.alias("text"))
+    text = plain_lines(F.decode("content", "utf-8"))
+    whole = _files(spark, root, subdir).select("path", text.alias("text"))
+    return whole if max_chars is None else in_pieces(whole, max_chars)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -13,14 +12,14 @@ from pyspark.sql import types as T
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder under ``spark.checkpoint.dir``, which all executors share.
 
-    Without that setting a local session gets a temporary folder; on a cluster
-    it is an error, since executors could not see a machine-local folder.
+    Without that setting it is under ``spark.sql.warehouse.dir``, where tables
+    are kept anyway, as the default file system resolves it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        base = f"{tempfile.gettempdir()}/{spark.sparkContext.applicationId}"
+        path = spark._jvm.org.apache.hadoop.fs.Path(spark.conf.get("spark.sql.warehouse.dir"))
+        store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        base = store.makeQualified(path).toString()
     return f"{base.rstrip('/')}/opsframe/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -35,6 +34,12 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder of ``shared_dir`` that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def read_parquet_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The table at ``path``, or an empty one when nothing was written there yet."""
     try:

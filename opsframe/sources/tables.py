@@ -15,49 +15,69 @@ from pyspark.sql import types as T
 from opsframe.functions.text import blank_to_null, typed
 
 
-def _raw_csv(spark: SparkSession, path: str, multi_line: bool) -> DataFrame | None:
-    """All cells as text under their header names; None when the path is missing.
+BROKEN = "_broken_row"  # The text of a row with too many or too few cells, else null.
+
+
+def _raw_csv(
+    spark: SparkSession, path: str, multi_line: bool, options: Mapping[str, str]
+) -> DataFrame | None:
+    """All cells as text under their header names, and ``BROKEN``; None when nothing is there.
 
     The header is read once and then enforced on every file of the path, so a
     file with another column order fails loudly instead of swapping columns.
     """
     reader = spark.read.option("header", True).option("escape", '"')
-    reader = reader.option("multiLine", multi_line)
+    reader = reader.option("multiLine", multi_line).options(**options)
     try:
         names = reader.csv(path).columns
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return None
-    cells = T.StructType([T.StructField(name, T.StringType()) for name in names])
+    cells = T.StructType([T.StructField(name, T.StringType()) for name in [*names, BROKEN]])
+    # Without pruning, so that a row's cells are counted whatever columns are read.
+    reader = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", BROKEN)
     return reader.schema(cells).option("enforceSchema", False).csv(path)
 
 
 def _checked_raw(
-    spark: SparkSession, path: str, schema: T.StructType, multi_line: bool
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    multi_line: bool,
+    options: Mapping[str, str],
 ) -> DataFrame | None:
     """The raw cells under the table's own names, whatever their case in the header."""
-    raw = _raw_csv(spark, path, multi_line)
+    raw = _raw_csv(spark, path, multi_line, options)
     if raw is None:
         return None
     own = {name.lower(): name for name in schema.names}
-    unknown = sorted(name for name in raw.columns if name.lower() not in own)
+    names = [name for name in raw.columns if name != BROKEN]
+    unknown = sorted(name for name in names if name.lower() not in own)
     if unknown:
         raise ValueError(f"{path}: header names not in the table: {unknown}")
-    return raw.toDF(*[own[name.lower()] for name in raw.columns])
+    return raw.toDF(*[own[name.lower()] for name in names], BROKEN)
 
 
 def load_table(
-    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    multi_line: bool = True,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """CSV with a header to a typed table, columns matched by name.
 
     Blank lines are skipped, blank cells are null, columns absent from the
-    header are null, a missing path is an empty table, and a header name the
-    table lacks is an error. ``multi_line`` accepts line breaks inside quotes
-    at the price of one task per file.
+    header are null, a missing or empty path is an empty table, and a header
+    name the table lacks is an error. A row with too few cells has null in the
+    rest, one with too many loses them; ``rejected_rows`` lists both. Line
+    breaks inside quotes belong to their cell, at the price of one task per
+    file: pass ``multi_line=False`` for large files that have none. ``options``
+    go to the CSV reader (``sep``, say).
     """
-    raw = _checked_raw(spark, path, schema, multi_line)
+    raw = _checked_raw(spark, path, schema, multi_line, options or {})
     if raw is None:
         return spark.createDataFrame([], schema)
     return raw.select(
@@ -73,15 +93,21 @@ def load_table(
 
 
 def rejected_rows(
-    spark: SparkSession, path: str, schema: T.StructType, *, multi_line: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    *,
+    multi_line: bool = True,
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """Raw rows holding a cell that is filled but unreadable as its type.
+    """Raw rows with too many or too few cells, or a cell that is unreadable as its type.
 
-    ``bad_columns`` lists the columns; the typed table has null there.
+    ``bad_columns`` lists the columns whose filled cell became null in the typed
+    table; ``BROKEN`` has the text of a row whose number of cells is wrong.
     """
-    raw = _checked_raw(spark, path, schema, multi_line)
+    raw = _checked_raw(spark, path, schema, multi_line, options or {})
     if raw is None:
-        empty = [T.StructField(n, T.StringType()) for n in schema.names]
+        empty = [T.StructField(n, T.StringType()) for n in [*schema.names, BROKEN]]
         bad = T.StructField("bad_columns", T.ArrayType(T.StringType()))
         return spark.createDataFrame([], T.StructType([*empty, bad]))
     checks = [
@@ -94,7 +120,7 @@ def rejected_rows(
         if f.name in raw.columns
     ]
     return raw.withColumn("bad_columns", F.array_compact(F.array(*checks))).filter(
-        F.size("bad_columns") > 0
+        (F.size("bad_columns") > 0) | F.col(BROKEN).isNotNull()
     )
 
 
@@ -149,14 +175,12 @@ def read_source(spark: SparkSession, source: Source) -> DataFrame:
         raise ValueError("avro needs the external spark-avro module on the classpath")
     if source.format not in FORMATS:
         raise ValueError(f"unknown format {source.format!r}; known: {FORMATS}")
-    if source.format == "csv" and source.schema is not None and not source.options:
-        return load_table(spark, source.uri, source.schema)
+    if source.format == "csv" and source.schema is not None:
+        return load_table(spark, source.uri, source.schema, options=source.options)
     reader = spark.read.format(source.format)
     if source.format == "csv":
         reader = reader.option("header", True)
-        reader = reader.option("inferSchema", source.schema is None)
-        if source.schema is not None:
-            reader = reader.option("enforceSchema", False)
+        reader = reader.option("inferSchema", True)
     if source.schema is not None:
         reader = reader.schema(source.schema)
     return reader.options(**source.options).load(source.uri)

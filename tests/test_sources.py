@@ -4,6 +4,7 @@ import random
 import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsframe.functions.shapes import BIGINT, TEXT, shape
 from opsframe.plans.schemas import PLANETS, SPACE_STATIONS, SPACECRAFT
@@ -124,8 +125,10 @@ def test_list_and_read_files(spark, tmp_path):
     assert [r.path for r in files.list_files(spark, f"file:{root}", "a dir").collect()] == ["a dir/a+b%20.md"]
     texts = {r.path: r.text for r in files.read_text_files(spark, str(root)).collect()}
     assert texts == {"b.log": "second\nline", "a dir/a+b%20.md": "äöü text"}
-    cut = {r.path: r.text for r in files.read_text_files(spark, str(root), max_chars=3).collect()}
-    assert cut == {"b.log": "sec", "a dir/a+b%20.md": "äöü"}
+    cut = {(r.path, r.piece): r.text for r in files.read_text_files(spark, str(root), max_chars=8).collect()}
+    assert cut == {
+        ("b.log", 1): "second\nl", ("b.log", 2): "ine", ("a dir/a+b%20.md", 1): "äöü text",
+    }
     assert files.list_files(spark, str(root), "absent").count() == 0
 
 
@@ -176,22 +179,73 @@ def test_lanes_are_written_whole_and_unknown_lanes_fail(spark, tmp_path):
         manifests.write_by_lane(frame.withColumn("lane", F.lit("side_door")), str(tmp_path / "x"))
 
 
+def test_texts_in_pieces_join_up(spark):
+    texts = ["", "a", "ab" * 40_000, "\U0001f600ü" * 33_000, "x" * 65_536, None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    found = {}
+    for r in files.in_pieces(frame).orderBy("id", "piece").collect():
+        assert len(r.text) <= 65_536 and r.piece == len(found.get(r.id, [])) + 1
+        found.setdefault(r.id, []).append(r.text)
+    assert {i: "".join(p) for i, p in found.items()} == {i: t for i, t in enumerate(texts) if t is not None}
+    assert [len(found[i]) for i in range(5)] == [1, 1, 2, 2, 1]
+
+
+def test_paths_are_relative_to_the_root_itself(spark, tmp_path):
+    """Also when a parent folder has the same name."""
+    put(tmp_path, "data/proj/data/x.txt", "in")
+    root = tmp_path / "data" / "proj" / "data"
+    assert [r.path for r in files.list_files(spark, str(root)).collect()] == ["x.txt"]
+    assert [r.path for r in files.list_files(spark, str(tmp_path / "data")).collect()] == ["proj/data/x.txt"]
+
+
+def test_no_row_of_a_csv_is_lost_unseen(spark, tmp_path):
+    path = put(tmp_path, "t.csv", 'n,s\n1,x\n2,y,extra\n3\n4,"p\nq"\n9100000000000000.0,z\nbad,w\n')
+    schema = shape(n=T.LongType(), s=T.StringType())
+    loaded = tables.load_table(spark, path, schema)
+    assert sorted(loaded.collect(), key=str) == sorted(
+        [(1, "x"), (2, "y"), (3, None), (4, "p\nq"), (9_100_000_000_000_000, "z"), (None, "w")], key=str
+    )
+    rejected = {r.n: (r.bad_columns, r[tables.BROKEN]) for r in tables.rejected_rows(spark, path, schema).collect()}
+    assert rejected == {"2": ([], "2,y,extra"), "3": ([], "3"), "bad": (["n"], None)}
+    assert loaded.count() == loaded.select("s").count() == 6
+
+
+def test_empty_folder_is_an_empty_table(spark, tmp_path):
+    schema = shape(n=T.LongType())
+    assert tables.load_table(spark, str(tmp_path), schema).collect() == []
+    assert tables.rejected_rows(spark, str(tmp_path), schema).collect() == []
+
+
+def test_csv_options_bind_by_name(spark, tmp_path):
+    path = put(tmp_path, "t.csv", "s;n\nx;1\n")
+    schema = shape(n=T.LongType(), s=T.StringType())
+    source = tables.Source("by_name", path, "csv", schema, {"sep": ";"})
+    assert tables.read_source(spark, source).collect() == [(1, "x")]
+
+
 class Settings:
-    """A session's settings, as far as the shared folder needs them."""
+    """A session whose shared folder is not set."""
 
     def __init__(self, spark, **values):
-        self.sparkContext, self.values = spark.sparkContext, values
+        self._jvm, self._jsc, self.values = spark._jvm, spark._jsc, values
         self.conf = self
 
     def get(self, name, default=None):
         return self.values.get(name.removeprefix("spark.").replace(".", "_"), default)
 
 
-def test_shared_dir_without_the_setting(spark):
-    local = scratch.shared_dir(Settings(spark, master="local[2]"), "x")
-    assert spark.sparkContext.applicationId in local
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        scratch.shared_dir(Settings(spark, master="yarn"), "x")
+def test_shared_dir_without_the_setting(spark, tmp_path):
+    found = scratch.shared_dir(Settings(spark, sql_warehouse_dir=str(tmp_path)), "x")
+    assert found.startswith(f"file:{tmp_path}/opsframe/x-")
+    on_store = scratch.shared_dir(Settings(spark, sql_warehouse_dir="file:///w/h"), "x")
+    assert on_store.startswith("file:/w/h/opsframe/x-")
+
+
+def test_removed_folder_is_gone(spark):
+    path = scratch.shared_dir(spark, "gone")
+    spark.range(3).write.parquet(path)
+    scratch.removed(spark, path)
+    assert scratch.read_parquet_or_empty(spark, path, shape(id=T.LongType())).count() == 0
 
 
 def test_shared_dir_follows_the_session(spark):
