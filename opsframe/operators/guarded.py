@@ -13,8 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 from opsframe.sources.tables import Source, register_sources
 
-MAX_ROWS = 50  # Fixed value: default cap of a result.
-
 # Words that run JVM code, name things at run time, or reach shared views.
 FORBIDDEN_WORDS = ("reflect", "java_method", "try_reflect", "identifier", "global_temp")
 # Words that start an external script when USING follows.
@@ -54,9 +52,9 @@ def _check_catalog(session: SparkSession, sql: str, allowed: Sequence[str]) -> N
 
 
 def guarded_sql(
-    spark: SparkSession, sources: Sequence[Source], sql: str, max_rows: int = MAX_ROWS
+    spark: SparkSession, sources: Sequence[Source], sql: str, max_rows: int | None = None
 ) -> DataFrame:
-    """Result of one SELECT over the sources, at most ``max_rows`` rows.
+    """Result of one SELECT over the sources; with ``max_rows``, at most so many rows of it.
 
     Runs in a new session that holds only the given views and cannot read files
     by path. The statement is nested as a subquery, so anything but a query
@@ -68,4 +66,5 @@ def guarded_sql(
     names = register_sources(session, sources)
     session.conf.set("spark.sql.runSQLOnFiles", "false")
     _check_catalog(session, sql, names)
-    return session.sql(f"SELECT * FROM (\n{sql}\n) LIMIT {int(max_rows)}")
+    result = session.sql(f"SELECT * FROM (\n{sql}\n)")
+    return result if max_rows is None else result.limit(max_rows)

@@ -5,7 +5,7 @@ statistics, or the sizes AQE measures at run time, are under the session's
 threshold, and otherwise uses a sort-merge join. Sides that could repeat a key
 are aggregated to one row per key first, so no join emits pairs within a group.
 AQE splits a hot partition only when both sides come straight from a shuffle;
-``join_salted`` is for the joins with an aggregated side.
+``join_stored`` is for the joins with an aggregated side.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from opsframe.functions.text import blank_to_null
+from opsframe.sources.scratch import written
 
 
 def scan(df: DataFrame) -> DataFrame:
@@ -46,19 +47,22 @@ def top_groups(df: DataFrame, key: str, where: Column | None = None) -> DataFram
 
 
 def counts_as_json(
-    df: DataFrame, key: str, *, unknown: str = "unknown", max_keys: int = 10_000
+    df: DataFrame, key: str, *, unknown: str = "unknown", buckets: int = 1
 ) -> DataFrame:
-    """(counts_json): the counts of ``count_by`` as one JSON map, keys sorted.
+    """(bucket, counts_json): the counts of ``count_by`` as JSON maps, keys sorted.
 
-    One map is one row in one task, so the job fails, rather than cutting the
-    map, when there are more than ``max_keys`` keys; ``count_by`` has no bound.
+    A key is in the map of its bucket, the first 32 bits of its MD5 modulo
+    ``buckets``; the union of the maps is the answer. One map is one row: ask
+    for as many buckets as keep a map small.
     """
-    bounded = count_by(df, key, unknown).limit(max_keys + 1)
-    entries = F.array_sort(F.collect_list(F.struct(F.col(key).alias("key"), F.col("n").alias("value"))))
-    checked = F.when(F.count(F.lit(1)) <= max_keys, entries).otherwise(
-        F.raise_error(F.lit(f"more than {max_keys} keys: use count_by"))
+    counts = count_by(df, key, unknown)
+    prefix = F.conv(F.substring(F.md5(F.col(key)), 1, 8), 16, 10).cast("bigint")
+    entry = F.struct(F.col(key).alias("key"), F.col("n").alias("value"))
+    return (
+        counts.groupBy((prefix % F.lit(buckets)).alias("bucket"))
+        .agg(F.array_sort(F.collect_list(entry)).alias("entries"))
+        .select("bucket", F.to_json(F.map_from_entries("entries")).alias("counts_json"))
     )
-    return bounded.agg(F.to_json(F.map_from_entries(checked)).alias("counts_json"))
 
 
 def top_k(
@@ -124,19 +128,14 @@ def qualified(
     return people.filter(F.col(licence_col).isin(licences))
 
 
-SALTS = 16
+def join_stored(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
+    """Join with aggregated rows that are unique by ``on``, whatever keys of the left are hot.
 
-
-def join_salted(left: DataFrame, right: DataFrame, on: str, how: str, salts: int = SALTS) -> DataFrame:
-    """Join with narrow rows that are unique by ``on``, spreading hot keys of the left.
-
-    Every left task adds its own salt and the right rows are repeated once per
-    salt, so the rows of one key, copies included, go to as many tasks. A task
-    that runs again gives the same salt.
+    The right side is stored and scanned, so both sides come straight from a
+    shuffle and AQE splits just the keys that turn out hot, into as many tasks
+    as their size asks for. A small right side is broadcast by its measured size.
     """
-    spread = left.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [on, "_salt"], how).drop("_salt")
+    return left.join(written(right, "join"), on, how)
 
 
 def evidence_per_home(
@@ -169,7 +168,7 @@ def qualified_with_evidence(
         F.col("home").alias("_home"), F.col("n_places").alias("_places"), F.col("n_evidenced").alias("_evidenced")
     )
     fit = qualified(people, licence_col, licence_map, craft_type).withColumn("_home", F.col(home_col))
-    joined = join_salted(fit, homes, "_home", "left")
+    joined = join_stored(fit, homes, "_home", "left")
     return joined.select(
         *people.columns,
         F.coalesce("_places", F.lit(0)).alias("n_places"),
@@ -184,18 +183,15 @@ def keep_evidenced(
     on: tuple[str, str],
     *,
     present: bool = True,
-    salts: int = 1,
 ) -> DataFrame:
     """People with evidence (semi join), or with none (anti join).
 
-    Repeated evidence collapses to one row per task before the shuffle. Where
-    one key may hold many of the people, too, pass ``salts=SALTS``.
+    Repeated evidence collapses to one row per task before the shuffle; one key
+    may hold any part of the people.
     """
     seen = evidence.select(F.col(on[1]).alias("_seen")).distinct()
     how = "left_semi" if present else "left_anti"
-    if salts > 1:
-        return join_salted(people.withColumn("_seen", F.col(on[0])), seen, "_seen", how, salts).drop("_seen")
-    return people.join(seen, F.col(on[0]) == F.col("_seen"), how)
+    return join_stored(people.withColumn("_seen", F.col(on[0])), seen, "_seen", how).drop("_seen")
 
 
 def numbered(df: DataFrame, array_col: str, item: str = "item") -> DataFrame:

@@ -7,7 +7,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsframe.operators.relational import join_salted
+from opsframe.operators.relational import join_stored
 
 APPROVE, REJECT, CHANGES = "approve", "reject", "changes"
 # Default limits of a review.
@@ -31,9 +31,11 @@ def review_state(
     approval, a rejection, or one change request more than ``max_iterations``.
     Otherwise it is timed_out when the deadline has passed, else pending.
 
-    No task sorts or holds all rows of an item: the first decision is an
-    aggregate, and the rank of change requests is cut to ``max_iterations + 1``
-    in every task before the shuffle (by Spark, for limits up to 1000).
+    No task holds all rows of an item: the first decision is an aggregate (of
+    a struct, so Spark sorts each task's rows for it, before the shuffle and
+    the few partial results after it), and the rank of change requests is cut to
+    ``max_iterations + 1`` in every task before the shuffle (by Spark, for
+    limits up to 1000).
     """
     limit = max_iterations + 1
     now = F.lit(as_of.isoformat(sep=" ")).cast(decisions.schema["ts"].dataType)
@@ -84,6 +86,6 @@ def review_state(
 def approved_only(proposals: DataFrame, states: DataFrame, on: tuple[str, str]) -> DataFrame:
     """Proposals whose item was approved; one item may have most of the proposals."""
     approved = states.filter(F.col("state") == "approved").select(F.col(on[1]).alias("_item"))
-    return join_salted(
+    return join_stored(
         proposals.withColumn("_item", F.col(on[0])), approved, "_item", "left_semi"
     ).drop("_item")

@@ -8,11 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsframe.functions.text import lookup
-from opsframe.operators.relational import join_salted
+from opsframe.sources.scratch import written
 
 # Words used in manifests.
 HAZARD_FREE = "none"
 HAZARD_UNKNOWN = "unknown"
+RANK = "decimal(38,0)"  # Levels have any number of digits.
 HAZARD_RANKS = {"none": 0, "unknown": 1, "radiological": 2}
 BIOHAZARD = "biohazard-"
 QUARANTINE_FLAGS = ("expired_certification", "biohazard_present", "origin_not_registered")
@@ -27,7 +28,9 @@ def corridor_costs(legs: DataFrame, origin: str, destination: str, cost: str) ->
     ).agg(F.min(cost).alias("cost"))
 
 
-def reroute(trips: DataFrame, edges: DataFrame, closed: DataFrame, k: int) -> DataFrame:
+def reroute(
+    trips: DataFrame, edges: DataFrame, closed: DataFrame, k: int, trip_id: str | None = None
+) -> DataFrame:
     """The k cheapest two-leg alternatives of every trip over a closed corridor.
 
     ``edges`` has one row per corridor (``corridor_costs``), ``trips`` and
@@ -35,17 +38,19 @@ def reroute(trips: DataFrame, edges: DataFrame, closed: DataFrame, k: int) -> Da
     end with fewer open corridors, over the first leg or the second, and the
     other leg is then met on both its ends: a hub that most corridors touch
     costs a trip no more than the quiet end of that trip. ``rank <= k`` is
-    applied per task before the rows are shuffled. Pass stored ``edges``
-    (``scratch.written``): several branches read them.
+    applied per task before the rows are shuffled. With ``trip_id`` every trip
+    keeps its rows, under its id; alternatives are still made once per corridor.
+    Pass stored ``edges`` (``scratch.written``): several branches read them.
     """
     pair = ["origin", "destination"]
-    closed = closed.select(*pair).distinct()
+    closed = written(closed.select(*pair).distinct(), "closed")
     subjects = trips.select(*pair).distinct().join(closed, pair, "left_semi")
-    usable = edges.filter(F.col("origin") != F.col("destination")).join(closed, pair, "left_anti")
+    open_edges = edges.filter(F.col("origin") != F.col("destination"))
+    usable = written(open_edges.join(closed, pair, "left_anti"), "usable")
     departures = usable.groupBy("origin").agg(F.count(F.lit(1)).alias("n_out"))
     arrivals = usable.groupBy("destination").agg(F.count(F.lit(1)).alias("n_in"))
-    sized = join_salted(subjects, departures, "origin", "inner")
-    sized = join_salted(sized, arrivals, "destination", "inner")
+    sized = subjects.join(departures, "origin").join(arrivals, "destination")
+    sized = written(sized, "trips")
     first = usable.select("origin", F.col("destination").alias("via"), F.col("cost").alias("cost_1"))
     second = usable.select(F.col("origin").alias("via"), "destination", F.col("cost").alias("cost_2"))
     from_origin = sized.filter(F.col("n_out") <= F.col("n_in")).select(*pair)
@@ -61,19 +66,29 @@ def reroute(trips: DataFrame, edges: DataFrame, closed: DataFrame, k: int) -> Da
         .withColumn("cost", F.col("cost_1") + F.col("cost_2"))
     )
     order = Window.partitionBy(*pair).orderBy("cost", "via")
-    return (
+    ranked = (
         options.withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= k)
         .select(*legs, "cost", "rank")
     )
+    if trip_id is None:
+        return ranked
+    # A corridor of very many trips is on the plain side, which AQE splits.
+    mine = trips.select(trip_id, *pair).distinct()
+    return mine.join(written(ranked, "alternatives"), pair).select(trip_id, *legs, "cost", "rank")
 
 
 def hazard_rank(hazard: Column, ranks: Mapping[str, int] = HAZARD_RANKS) -> Column:
     """The word's rank, and above all of them biohazard-n by n; other words count as unknown."""
     first_level = max(ranks.values()) + 1
-    level = F.substr(hazard, F.lit(len(BIOHAZARD) + 1)).try_cast("int")
-    graded = F.when(hazard.startswith(BIOHAZARD) & (level >= 0), level + F.lit(first_level))
-    return F.coalesce(lookup(hazard, dict(ranks)), graded, F.lit(ranks[HAZARD_UNKNOWN]))
+    digits = F.substr(hazard, F.lit(len(BIOHAZARD) + 1))
+    highest = F.lit("9" * 37).cast("decimal(37,0)")
+    level = F.coalesce(digits.try_cast("decimal(37,0)"), highest)
+    graded = F.when(
+        hazard.startswith(BIOHAZARD) & digits.rlike("^[0-9]+$"), level + F.lit(first_level)
+    )
+    known = lookup(hazard, dict(ranks)).cast(RANK)
+    return F.coalesce(known, graded.cast(RANK), F.lit(ranks[HAZARD_UNKNOWN]).cast(RANK))
 
 
 def with_hazard(manifests: DataFrame, ranks: Mapping[str, int] = HAZARD_RANKS) -> DataFrame:
@@ -91,7 +106,7 @@ def with_hazard(manifests: DataFrame, ranks: Mapping[str, int] = HAZARD_RANKS) -
     )
     absent = F.lit(None).cast("string")
     nothing = F.struct(
-        F.lit(-1).alias("hazard_rank"), absent.alias("worst_item"), absent.alias("worst_class")
+        F.lit(-1).cast(RANK).alias("hazard_rank"), absent.alias("worst_item"), absent.alias("worst_class")
     )
     # inline() yields the fields of one struct, which is then computed only once.
     return manifests.select("*", F.inline(F.array(F.coalesce(F.array_max(ranked), nothing))))
@@ -109,16 +124,16 @@ def lane_of() -> Column:
 
     quarantine: a declared hazard, an expired certificate, or a flag for one of
     these or for an unregistered origin. customs_review: nothing declared,
-    missing or unknown hazard classes, missing paperwork, or any other flag.
-    fast_lane: everything else.
+    missing or unknown hazard classes (words off the list among them), missing
+    paperwork, or any other flag. fast_lane: everything else.
     """
     items, flags = F.col("declared_items"), F.col("customs_flags")
 
     def hazardous(item: Column) -> Column:
-        return ~item["hazard_class"].isin(HAZARD_FREE, HAZARD_UNKNOWN)
+        return hazard_rank(item["hazard_class"]) > HAZARD_RANKS[HAZARD_UNKNOWN]
 
     def unclear(item: Column) -> Column:
-        return F.coalesce(item["hazard_class"] == HAZARD_UNKNOWN, F.lit(True))
+        return hazard_rank(item["hazard_class"]) == HAZARD_RANKS[HAZARD_UNKNOWN]
 
     def yes(condition: Column) -> Column:
         return F.coalesce(condition, F.lit(False))

@@ -115,16 +115,17 @@ def reroute_in_transit(
     k: int = 3,
     craft_type: str = "heavy_transport",
 ) -> DataFrame:
-    """Two-leg alternatives by transit days for craft of the type that are in transit.
+    """Two-leg alternatives by transit days, per ``spacecraft_id`` of the type in transit.
 
     No table says which route a craft is on: its trips are taken to be the
     active routes from its home station.
     """
     travelling = spacecraft.filter(
         (F.col("current_status") == "in_transit") & (F.col("spacecraft_type") == craft_type)
-    ).select(F.col("home_station_id").alias("origin_station_id"))
+    ).select("spacecraft_id", F.col("home_station_id").alias("origin_station_id"))
     active = routes.filter("is_active")
-    trips = active.join(travelling, "origin_station_id", "left_semi").select(
+    trips = active.join(travelling, "origin_station_id").select(
+        "spacecraft_id",
         F.col("origin_station_id").alias("origin"),
         F.col("destination_station_id").alias("destination"),
     )
@@ -134,7 +135,7 @@ def reroute_in_transit(
         ),
         "corridors",
     )
-    return routing.reroute(trips, edges, closed, k)
+    return routing.reroute(trips, edges, closed, k, "spacecraft_id")
 
 
 def worst_manifest(manifests: DataFrame) -> DataFrame:
@@ -146,8 +147,8 @@ def spacecraft_compatibility(primary: DataFrame, alternate: DataFrame) -> DataFr
     return drift.compatibility_report(primary, alternate, ("spacecraft_id", "id"))
 
 
-def ask(spark: SparkSession, out_dir: str, tables: Sequence[str], sql: str, max_rows: int = 50) -> DataFrame:
-    """Read-only SQL over some of the tables, capped."""
+def ask(spark: SparkSession, out_dir: str, tables: Sequence[str], sql: str, max_rows: int | None = None) -> DataFrame:
+    """Read-only SQL over some of the tables; ``max_rows`` cuts the result if given."""
     base = out_dir.rstrip("/")
     allowed = [Source(n, f"{base}/{n}", "parquet", TABLES[n]) for n in tables]
     return guarded_sql(spark, allowed, sql, max_rows)

@@ -6,17 +6,16 @@ ORACLES: dict[str, str] = {}
 
 # One row per (order, return flag, line status), and one per order.
 _MANIFESTS = """
+pairs (pair, hazard, rank, place) AS (
+  VALUES ('N/F', 'none', 0, 0), ('N/O', 'none', 0, 1), ('A/F', 'none', 0, 2), ('A/O', 'unknown', 1, 3),
+    ('R/F', 'radiological', 2, 4), ('R/O', 'biohazard-2', 5, 5)
+),
 items AS (
-  SELECT l_orderkey, l_returnflag || '/' || l_linestatus AS item, sum(l_quantity) AS tonnes,
-    CASE l_returnflag WHEN 'N' THEN 'none'
-      WHEN 'A' THEN CASE l_linestatus WHEN 'F' THEN 'none' ELSE 'unknown' END
-      ELSE CASE l_linestatus WHEN 'F' THEN 'radiological' ELSE 'biohazard-2' END END AS hazard,
-    CASE l_returnflag WHEN 'N' THEN 0
-      WHEN 'A' THEN CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END
-      ELSE CASE l_linestatus WHEN 'F' THEN 2 ELSE 5 END END AS rank,
-    CASE l_returnflag WHEN 'N' THEN 0 WHEN 'A' THEN 2 ELSE 4 END
-      + CASE l_linestatus WHEN 'F' THEN 0 ELSE 1 END AS place
-  FROM lineitem GROUP BY l_orderkey, l_returnflag, l_linestatus
+  SELECT l_orderkey, coalesce(pair, 'other') AS item, sum(l_quantity) AS tonnes,
+    coalesce(any_value(hazard), 'unknown') AS hazard, coalesce(any_value(rank), 1) AS rank,
+    coalesce(any_value(place), 6) AS place
+  FROM lineitem LEFT JOIN pairs ON pair = l_returnflag || '/' || l_linestatus
+  GROUP BY l_orderkey, pair
 ),
 manifests AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS manifest_id,
@@ -56,18 +55,38 @@ SELECT n_name, count(*) AS n_orders, round(sum(o_totalprice), 2) AS revenue
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
 GROUP BY n_name
 """
-ORACLES["s4_list_files"] = "SELECT DISTINCT source FROM documents"
+ORACLES["s1_rejected"] = """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
+  CASE WHEN o_orderkey % 97 <> 0 AND o_orderkey % 89 <> 0 THEN 'o_custkey' ELSE '' END AS bad_columns,
+  CASE WHEN o_orderkey % 97 = 0 THEN concat_ws(',', o_orderkey, o_custkey, o_orderstatus, 'surplus')
+    WHEN o_orderkey % 89 = 0 THEN concat_ws(',', o_orderkey, o_custkey) END AS broken
+FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0
+"""
+ORACLES["s4_list_files"] = """
+SELECT DISTINCT 'source=' || source || '/*.parquet' AS path, 1::BIGINT AS n_files FROM documents
+"""
 ORACLES["s5_text_files"] = """
 SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
 WHERE line <> '' GROUP BY line
 """
-ORACLES["s5_text_capped"] = "SELECT doc_id, left(text, 65536) AS text FROM documents"
+ORACLES["s5_text_capped"] = """
+SELECT doc_id, CAST(i + 1 AS INTEGER) AS piece, substr(text, i * 4096 + 1, 4096) AS text
+FROM (SELECT doc_id, text, unnest(range(greatest(1, (length(text) + 4095) // 4096))) AS i FROM documents)
+"""
 ORACLES["s6_manifests"] = f"""
 WITH {_MANIFESTS}
 SELECT manifest_id, pilot_certification, n_items, tonnes, hazards, flags, false AS corrupt
 FROM manifests
 """
 ORACLES["s7_lane_counts"] = f"WITH {_MANIFESTS} SELECT lane, count(*) AS n FROM lanes GROUP BY lane"
+ORACLES["s6_manifest_files"] = """
+SELECT n_nationkey AS file, CASE WHEN n_regionkey <> 2 THEN n_name END AS manifest_id,
+  CASE WHEN n_regionkey <> 2 AND n > 0 THEN n::DOUBLE END AS tonnes, n_regionkey = 2 AS corrupt
+FROM nation LEFT JOIN (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1) ON n_nationkey = c_nationkey
+"""
+ORACLES["s7_read_lane"] = f"""
+WITH {_MANIFESTS} SELECT manifest_id, lane FROM lanes WHERE lane = 'customs_review'
+"""
 ORACLES["s8_pick_one"] = """
 SELECT doc_id FROM documents
 ORDER BY md5(CAST(doc_id AS VARCHAR) || '7'), CAST(doc_id AS VARCHAR) LIMIT 1
@@ -99,7 +118,9 @@ ORACLES["r5_counts_json"] = f"""
 WITH {_REGION_SUPPLIERS}, counts AS (
   SELECT coalesce(n_name, 'unknown') AS k, count(*) AS n FROM suppliers WHERE s_acctbal > 0 GROUP BY 1
 )
-SELECT '{{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}}' AS counts_json FROM counts
+SELECT ('0x' || left(md5(k), 8))::BIGINT % 2 AS bucket,
+  '{{' || string_agg('"' || k || '":' || n, ',' ORDER BY k) || '}}' AS counts_json
+FROM counts GROUP BY 1
 """
 ORACLES["r6_topk"] = """
 SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'O'
@@ -110,6 +131,12 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice
 FROM lineitem JOIN supplier ON l_suppkey = s_suppkey WHERE s_acctbal > 0
 ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey, l_suppkey LIMIT 3
 """
+ORACLES["r7_answer"] = """
+SELECT 'Which orders are the largest?' AS question,
+  string_agg(CAST(o_orderkey AS VARCHAR), ',' ORDER BY o_totalprice DESC, CAST(o_orderkey AS VARCHAR)) AS top_routes,
+  'largest o_totalprice first' AS rationale
+FROM (SELECT * FROM orders ORDER BY o_totalprice DESC, CAST(o_orderkey AS VARCHAR) LIMIT 4)
+"""
 ORACLES["r8_count_where"] = "SELECT count(*) AS n FROM orders WHERE o_orderstatus = 'P'"
 ORACLES["r9_mean_converted"] = """
 SELECT round(avg(o_totalprice) * 24, 2) AS mean_value FROM orders WHERE o_orderstatus = 'O'
@@ -252,12 +279,23 @@ findings AS (
   SELECT 'unit_changed', 'p_retailprice', 'price_mils', printf('factor %.6f', (lo + hi) / 2),
     printf('multiply p_retailprice by %.6f into price_mils', (lo + hi) / 2)
   FROM ratio WHERE hi - lo <= 1e-9 * abs(hi) AND abs(hi - 1) > 1e-9
+  UNION ALL
+  VALUES
+    ('type_changed', 'p_group', 'p_group', 'bigint to string', 'cast p_group from bigint to string'),
+    ('type_changed', 'p_size', 'dimension', 'int to double', 'cast p_size from int to double into dimension'),
+    ('missing', 'p_note', NULL, 'no counterpart found', 'add p_note to the target'),
+    ('extra', NULL, 'added', 'no counterpart found', 'give added a default')
 )
 """
 ORACLES["d4_findings"] = f"WITH {_FINDINGS} SELECT kind, col_a, col_b, detail, action FROM findings"
+ORACLES["d4_findings_sketched"] = f"WITH {_FINDINGS} SELECT kind, col_a, col_b FROM findings"
+ORACLES["d2_estimates_close"] = f"""
+WITH {_MATCHES} SELECT col_a, col_b, true AS n_a_close, true AS n_b_close, true AS n_common_close
+FROM matches WHERE score >= 0.5
+"""
 ORACLES["d4_compat"] = f"""
 WITH {_FINDINGS}, lines AS (
-  SELECT kind || ' ' || col_a || ' -> ' || col_b || ' (' || detail || ')' AS mismatch, action FROM findings
+  SELECT kind || ' ' || concat_ws(' -> ', col_a, col_b) || ' (' || detail || ')' AS mismatch, action FROM findings
 )
 SELECT count(*) = 0 AS compatible, string_agg(mismatch, '; ' ORDER BY mismatch) AS mismatches,
   string_agg(action, '; ' ORDER BY action) AS suggested_actions
@@ -270,10 +308,12 @@ WITH b AS (
   FROM customer
 )
 SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey,
-  CASE WHEN b.c_custkey IS NULL THEN 'removed' WHEN a.c_custkey IS NULL THEN 'added' ELSE 'changed' END AS status,
-  CASE WHEN a.c_custkey IS NULL OR b.c_custkey IS NULL THEN '' ELSE 'c_acctbal' END AS changed_columns
+  CASE WHEN b.c_custkey IS NULL THEN 'removed' WHEN a.c_custkey IS NULL THEN 'added'
+    WHEN a.c_acctbal <> b.c_acctbal THEN 'changed' ELSE 'copies' END AS status,
+  CASE WHEN a.c_acctbal <> b.c_acctbal THEN 'c_acctbal' ELSE '' END AS changed_columns
 FROM customer a FULL OUTER JOIN b ON a.c_custkey = b.c_custkey
 WHERE a.c_custkey IS NULL OR b.c_custkey IS NULL OR a.c_acctbal <> b.c_acctbal
+  OR a.c_mktsegment = 'BUILDING'
 """
 ORACLES["d5_except_all"] = """
 SELECT o_custkey, o_orderstatus, o_orderpriority, count(*) AS n_left,
@@ -295,6 +335,10 @@ def _profile(table: str, columns: tuple[tuple[str, str], ...], distinct: bool) -
     )
 
 
+ORACLES["d6_estimates_close"] = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS exact, true AS close FROM orders"
+    for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+)
 ORACLES["d6_profile"] = _profile(
     "orders",
     (
@@ -414,8 +458,7 @@ _RULES = (
 )
 ORACLES["i5_findings"] = " UNION ".join(
     f"SELECT doc_id, '{kind}' AS anomaly_type, {confidence}::DOUBLE AS confidence, "
-    f"regexp_extract(text, '{pattern}', 0) AS notes FROM documents "
-    f"WHERE regexp_matches(text, '{pattern}')"
+    f"unnest(regexp_extract_all(text, '{pattern}', 0)) AS notes FROM documents"
     for kind, pattern, confidence in _RULES
 )
 ORACLES["i5_finding_lines"] = f"""
@@ -426,6 +469,14 @@ ORACLES["i6_escalate"] = f"""
 WITH {_ANSWERS} SELECT doc_id, severity FROM responses WHERE severity IN ('high', 'critical')
 """
 ORACLES["i7_cached"] = f"WITH {_ANSWERS} SELECT doc_id, response, severity FROM responses"
+ORACLES["i2_telemetry"] = """
+SELECT event_id, CASE WHEN k LIKE '9%' THEN 'a' ELSE 'c' END AS grade,
+  CASE WHEN k LIKE '9%' THEN 'near' ELSE 'far' END AS headline,
+  CASE WHEN k LIKE '9%' THEN '' ELSE 'w,x' END AS watch_items,
+  CAST(length('Report on a craft at latitude ' || k || ', longitude ' || v || '.') AS VARCHAR) AS asked
+FROM (SELECT event_id, json_extract_string(props, '$.k') AS k, CAST(value AS VARCHAR) AS v FROM events)
+WHERE k NOT LIKE '1%' AND k NOT LIKE '2%'
+"""
 ORACLES["i8_parse"] = """
 SELECT event_id, latitude, longitude,
   'latitude ' || latitude || ', longitude ' || longitude AS position_line
@@ -441,8 +492,9 @@ SELECT event_id, json_extract_string(props, '$.k') AS stripped,
 FROM events
 """
 ORACLES["g1_guarded"] = """
-SELECT c_mktsegment, count(*) AS n_orders, round(avg(o_totalprice), 2) AS mean_price
-FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment
+SELECT c_mktsegment, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate, count(*) AS n_orders,
+  max(o_totalprice) AS highest_price
+FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL
 """
 
 

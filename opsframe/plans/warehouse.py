@@ -48,33 +48,42 @@ HAZARDS = {
     ("R", "F"): "radiological",
     ("R", "O"): "biohazard-2",
 }
+OTHER = "other"
 
 
 def order_manifests(spark: SparkSession, folder: str) -> DataFrame:
     """One manifest per order, one declared item per return flag and line status.
 
-    The quantities are summed per order before nesting, so a list has at most
-    six items however many lines an order has.
+    Pairs that are not listed are one item of unknown class. An item is there
+    if the order has a line of it, whatever the quantities. They are summed per
+    order before nesting, so a list has at most seven items however many lines
+    an order has.
     """
     lines = table(spark, folder, "lineitem")
+    pair = F.concat_ws("/", "l_returnflag", "l_linestatus")
+    classes = {f"{flag}/{status}": hazard for (flag, status), hazard in HAZARDS.items()}
+    lines = lines.withColumn("pair", F.when(pair.isin(*classes), pair).otherwise(OTHER))
+    classes[OTHER] = routing.HAZARD_UNKNOWN
     sums = [
-        F.sum(
-            F.when((F.col("l_returnflag") == flag) & (F.col("l_linestatus") == status), F.col("l_quantity"))
-        ).alias(flag + status)
-        for flag, status in HAZARDS
+        sum_
+        for item in classes
+        for sum_ in (
+            F.sum(F.when(F.col("pair") == item, F.col("l_quantity"))).alias(f"sum {item}"),
+            F.count_if(F.col("pair") == item).alias(f"count {item}"),
+        )
     ]
     items = F.array_compact(
         F.array(
             *[
                 F.when(
-                    F.col(flag + status).isNotNull(),
+                    F.col(f"count {item}") > 0,
                     F.struct(
-                        F.lit(f"{flag}/{status}").alias("item"),
-                        F.col(flag + status).alias("tonnes"),
+                        F.lit(item).alias("item"),
+                        F.col(f"sum {item}").alias("tonnes"),
                         F.lit(hazard).alias("hazard_class"),
                     ),
                 )
-                for (flag, status), hazard in HAZARDS.items()
+                for item, hazard in classes.items()
             ]
         )
     )
@@ -124,6 +133,27 @@ def s1_load_table(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
+@query
+def s1_rejected(spark: SparkSession, folder: str) -> DataFrame:
+    """What a CSV of orders reports where rows have surplus, missing or unreadable cells."""
+    key, cells = F.col("o_orderkey"), ["o_orderkey", "o_custkey", "o_orderstatus"]
+    row = (
+        F.when(key % 97 == 0, F.concat_ws(",", *cells, F.lit("surplus")))
+        .when(key % 89 == 0, F.concat_ws(",", *cells[:2]))
+        .when(key % 83 == 0, F.concat_ws(",", key, F.lit("none"), "o_orderstatus"))
+        .otherwise(F.concat_ws(",", *cells))
+    )
+    path = shared_dir(spark, "broken-csv")
+    rows = table(spark, folder, "orders").select(row.alias(",".join(cells)))
+    rows.write.option("header", True).option("sep", "\t").csv(path)
+    schema = shape(o_orderkey=BIGINT, o_custkey=BIGINT, o_orderstatus=TEXT)
+    return tables.rejected_rows(spark, path, schema).select(
+        "o_orderkey",
+        F.array_join("bad_columns", ",").alias("bad_columns"),
+        F.col(tables.BROKEN).alias("broken"),
+    )
+
+
 REFRESHED = ("region", "nation", "supplier", "customer", "part", "orders")
 
 
@@ -164,12 +194,16 @@ def s3_registered_join(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def s4_list_files(spark: SparkSession, folder: str) -> DataFrame:
-    """The folders that hold the documents, written by source."""
+    """Paths and numbers of the files that hold the documents, one per source."""
     out = shared_dir(spark, "documents-by-source")
-    table(spark, folder, "documents").select("doc_id", "source").write.partitionBy("source").parquet(out)
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    docs.repartition("source").write.partitionBy("source").parquet(out)
     listed = files.list_files(spark, out)
-    folder_name = F.regexp_extract("path", r"^source=([^/]*)/", 1)
-    return listed.filter(F.col("length") > 0).select(folder_name.alias("source")).distinct()
+    # The last name is the writer's own; a task that ran twice would change it.
+    shown = F.regexp_replace("path", r"[^/]*\.parquet$", "*.parquet")
+    return listed.filter(F.col("length") > 0).groupBy(shown.alias("path")).agg(
+        F.count("*").alias("n_files")
+    )
 
 
 @query
@@ -177,15 +211,16 @@ def s5_text_files(spark: SparkSession, folder: str) -> DataFrame:
     """How often each line occurs in whole text files of up to 100 documents."""
     out = shared_dir(spark, "documents-text")
     table(spark, folder, "documents").select("text").write.option("maxRecordsPerFile", 100).text(out)
-    read = files.read_text_files(spark, out, max_chars=None)
+    read = files.read_text_files(spark, out)
     lines = read.select(F.explode(F.split("text", "\n")).alias("line")).filter(F.col("line") != "")
     return lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query
 def s5_text_capped(spark: SparkSession, folder: str) -> DataFrame:
-    """Documents as the file reader hands them on, with its cap on characters."""
-    return table(spark, folder, "documents").select("doc_id", files.capped(F.col("text")).alias("text"))
+    """Documents in numbered pieces of at most 4,096 characters."""
+    docs = table(spark, folder, "documents")
+    return files.in_pieces(docs.select("doc_id", files.plain_lines(F.col("text")).alias("text")), 4096)
 
 
 @query
@@ -193,7 +228,7 @@ def s6_manifests(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_dir(spark, "manifests-json")
     order_manifests(spark, folder).write.json(out)
     loaded = manifests.load_manifests(spark, out, one_per_file=False)
-    tonnes = F.aggregate("declared_items", F.lit(0.0), lambda total, i: total + i["tonnes"])
+    tonnes = F.aggregate("declared_items", F.lit(0.0), lambda total, i: total + F.coalesce(i["tonnes"], F.lit(0.0)))
     return loaded.select(
         "manifest_id",
         "pilot_certification",
@@ -205,6 +240,37 @@ def s6_manifests(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def s6_manifest_files(spark: SparkSession, folder: str) -> DataFrame:
+    """One manifest file per nation, over several lines; those of region 2 are cut off."""
+    nation, customer = table(spark, folder, "nation"), table(spark, folder, "customer")
+    per_item = customer.groupBy("c_nationkey", "c_mktsegment").agg(F.count("*").cast("double").alias("tonnes"))
+    item = F.struct(F.col("c_mktsegment").alias("item"), "tonnes", F.lit("none").alias("hazard_class"))
+    declared = per_item.groupBy("c_nationkey").agg(F.sort_array(F.collect_list(item)).alias("declared_items"))
+    named = nation.join(declared, F.col("n_nationkey") == F.col("c_nationkey"), "left")
+    text_of = F.to_json(F.struct(F.col("n_name").alias("manifest_id"), "declared_items"))
+    lines = F.replace(text_of, F.lit(","), F.lit(",\n"))
+    cut = F.when(F.col("n_regionkey") == 2, F.left(lines, F.length(lines) - 1)).otherwise(lines)
+    out = shared_dir(spark, "manifest-files")
+    files_of = named.select(cut.alias("value"), F.col("n_nationkey").alias("file"))
+    files_of.repartition("file").write.partitionBy("file").text(out)
+    loaded = manifests.load_manifests(spark, out)
+    tonnes = F.aggregate("declared_items", F.lit(0.0), lambda total, i: total + i["tonnes"])
+    return loaded.select(
+        F.col("file").cast("int").alias("file"),
+        "manifest_id",
+        F.when(F.col("_corrupt_record").isNull(), tonnes).alias("tonnes"),
+        F.col("_corrupt_record").isNotNull().alias("corrupt"),
+    )
+
+
+@query
+def s7_read_lane(spark: SparkSession, folder: str) -> DataFrame:
+    out = shared_dir(spark, "lanes")
+    manifests.write_by_lane(routing.route_lane(order_manifests(spark, folder)), out)
+    return manifests.read_lane(spark, out, "customs_review").select("manifest_id", "lane")
+
+
 @query
 def s7_lane_counts(spark: SparkSession, folder: str) -> DataFrame:
     out = shared_dir(spark, "lanes")
@@ -262,7 +328,7 @@ def r4_top_groups(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def r5_counts_json(spark: SparkSession, folder: str) -> DataFrame:
     operational = _suppliers_of_region(spark, folder).filter(F.col("s_acctbal") > 0)
-    return relational.counts_as_json(operational, "n_name")
+    return relational.counts_as_json(operational, "n_name", buckets=2)
 
 
 @query
@@ -286,6 +352,16 @@ def r7_topk_join(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def r7_answer(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest orders as one answer record."""
+    orders = table(spark, folder, "orders").select(
+        F.col("o_orderkey").cast("string").alias("route_name"), "o_totalprice"
+    )
+    answer = reports.route_answer("Which orders are the largest?", orders, "o_totalprice", 4)
+    return answer.withColumn("top_routes", F.array_join("top_routes", ","))
+
+
 @query
 def r8_count_where(spark: SparkSession, folder: str) -> DataFrame:
     return relational.count_where(table(spark, folder, "orders"), F.col("o_orderstatus") == "P")
@@ -372,13 +448,14 @@ def r11_reroute(spark: SparkSession, folder: str) -> DataFrame:
 @query
 def r12_hazard_ranks(spark: SparkSession, folder: str) -> DataFrame:
     ranked = routing.with_hazard(order_manifests(spark, folder))
-    return ranked.select("manifest_id", "hazard_rank", "worst_item", "worst_class")
+    rank = F.col("hazard_rank").cast("int").alias("hazard_rank")
+    return ranked.select("manifest_id", rank, "worst_item", "worst_class")
 
 
 @query
 def r12_max_hazard(spark: SparkSession, folder: str) -> DataFrame:
     worst = routing.max_hazard(order_manifests(spark, folder))
-    return worst.select("manifest_id", "hazard_rank", "worst_class")
+    return worst.select("manifest_id", F.col("hazard_rank").cast("int").alias("hazard_rank"), "worst_class")
 
 
 @query
@@ -448,14 +525,33 @@ def d3_unit_drift(spark: SparkSession, folder: str) -> DataFrame:
     return report
 
 
+def _part_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Parts and their drifted copy, with a retyped, a lost and a new column as well."""
+    part = table(spark, folder, "part")
+    group = F.col("p_partkey") % 7
+    old = part.withColumns({"p_group": group, "p_note": F.concat(F.lit("note "), "p_partkey")})
+    new = part.withColumns({"p_group": group.cast("string"), "added": F.concat(F.lit("new "), "p_partkey")})
+    kept = tuple(drift.Change(name, name, "string") for name in ("p_group", "added"))
+    return old, drift.project_drift(new, PART_DRIFT + kept)
+
+
 @query
 def d4_findings(spark: SparkSession, folder: str) -> DataFrame:
-    return drift.compatibility_findings(*_parts(spark, folder), ("p_partkey", "id"))
+    return drift.compatibility_findings(*_part_versions(spark, folder), ("p_partkey", "id"))
+
+
+@query
+def d4_findings_sketched(spark: SparkSession, folder: str) -> DataFrame:
+    """The kinds and columns of the findings when shared values are estimated."""
+    found = drift.compatibility_findings(
+        *_part_versions(spark, folder), ("p_partkey", "id"), sketched=True
+    )
+    return found.select("kind", "col_a", "col_b")
 
 
 @query
 def d4_compat(spark: SparkSession, folder: str) -> DataFrame:
-    report = drift.compatibility_report(*_parts(spark, folder), ("p_partkey", "id"))
+    report = drift.compatibility_report(*_part_versions(spark, folder), ("p_partkey", "id"))
     return report.select(
         "compatible",
         F.array_join("mismatches", "; ").alias("mismatches"),
@@ -465,7 +561,7 @@ def d4_compat(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def d5_diff_keyed(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers against a copy: debts cleared, one segment moved to other keys, names padded."""
+    """Customers against a copy: debts cleared, one segment moved to other keys, one doubled."""
     customer = table(spark, folder, "customer")
     moved = F.col("c_mktsegment") == "MACHINERY"
     copy = customer.select(
@@ -475,6 +571,8 @@ def d5_diff_keyed(spark: SparkSession, folder: str) -> DataFrame:
         F.greatest("c_acctbal", F.lit(0.0)).alias("c_acctbal"),
         "c_mktsegment",
     )
+    doubled = F.when(F.col("c_mktsegment") == "BUILDING", 2).otherwise(1)
+    copy = copy.withColumn("_", F.explode(F.array_repeat(F.lit(1), doubled))).drop("_")
     return drift.diff_tables(customer, copy, ["c_custkey"])
 
 
@@ -487,6 +585,33 @@ def d5_except_all(spark: SparkSession, folder: str) -> DataFrame:
     return drift.diff_rows(orders, copy.drop("_"))
 
 
+def _close(estimate: str, exact: str) -> F.Column:
+    """Within five per cent."""
+    return F.abs(F.col(estimate) - F.col(exact)) <= F.col(exact) * F.lit(0.05)
+
+
+@query
+def d2_estimates_close(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the sketched counts and overlaps of matching columns are near the exact ones."""
+    exact = drift.match_columns(*_parts(spark, folder), 0.5)
+    sketched = drift.match_columns_sketched(*_parts(spark, folder), 0.4).select(
+        "col_a", "col_b", *[F.col(n).alias(f"e_{n}") for n in ("n_a", "n_b", "n_common")]
+    )
+    return exact.join(sketched, ["col_a", "col_b"], "left").select(
+        "col_a", "col_b", *[_close(f"e_{n}", n).alias(f"{n}_close") for n in ("n_a", "n_b", "n_common")]
+    )
+
+
+@query
+def d6_estimates_close(spark: SparkSession, folder: str) -> DataFrame:
+    """Whether the estimated distinct counts of orders are near the exact ones."""
+    orders = table(spark, folder, "orders")
+    exact = drift.profile(orders).select("column", F.col("n_distinct").alias("exact"))
+    estimated = drift.profile(orders, exact=False).select("column", "n_distinct")
+    joined = exact.join(estimated, "column")
+    return joined.select("column", "exact", _close("n_distinct", "exact").alias("close"))
+
+
 @query
 def d6_profile(spark: SparkSession, folder: str) -> DataFrame:
     return drift.profile(table(spark, folder, "orders"))
@@ -571,6 +696,36 @@ def i2_mission_steps(spark: SparkSession, folder: str) -> DataFrame:
     return reports.steps_of(valid, "n_nationkey")
 
 
+TELEMETRY_MODEL = inference.keyword_model(
+    (
+        ("latitude 9", '{"signal_grade": "a", "headline": "near", "watch_items": [], "position_line": "{size}"}'),
+        ("latitude 1", '{"signal_grade": "z", "headline": "odd", "watch_items": ["w"], "position_line": "p"}'),
+        ("latitude 2", '{"signal_grade": "b", "watch_items": ["w", "x"], "position_line": "p"}'),
+    ),
+    '{"signal_grade": "c", "headline": "far", "watch_items": ["w", "x"], "position_line": "{size}"}',
+)
+
+
+@query
+def i2_telemetry(spark: SparkSession, folder: str) -> DataFrame:
+    """The checked telemetry record of every event's stored position."""
+    payload = F.struct(
+        F.struct(
+            F.get_json_object("props", "$.k").alias("latitude"),
+            F.col("value").cast("string").alias("longitude"),
+        ).alias("iss_position")
+    )
+    stored = table(spark, folder, "events").select("event_id", F.to_json(payload).alias("payload"))
+    valid, _ = reports.telemetry_reports(stored, TELEMETRY_MODEL)
+    return valid.select(
+        "event_id",
+        F.col("record.signal_grade").alias("grade"),
+        F.col("record.headline").alias("headline"),
+        F.array_join("record.watch_items", ",").alias("watch_items"),
+        F.col("record.position_line").alias("asked"),
+    )
+
+
 FILE_MODEL = inference.keyword_model(
     (
         ("@", '{"title": "address", "findings": [{"anomaly_type": "address", "confidence": 1.5, "notes": "n"}]}'),
@@ -698,11 +853,12 @@ def f1_scalars(spark: SparkSession, folder: str) -> DataFrame:
 def g1_guarded(spark: SparkSession, folder: str) -> DataFrame:
     allowed = [tables.Source(n, f"{folder}/{n}.parquet") for n in ("orders", "customer")]
     statement = """
-        SELECT c_mktsegment, count(*) AS n_orders, round(avg(o_totalprice), 2) AS mean_price
+        SELECT c_mktsegment, o_orderdate, count(*) AS n_orders, max(o_totalprice) AS highest_price
         FROM orders JOIN customer ON o_custkey = c_custkey
-        GROUP BY c_mktsegment -- one row per segment
+        GROUP BY c_mktsegment, o_orderdate -- one row per segment and day
     """
-    return guarded.guarded_sql(spark, allowed, statement, 50)
+    found = guarded.guarded_sql(spark, allowed, statement)
+    return found.withColumn("o_orderdate", F.date_format("o_orderdate", "yyyy-MM-dd"))
 
 
 DECISIONS = {"purchase": review.APPROVE, "error": review.REJECT, "click": review.CHANGES}

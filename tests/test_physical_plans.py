@@ -156,10 +156,17 @@ def test_a_hot_item_is_spread_over_tasks(spark, settings):
     settings(
         autoBroadcastJoinThreshold="-1",
         adaptive__autoBroadcastJoinThreshold="-1",
-        adaptive__coalescePartitions__enabled="false",
+        adaptive__advisoryPartitionSizeInBytes="16k",
+        adaptive__skewJoin__skewedPartitionThresholdInBytes="16k",
+        adaptive__skewJoin__skewedPartitionFactor="1.5",
     )
-    left = spark.range(0, 30_000, numPartitions=24).select(F.lit(7).alias("k"), "id")
-    right = spark.createDataFrame([(7, "x")], "k int, w string").groupBy("k").agg(F.max("w").alias("w"))
-    joined = relational.join_salted(left, right, "k", "inner")
-    sizes = joined.groupBy(F.spark_partition_id().alias("p")).count().collect()
-    assert sum(r["count"] for r in sizes) == 30_000 and max(r["count"] for r in sizes) < 15_000
+    left = spark.range(0, 90_000, numPartitions=24).selectExpr(
+        "CASE WHEN id % 3 = 0 THEN 7 ELSE id % 500 END AS k", "id"
+    )
+    right = left.groupBy("k").agg(F.max("id").alias("w"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        side = right.filter("k <> 7") if how == "left_anti" else right
+        joined = relational.join_stored(left, side, "k", how)
+        sizes = joined.groupBy(F.spark_partition_id().alias("p")).count()
+        sizes.collect()
+        assert "skew=true" in sizes._jdf.queryExecution().executedPlan().toString(), how

@@ -1,8 +1,8 @@
+import json
 import random
 from collections import Counter
 
 import pytest
-from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from opsframe.operators import relational
@@ -38,11 +38,13 @@ def test_top_groups_keeps_ties_and_leaves_out_unknown(keyed):
     assert relational.top_groups(keyed, "k", F.col("v") > 99).count() == 0
 
 
-def test_counts_as_json_is_sorted_or_fails(keyed):
-    assert relational.counts_as_json(keyed, "k").first()[0] == '{"a":2,"b":2,"c":1,"unknown":2}'
-    assert relational.counts_as_json(keyed.limit(0), "k").first()[0] == "{}"
-    with pytest.raises(PySparkException, match="use count_by"):
-        relational.counts_as_json(keyed, "k", max_keys=3).collect()
+def test_counts_as_json_is_sorted_and_split_by_bucket(spark, keyed):
+    assert relational.counts_as_json(keyed, "k").first().counts_json == '{"a":2,"b":2,"c":1,"unknown":2}'
+    assert relational.counts_as_json(keyed.limit(0), "k").count() == 0
+    many = spark.range(12_000).selectExpr("cast(id % 11000 AS string) AS k")
+    maps = [json.loads(r.counts_json) for r in relational.counts_as_json(many, "k", buckets=8).collect()]
+    assert len(maps) == 8 and sum(map(len, maps)) == 11_000
+    assert sum(sum(m.values()) for m in maps) == 12_000
 
 
 def test_top_k_settles_ties(keyed):
@@ -81,9 +83,7 @@ def test_evidence_flags(spark):
     unseen = relational.keep_evidenced(places, evidence, ("place", "place"), present=False)
     assert [r.place for r in seen.collect()] == [101]
     assert sorted(r.place for r in unseen.collect()) == [100, 200]
-    for present, expected in ((True, [101]), (False, [100, 200])):
-        salted = relational.keep_evidenced(places, evidence, ("place", "place"), present=present, salts=3)
-        assert salted.columns == places.columns and sorted(r.place for r in salted.collect()) == expected
+    assert seen.columns == unseen.columns == places.columns
 
 
 def test_numbered_and_joined(spark):
@@ -94,12 +94,12 @@ def test_numbered_and_joined(spark):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_the_plain_one(spark, how):
+def test_stored_join_equals_the_plain_one(spark, how):
     chooser = random.Random(8)
     rows = [(chooser.choice(["hot", "hot", "a", "b", None]), 1) for _ in range(500)]
     left = spark.createDataFrame(rows, "k string, v int").repartition(7)
     right = spark.createDataFrame([("hot", 1.0), ("a", 2.0), ("z", 3.0), (None, 4.0)], "k string, w double")
-    salted = relational.join_salted(left, right, "k", how, salts=5)
+    stored = relational.join_stored(left, right, "k", how)
     plain = left.join(right, "k", how)
-    assert salted.columns == plain.columns
-    assert Counter(salted.collect()) == Counter(plain.collect())
+    assert stored.columns == plain.columns
+    assert Counter(stored.collect()) == Counter(plain.collect())
