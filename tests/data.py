@@ -1,4 +1,8 @@
-"""Small made-up logistics tables, written as CSV by the tests."""
+"""Small made-up logistics tables, written as CSV by the tests.
+
+Fixed values: table and column names, manifest fields, and the words that rules
+read (flags, licence classes, statuses, hazard classes). All rows are invented.
+"""
 
 PLANETS = """planet_id,planet_name,planet_type,distance_from_sun_au,orbital_period_days,is_habitable,has_orbital_station,has_surface_hub
 1,Aurel,rocky,0.50,120,false,true,false

@@ -95,6 +95,12 @@ def test_reroute(spark, read):
         (1, 2, 3, 15.0),
         (1, 2, 4, 180.0),
     ]
+    assert {r.spacecraft_id for r in got.collect()} == {4}
+    twin = read("spacecraft").unionAll(
+        read("spacecraft").filter("spacecraft_id = 4").withColumn("spacecraft_id", F.lit(44).cast("long"))
+    )
+    both = logistics.reroute_in_transit(twin, read("shipping_routes"), closed)
+    assert sorted((r.spacecraft_id, r.via) for r in both.collect()) == [(4, 3), (4, 4), (44, 3), (44, 4)]
     couriers = logistics.reroute_in_transit(read("spacecraft"), read("shipping_routes"), closed, craft_type="courier")
     assert couriers.count() == 0
 

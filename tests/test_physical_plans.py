@@ -170,3 +170,24 @@ def test_a_hot_item_is_spread_over_tasks(spark, settings):
         sizes = joined.groupBy(F.spark_partition_id().alias("p")).count()
         sizes.collect()
         assert "skew=true" in sizes._jdf.queryExecution().executedPlan().toString(), how
+
+
+def test_profile_sorts_no_fixed_width_column(spark):
+    lines = warehouse.table(spark, "/root/testdata/sf0.001", "lineitem")
+    for exact in (True, False):
+        plan = drift.profile(lines, exact=exact)._jdf.queryExecution().executedPlan().toString()
+        sorting = [line for line in plan.splitlines() if "SortAggregate" in line]
+        fixed_width = ("l_orderkey", "l_quantity", "l_shipdate", "l_tax", "n_rows", "hll")
+        assert not any(name in line for line in sorting for name in fixed_width)
+
+
+def test_sketched_findings_shuffle_no_value(spark):
+    part, drifted = warehouse._part_versions(spark, "/root/testdata/sf0.001")
+    plan = drift.match_columns_sketched(part, drifted)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(value" not in plan and "hashpartitioning(_branch" in plan
+
+
+def test_reroute_scans_its_tables_once_per_use(spark):
+    found = warehouse.r11_reroute(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 12
