@@ -49,6 +49,37 @@ def op2_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ORACLES["op2_decontaminate"] = r"""
+WITH documents_words AS (
+    SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents),
+benchmark_words AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark),
+windows AS (
+    SELECT DISTINCT coalesce(CAST(item_id AS VARCHAR), '') AS item, len(list_slice(w, i, i + 9)) AS n,
+           array_to_string(list_slice(w, i, i + 9), ' ') AS phrase
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM benchmark_words WHERE len(w) > 0)),
+runs AS (
+    SELECT doc_id, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS phrase
+    FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+          FROM documents_words, (SELECT DISTINCT n FROM windows))),
+hits AS (SELECT doc_id, n, i, item FROM runs JOIN windows USING (n, phrase)),
+covered AS (
+    SELECT doc_id, count(DISTINCT k) AS n_hit
+    FROM (SELECT doc_id, unnest(range(i, i + n)) AS k FROM hits) GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names
+    FROM (SELECT DISTINCT doc_id, item FROM hits) GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       n_hit IS NOT NULL AS contaminated
+FROM documents_words LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+
 @query
 def op3_secrets(spark: SparkSession, folder: str) -> DataFrame:
     found = secrets.scanned(table(spark, folder, "documents").select("doc_id", "text"))
