@@ -30,12 +30,14 @@ CUT = 0.3
 POSITIVES = 8_000
 UNLABELLED = 16_000
 #: Features counted over all documents, and features fitted, at most.
-CANDIDATES = 50_000
+CANDIDATES = 20_000
 FEATURES = 4_096
 PREFIXES = (4, 5, 6)
 #: A feature is used if its count among toxic texts is less likely by chance (a logarithm).
 CHANCE = -15.0
 ROUNDS = 400
+#: Features that a task counts before it passes the counts on.
+COUNTED_AT_ONCE = 200_000
 SEED = 8
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -71,9 +73,9 @@ def _counts(known: set[str] | None):
                 some = features_of(raw.as_py())
                 for feature in some if known is None else some & known:
                     counts[feature] = counts.get(feature, 0) + 1
-            if len(counts) > 1_000_000:
-                yield out()
-                counts = {}
+                if len(counts) > COUNTED_AT_ONCE:
+                    yield out()
+                    counts = {}
         yield out()
 
     return of
@@ -183,10 +185,10 @@ def class_prior(confirmed: list[list[int]], unlabelled: list[list[int]], known:
 def _chosen(positive: DataFrame, texts: DataFrame, n_positive: int, prior: float) -> list[str]:
     """Features that point to toxic texts, by counts over all of them."""
     many = _counted(positive, None).where(F.col("n") >= 3).orderBy(F.desc("n"), "feature")
-    mine = {r["feature"]: r["n"] for r in many.limit(CANDIDATES).toLocalIterator()}
+    mine = {r["feature"]: r["n"] for r in many.limit(CANDIDATES).collect()}
     if not mine:
         return []
-    every = {r["feature"]: r["n"] for r in _counted(texts, set(mine)).toLocalIterator()}
+    every = {r["feature"]: r["n"] for r in _counted(texts, set(mine)).collect()}
     total = texts.count()
     found, seen = [], set()
     # The longest of a word's beginnings that have the same counts stands for them all.
@@ -214,7 +216,15 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed
     if not n_toxic:
         return Classifier({}, -5.0)
     prior = min(max(n_toxic / n_known, 1e-4), 0.9)
-    toxic = docs.join(known.where("toxic = 1"), F.col(id_col) == F.col("__id"), "left_semi")
+    # At most POSITIVES ids, so they are small enough to send to every task.
+    ids = (
+        known.where("toxic = 1")
+        .withColumn("__h", F.xxhash64(F.lit(seed), "__id"))
+        .orderBy("__h", "__id")
+        .limit(POSITIVES)
+        .select("__id")
+    )
+    toxic = docs.join(F.broadcast(ids), F.col(id_col) == F.col("__id"), "left_semi")
     # Copies of one text confirm it once.
     positive = written(
         toxic.groupBy(fingerprint(F.col(text_col)).alias("fp")).agg(F.min(text_col).alias("text")),
@@ -228,7 +238,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed
 
     def sample(rows: DataFrame, most: int) -> list[list[int]]:
         hashed = rows.select(F.xxhash64(F.lit(seed), "text").alias("h"), _rows(numbers)("text").alias("x"))
-        return [r["x"] for r in hashed.orderBy("h", "x").limit(most).toLocalIterator()]
+        return [r["x"] for r in hashed.orderBy("h", "x").limit(most).collect()]
 
     confirmed, unlabelled = sample(positive, POSITIVES), sample(texts, UNLABELLED)
     risk = Risk(confirmed, unlabelled, class_prior(confirmed, unlabelled, prior), len(chosen))
