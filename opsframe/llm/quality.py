@@ -1,13 +1,15 @@
-"""Quality rules on text statistics, and an isolation forest for what the rules miss.
+"""Quality rules on text statistics, and isolation forests for what the rules miss.
 
-Statistics are counted once per document and stored. The forest is grown on a
-bounded sample of them; every document is scored, and the score above which
-documents go is read off the scores of all labelled rows.
+Statistics are counted once per document and stored. A forest for each statistic
+and one for all of them together are grown on a bounded sample; every document
+is scored by each, and the scores from which documents go are read off the
+scores of all labelled rows.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -16,12 +18,14 @@ from pyspark.sql import functions as F
 
 from opsframe.sources.scratch import written
 
-TREES = 100
+TREES = 40
 SUBSAMPLE = 256
 #: Rows of statistics that the forest is grown on, at most.
 SAMPLE_ROWS = 20_000
-#: Share of labelled good documents that the method may drop, at most.
-LOSS = 0.002
+#: Share of labelled good documents that one forest may drop, at most.
+LOSS = 0.001
+#: Share of bad ones among the labelled documents that it drops, at least.
+PRECISION = 0.9
 BINS = 1_000
 SEED = 20_11
 MIN_WORDS = 50
@@ -165,7 +169,16 @@ def base_failed(counts: Column) -> Column:
     )
 
 
-def _grown(stats: DataFrame, seed: int) -> IsolationForest | None:
+Forests = list[tuple[list[int], IsolationForest]]
+
+
+def forests_of(rows: np.ndarray, seed: int = SEED) -> Forests:
+    """One forest for each column and one for all of them."""
+    columns = [[i] for i in range(rows.shape[1])] + [list(range(rows.shape[1]))]
+    return [(some, IsolationForest(rows[:, some], seed=seed + i)) for i, some in enumerate(columns)]
+
+
+def _grown(stats: DataFrame, seed: int) -> Forests:
     passing = stats.where(~base_failed(F.col("__counts")))
     sample = (
         passing.select("__counts.*")
@@ -175,30 +188,34 @@ def _grown(stats: DataFrame, seed: int) -> IsolationForest | None:
         .toPandas()
     )
     if sample.empty:
-        return None
-    return IsolationForest(features({name: sample[name].to_numpy() for name in COUNTS}), seed=seed)
+        return []
+    return forests_of(features({name: sample[name].to_numpy() for name in COUNTS}), seed)
 
 
-def _scored(counts: Column, forest: IsolationForest | None) -> Column:
-    if forest is None:
-        return F.lit(0.0)
+def _scored(counts: Column, forests: Forests) -> Column:
+    if not forests:
+        return F.array().cast("array<double>")
 
-    @F.arrow_udf("double")
+    @F.arrow_udf("array<double>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             columns = {name: batch.field(i).to_numpy(zero_copy_only=False) for i, name in enumerate(COUNTS)}
-            yield pa.array(forest.scores(features(columns)), pa.float64())
+            rows = features(columns)
+            scores = np.column_stack([forest.scores(rows[:, some]) for some, forest in forests])
+            yield pa.array(scores.tolist(), pa.list_(pa.float64()))
 
     return of(counts)
 
 
-def threshold(scored: DataFrame, labels: DataFrame, id_col: str, loss: float = LOSS) -> float:
-    """The score from which documents go, from all labelled rows that pass the rules.
+def thresholds(
+    scored: DataFrame, labels: DataFrame, id_col: str, n_forests: int, loss: float = LOSS
+) -> list[float]:
+    """Per forest the score from which documents go, from all labelled rows that pass the rules.
 
-    Of the bin bounds above which at most ``loss`` of the good rows lie, the one
-    with the largest share of bad rows less share of good rows above; infinity
-    if bad rows are missing or no bound helps. A document with several labels
-    counts by the best of them.
+    Of the bin bounds from which at most ``loss`` of the good rows lie, and at
+    least ``PRECISION`` of the rows are bad, the one with most bad rows;
+    infinity if there is none. A document with several labels counts by the
+    best of them.
     """
     known = (
         labels.where(F.col("quality").isin(0, 1))
@@ -208,17 +225,26 @@ def threshold(scored: DataFrame, labels: DataFrame, id_col: str, loss: float = L
     bins = (
         scored.where(~base_failed(F.col("__counts")))
         .join(known, F.col(id_col) == F.col("__id"))
-        .groupBy(F.floor(F.col("__score") * BINS).cast("int").alias("bin"))
+        .select("__good", F.posexplode("__scores").alias("forest", "score"))
+        .groupBy("forest", F.floor(F.col("score") * BINS).cast("int").alias("bin"))
         .agg(F.sum("__good").alias("good"), F.sum(1 - F.col("__good")).alias("bad"))
         .collect()
     )
-    good, bad = np.zeros(BINS + 2), np.zeros(BINS + 2)
+    good, bad = np.zeros((2, n_forests, BINS + 2))
     for row in bins:
-        good[row["bin"]], bad[row["bin"]] = row["good"], row["bad"]
-    above = [np.cumsum(x[::-1])[::-1] / max(x.sum(), 1) for x in (good, bad)]
-    gain = np.where(above[0] <= loss, above[1] - above[0], 0)
-    best = int(gain.argmax())
-    return best / BINS if gain[best] > 0 else float("inf")
+        good[row["forest"], row["bin"]] = row["good"]
+        bad[row["forest"], row["bin"]] = row["bad"]
+    limits = []
+    for mine in zip(good, bad, strict=True):
+        above_good, above_bad = (np.cumsum(x[::-1])[::-1] for x in mine)
+        able = (above_good <= loss * above_good[0]) & (
+            above_bad >= PRECISION * (above_good + above_bad)
+        )
+        gain = np.where(able, above_bad, 0)
+        # The highest bound that drops as many: nothing is known of scores below it.
+        best = len(gain) - 1 - int(gain[::-1].argmax())
+        limits.append(best / BINS if gain[best] > 0 else float("inf"))
+    return limits
 
 
 def judged(
@@ -229,9 +255,11 @@ def judged(
     loss: float = LOSS,
     seed: int = SEED,
 ) -> DataFrame:
-    """One row per document: id, the counts, ``anomaly`` (0 to 1), ``base_failed`` and ``kept``.
+    """One row per document: id, the counts, ``anomalies`` (0 to 1), ``base_failed`` and ``kept``.
 
-    ``kept`` is false if the rules fail or the anomaly reaches the threshold.
+    ``anomalies`` has a score for each statistic of ``features`` and, last, one
+    for all of them. ``kept`` is false if the rules fail or a score reaches its
+    threshold.
     Null and empty texts have no words and fail. Without documents that pass the
     rules, or without labels, the rules alone decide. Repeated rows are judged
     alike; a null id is never labelled.
@@ -239,13 +267,16 @@ def judged(
     stats = written(
         docs.select(F.col(id_col), statistics(F.col(text_col)).alias("__counts")), "statistics"
     )
-    scored = stats.withColumn("__score", _scored(F.col("__counts"), _grown(stats, seed)))
-    limit = threshold(scored, labels, id_col, loss)
+    forests = _grown(stats, seed)
+    scored = written(stats.withColumn("__scores", _scored(F.col("__counts"), forests)), "scores")
+    limits = thresholds(scored, labels, id_col, len(forests), loss)
     failed = base_failed(F.col("__counts"))
+    odd = [F.col("__scores")[i] >= limit for i, limit in enumerate(limits) if limit <= 1]
+    anomalous = reduce(lambda a, b: a | b, odd, F.lit(False))
     return scored.select(
         id_col,
         "__counts.*",
-        F.col("__score").alias("anomaly"),
+        F.col("__scores").alias("anomalies"),
         failed.alias("base_failed"),
-        (~failed & (F.col("__score") < limit)).alias("kept"),
+        (~failed & ~anomalous).alias("kept"),
     )
