@@ -10,17 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsframe.llm import decontaminate, mixing, sharding, simhash, toxicity
+from opsframe.llm.batches import bounded_batches
 from opsframe.sources.scratch import written
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier scores as toxic go; labels come from the labels table."""
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    labels = bounded_batches(spark).read.parquet(f"{sf_dir}/labels.parquet")
     return toxicity.without_toxic(docs, labels)
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-copies stays: four-word shingles, four bits."""
+    bounded_batches(spark)
     return simhash.first_of_each(docs)
 
 
@@ -29,12 +31,13 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Documents without any passage keep every column as it was.
     """
-    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    benchmark = bounded_batches(spark).read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.decontaminated(docs, benchmark, n_chars_col="n_chars")
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as its source's target weight takes it, 0 to 3 times."""
+    bounded_batches(spark)
     draws = mixing.drawn(mixing.mixed(docs))
     return mixing.shuffled_shards(draws).select(*docs.columns)
 

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsframe.llm import decontaminate, linededup, maintext, mixing, quality, secrets, sharding, simhash, toxicity, urls
+from opsframe.llm.batches import bounded_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -20,7 +21,7 @@ def query(function: Query) -> Query:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return bounded_batches(spark).read.parquet(f"{folder}/{name}.parquet")
 
 
 @query
