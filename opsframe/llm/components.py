@@ -62,7 +62,12 @@ def _forests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _minima(pairs: DataFrame) -> DataFrame:
-    return pairs.groupBy("u").agg(F.min("v").alias("m"))
+    """Stored, so that a join with it is of two plain tables and a node with very many
+    links can be split."""
+    return written(
+        pairs.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")),
+        "minima",
+    )
 
 
 def connected(links: DataFrame) -> DataFrame:
@@ -85,10 +90,9 @@ def connected(links: DataFrame) -> DataFrame:
         both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionByName(
             edges.select(F.col("b").alias("u"), F.col("a").alias("v"))
         )
-        low = _minima(both).select("u", F.least("u", "m").alias("m"))
         large = (
             both.where("v > u")
-            .join(low, "u")
+            .join(_minima(both), "u")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .where("u <> v")
             .distinct()
