@@ -126,21 +126,26 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
-def suffix_statistics(labelled: DataFrame) -> DataFrame:
-    """Per suffix the smoothed share of blocked URLs and its share of all labelled ones."""
-    per = labelled.groupBy("suffix").agg(F.sum("label").alias("bad"), F.count("*").alias("n"))
-    total = labelled.agg(F.sum("label").alias("all_bad"), F.count("*").alias("all_n"))
-    return per.join(F.broadcast(total)).select(
+def suffix_statistics(labelled: DataFrame) -> tuple[DataFrame, float]:
+    """Per suffix the smoothed share of blocked URLs and its share of all labelled ones; and the
+    share of blocked URLs among all of them, zero if there are none."""
+    per = written(
+        labelled.groupBy("suffix").agg(F.sum("label").alias("bad"), F.count("*").alias("n")),
+        "suffixes",
+    )
+    bad, n = per.agg(F.sum("bad"), F.sum("n")).first()
+    usual = bad / n if n else 0.0
+    statistics = per.select(
         F.col("suffix").alias("__suffix"),
-        ((F.col("bad") + 10 * F.col("all_bad") / F.col("all_n")) / (F.col("n") + 10)).alias("suffix_rate"),
-        (F.col("n") / F.col("all_n")).alias("suffix_share"),
-        (F.col("all_bad") / F.col("all_n")).alias("__usual"),
+        ((F.col("bad") + 10 * usual) / (F.col("n") + 10)).alias("suffix_rate"),
+        (F.col("n") / F.lit(float(n or 1))).alias("suffix_share"),
     )
+    return statistics, usual
 
 
 def _with_statistics(urls: DataFrame, statistics: DataFrame, usual: float) -> DataFrame:
     return (
-        urls.join(statistics.drop("__usual"), F.col("suffix") == F.col("__suffix"), "left")
+        urls.join(statistics, F.col("suffix") == F.col("__suffix"), "left")
         .drop("__suffix")
         .fillna({"suffix_rate": usual, "suffix_share": 0.0})
     )
@@ -182,9 +187,7 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "ur
     ).withColumn("__fit", rule_of(F.col("host"), F.col("path"), rules))
     blocked = (F.col("__fit.verdict") == "block").cast("double")
     labelled = urls.where("__fit is not null").withColumn("label", blocked).drop("__row")
-    statistics = written(suffix_statistics(labelled), "suffixes")
-    row = statistics.agg(F.max("__usual")).first()
-    usual = row[0] if row[0] is not None else 0.0
+    statistics, usual = suffix_statistics(labelled)
     all_urls = _with_statistics(urls, statistics, usual)
     if 0 < usual < 1:
         model = trained(_with_statistics(labelled, statistics, usual))
