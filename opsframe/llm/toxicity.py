@@ -20,7 +20,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsframe.llm.simhash import fingerprint
 from opsframe.sources.scratch import written
 
 FOLDS = 4
@@ -182,14 +181,26 @@ def class_prior(confirmed: list[list[int]], unlabelled: list[list[int]], known:
     return max(min(known, bound), 1e-4)
 
 
-def _chosen(positive: DataFrame, texts: DataFrame, n_positive: int, prior: float) -> list[str]:
-    """Features that point to toxic texts, by counts over all of them."""
+def _keyed(docs: DataFrame, text_col: str, seed: int) -> DataFrame:
+    """``docs`` with the text and its two hashes, which copies of it share."""
+    text = F.col(text_col)
+    return docs.withColumns(
+        {"__h": F.xxhash64(F.lit(seed), text), "__g": F.xxhash64(F.lit(seed + 1), text), "__text": text}
+    )
+
+
+def _distinct(keyed: DataFrame) -> DataFrame:
+    """Each text once, however many copies it has."""
+    return keyed.groupBy("__h", "__g").agg(F.min("__text").alias("text"))
+
+
+def _chosen(positive: DataFrame, texts: DataFrame, n_positive: int, total: int) -> list[str]:
+    """Features that point to toxic texts, by counts over the ``total`` distinct texts."""
     many = _counted(positive, None).where(F.col("n") >= 3).orderBy(F.desc("n"), "feature")
     mine = {r["feature"]: r["n"] for r in many.limit(CANDIDATES).collect()}
     if not mine:
         return []
     every = {r["feature"]: r["n"] for r in _counted(texts, set(mine)).collect()}
-    total = texts.count()
     found, seen = [], set()
     # The longest of a word's beginnings that have the same counts stands for them all.
     for feature, n in sorted(mine.items(), key=lambda x: (-len(x[0]), x[0])):
@@ -212,10 +223,9 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed
         .agg(F.max("toxic").alias("toxic"))
     )
     n_known, n_toxic = known.agg(F.count("*"), F.sum("toxic")).first()
-    texts = docs.select(F.col(text_col).alias("text"))
     if not n_toxic:
         return Classifier({}, -5.0)
-    prior = min(max(n_toxic / n_known, 1e-4), 0.9)
+    keyed = _keyed(docs, text_col, seed)
     # At most POSITIVES ids, so they are small enough to send to every task.
     ids = (
         known.where("toxic = 1")
@@ -224,14 +234,23 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed
         .limit(POSITIVES)
         .select("__id")
     )
-    toxic = docs.join(F.broadcast(ids), F.col(id_col) == F.col("__id"), "left_semi")
-    # Copies of one text confirm it once.
+    # Copies of one text confirm it once, and count once among all texts and labelled ones.
     positive = written(
-        toxic.groupBy(fingerprint(F.col(text_col)).alias("fp")).agg(F.min(text_col).alias("text")),
-        "confirmed",
+        _distinct(keyed.join(F.broadcast(ids), F.col(id_col) == F.col("__id"), "left_semi")), "confirmed"
     )
     n_positive = positive.count()
-    chosen = _chosen(positive.select("text"), texts, n_positive, prior) if n_positive else []
+    if n_positive:
+        per_text = (
+            keyed.select(F.col(id_col).alias("__id"), "__h", "__g")
+            .join(known, "__id")
+            .groupBy("__h", "__g")
+            .agg(F.max("toxic").alias("toxic"))
+        )
+        n_known, n_toxic = per_text.agg(F.count("*"), F.sum("toxic")).first()
+    prior = min(max(n_toxic / n_known, 1e-4), 0.9)
+    total = keyed.select("__h", "__g").distinct().count()
+    texts = _distinct(keyed).select("text")
+    chosen = _chosen(positive.select("text"), texts, n_positive, total) if n_positive else []
     if not chosen:
         return Classifier({}, float(np.log(prior / (1 - prior))))
     numbers = {feature: i for i, feature in enumerate(chosen)}
@@ -240,7 +259,7 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed
         hashed = rows.select(F.xxhash64(F.lit(seed), "text").alias("h"), _rows(numbers)("text").alias("x"))
         return [r["x"] for r in hashed.orderBy("h", "x").limit(most).collect()]
 
-    confirmed, unlabelled = sample(positive, POSITIVES), sample(texts, UNLABELLED)
+    confirmed, unlabelled = sample(positive, POSITIVES), sample(docs.select(F.col(text_col).alias("text")), UNLABELLED)
     risk = Risk(confirmed, unlabelled, class_prior(confirmed, unlabelled, prior), len(chosen))
     weights, bias = fitted(risk)
     return Classifier(dict(zip(chosen, weights.tolist(), strict=True)), bias)

@@ -39,6 +39,21 @@ def test_held_out_documents_are_told_apart(spark):
     assert all(r.doc_id % 8 for r in kept.collect())
 
 
+def with_hot_text(rng, hot):
+    """The documents with one text more that makes up a third of the rows."""
+    docs, labels = documents(rng)
+    return docs + rows([hot] * (len(docs) // 2), first=len(docs)), labels
+
+
+def test_copies_of_a_toxic_text_hide_none_of_its_words(spark):
+    docs, labels = with_hot_text(random.Random(4), " ".join([sentence(random.Random(5), 30), *BAD]))
+    model = toxicity.trained(
+        spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), "doc_id", "text"
+    )
+    # Of a word and its beginnings that have the same counts the longest is used.
+    assert all({w, w[:6] + "*"} & model.weights.keys() for w in BAD)
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark):
     docs, labels = documents(random.Random(2), 200)
     frame = spark.createDataFrame(docs, DOCS)
