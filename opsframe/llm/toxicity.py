@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from math import exp, lgamma, log, sqrt
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,7 @@ CUT = 0.3
 #: Rows the classifier is fitted on, at most: confirmed and unlabelled ones.
 POSITIVES = 8_000
 UNLABELLED = 16_000
-#: Features counted over all documents, and features fitted, at most.
-CANDIDATES = 20_000
+#: Features fitted, at most: those whose counts are least likely by chance.
 FEATURES = 4_096
 PREFIXES = (4, 5, 6)
 #: A feature is used if its count among toxic texts is less likely by chance (a logarithm).
@@ -37,6 +37,8 @@ CHANCE = -15.0
 ROUNDS = 400
 #: Features that a task counts before it passes the counts on.
 COUNTED_AT_ONCE = 200_000
+#: Remainders of feature hashes, by which counts over all texts are filtered before they are shuffled.
+BITS = 1 << 20
 SEED = 8
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -55,22 +57,25 @@ def in_fold(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % FOLDS != HELD_OUT
 
 
-def _counts(known: set[str] | None):
-    """Per task, how many of its texts have each feature (of the known ones)."""
+def _counts(wanted: bytes | None):
+    """Per task, how many of its texts have each feature, in parts.
+
+    Counts of features whose bit of ``wanted`` is not set are not passed on.
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, int] = {}
 
         def out() -> pa.RecordBatch:
+            some = [f for f in counts if wanted is None or wanted[crc32(f.encode()) % BITS]]
             return pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
+                [pa.array(some, pa.string()), pa.array([counts[f] for f in some], pa.int64())],
                 ["feature", "n"],
             )
 
         for batch in batches:
             for raw in batch.column(0).cast(pa.binary()):
-                some = features_of(raw.as_py())
-                for feature in some if known is None else some & known:
+                for feature in features_of(raw.as_py()):
                     counts[feature] = counts.get(feature, 0) + 1
                 if len(counts) > COUNTED_AT_ONCE:
                     yield out()
@@ -80,14 +85,32 @@ def _counts(known: set[str] | None):
     return of
 
 
-def _counted(texts: DataFrame, known: set[str] | None) -> DataFrame:
+def _counted(texts: DataFrame, wanted: bytes | None = None) -> DataFrame:
     return (
-        texts.mapInArrow(_counts(known), "feature string, n long")
+        texts.mapInArrow(_counts(wanted), "feature string, n long")
         .groupBy("feature")
         .agg(F.sum("n").alias("n"))
     )
 
 
+def _bits(features: DataFrame) -> bytes:
+    """One byte for each remainder of a feature's hash: whether any feature has it."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[features.select((F.crc32("feature") % BITS).alias("bit")).distinct().toPandas()["bit"].to_numpy(int)] = 1
+    return bits.tobytes()
+
+
+def _chance(n: Column, expected: Column) -> Column:
+    """Of that count by Poisson's law, as a logarithm."""
+
+    @F.arrow_udf("double")
+    def of(n: pa.Array, expected: pa.Array) -> pa.Array:
+        pairs = zip(n.to_pylist(), expected.to_pylist(), strict=True)
+        return pa.array([k * log(x) - x - lgamma(k + 1) for k, x in pairs], pa.float64())
+
+    return of(n, expected)
+
+
 def _rows(known: dict[str, int]):
     """Numbers of the known features that a text has."""
 
@@ -196,23 +219,17 @@ def _distinct(keyed: DataFrame) -> DataFrame:
 
 def _chosen(positive: DataFrame, texts: DataFrame, n_positive: int, total: int) -> list[str]:
     """Features that point to toxic texts, by counts over the ``total`` distinct texts."""
-    many = _counted(positive, None).where(F.col("n") >= 3).orderBy(F.desc("n"), "feature")
-    mine = {r["feature"]: r["n"] for r in many.limit(CANDIDATES).collect()}
-    if not mine:
-        return []
-    every = {r["feature"]: r["n"] for r in _counted(texts, set(mine)).collect()}
-    found, seen = [], set()
+    n, expected = F.col("n"), F.col("expected")
+    mine = written(_counted(positive).where(n >= 3), "features")
+    # The bits spare the shuffle of most other features; the join drops the rest of them.
+    every = _counted(texts, _bits(mine)).withColumnRenamed("n", "every")
+    both = mine.join(every, "feature")
+    more = both.withColumn("expected", F.col("every") * n_positive / total).where(n >= 3 * expected)
     # The longest of a word's beginnings that have the same counts stands for them all.
-    for feature, n in sorted(mine.items(), key=lambda x: (-len(x[0]), x[0])):
-        same = (feature[: min(PREFIXES)], n, every.get(feature))
-        if same in seen:
-            continue
-        seen.add(same)
-        expected = max(every.get(feature, n), n) * n_positive / total
-        chance = n * log(expected) - expected - lgamma(n + 1)  # Poisson, as a logarithm
-        if n >= 3 * expected and chance <= CHANCE:
-            found.append((chance, feature))
-    return [feature for _, feature in sorted(found)[:FEATURES]]
+    longest = F.min_by("feature", F.struct(-F.length("feature"), "feature")).alias("feature")
+    ones = more.groupBy(F.substring("feature", 1, min(PREFIXES)), n, "every", expected).agg(longest)
+    found = ones.withColumn("chance", _chance(n, expected)).where(F.col("chance") <= CHANCE)
+    return [r["feature"] for r in found.orderBy("chance", "feature").limit(FEATURES).collect()]
 
 
 def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed: int = SEED) -> Classifier:

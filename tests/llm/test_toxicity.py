@@ -54,6 +54,15 @@ def test_copies_of_a_toxic_text_hide_none_of_its_words(spark):
     assert all({w, w[:6] + "*"} & model.weights.keys() for w in BAD)
 
 
+def test_rare_toxic_words_are_tested_however_many_words_are_more_frequent(spark):
+    """Ten toxic texts have a word of their own; each of 21,000 ordinary words is in twelve."""
+    ordinary = " ".join(chr(0x4E00 + i // 200) + chr(0x4E00 + i % 200) for i in range(21_000))
+    toxic = [f"{ordinary} {i}x" for i in range(12)] + [f"vilest {i}y" for i in range(10)]
+    clean = [f"{ordinary} {i}z" for i in range(60)] + [f"{i}w" for i in range(300)]
+    mine, every = (spark.createDataFrame([(t,) for t in x], "text string") for x in (toxic, toxic + clean))
+    assert toxicity._chosen(mine, every, 22, 382) == ["vilest*"]
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark):
     docs, labels = documents(random.Random(2), 200)
     frame = spark.createDataFrame(docs, DOCS)
