@@ -178,11 +178,11 @@ def forests_of(rows: np.ndarray, seed: int = SEED) -> Forests:
     return [(some, IsolationForest(rows[:, some], seed=seed + i)) for i, some in enumerate(columns)]
 
 
-def _grown(stats: DataFrame, seed: int) -> Forests:
+def _grown(stats: DataFrame, id_col: str, seed: int) -> Forests:
     passing = stats.where(~base_failed(F.col("__counts")))
+    # The id tells documents of equal statistics apart, so that each is drawn by itself.
     sample = (
-        passing.select("__counts.*")
-        .withColumn("__order", F.xxhash64(F.lit(seed), *COUNTS))
+        passing.select(F.xxhash64(F.lit(seed), id_col, "__counts").alias("__order"), "__counts.*")
         .orderBy("__order", *COUNTS)
         .limit(SAMPLE_ROWS)
         .toPandas()
@@ -267,7 +267,7 @@ def judged(
     stats = written(
         docs.select(F.col(id_col), statistics(F.col(text_col)).alias("__counts")), "statistics"
     )
-    forests = _grown(stats, seed)
+    forests = _grown(stats, id_col, seed)
     scored = written(stats.withColumn("__scores", _scored(F.col("__counts"), forests)), "scores")
     limits = thresholds(scored, labels, id_col, len(forests), loss)
     failed = base_failed(F.col("__counts"))

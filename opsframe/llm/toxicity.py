@@ -193,14 +193,15 @@ class Classifier:
         return 1 / (1 + exp(-self.bias - sum(found) / sqrt(max(len(found), 1))))
 
 
-def class_prior(confirmed: list[list[int]], unlabelled: list[list[int]], known: float) -> float:
+def class_prior(confirmed: list[list[int]], share: float, known: float) -> float:
     """The share of toxic texts: that among labelled ones, or less if their features say so.
 
-    The share of texts with a feature is at least the class prior times its
-    share among toxic texts, which bounds the prior, however labels were chosen.
+    ``share`` is that of all texts with a feature. It is at least the class
+    prior times its share among toxic texts, which bounds the prior, however
+    labels were chosen.
     """
-    with_one = [sum(map(bool, rows)) / max(len(rows), 1) for rows in (confirmed, unlabelled)]
-    bound = with_one[1] / with_one[0] if with_one[0] else known
+    toxic = sum(map(bool, confirmed)) / max(len(confirmed), 1)
+    bound = share / toxic if toxic else known
     return max(min(known, bound), 1e-4)
 
 
@@ -272,12 +273,19 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed
         return Classifier({}, float(np.log(prior / (1 - prior))))
     numbers = {feature: i for i, feature in enumerate(chosen)}
 
-    def sample(rows: DataFrame, most: int) -> list[list[int]]:
-        hashed = rows.select(F.xxhash64(F.lit(seed), "text").alias("h"), _rows(numbers)("text").alias("x"))
-        return [r["x"] for r in hashed.orderBy("h", "x").limit(most).collect()]
-
-    confirmed, unlabelled = sample(positive, POSITIVES), sample(docs.select(F.col(text_col).alias("text")), UNLABELLED)
-    risk = Risk(confirmed, unlabelled, class_prior(confirmed, unlabelled, prior), len(chosen))
+    def found(rows: DataFrame) -> list[list[int]]:
+        some = rows.orderBy("__h", "__g").select(_rows(numbers)("text").alias("x"))
+        return [r["x"] for r in some.collect()]
+
+    # Hashes are uniform, so these are somewhat more than UNLABELLED texts, of which the first are
+    # taken. Of all copies of a text one is drawn, or none.
+    part = min(1.0, 1.1 * UNLABELLED / total)
+    near = keyed.where(F.col("__h") <= F.lit(-(2**63) + min(int(part * 2**64), 2**64 - 1)))
+    confirmed = found(positive)
+    unlabelled = found(_distinct(near).orderBy("__h", "__g").limit(UNLABELLED))
+    has = F.size(_rows(numbers)("__text")) > 0
+    share = keyed.select("__h", "__g", has.alias("has")).where("has").select("__h", "__g").distinct().count() / total
+    risk = Risk(confirmed, unlabelled, class_prior(confirmed, share, prior), len(chosen))
     weights, bias = fitted(risk)
     return Classifier(dict(zip(chosen, weights.tolist(), strict=True)), bias)
 

@@ -14,6 +14,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsframe.sources.scratch import written
 
@@ -152,10 +153,10 @@ def _with_statistics(urls: DataFrame, statistics: DataFrame, usual: float) -> Da
 
 
 def trained(labelled: DataFrame, seed: int = SEED) -> GBTClassificationModel:
-    """Trees on the bounded sample of labelled URLs that come first by a seeded hash."""
+    """Trees on the bounded sample of labelled rows that come first by a seeded hash of ``__key``."""
     sample = written(
-        labelled.withColumn("__h", F.xxhash64(F.lit(seed), "url"))
-        .orderBy("__h", "url")
+        labelled.withColumn("__h", F.xxhash64(F.lit(seed), "url", "__key"))
+        .orderBy("__h", "url", "__key")
         .limit(TRAIN_ROWS)
         .select("label", *FEATURES),
         "urls",
@@ -186,7 +187,12 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "ur
         )
     ).withColumn("__fit", rule_of(F.col("host"), F.col("path"), rules))
     blocked = (F.col("__fit.verdict") == "block").cast("double")
-    labelled = urls.where("__fit is not null").withColumn("label", blocked).drop("__row")
+    # Rows of one URL are drawn each by itself, told apart by their other plain columns.
+    plain = [c for c in kept if isinstance(pages.schema[c].dataType, T.AtomicType)]
+    key = F.xxhash64(F.lit(0), *(F.col("__row").getField(c) for c in plain))
+    labelled = (
+        urls.where("__fit is not null").withColumns({"label": blocked, "__key": key}).drop("__row")
+    )
     statistics, usual = suffix_statistics(labelled)
     all_urls = _with_statistics(urls, statistics, usual)
     if 0 < usual < 1:

@@ -85,6 +85,18 @@ def test_threshold_drops_odd_documents_and_keeps_good_ones(spark):
     assert kept <= set(range(300))
 
 
+def test_documents_of_equal_statistics_are_drawn_each_by_itself(spark, monkeypatch):
+    """A text of a third of the rows is about a third of the rows that forests grow on."""
+    rng = random.Random(3)
+    monkeypatch.setattr(quality, "SAMPLE_ROWS", 60)
+    seen = []
+    monkeypatch.setattr(quality, "forests_of", lambda some, seed: seen.append(some) or [])
+    docs = rows([sentence(rng, rng.randint(80, 200)) for _ in range(200)] + [sentence(rng, 300)] * 100)
+    quality.judged(spark.createDataFrame(docs, DOCS), spark.createDataFrame([], "doc_id long, quality int"))
+    hot = max((seen[0] == row).all(axis=1).sum() for row in seen[0])
+    assert len(seen[0]) == 60 and 8 <= hot <= 32
+
+
 def test_empty_table(spark):
     none = quality.judged(spark.createDataFrame([], DOCS), spark.createDataFrame([(1, 1)], "doc_id long, quality int"))
     assert none.count() == 0

@@ -2,8 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 
 from opsframe.llm import queries, toxicity
+from opsframe.llm.toxicity import Risk
 from tests.llm.cases import DOCS, awkward, rows, sentence
 
 LABELS = "doc_id long, toxic int"
@@ -54,6 +56,32 @@ def test_copies_of_a_toxic_text_hide_none_of_its_words(spark):
     assert all({w, w[:6] + "*"} & model.weights.keys() for w in BAD)
 
 
+@pytest.mark.parametrize("bad", [BAD, []])
+def test_a_hot_text_changes_no_verdict_on_others(spark, bad):
+    """Toxic or clean, of any hash: fits and the class prior see it once."""
+    for seed in (5, 6):
+        docs, labels = with_hot_text(random.Random(4), " ".join([sentence(random.Random(seed), 30), *bad]))
+        frame, known = spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS)
+        out = {r.doc_id: r.toxicity for r in toxicity.scored(frame, known).collect()}
+        hot = range(400, 600) if bad else ()
+        assert {i for i in out if out[i] >= toxicity.CUT} == {*range(0, 400, 8), *hot}
+
+
+def test_the_class_prior_counts_every_text(spark, monkeypatch):
+    """A clean text of a third of the rows that fills the sample leaves the share of texts as it is."""
+    monkeypatch.setattr(toxicity, "UNLABELLED", 60)
+    seen = []
+    monkeypatch.setattr(toxicity, "Risk", lambda p, u, prior, n: seen.append((len(u), u, prior)) or Risk(p, u, prior, n))
+    docs, labels = documents(random.Random(4))
+    keyed = toxicity._keyed(spark.createDataFrame(docs, DOCS), "text", toxicity.SEED)
+    first = keyed.where("doc_id % 8 > 0").orderBy("__h").first().text
+    docs += rows([first] * 200, first=400)
+    toxicity.trained(spark.createDataFrame(docs, DOCS), spark.createDataFrame(labels, LABELS), "doc_id", "text")
+    n, unlabelled, prior = seen[0]
+    assert n == 60 and any(unlabelled)
+    assert 0.05 < prior < 0.3
+
+
 def test_rare_toxic_words_are_tested_however_many_words_are_more_frequent(spark):
     """Ten toxic texts have a word of their own; each of 21,000 ordinary words is in twelve."""
     ordinary = " ".join(chr(0x4E00 + i // 200) + chr(0x4E00 + i % 200) for i in range(21_000))

@@ -63,6 +63,21 @@ def test_trees_learn_from_rule_labels(spark):
     assert all(out[u].rule is None for u in rest)
 
 
+def test_rows_of_one_url_are_drawn_each_by_itself(spark, monkeypatch):
+    """A URL of a third of the rows is about a third of the rows that trees learn from."""
+    monkeypatch.setattr(urls, "TRAIN_ROWS", 60)
+    written = urls.written
+    for letter in "hkm":
+        seen = {}
+        monkeypatch.setattr(urls, "written", lambda df, name, to=seen: to.setdefault(name, written(df, name)))
+        some = [f"https://site{i % 7}.org/en/page{i}" for i in range(100)]
+        some += [f"https://x{i}.com/de/{i * 7919}" for i in range(100)]
+        some += ["https://hot.org/en/" + letter * 90] * 100
+        urls.judged(spark.createDataFrame(list(enumerate(some)), "page_id long, url string"))
+        assert seen["urls"].count() == 60
+        assert 8 <= seen["urls"].where("length > 100").count() <= 32
+
+
 def test_no_rules_and_one_class(spark):
     frame = spark.createDataFrame([(1, "http://x.org/a"), (2, None)], "page_id long, url string")
     assert {r.verdict for r in urls.judged(frame, rules=()).collect()} == {"allow"}
