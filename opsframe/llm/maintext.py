@@ -77,10 +77,11 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)"
-    r"((?:[^<>\"']++|\"[^\"]{0,1024}\"|'[^']{0,1024}')*+>|[^>]*>)",
+    r"|<(/?)([a-zA-Z][^\s/>]*)",
     re.DOTALL,
 )
+#: What ends a tag, or opens a quoted value in it.
+TAG_STOP = re.compile(r">|=\s*([\"'])")
 ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 PUNCTUATION = re.compile(r"[.,;:!?…、。，！？¿¡]")
@@ -135,8 +136,32 @@ class Page:
         self.linked = 0
         self._read(source)
 
+    def _tag_end(self, source: str, at: int) -> int:
+        """Where the tag ends whose name ends at ``at``; -1 if nowhere.
+
+        Quoted values may have any length. If a quote is never closed, or no tag
+        end follows the values, the next ``>`` ends the tag.
+        """
+        if at > self.last[">"]:
+            return -1
+        seen = []
+        stop = TAG_STOP.search(source, at)
+        while stop is not None and stop[1]:
+            # No quote is passed twice in vain, so broken pages are read in linear time.
+            if stop.start() in self.in_vain or stop.end() > self.last[stop[1]]:
+                stop = None
+                break
+            seen.append(stop.start())
+            stop = TAG_STOP.search(source, source.index(stop[1], stop.end()) + 1)
+        if stop is not None:
+            return stop.end()
+        self.in_vain.update(seen)
+        return source.index(">", at) + 1
+
     def _read(self, source: str) -> None:
         at, n = 0, len(source)
+        self.last = {c: source.rfind(c) for c in "\"'>"}
+        self.in_vain: set[int] = set()
         while at < n:
             token = TOKEN.search(source, at)
             if token is None:
@@ -149,6 +174,11 @@ class Page:
                 if token[0].startswith("<![CDATA["):
                     self._text(token[0][9:].removesuffix("]]>"))
                 continue
+            end = self._tag_end(source, at)
+            if end < 0:
+                self._text(token[0])
+                continue
+            raw, at = source[at:end], end
             tag = token[2].lower()
             if token[1]:
                 self._end(tag)
@@ -156,7 +186,7 @@ class Page:
                 close = re.compile(f"</{re.escape(tag)}[^>]*>", re.IGNORECASE).search(source, at)
                 at = close.end() if close else n
             else:
-                self._start(tag, token[3])
+                self._start(tag, raw)
         self._block()
 
     def _top(self) -> tuple[str, int, bool, bool]:

@@ -71,6 +71,19 @@ def test_long_pages_stay_linear():
     assert maintext.main_text('<a x="' * 2_000).count("<a") == 2_000  # no tag ever ends
 
 
+@pytest.mark.parametrize("quote", "\"'")
+def test_long_quoted_values_end_at_their_quote(quote):
+    data = quote + "<p>not text, ever.</p> " * 500 + quote
+    page = LAYOUT.format(article=f"<article data-x={data}>{INNER}</article><div data-x={data} class=ad><p>Buy, now.</p></div>")
+    assert maintext.main_text(page) == TEXT
+
+
+def test_broken_quotes_stay_linear():
+    n = 50_000
+    assert maintext.main_text('<a x=">"' * n + "<p>text")
+    assert maintext.main_text("<a x='" + '<b y=">"' * n + "<p>text")
+
+
 def test_paths_sum_their_blocks():
     page = maintext.Page("<article><p>aa.</p><p>bb, cc.</p><h2>t</h2></article>")
     assert [text for _, text, _ in page.blocks] == ["aa.", "bb, cc.", "t"]
