@@ -307,7 +307,12 @@ def _fused(page: Page) -> dict[int, float]:
 
 
 def _article(page: Page, content: set[int]) -> int:
-    """The innermost single element that holds nearly all of the content's text."""
+    """The innermost single element that holds nearly all of the content's text.
+
+    Nothing inside an article or main element is left behind, and from other
+    elements only layout: no content, heading or unlinked paragraph. Only an
+    article or main element itself is entered whatever is beside it.
+    """
     weight: Counter[int] = Counter()
     for path, text, _ in page.blocks:
         if path in content:
@@ -318,11 +323,21 @@ def _article(page: Page, content: set[int]) -> int:
     for path in range(len(page.paths) - 1, 0, -1):
         held[path] += weight[path]
         held[page.paths[path][0]] += held[path]
+    # Blocks that must not be left behind, on each path and below it.
+    kept: Counter[int] = Counter()
+    for path, text, linked in page.blocks:
+        tag = page.paths[path][1]
+        kept[path] += path in content or tag in HEADINGS or tag == "p" and linked <= LINKED * len(text)
+    for path in range(len(page.paths) - 1, 0, -1):
+        kept[page.paths[path][0]] += kept[path]
     best = 0
     for path in range(1, len(page.paths)):
+        if page.paths[best][1] in ("article", "main"):
+            break
         parent, tag = page.paths[path]
         if parent == best or _inside(page, path, best):
-            enough = held[path] >= HELD * total
+            whole = kept[path] == kept[best] or tag in ("article", "main")
+            enough = held[path] >= HELD * total and whole
             if enough and tag in HOLDERS and page.instances[path] == 1:
                 best = path
     return best

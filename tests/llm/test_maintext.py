@@ -84,6 +84,22 @@ def test_broken_quotes_stay_linear():
     assert maintext.main_text("<a x='" + '<b y=">"' * n + "<p>text")
 
 
+LONG = "<p>Running text, which is long; it has points. And more, and more.</p>" * 8
+PLAIN = " ".join(["Running text, which is long; it has points. And more, and more."] * 8)
+
+
+@pytest.mark.parametrize(
+    "article, before",
+    [
+        (f"<article><h1>Title</h1><p>Lead, text.</p><div class=body>{LONG}</div></article>", "Title Lead, text. "),
+        (f"<article><header><h1>Own</h1></header><div class=entry-content>{LONG}</div></article>", "Own "),
+        (f"<section id=intro><p>An intro, it is short.</p></section><section id=main>{LONG}</section>", "An intro, it is short. "),
+    ],
+)
+def test_title_and_lead_outside_the_body_element_stay(article, before):
+    assert maintext.main_text(LAYOUT.format(article=article)) == before + PLAIN
+
+
 def test_paths_sum_their_blocks():
     page = maintext.Page("<article><p>aa.</p><p>bb, cc.</p><h2>t</h2></article>")
     assert [text for _, text, _ in page.blocks] == ["aa.", "bb, cc.", "t"]
