@@ -101,10 +101,14 @@ def suffix_array(symbols: np.ndarray) -> np.ndarray:
 
 
 class WaveletMatrix:
-    """Ranks of symbols in a sequence, by one prefix count of ones for each bit."""
+    """Ranks of symbols in a sequence, by one prefix count of ones for each bit.
 
-    def __init__(self, sequence: np.ndarray) -> None:
-        self.levels = range(max(1, int(sequence.max(initial=0)).bit_length()) - 1, -1, -1)
+    There is a level for each bit of ``largest``, so that symbols which the
+    sequence lacks can be ranked as well.
+    """
+
+    def __init__(self, sequence: np.ndarray, largest: int) -> None:
+        self.levels = range(max(1, int(largest).bit_length()) - 1, -1, -1)
         self.ones, self.zeros = [], []
         for bit in self.levels:
             bits = (sequence >> bit) & 1
@@ -140,7 +144,7 @@ class FMIndex:
         last = symbols[order - 1]
         last[order == 0] = 0
         self.starts = np.r_[0, np.cumsum(np.bincount(symbols, minlength=vocabulary + 1))]
-        self.matrix = WaveletMatrix(last)
+        self.matrix = WaveletMatrix(last, vocabulary)
         # The first word of a run is always sampled, so no walk crosses a break.
         sampled = (order % SAMPLE == 0) | (last == 0)
         self.sampled = sampled
