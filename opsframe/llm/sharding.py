@@ -9,6 +9,7 @@ the places are dealt out to the shards in turn.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +26,17 @@ def text_bytes(text: Column) -> Column:
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long") + 1
 
 
+def _ordinal(docs: DataFrame) -> Column:
+    """File and row of a Parquet file's record; else the number of the row in its partition."""
+    try:
+        place = docs.metadataColumn("_metadata")
+        place = F.struct(place["file_path"].alias("file"), place["row_index"].alias("row"))
+        docs.select(place)
+    except AnalysisException:
+        return F.monotonically_increasing_id()
+    return place
+
+
 def sharded(
     docs: DataFrame,
     text_col: str = "text",
@@ -35,17 +47,18 @@ def sharded(
     """``docs`` with ``shard`` and ``slot``: numbers of rows per shard differ by one at most.
 
     Slots count from 0 in each shard without gaps. Nothing but a record's
-    ordinal in the stored table decides its place, so nulls, ties, copies and
-    repeated rows are spread like any others; the same stored table gives the
-    same result. An empty table stays empty. Columns ``shard`` and ``slot`` that
-    were there are replaced.
+    ordinal decides its place, so nulls, ties, copies and repeated rows are
+    spread like any others. The ordinal of rows of Parquet files is the file and
+    the row in it: the same files give the same result, however tasks read them.
+    Of a frame that is not a plain read of such files, with columns chosen or
+    rows left out, it is the row's number in the frame's partitions. An empty
+    table stays empty. Columns ``shard`` and ``slot`` that were there are replaced.
     """
     docs = docs.drop("shard", "slot")
     total = docs.agg(F.sum(text_bytes(F.col(text_col)))).first()[0] or 0
     buckets = max(1, -(-total // bucket_bytes))
-    ordinal = F.monotonically_increasing_id()
     scattered = (
-        docs.select(F.struct(ordinal.alias("__n"), *docs.columns).alias("__row"))
+        docs.select(F.struct(_ordinal(docs).alias("__n"), *docs.columns).alias("__row"))
         .withColumn(
             "__bucket", F.pmod(F.xxhash64(F.lit(seed), "__row.__n"), F.lit(buckets)).cast("int")
         )
@@ -59,8 +72,10 @@ def sharded(
     )
     sizes = shuffled.groupBy("__bucket").agg(F.count("*").alias("__size"))
     before = Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        "__bucket", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")
+    # A row for each bucket, stored, so that the join knows how small it is and moves no text.
+    starts = written(
+        sizes.select("__bucket", F.coalesce(F.sum("__size").over(before), F.lit(0)).alias("__start")),
+        "starts",
     )
     place = F.col("__start") + F.col("__at")
     return shuffled.join(starts, "__bucket").select(

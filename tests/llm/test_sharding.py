@@ -57,6 +57,40 @@ def test_plan_is_native_with_one_shuffle_of_texts(spark, tmp_path):
     assert plan.count("Exchange") == 1
 
 
+def test_the_same_files_give_the_same_places_in_any_splits(spark, tmp_path):
+    texts = [sentence(random.Random(i), 400) for i in range(600)] + ["copy"] * 200
+    spark.createDataFrame(rows(texts), DOCS).coalesce(2).write.option("parquet.block.size", 65_536).parquet(
+        str(tmp_path / "d")
+    )
+    found, parts = [], []
+    for size, cost in (("128m", "128m"), ("100k", "0")):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
+        try:
+            frame = spark.read.parquet(str(tmp_path / "d")).where("n_chars > 3")
+            parts.append(frame.rdd.getNumPartitions())
+            found.append(Counter(map(tuple, sharding.sharded(frame, bucket_bytes=50_000).collect())))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert parts[0] < parts[1]
+    assert found[0] == found[1]
+
+
+def test_texts_move_once_beyond_the_broadcast_threshold(spark, tmp_path):
+    """The join with the buckets' starts broadcasts the stored starts, never the rows."""
+    spark.createDataFrame(rows([sentence(random.Random(i), 60) for i in range(500)]), DOCS).write.parquet(
+        str(tmp_path / "d")
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "16k")
+    try:
+        out = sharding.sharded(spark.read.parquet(str(tmp_path / "d")), bucket_bytes=20_000)
+        plan = out._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
 def test_shards_are_written_in_folders(spark, tmp_path):
     spark.createDataFrame(rows(["a b"] * 50), DOCS).write.parquet(str(tmp_path / "d"))
     out = sharding.sharded(spark.read.parquet(str(tmp_path / "d")), shards=4)
