@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsframe.sources.scratch import removed, shared_dir
+
 WINDOW = 10
 SHARD_WORDS = 1_000_000
 PHRASES_AT_ONCE = 100_000
@@ -28,6 +30,7 @@ SAMPLE = 16
 FOUND = (
     "struct<n_words:bigint,spans:array<struct<start:bigint,end:bigint>>,items:array<string>>"
 )
+CUT = FOUND.replace("items:array<string>", "items:array<string>,left:string")
 # Words are runs of these bytes: digits, letters and everything past ASCII.
 WORD = re.compile(rb"[0-9A-Za-z\x80-\xff]+")
 _FOLD = bytes(
@@ -229,7 +232,20 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _scan(phrases: Phrases):
+def _cut(whole: bytes | None, spans: list[tuple[int, int]]) -> str | None:
+    """The text without the words of the spans and what stands between them."""
+    if whole and spans:
+        places = [m.span() for m in WORD.finditer(whole)]
+        parts, at = [], 0
+        for start, end in spans:
+            parts.append(whole[at : places[start][0]])
+            at = places[end - 1][1]
+        whole = b"".join([*parts, whole[at:]])
+    return None if whole is None else whole.decode(errors="replace")
+
+
+def _scan(phrases: Phrases, cut: bool):
+    """What the phrases hit; ``cut`` adds the text that is left without it."""
     get = phrases.ids.get
 
     def shard(texts: list[bytes | None], before: list[dict | None]) -> list[dict]:
@@ -259,20 +275,23 @@ def _scan(phrases: Phrases):
         return found
 
     def of(columns: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        kind = pa.struct(
-            [
-                ("n_words", pa.int64()),
-                ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                ("items", pa.list_(pa.string())),
-            ]
-        )
-        for texts, before in columns:
-            found = shard(texts.cast(pa.binary()).to_pylist(), before.to_pylist())
-            for row in found:
+        kind = [
+            ("n_words", pa.int64()),
+            ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+            ("items", pa.list_(pa.string())),
+        ]
+        kind = pa.struct([*kind, ("left", pa.string())] if cut else kind)
+        for some, before in columns:
+            texts = some.cast(pa.binary()).to_pylist()
+            found = shard(texts, before.to_pylist())
+            for row, text in zip(found, texts, strict=True):
+                if cut:
+                    row["left"] = _cut(text, row["spans"])
                 row["spans"] = [{"start": a, "end": b} for a, b in row["spans"]]
             yield pa.array(found, kind)
 
-    return F.arrow_udf(of, FOUND)
+    # Nondeterministic, so that a filter on the result does not run the search a second time.
+    return F.arrow_udf(of, CUT if cut else FOUND).asNondeterministic()
 
 
 def scanned(
@@ -282,41 +301,32 @@ def scanned(
     benchmark_id: str = "item_id",
     benchmark_text: str = "text",
     window: int = WINDOW,
+    cut: bool = False,
 ) -> DataFrame:
     """``docs`` with a struct column ``contamination``: n_words, word spans hit, items found.
 
     A span is a merged range of word numbers, end exclusive, that occurrences of
     a window cover; ``items`` are the ids, as strings, with an occurring window
-    (a null id is the empty string). Rows stay as they are, repeated or not; a
-    column ``contamination`` that was there is replaced. Null and empty texts
-    have no words. An empty benchmark finds nothing. The benchmark goes to the
-    executors in blocks of at most ``PHRASES_AT_ONCE`` windows, one pass each.
+    (a null id is the empty string). With ``cut`` there is ``left`` as well, the
+    text without the spans' words and what stands between them; null stays null.
+    Rows stay as they are, repeated or not; a column ``contamination`` that was
+    there is replaced. Null and empty texts have no words. An empty benchmark
+    finds nothing. The benchmark goes to the executors in blocks of at most
+    ``PHRASES_AT_ONCE`` windows, one pass each; after each but the last the
+    rows are stored, so that one block is held at a time.
     """
+    spark = docs.sparkSession
     out = docs.withColumn("contamination", F.lit(None).cast(FOUND))
-    for phrases in phrase_blocks(benchmark, benchmark_id, benchmark_text, window):
-        out = out.withColumn("contamination", _scan(phrases)(F.col(text_col), F.col("contamination")))
-    return out
-
-
-def without_spans(text: Column, spans: Column) -> Column:
-    """The text without the words of the spans and what stands between them; null stays null."""
-
-    @F.arrow_udf("string")
-    def of(texts: pa.Array, ranges: pa.Array) -> pa.Array:
-        out = []
-        for raw, cut in zip(texts.cast(pa.binary()), ranges.to_pylist(), strict=True):
-            whole = raw.as_py()
-            if whole and cut:
-                places = [m.span() for m in WORD.finditer(whole)]
-                parts, at = [], 0
-                for span in cut:
-                    parts.append(whole[at : places[span["start"]][0]])
-                    at = places[span["end"] - 1][1]
-                whole = b"".join([*parts, whole[at:]])
-            out.append(None if whole is None else whole.decode())
-        return pa.array(out, pa.string())
-
-    return of(text, spans)
+    blocks = phrase_blocks(benchmark, benchmark_id, benchmark_text, window)
+    block, stored = next(blocks), None
+    for later in blocks:
+        path = shared_dir(spark, "scanned")
+        out = out.withColumn("contamination", _scan(block, False)(F.col(text_col), F.col("contamination")))
+        out.write.parquet(path)
+        if stored is not None:
+            removed(spark, stored)
+        out, stored, block = spark.read.schema(out.schema).parquet(path), path, later
+    return out.withColumn("contamination", _scan(block, cut)(F.col(text_col), F.col("contamination")))
 
 
 def n_hit(spans: Column) -> Column:
@@ -335,12 +345,11 @@ def decontaminated(
     A document of which no word is left goes; one that had none before stays.
     ``n_chars_col``, if given, becomes the new length of a text that was cut.
     """
-    hit = scanned(docs, benchmark, text_col, **names)
+    hit = scanned(docs, benchmark, text_col, cut=True, **names)
     spans = F.col("contamination.spans")
     found = F.size(spans) > 0
     left = hit.where(~found | (n_hit(spans) < F.col("contamination.n_words")))
-    cut = F.when(found, without_spans(F.col(text_col), spans)).otherwise(F.col(text_col))
-    left = left.withColumn(text_col, cut)
+    left = left.withColumn(text_col, F.when(found, F.col("contamination.left")).otherwise(F.col(text_col)))
     if n_chars_col is not None:
         length = F.length(text_col).cast(docs.schema[n_chars_col].dataType)
         left = left.withColumn(n_chars_col, F.when(found, length).otherwise(F.col(n_chars_col)))

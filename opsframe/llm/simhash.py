@@ -337,7 +337,9 @@ def near_duplicates(
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root")
     )
-    named = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # Both stored, so that the join is of plain tables and the root of very many can be split.
+    rooted = written(rooted, "rooted")
+    named = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "named")
     of_print = written(rooted.join(named, "root").select("fp", "component_id"), "components")
     return prints.join(of_print, "fp").select(id_col, "fp", "component_id")
 
@@ -351,7 +353,8 @@ def first_of_each(
 ) -> DataFrame:
     """The rows of ``docs`` whose id names their component: one document of each group.
 
-    Of rows that repeat such an id one stays. A group without any id keeps one row.
+    Ids name documents and must be unique: of rows that repeat such an id one
+    stays, whatever their texts. A group without any id keeps one row.
     """
     kept = (
         near_duplicates(docs, id_col, text_col, shingle, distance)
