@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsframe.llm import decontaminate, linededup, maintext, mixing, quality, secrets, sharding, simhash, toxicity, urls
+from opsframe.llm import (
+    alignment,
+    decontaminate,
+    linededup,
+    maintext,
+    mixing,
+    phrases,
+    quality,
+    secrets,
+    sharding,
+    simhash,
+    toxicity,
+    urls,
+    warc,
+)
 from opsframe.llm.batches import bounded_batches
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -189,3 +203,70 @@ def op6_sharding(spark: SparkSession, folder: str) -> DataFrame:
 def op9_urls(spark: SparkSession, folder: str) -> DataFrame:
     pages = table(spark, folder, "pages").select("page_id", "url")
     return urls.judged(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query
+def op11_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    return phrases.collocations(table(spark, folder, "documents").select("lang", "text"))
+
+
+ORACLES["op11_collocations"] = r"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+    FROM documents),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM words GROUP BY lang),
+grams AS (
+    SELECT lang, k, list_slice(w, i, i + k - 1) AS p
+    FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (VALUES (1), (2), (3)) AS v(k))),
+counted AS (SELECT lang, k, p, count(*) AS f FROM grams GROUP BY lang, k, p),
+frequent AS (SELECT lang, k, p, f AS a FROM counted WHERE k > 1 AND f >= 10),
+cuts AS (
+    SELECT lang, p, a, c AS k, list_slice(p, 1, c) AS x, list_slice(p, c + 1, k) AS y
+    FROM (SELECT *, unnest(range(1, k)) AS c FROM frequent)),
+scored AS (
+    SELECT c.lang, c.p, c.a, c.k, x.f AS l, y.f AS r,
+           CAST((1000000::HUGEINT * c.a * c.a) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+    FROM cuts c JOIN counted x ON x.lang = c.lang AND x.p = c.x JOIN counted y ON y.lang = c.lang AND y.p = c.y),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1),
+longer AS (
+    SELECT lang, p, max(a) AS most
+    FROM (SELECT lang, list_slice(p, 1, 2) AS p, a FROM frequent WHERE k = 3
+          UNION ALL SELECT lang, list_slice(p, 2, 3), a FROM frequent WHERE k = 3) GROUP BY lang, p),
+kept AS (
+    SELECT b.lang, array_to_string(b.p, ' ') AS phrase, b.a, b.l, b.r, b.score
+    FROM best b LEFT JOIN longer x ON x.lang = b.lang AND x.p = b.p
+    WHERE x.most IS NULL OR 100 * x.most < 50 * b.a),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN totals USING (lang) WHERE rank <= 2000
+"""
+
+
+@query
+def op12_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archived(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+ORACLES["op12_warc"] = """
+WITH payloads AS (
+    SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+    FROM pages),
+firsts AS (
+    SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest)
+              ELSE page_id END AS first
+    FROM payloads)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM firsts
+"""
+
+
+@query
+def op13_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    names = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+    return alignment.aligned(docs).select("doc_id", *(F.col(f"alignment.{name}").alias(name) for name in names))

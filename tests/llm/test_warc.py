@@ -1,0 +1,114 @@
+import gzip
+import hashlib
+import zlib
+
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from opsframe.llm import warc
+
+PAGES = "page_id long, url string, html string"
+
+
+def plain(rows):
+    """What each page's record is, by looking at all pages."""
+    first, out = {}, []
+    for page, _, html in rows:
+        data = (html or "").encode()
+        if len(data) >= 100 and page is not None:
+            first[data] = min(first.get(data, page), page)
+    for page, url, html in rows:
+        data = (html or "").encode()
+        refers = first.get(data)
+        own = refers is None or refers == page
+        out.append((page, url, "response" if own else "revisit", len(data), hashlib.sha256(data).hexdigest(),
+                    None if own else refers))
+    return out
+
+
+def pages():
+    long = "<p>" + "x" * 200
+    return [
+        (5, "http://a/5", long), (2, "http://a/y z\n%0A", long), (9, "http://a/9?q=é", long), (2, "again", long),
+        (3, None, None), (4, "", "tiny"), (6, "u", "tiny"), (None, "n", long), (None, "m", "y" * 150),
+        (None, "m", "y" * 150), (7, "h", "\r\n\r\nWARC/1.1\r\nContent-Length: 5\r\n\r\n" * 40), (8, "z", "é\x00 " * 60),
+        (10, "e", "z" * 99), (11, "e", "z" * 99), (12, "f", "z" * 100), (13, "f", "z" * 100),
+    ]
+
+
+def test_equals_brute_force(spark):
+    rows = pages() + [(i + 100, f"http://b/{i}", "<html>" + "hot copy " * 30) for i in range(60)]
+    found = warc.archived(spark.createDataFrame(rows, PAGES).repartition(5))
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(plain(rows), key=str)
+
+
+def test_every_record_is_a_member_at_its_offset(spark, tmp_path):
+    """A record of over 16 MB as well, whose member does not end with a zero byte."""
+    rows = [*pages(), (20, "big", "q" * (17 << 20)), (21, "big", "a b " * 1_000_000)]
+    streams, path = f"{tmp_path}/streams", f"{tmp_path}/archives"
+    warc.write_archives(spark.createDataFrame(rows, PAGES).repartition(2), streams)
+    for file in (tmp_path / "streams").glob("part-*.gz"):
+        stream = zlib.decompressobj(31)
+        stream.decompress(file.read_bytes())
+        assert stream.eof and not stream.unused_data  # one stream for the whole file
+    warc.normalised(spark, streams, path)
+    listed, seen = warc.sidecars(spark, path).collect(), 0
+    assert len(listed) == len(rows)
+    for file in (tmp_path / "archives" / "kind=archive").glob("part-*"):
+        data, number = file.read_bytes(), int(file.name.split("-")[1])
+        whole, ends = b"", 0
+        for place in sorted((r for r in listed if r.part == number), key=lambda r: r.offset):
+            assert place.offset == ends
+            ends += place.length
+            record = gzip.decompress(data[place.offset : ends])
+            assert f"WARC-Record-ID: {place.record_id}\r\n".encode() in record
+            whole += record
+            seen += 1
+        assert ends == len(data) and whole == gzip.decompress(data)
+    assert seen == len(rows)
+    payloads = {(r.page_id, r.payload_digest): bytes(r.payload) for r in warc.records(spark, path, payload=True).collect()}
+    assert all(hashlib.sha256(x).hexdigest() == digest for (_, digest), x in payloads.items() if x)
+
+
+def test_members_and_plain_files_are_normalised_again(spark, tmp_path):
+    rows = pages()
+    warc.write_archives(spark.createDataFrame(rows, PAGES).coalesce(1), f"{tmp_path}/one")
+    warc.normalised(spark, f"{tmp_path}/one", f"{tmp_path}/two")
+    warc.normalised(spark, f"{tmp_path}/two/kind=archive", f"{tmp_path}/three")
+    (tmp_path / "plain").mkdir()
+    (file,) = (tmp_path / "two" / "kind=archive").glob("part-*")
+    (tmp_path / "plain" / "x.warc").write_bytes(gzip.decompress(file.read_bytes()))
+    warc.normalised(spark, f"{tmp_path}/plain", f"{tmp_path}/four")
+    found = [sorted(map(tuple, warc.records(spark, f"{tmp_path}/{x}").collect()), key=str) for x in ("two", "three", "four")]
+    assert found[0] == found[1] == found[2] and len(found[0]) == len(rows)
+
+
+@pytest.mark.parametrize("cut", [10, 30_000])
+def test_broken_archives_fail(spark, tmp_path, cut):
+    (tmp_path / "bad").mkdir()
+    record = b"WARC/1.1\r\nWARC-Type: response\r\nWARC-Record-ID: <x>\r\nContent-Length: 50000\r\n\r\n" + bytes(range(250)) * 200 + b"\r\n\r\n"
+    data = gzip.compress(record * 3, mtime=0)
+    (tmp_path / "bad" / "x.gz").write_bytes(data[:-cut] if cut < len(data) else gzip.compress(record[:-cut]))
+    with pytest.raises(Exception, match="ends within"):
+        warc.normalised(spark, f"{tmp_path}/bad", f"{tmp_path}/out")
+
+
+def test_empty_table_and_other_columns(spark):
+    frame = spark.createDataFrame([("k", "u", "<p>", "x")], "key string, link string, body string, payload string")
+    names = {"id_col": "key", "url_col": "link", "html_col": "body"}
+    (row,) = warc.archived(frame, **names).collect()
+    assert (row.key, row.url, row.record_type, row.payload_bytes) == ("k", "u", "response", 3)
+    assert warc.archived(frame.limit(0), **names).count() == 0
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.binary(max_size=300), max_size=8), st.integers(1, 50))
+def test_streams_split_anywhere(blocks, step):
+    records = [b"WARC/1.1\r\nContent-Length: %d\r\n\r\n%b\r\n\r\n" % (len(b), b) for b in blocks]
+    whole = b"".join(records)
+    pieces = [whole[i : i + step] for i in range(0, len(whole), step)]
+    assert [block for _, block in warc._split(iter(pieces))] == blocks
+    packed = zlib.compress(whole, 1, 31) + b"".join(warc._member(r) for r in records)
+    assert b"".join(warc._inflated(memoryview(packed))) == whole * 2
+    assert all(warc._member(r)[-1] == 0 for r in records)
