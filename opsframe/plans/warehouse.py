@@ -855,6 +855,7 @@ def g1_guarded(spark: SparkSession, folder: str) -> DataFrame:
     statement = """
         SELECT c_mktsegment, o_orderdate, count(*) AS n_orders, max(o_totalprice) AS highest_price
         FROM orders JOIN customer ON o_custkey = c_custkey
+        WHERE o_orderstatus <> 'default' -- a word that names a database as well
         GROUP BY c_mktsegment, o_orderdate -- one row per segment and day
     """
     found = guarded.guarded_sql(spark, allowed, statement)

@@ -125,6 +125,38 @@ HOSTILE = [
     "FROM orders INSERT OVERWRITE DIRECTORY '{path}_out' USING parquet SELECT *",
     "SELECT * FROM text.`/etc/hostname`",
     "SELECT missing_column FROM orders",
+    "SELECT * FROM orders WHERE id IN (SELECT id FROM stored)",
+    "SELECT (SELECT max(id) FROM hidden) AS x FROM orders",
+    "SELECT (SELECT max(id) FROM global_temp.shared) AS x FROM orders",
+    "WITH orders AS (SELECT * FROM stored) SELECT * FROM orders",
+    "SELECT * FROM orders WHERE EXISTS (SELECT 1 FROM stored s WHERE s.id = orders.id)",
+    "SELECT * FROM orders, LATERAL (SELECT * FROM stored)",
+    "SELECT * FROM stored_view",
+    "SELECT sql_function(id) AS x FROM orders",
+    "SELECT java_function(id) AS x FROM orders",
+    "SELECT array_agg(java_method('java.lang.System', 'getProperty', 'user.home')) AS x FROM orders",
+    "SELECT transform(array(1), x -> reflect('java.lang.System', 'getProperty', 'user.home')) AS x",
+    "VALUES (reflect('java.lang.System', 'getProperty', 'user.home'))",
+    "SELECT * FROM explode(array(java_method('java.lang.System', 'getProperty', 'user.home')))",
+    "SHOW TABLES",
+    "BEGIN SELECT 1; END",
+    "SELECT IDENTIFIER('id') FROM orders",
+]
+
+HARMLESS = [
+    ("SELECT count(*) AS n FROM orders WHERE 'default' <> cast(kind AS string)", 100),
+    ("SELECT count(*) AS n FROM orders -- from default.stored reflect(", 100),
+    ("SELECT count(*) AS n FROM orders /* spark_catalog TRANSFORM(id) USING 'cat' */", 100),
+    ("SELECT count(DISTINCT stored) AS n FROM (SELECT kind AS stored, 'java_method' AS hidden FROM orders)", 3),
+    ("SELECT max(`identifier`) AS n FROM (SELECT id AS `identifier`, 'global_temp' AS using FROM orders)", 99),
+    ("WITH stored AS (SELECT id FROM orders WHERE id < 5) SELECT count(*) AS n FROM stored", 5),
+    ("SELECT count(*) AS n FROM ORDERS o WHERE EXISTS (SELECT 1 FROM orders p WHERE p.id = o.id + 90)", 10),
+    ("SELECT (SELECT max(id) FROM orders) + count(*) AS n FROM range(3) JOIN (VALUES (1)) AS v(x)", 102),
+    ("SELECT count(*) AS n FROM orders, LATERAL explode(array(1, 2))", 200),
+    ("SELECT max(length(url_encode(concat('map', 'reduce', kind)))) AS n FROM orders", 10),
+    ("SELECT max(size(regexp_extract_all('a1b2', '[0-9]', 0)) + try_divide(1, kind)) AS n FROM orders", 3.0),
+    ("SELECT count(*) AS n FROM orders PIVOT (count(id) FOR kind IN (0, 1))", 1),
+    ("SELECT max(rank) AS n FROM (SELECT row_number() OVER (ORDER BY id) AS rank FROM orders)", 100),
 ]
 
 
@@ -133,12 +165,29 @@ def test_guarded_refuses(spark, orders, sql):
     spark.range(1).createOrReplaceTempView("hidden")
     spark.range(1).createOrReplaceGlobalTempView("shared")
     spark.range(1).write.mode("overwrite").saveAsTable("stored")
+    spark.sql("CREATE OR REPLACE VIEW stored_view AS SELECT * FROM stored")
+    spark.sql("CREATE OR REPLACE FUNCTION sql_function(x BIGINT) RETURNS BIGINT RETURN x + (SELECT max(id) FROM stored)")
     with pytest.raises((ValueError, AnalysisException, ParseException)):
         guarded.guarded_sql(spark, [orders], sql.replace("{path}", orders.uri), 50).collect()
     assert spark.conf.get("spark.sql.runSQLOnFiles") == "true"
 
 
-def test_guarded_check_takes_linear_time():
+@pytest.mark.parametrize("sql, n", HARMLESS)
+def test_guarded_reads_plans_not_words(spark, orders, sql, n):
+    spark.range(1).write.mode("overwrite").saveAsTable("stored")
+    assert guarded.guarded_sql(spark, [orders], sql).first().n == n
+
+
+def test_guarded_lists_no_catalog(spark, orders, monkeypatch):
+    """However many tables the catalog has, none of them is looked at."""
+    from pyspark.sql.catalog import Catalog
+
+    for name in ("listTables", "listDatabases", "listCatalogs", "listFunctions"):
+        monkeypatch.setattr(Catalog, name, lambda *_, **__: pytest.fail("listed"))
+    assert guarded.guarded_sql(spark, [orders], "SELECT * FROM orders").count() == 100
+
+
+def test_guarded_check_takes_linear_time(spark):
     with pytest.raises(ValueError):
         guarded.check_sql("SELECT TRANSFORM(x) USING " + "/**/" * 5000 + "'cat'")
 
