@@ -10,16 +10,19 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsframe.functions.shapes import BIGINT, DOUBLE, TEXT, shape
 from opsframe.functions.text import canonical, is_atomic, is_numeric, lookup, strip
+from opsframe.operators import lines
 from opsframe.sources.scratch import written
 
 MASK_BITS = 62
 BRANCHES = 64
+SLOTS = 256  # Of a column's min-wise signature.
 LG_K = 13  # Size of a profile's sketches, as a power of two.
 MATCH = shape(col_a=TEXT, col_b=TEXT, n_a=BIGINT, n_b=BIGINT, n_common=BIGINT, score=DOUBLE)
 
@@ -135,38 +138,55 @@ def match_columns(a: DataFrame, b: DataFrame, min_score: float = 0.0) -> DataFra
 def match_columns_sketched(
     a: DataFrame, b: DataFrame, min_score: float = 0.0, lg_k: int = 14
 ) -> DataFrame:
-    """``match_columns`` with estimated counts: one pass, no values shuffled.
-
-    One HyperLogLog sketch per column is merged across tasks, in two steps; the
-    overlap of a pair is the two estimates minus that of the merged sketch.
+    """``match_columns`` with estimated counts; no values are shuffled.
+
+    Every column has a min-wise signature: of the values that fall into each of
+    ``SLOTS`` slots the smallest hash. Columns that share one are compared (of pairs
+    with a score of 0.05 all but one in 500,000), so pairs of columns are rows of a
+    join and never expressions of the plan. One HyperLogLog sketch per column is
+    merged across tasks, in two steps; the overlap of a pair is the two estimates
+    minus that of the merged sketch.
     """
     fields_a, fields_b = _atomic_fields(a), _atomic_fields(b)
     if not fields_a or not fields_b:
         return a.sparkSession.createDataFrame([], MATCH)
 
-    def side(df: DataFrame, own: list, tag: str, other: list, other_tag: str) -> DataFrame:
-        mine = [canonical(F.col(f"`{f.name}`"), f.dataType).alias(f"{tag}{i}") for i, f in enumerate(own)]
-        rest = [F.lit(None).cast("string").alias(f"{other_tag}{i}") for i in range(len(other))]
-        return df.select(*mine, *rest)
-
-    both = side(a, fields_a, "a", fields_b, "b").unionByName(side(b, fields_b, "b", fields_a, "a"))
-    per_branch = _branched(both).groupBy("_branch").agg(
-        *[F.hll_sketch_agg(c, F.lit(lg_k)).alias(c) for c in both.columns]
-    )
-    sketches = per_branch.agg(*[F.hll_union_agg(c).alias(c) for c in both.columns])
-    pairs = [
-        F.struct(
-            F.lit(fa.name).alias("col_a"),
-            F.lit(fb.name).alias("col_b"),
-            F.hll_sketch_estimate(f"a{i}").alias("n_a"),
-            F.hll_sketch_estimate(f"b{j}").alias("n_b"),
-            F.hll_sketch_estimate(F.hll_union(f"a{i}", f"b{j}")).alias("n_union"),
+    def sketches(df: DataFrame, own: list, side: str) -> DataFrame:
+        """(col, n, sketch): as many rows as columns."""
+        cells = [canonical(F.col(f"`{f.name}`"), f.dataType).alias(f"c{i}") for i, f in enumerate(own)]
+        values = df.select(*cells)
+        per_branch = _branched(values).groupBy("_branch").agg(
+            *[F.hll_sketch_agg(c, F.lit(lg_k)).alias(c) for c in values.columns]
         )
-        for i, fa in enumerate(fields_a)
-        for j, fb in enumerate(fields_b)
-    ]
+        merged = per_branch.agg(*[F.hll_union_agg(c).alias(c) for c in values.columns])
+        rows = [F.struct(F.lit(f.name).alias(f"col_{side}"), F.col(f"c{i}").alias(f"of_{side}")) for i, f in enumerate(own)]
+        return written(merged.select(F.inline(F.array(*rows))), "sketches")
+
+    def signatures(df: DataFrame, own: list, side: str) -> DataFrame:
+        """(col, slot, least): at most ``SLOTS`` rows for each column."""
+        hashes = [
+            F.struct(
+                F.lit(i).alias("i"), F.xxhash64(canonical(F.col(f"`{f.name}`"), f.dataType)).alias("h"),
+                F.col(f"`{f.name}`").isNotNull().alias("filled"),
+            )
+            for i, f in enumerate(own)
+        ]
+        cells = df.select(F.inline(F.array(*hashes))).filter("filled")
+        least = cells.groupBy("i", F.pmod("h", F.lit(SLOTS)).alias("slot")).agg(F.min("h").alias("least"))
+        names = lookup(F.col("i"), {i: f.name for i, f in enumerate(own)})
+        return written(least.select(names.alias(f"col_{side}"), "slot", "least"), "signatures")
+
+    shared = signatures(a, fields_a, "a").join(signatures(b, fields_b, "b"), ["slot", "least"])
+    pairs = shared.select("col_a", "col_b").distinct()
+    sized = pairs.join(sketches(a, fields_a, "a"), "col_a").join(sketches(b, fields_b, "b"), "col_b")
     return (
-        sketches.select(F.inline(F.array(*pairs)))
+        sized.select(
+            "col_a",
+            "col_b",
+            F.hll_sketch_estimate("of_a").alias("n_a"),
+            F.hll_sketch_estimate("of_b").alias("n_b"),
+            F.hll_sketch_estimate(F.hll_union("of_a", "of_b")).alias("n_union"),
+        )
         .withColumn("n_common", F.greatest(F.col("n_a") + F.col("n_b") - F.col("n_union"), F.lit(0)))
         .withColumn("score", F.try_divide("n_common", "n_union"))
         .filter((F.col("n_common") > 0) & (F.col("score") >= min_score))
@@ -188,58 +208,27 @@ def unit_drift(
     constant is not 1. Equal copies of a key count once; a key whose copies
     disagree is a conflict, has no ratio, and makes ``constant`` false.
     """
-
     names = [sorted({pair[s] for pair in col_pairs}) for s in (0, 1)]
-
-    def side(df: DataFrame, mine: int) -> DataFrame:
-        key = key_pair[mine]
-        cells = [
-            (F.col(f"`{n}`").cast("double") if s == mine else F.lit(None).cast("double")).alias(f"{s}_{i}")
-            for s in (0, 1)
-            for i, n in enumerate(names[s])
-        ]
-        return df.select(canonical(F.col(f"`{key}`"), df.schema[key].dataType).alias("key"), *cells)
-
-    rows = side(a, 0).unionAll(side(b, 1))
-    per_key = (
-        rows.filter(F.col("key").isNotNull())
-        .groupBy("key")
-        .agg(*[f(c).alias(f"{g}_{c}") for c in rows.columns[1:] for f, g in ((F.min, "lo"), (F.max, "hi"))])
+    totals = lines.fitted(lines.keyed_values(a, b, key_pair, names), names, col_pairs)
+    return _ratios(totals, tolerance).select(
+        "col_a", "col_b", "n_keys", "n_conflicts", "min_ratio", "max_ratio", "constant", "changed"
     )
 
-    def compared(pair: tuple[str, str]) -> Column:
-        at = [f"{s}_{names[s].index(pair[s])}" for s in (0, 1)]
-        low_a, low_b = (F.col(f"lo_{c}") for c in at)
-        high_a, high_b = (F.col(f"hi_{c}") for c in at)
-        usable = low_a.isNotNull() & low_b.isNotNull()
-        conflict = usable & ((low_a != high_a) | (low_b != high_b))
-        fine = usable & ~conflict & (low_a != 0) & (low_b != 0)
-        return F.struct(
-            F.lit(pair[0]).alias("col_a"),
-            F.lit(pair[1]).alias("col_b"),
-            F.when(fine, F.try_divide(low_b, low_a)).alias("ratio"),
-            F.when(conflict, F.lit(1)).alias("conflict"),
-        )
 
-    totals = (
-        per_key.select(F.inline(F.array(*[compared(pair) for pair in col_pairs])))
-        .groupBy("col_a", "col_b")
-        .agg(
-            F.count("ratio").alias("n_keys"),
-            F.count("conflict").alias("n_conflicts"),
-            F.min("ratio").alias("min_ratio"),
-            F.max("ratio").alias("max_ratio"),
-        )
-    )
+def _ratios(totals: DataFrame, tolerance: float) -> DataFrame:
+    """Fitted pairs with ``constant`` and ``changed`` by their ratios; ``n_keys`` are those with one."""
     spread = F.col("max_ratio") - F.col("min_ratio")
     constant = (
-        (F.col("n_keys") > 0)
+        (F.col("n_ratios") > 0)
         & (F.col("n_conflicts") == 0)
         & (spread <= F.abs("max_ratio") * F.lit(tolerance))
     )
     off_one = F.abs(F.col("max_ratio") - F.lit(1.0)) > F.lit(tolerance)
-    return totals.withColumn("constant", F.coalesce(constant, F.lit(False))).withColumn(
-        "changed", F.col("constant") & F.coalesce(off_one, F.lit(False))
+    return (
+        totals.withColumn("constant", F.coalesce(constant, F.lit(False)))
+        .withColumn("changed", F.col("constant") & F.coalesce(off_one, F.lit(False)))
+        .withColumn("n_fitted", F.col("n_keys"))
+        .withColumn("n_keys", F.col("n_ratios"))
     )
 
 
@@ -259,6 +248,31 @@ def schema_findings(a: DataFrame, b: DataFrame) -> tuple[list[str], list[str], l
     )
 
 
+def _units(per_key: DataFrame, names: lines.Names, pairs: list, tolerance: float) -> DataFrame:
+    """Findings of pairs with a constant ratio other than 1, or else on a line other than b = a."""
+    totals = _ratios(lines.fitted(per_key, names, pairs), tolerance)
+    ratio = F.col("changed") & (F.col("n_keys") > 1)
+    line = ~F.col("constant") & lines.is_line() & ~lines.is_identity()
+    totals = totals.withColumn("n_keys", F.when(ratio, F.col("n_keys")).otherwise(F.col("n_fitted")))
+    factor = F.format_string(
+        "%.6f", F.when(ratio, (F.col("min_ratio") + F.col("max_ratio")) / 2).otherwise(F.col("factor"))
+    )
+    offset = F.format_string("%.6f", "offset")
+    return totals.filter(ratio | line).select(
+        F.lit("unit_changed").alias("kind"),
+        "col_a",
+        "col_b",
+        F.when(ratio, F.concat(F.lit("factor "), factor))
+        .otherwise(F.concat(F.lit("factor "), factor, F.lit(" offset "), offset))
+        .alias("detail"),
+        F.when(ratio, F.concat(F.lit("multiply "), "col_a", F.lit(" by "), factor, F.lit(" into "), "col_b"))
+        .otherwise(
+            F.concat(F.lit("multiply "), "col_a", F.lit(" by "), factor, F.lit(" and add "), offset, F.lit(" into "), "col_b")
+        )
+        .alias("action"),
+    )
+
+
 def compatibility_findings(
     a: DataFrame,
     b: DataFrame,
@@ -271,8 +285,8 @@ def compatibility_findings(
     """(kind, col_a, col_b, detail, action): what breaks a job copying rows a to b.
 
     Kinds: renamed (each other's best match by shared values), unit_changed
-    (constant ratio other than 1, between columns of the same name or numeric
-    columns found on one side only), type_changed (of columns with the same
+    (constant ratio other than 1, or a straight line, between columns of the same
+    name or numeric columns found on one side only), type_changed (of columns with the same
     name, and of pairs found by either), missing and extra. ``sketched``
     estimates the shared values, which shuffles no value.
     """
@@ -290,12 +304,10 @@ def compatibility_findings(
     scores = match(a.select(*only_a), b.select(*only_b), min_score)
     numeric_a = {f.name for f in a.schema.fields if is_numeric(f.dataType)}
     numeric_b = {f.name for f in b.schema.fields if is_numeric(f.dataType)}
-    candidates = [(n, n) for n in a.columns if n in numeric_a & numeric_b and n != key_pair[0]]
-    candidates += [
-        (x, y)
-        for x in only_a
-        for y in only_b
-        if x in numeric_a and y in numeric_b and x != key_pair[0] and y != key_pair[1]
+    same = [n for n in a.columns if n in numeric_a & numeric_b and n != key_pair[0]]
+    names = [
+        same + [x for x in only_a if x in numeric_a and x != key_pair[0]],
+        same + [y for y in only_b if y in numeric_b and y != key_pair[1]],
     ]
     best_a = Window.partitionBy("col_a").orderBy(F.desc("score"), "col_b")
     best_b = Window.partitionBy("col_b").orderBy(F.desc("score"), "col_a")
@@ -312,20 +324,14 @@ def compatibility_findings(
         )
     )
     found = static.unionAll(renamed)
-    if candidates:
-        factor = F.format_string("%.6f", (F.col("min_ratio") + F.col("max_ratio")) / 2)
-        units = (
-            unit_drift(a, b, key_pair, candidates, tolerance)
-            .filter(F.col("changed") & (F.col("n_keys") > 1))
-            .select(
-                F.lit("unit_changed").alias("kind"),
-                "col_a",
-                "col_b",
-                F.concat(F.lit("factor "), factor).alias("detail"),
-                F.concat(F.lit("multiply "), "col_a", F.lit(" by "), factor, F.lit(" into "), "col_b").alias("action"),
-            )
-        )
-        found = found.unionAll(units)
+    if names[0] and names[1]:
+        # A column found on both sides is compared with itself only.
+        allowed = np.ones((len(names[0]), len(names[1])), bool)
+        allowed[: len(same)] = allowed[:, : len(same)] = False
+        np.fill_diagonal(allowed[: len(same), : len(same)], True)
+        per_key = written(lines.keyed_values(a, b, key_pair, names), "keyed")
+        pairs = lines.proposed(per_key, names, allowed)
+        found = found.unionAll(_units(per_key, names, pairs, tolerance)) if pairs else found
     types_a, types_b = ({f.name: f.dataType.simpleString() for f in x.schema.fields} for x in (a, b))
     if only_a and only_b:
         # As many rows as findings; stored, for they are read several times.

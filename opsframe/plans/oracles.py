@@ -260,6 +260,39 @@ ORACLES["d3_unit_drift"] = " UNION ALL ".join(
         _ratio("o_totalprice", "buyer", "o_totalprice", "o_custkey::DOUBLE"),
     )
 )
+
+
+def _line(a: str, b: str, x: str, y: str) -> str:
+    """One row of the report on lines for columns a and b, given their expressions."""
+    return f"""
+SELECT '{a}' AS col_a, '{b}' AS col_b, n_keys, CAST(0 AS BIGINT) AS n_conflicts,
+  CASE WHEN fits THEN round(m, 4) + 0.0::DOUBLE END AS factor, CASE WHEN fits THEN round(o, 4) + 0.0::DOUBLE END AS "offset",
+  fits AS constant, fits AND (abs(m - 1) > 1e-9 OR abs(o) > 1e-9 * size) AS changed
+FROM (
+  SELECT *, n_keys > 2 AND r2 >= 1 - 1e-10 AS fits FROM (
+    SELECT count(*) AS n_keys, regr_slope({y}, {x}) AS m, regr_intercept({y}, {x}) AS o, regr_r2({y}, {x}) AS r2,
+      max(abs({y})) AS size
+    FROM orders))
+"""
+
+
+ORACLES["d3_affine"] = " UNION ALL ".join(
+    (
+        _line("o_totalprice", "price_f", "o_totalprice", "o_totalprice * 1.8::DOUBLE + 32.0::DOUBLE"),
+        _line("o_totalprice", "left_over", "o_totalprice", "100.0::DOUBLE - o_totalprice / 4.0::DOUBLE"),
+        _line("o_totalprice", "price", "o_totalprice", "o_totalprice"),
+        _line("o_totalprice", "buyer", "o_totalprice", "o_custkey::DOUBLE"),
+        _line("o_custkey", "buyer", "o_custkey::DOUBLE", "o_custkey::DOUBLE"),
+    )
+)
+_HEAT = "((p_partkey * 37 % 101)::DOUBLE / 8.0::DOUBLE - 40.0::DOUBLE)"
+_OLD_PARTS = f"SELECT *, p_partkey % 7 AS p_group, 'note ' || p_partkey AS p_note, {_HEAT} AS p_celsius FROM part"
+_NEW_PARTS = f"""
+  SELECT p_partkey AS id, p_name AS title, p_brand AS maker, p_type AS kind, p_size::DOUBLE AS dimension,
+    p_retailprice * 1000.0::DOUBLE AS price_mils, (p_partkey % 7)::VARCHAR AS p_group, 'new ' || p_partkey AS added,
+    {_HEAT} * 1.8::DOUBLE + 32.0::DOUBLE AS fahrenheit FROM part"""
+# DuckDB's names of column types as Spark writes them.
+_SPARK_TYPE = "CASE column_type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(column_type) END"
 _FINDINGS = f"""
 {_MATCHES},
 ranked AS (
@@ -271,7 +304,13 @@ ratio AS (
   SELECT min(r) AS lo, max(r) AS hi FROM (
     SELECT p_retailprice * 1000.0::DOUBLE / p_retailprice AS r FROM part WHERE p_retailprice <> 0)
 ),
-findings AS (
+line AS (
+  SELECT regr_slope(f, c) AS m, regr_intercept(f, c) AS o, regr_r2(f, c) AS r2
+  FROM (SELECT {_HEAT} AS c, {_HEAT} * 1.8::DOUBLE + 32.0::DOUBLE AS f FROM part)
+),
+old_columns AS (SELECT column_name AS name, {_SPARK_TYPE} AS type FROM (DESCRIBE {_OLD_PARTS})),
+new_columns AS (SELECT column_name AS name, {_SPARK_TYPE} AS type FROM (DESCRIBE {_NEW_PARTS})),
+mapped AS (
   SELECT 'renamed' AS kind, col_a, col_b, printf('overlap %.4f', score) AS detail,
     'map ' || col_a || ' to ' || col_b AS action
   FROM ranked WHERE rank_a = 1 AND rank_b = 1
@@ -280,11 +319,25 @@ findings AS (
     printf('multiply p_retailprice by %.6f into price_mils', (lo + hi) / 2)
   FROM ratio WHERE hi - lo <= 1e-9 * abs(hi) AND abs(hi - 1) > 1e-9
   UNION ALL
-  VALUES
-    ('type_changed', 'p_group', 'p_group', 'bigint to string', 'cast p_group from bigint to string'),
-    ('type_changed', 'p_size', 'dimension', 'int to double', 'cast p_size from int to double into dimension'),
-    ('missing', 'p_note', NULL, 'no counterpart found', 'add p_note to the target'),
-    ('extra', NULL, 'added', 'no counterpart found', 'give added a default')
+  SELECT 'unit_changed', 'p_celsius', 'fahrenheit', printf('factor %.6f offset %.6f', m, o),
+    printf('multiply p_celsius by %.6f and add %.6f into fahrenheit', m, o)
+  FROM line WHERE r2 >= 1 - 1e-10
+),
+findings AS (
+  SELECT * FROM mapped
+  UNION ALL
+  SELECT 'type_changed', name, name, o.type || ' to ' || n.type, 'cast ' || name || ' from ' || o.type || ' to ' || n.type
+  FROM old_columns o JOIN new_columns n USING (name) WHERE o.type <> n.type
+  UNION ALL
+  SELECT 'type_changed', col_a, col_b, o.type || ' to ' || n.type,
+    'cast ' || col_a || ' from ' || o.type || ' to ' || n.type || ' into ' || col_b
+  FROM mapped JOIN old_columns o ON o.name = col_a JOIN new_columns n ON n.name = col_b WHERE o.type <> n.type
+  UNION ALL
+  SELECT 'missing', name, NULL, 'no counterpart found', 'add ' || name || ' to the target'
+  FROM old_columns WHERE name NOT IN (SELECT name FROM new_columns) AND name NOT IN (SELECT col_a FROM mapped)
+  UNION ALL
+  SELECT 'extra', NULL, name, 'no counterpart found', 'give ' || name || ' a default'
+  FROM new_columns WHERE name NOT IN (SELECT name FROM old_columns) AND name NOT IN (SELECT col_b FROM mapped)
 )
 """
 ORACLES["d4_findings"] = f"WITH {_FINDINGS} SELECT kind, col_a, col_b, detail, action FROM findings"

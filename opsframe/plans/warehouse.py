@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from opsframe.functions import records, text
 from opsframe.functions.shapes import BIGINT, DATE, DOUBLE, TEXT, shape
-from opsframe.operators import drift, guarded, inference, observe, relational, review, routing
+from opsframe.operators import drift, guarded, inference, lines, observe, relational, review, routing
 from opsframe.plans import reports
 from opsframe.sources import files, manifests, tables
 from opsframe.sources.scratch import shared_dir, written
@@ -525,14 +525,40 @@ def d3_unit_drift(spark: SparkSession, folder: str) -> DataFrame:
     return report
 
 
+@query
+def d3_affine(spark: SparkSession, folder: str) -> DataFrame:
+    """Prices with a factor and an offset, turned over, unchanged, and unrelated."""
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    other = orders.select(
+        F.col("o_orderkey").alias("id"),
+        F.col("o_custkey").alias("buyer"),
+        (F.col("o_totalprice") * F.lit(1.8) + F.lit(32.0)).alias("price_f"),
+        (F.lit(100.0) - F.col("o_totalprice") / F.lit(4.0)).alias("left_over"),
+        F.col("o_totalprice").alias("price"),
+    )
+    pairs = [("o_totalprice", x) for x in ("price_f", "left_over", "price", "buyer")] + [("o_custkey", "buyer")]
+    found = lines.affine_drift(orders, other, ("o_orderkey", "id"), pairs)
+    kept = F.col("constant")
+    return found.withColumns({c: F.when(kept, F.round(c, 4) + F.lit(0.0)) for c in ("factor", "offset")})
+
+
 def _part_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
-    """Parts and their drifted copy, with a retyped, a lost and a new column as well."""
+    """Parts and their drifted copy, with a retyped, a lost and a new column, and one with an offset."""
     part = table(spark, folder, "part")
     group = F.col("p_partkey") % 7
-    old = part.withColumns({"p_group": group, "p_note": F.concat(F.lit("note "), "p_partkey")})
-    new = part.withColumns({"p_group": group.cast("string"), "added": F.concat(F.lit("new "), "p_partkey")})
+    heat = (F.col("p_partkey") * 37 % 101) / F.lit(8.0) - F.lit(40.0)
+    old = part.withColumns(
+        {"p_group": group, "p_note": F.concat(F.lit("note "), "p_partkey"), "p_celsius": heat}
+    )
+    new = part.withColumns(
+        {
+            "p_group": group.cast("string"),
+            "added": F.concat(F.lit("new "), "p_partkey"),
+            "fahrenheit": heat * F.lit(1.8) + F.lit(32.0),
+        }
+    )
     kept = tuple(drift.Change(name, name, "string") for name in ("p_group", "added"))
-    return old, drift.project_drift(new, PART_DRIFT + kept)
+    return old, drift.project_drift(new, (*PART_DRIFT, *kept, drift.Change("fahrenheit", "fahrenheit", "double")))
 
 
 @query

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsframe.functions.text import blank_to_null, typed
+from opsframe.sources import quoted
 
 
 BROKEN = "_broken_row"  # The text of a row with too many or too few cells, else null.
@@ -37,7 +38,10 @@ def _raw_csv(
     cells = T.StructType([T.StructField(name, T.StringType()) for name in [*names, BROKEN]])
     # Without pruning, so that a row's cells are counted whatever columns are read.
     reader = reader.option("columnPruning", False).option("columnNameOfCorruptRecord", BROKEN)
-    return reader.schema(cells).option("enforceSchema", False).csv(path)
+    raw = reader.schema(cells).option("enforceSchema", False).csv(path)
+    if multi_line and quoted.splits_help(raw, options):
+        return quoted.raw_cells(spark, path, names, BROKEN, options)
+    return raw
 
 
 def _checked_raw(
@@ -73,9 +77,10 @@ def load_table(
     header are null, a missing or empty path is an empty table, and a header
     name the table lacks is an error. A row with too few cells has null in the
     rest, one with too many loses them; ``rejected_rows`` lists both. Line
-    breaks inside quotes belong to their cell, at the price of one task per
-    file: pass ``multi_line=False`` for large files that have none. ``options``
-    go to the CSV reader (``sep``, say).
+    breaks inside quotes belong to their cell; files larger than a split are then
+    read twice, by a task for each split. Pass ``multi_line=False`` for large files
+    that have none. ``options`` go to the CSV reader (``sep``, say); with others than
+    separator and null or empty values, such files are one task each.
     """
     raw = _checked_raw(spark, path, schema, multi_line, options or {})
     if raw is None:

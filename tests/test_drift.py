@@ -108,6 +108,90 @@ def test_unit_drift_conflicts_and_varying_ratios(spark):
     assert (row.n_keys, row.n_conflicts, row.constant, row.changed) == (2, 1, False, False)
 
 
+@pytest.mark.parametrize("factor, offset", [(1.8, 32.0), (-0.25, 1e6), (1000.0, 0.0), (1.0, -273.15), (1.0, 0.0)])
+def test_affine_drift_recovers_factor_and_offset(spark, factor, offset):
+    rows = [(i, float(i * 37 % 101) - 40) for i in range(400)] + [(None, 3.0), (900, None), (901, float("nan"))]
+    a = spark.createDataFrame(rows, "k int, x double")
+    b = a.select(F.col("k").alias("id"), (F.col("x") * F.lit(factor) + F.lit(offset)).alias("y"))
+    row = drift.lines.affine_drift(a, b.unionAll(b), ("k", "id"), [("x", "y")]).first()
+    assert (row.n_keys, row.n_conflicts, row.constant) == (400, 0, True)
+    assert row.factor == pytest.approx(factor) and row.offset == pytest.approx(offset, abs=1e-6)
+    assert row.changed == ((factor, offset) != (1.0, 0.0))
+
+
+def test_affine_drift_of_what_is_no_line(spark):
+    rows = [(i, float(i), float(i * i), 7.0, float(i % 2)) for i in range(50)]
+    a = spark.createDataFrame(rows, "k int, x double, square double, flat double, two double")
+    pairs = [("x", "square"), ("x", "flat"), ("flat", "x"), ("flat", "flat"), ("x", "x")]
+    found = {(r.col_a, r.col_b): r for r in drift.lines.affine_drift(a, a, ("k", "k"), pairs).collect()}
+    assert [found[p].constant for p in pairs] == [False, False, False, False, True]
+    split = a.unionAll(spark.createDataFrame([(3, 99.0, 9.0, 7.0, 1.0)], a.schema))
+    row = drift.lines.affine_drift(a, split, ("k", "k"), [("x", "x")]).first()
+    assert (row.n_keys, row.n_conflicts, row.constant) == (49, 1, False)
+    few = drift.lines.affine_drift(a.where("k < 2"), a, ("k", "k"), [("x", "x")]).first()
+    assert few.n_keys == 2 and not few.constant
+
+
+def test_compatibility_finds_celsius_and_fahrenheit(spark):
+    rows = [(i, float(i * 37 % 101) / 8 - 20, float(i % 13), None if i % 3 else float(i)) for i in range(700)]
+    a = spark.createDataFrame(rows, "k int, celsius double, odd double, thin double")
+    b = a.select(
+        F.col("k").alias("id"), (F.col("celsius") * 1.8 + 32).alias("heat"), (F.col("odd") * F.col("odd")).alias("square"),
+        (F.lit(5.0) - F.col("thin") * 2).alias("turned"),
+    ).where("id % 10 < 9")
+    found = {(r.kind, r.col_a, r.col_b): r.detail for r in drift.compatibility_findings(a, b, ("k", "id")).collect()}
+    assert found["unit_changed", "celsius", "heat"] == "factor 1.800000 offset 32.000000"
+    assert found["unit_changed", "thin", "turned"] == "factor -2.000000 offset 5.000000"
+    assert ("missing", "odd", None) in found and ("extra", None, "square") in found
+    same = a.withColumn("celsius", F.col("celsius") + 273.15)
+    shifted = drift.compatibility_findings(a, same, ("k", "k")).collect()
+    assert [(r.kind, r.col_a, r.detail) for r in shifted] == [("unit_changed", "celsius", "factor 1.000000 offset 273.150000")]
+
+
+def test_lines_of_many_columns(spark):
+    """Pairs are proposed from what is as small as the schema, and none is an expression of a plan."""
+    import numpy as np
+
+    chooser = np.random.default_rng(4)
+    values = np.round(chooser.normal(size=(300, 90)) * 100, 3)
+    order = chooser.permutation(90)
+    factors = np.round(chooser.uniform(0.5, 3, 90), 2) * np.where(np.arange(90) % 2, 1, -1)
+    keys = np.arange(300)
+    import pandas as pd
+
+    left = pd.DataFrame(values, columns=[f"a{i}" for i in range(90)]).assign(k=keys)
+    right = pd.DataFrame(values[:, order] * factors + 7, columns=[f"b{j}" for j in range(90)]).assign(k=keys)
+    a, b = spark.createDataFrame(left), spark.createDataFrame(right)
+    names = [[f"a{i}" for i in range(90)], [f"b{j}" for j in range(90)]]
+    per_key = drift.written(drift.lines.keyed_values(a, b, ("k", "k"), names), "wide")
+    pairs = drift.lines.proposed(per_key, names, np.ones((90, 90), bool))
+    assert set(pairs) == {(f"a{i}", f"b{j}") for j, i in enumerate(order)}
+
+
+def test_banded_matches_keep_similar_columns(spark):
+    """Of pairs that share over half of their values at least nine in ten are found, among 300 columns."""
+    import numpy as np
+    import pandas as pd
+
+    chooser = np.random.default_rng(5)
+    base = [chooser.choice(10**9, 150, replace=False) for _ in range(60)]
+    cells = {f"a{i}": base[i] for i in range(60)}
+    for i in range(60, 300):
+        kept = chooser.random(150) < chooser.uniform(0.5, 1)
+        cells[f"a{i}"] = np.where(kept, base[i % 60], chooser.choice(10**9, 150))
+    a = spark.createDataFrame(pd.DataFrame(cells))
+    b = spark.createDataFrame(pd.DataFrame({f"b{i}": base[i] for i in range(60)}))
+    sets = {n: set(x.tolist()) for n, x in cells.items()}
+    true = {
+        (n, f"b{i}") for n in cells for i in range(60)
+        if len(sets[n] & sets[f"a{i}"]) / len(sets[n] | sets[f"a{i}"]) > 0.5
+    }
+    frame = drift.match_columns_sketched(a, b, 0.4)
+    found = {(r.col_a, r.col_b) for r in frame.collect()}
+    assert len(true) > 100 and len(true & found) >= 0.9 * len(true)
+    assert not any(int(x[1:]) % 60 != int(y[1:]) for x, y in found)
+
+
 def test_compatibility(spark, two_versions):
     _, a, b = two_versions
     found = {(r.kind, r.col_a, r.col_b): r for r in drift.compatibility_findings(a, b, ("id", "key")).collect()}
