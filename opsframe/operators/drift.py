@@ -160,7 +160,7 @@ def match_columns_sketched(
         )
         merged = per_branch.agg(*[F.hll_union_agg(c).alias(c) for c in values.columns])
         rows = [F.struct(F.lit(f.name).alias(f"col_{side}"), F.col(f"c{i}").alias(f"of_{side}")) for i, f in enumerate(own)]
-        return written(merged.select(F.inline(F.array(*rows))), "sketches")
+        return merged.select(F.inline(F.array(*rows)))
 
     def signatures(df: DataFrame, own: list, side: str) -> DataFrame:
         """(col, slot, least): at most ``SLOTS`` rows for each column."""

@@ -16,6 +16,9 @@ HAZARD_UNKNOWN = "unknown"
 RANK = "decimal(38,0)"  # Levels have any number of digits.
 HAZARD_RANKS = {"none": 0, "unknown": 1, "radiological": 2}
 BIOHAZARD = "biohazard-"
+#: A trip with more open corridors than so many times k at its quieter end is expanded in rounds.
+FEW = 32
+GROWTH = 4
 QUARANTINE_FLAGS = ("expired_certification", "biohazard_present", "origin_not_registered")
 REVIEW_FLAGS = ("incomplete_declaration",)
 EXPIRED = "expired"
@@ -37,8 +40,9 @@ def reroute(
     ``closed`` hold (origin, destination). A closed trip is extended from its
     end with fewer open corridors, over the first leg or the second, and the
     other leg is then met on both its ends: a hub that most corridors touch
-    costs a trip no more than the quiet end of that trip. ``rank <= k`` is
-    applied per task before the rows are shuffled. With ``trip_id`` every trip
+    costs a trip no more than the quiet end of that trip. Trips between two hubs
+    go by ``cheapest_first``. ``rank <= k`` is applied per task before the rows
+    are shuffled. With ``trip_id`` every trip
     keeps its rows, under its id; alternatives are still made once per corridor.
     Pass stored ``edges`` (``scratch.written``): several branches read them.
     """
@@ -53,6 +57,9 @@ def reroute(
     sized = written(sized, "trips")
     first = usable.select("origin", F.col("destination").alias("via"), F.col("cost").alias("cost_1"))
     second = usable.select(F.col("origin").alias("via"), "destination", F.col("cost").alias("cost_2"))
+    busy = F.least("n_out", "n_in") > FEW * k
+    hubs = sized.filter(busy).select(*pair)
+    sized = sized.filter(~busy)
     from_origin = sized.filter(F.col("n_out") <= F.col("n_in")).select(*pair)
     from_destination = sized.filter(F.col("n_out") > F.col("n_in")).select(*pair)
     legs = ["origin", "destination", "via", "cost_1", "cost_2"]
@@ -65,6 +72,8 @@ def reroute(
         )
         .withColumn("cost", F.col("cost_1") + F.col("cost_2"))
     )
+    if not hubs.isEmpty():
+        options = options.unionAll(cheapest_first(hubs, usable, k).select(*options.columns))
     order = Window.partitionBy(*pair).orderBy("cost", "via")
     ranked = (
         options.withColumn("rank", F.row_number().over(order))
@@ -78,6 +87,56 @@ def reroute(
     return mine.join(written(ranked, "alternatives"), pair).select(trip_id, *legs, "cost", "rank")
 
 
+def cheapest_first(trips: DataFrame, usable: DataFrame, k: int) -> DataFrame:
+    """The k cheapest two-leg ways of each trip: origin, destination, via, cost_1, cost_2, cost.
+
+    ``trips`` and ``usable`` are stored tables of (origin, destination) and, for the
+    open corridors, cost. In a round every open trip sees the cheapest corridors of
+    both its ends, of each so many, and looks up their other legs. Any way not seen
+    costs at least the dearest corridor seen at either end together; a trip whose
+    k-th best is below that is settled, as is one that has seen all of an end. The
+    others go on to a round with ``GROWTH`` times as many.
+    """
+    pair, legs = ["origin", "destination"], ["origin", "destination", "via", "cost_1", "cost_2", "cost"]
+    settled, left, many = [], trips, 2 * k
+
+    def cheapest(end: str, other: str, n: int) -> tuple[DataFrame, DataFrame]:
+        """The n cheapest corridors of each end of a trip, and (end, dearest of them, how many)."""
+        mine = usable.join(left.select(end).distinct(), end, "left_semi")
+        ranked = mine.withColumn("place", F.row_number().over(Window.partitionBy(end).orderBy("cost", other)))
+        seen = written(ranked.filter(F.col("place") <= n).drop("place"), f"cheapest-{end}")
+        return seen, seen.groupBy(end).agg(F.max("cost").alias(f"most_{end}"), F.count("*").alias(f"n_{end}"))
+
+    while True:
+        (out, most_out), (into, most_in) = cheapest("origin", "destination", many), cheapest("destination", "origin", many)
+        first = out.select("origin", F.col("destination").alias("via"), F.col("cost").alias("cost_1"))
+        second = into.select(F.col("origin").alias("via"), "destination", F.col("cost").alias("cost_2"))
+        every_first = usable.select("origin", F.col("destination").alias("via"), F.col("cost").alias("cost_1"))
+        every_second = usable.select(F.col("origin").alias("via"), "destination", F.col("cost").alias("cost_2"))
+        ways = (
+            left.join(first, "origin").join(every_second, ["via", "destination"]).select(*legs[:5])
+            .unionAll(left.join(second, "destination").join(every_first, ["origin", "via"]).select(*legs[:5]))
+            .distinct().withColumn("cost", F.col("cost_1") + F.col("cost_2"))
+        )
+        best = Window.partitionBy(*pair).orderBy("cost", "via")
+        ways = written(ways.withColumn("_n", F.row_number().over(best)).filter(F.col("_n") <= k), "ways")
+        last = ways.filter(F.col("_n") == k).select(*pair, F.col("cost").alias("_kth"))
+        whole = (F.col("n_origin") < many) | (F.col("n_destination") < many)
+        bounds = left.join(most_out, "origin").join(most_in, "destination").join(last, pair, "left")
+        # Equal is not below: an unseen way of the same cost might go first by its via.
+        below = F.coalesce(F.col("_kth") < F.col("most_origin") + F.col("most_destination"), F.lit(False))
+        closed = written(bounds.withColumn("_done", whole | below).select(*pair, "_done"), "bounds")
+        settled.append(ways.join(closed.filter("_done").select(*pair), pair, "left_semi").select(*legs))
+        left = closed.filter(~F.col("_done")).select(*pair)
+        if left.isEmpty():
+            break
+        many *= GROWTH
+    found = settled[0]
+    for more in settled[1:]:
+        found = found.unionAll(more)
+    return found
+
+
 def hazard_rank(hazard: Column, ranks: Mapping[str, int] = HAZARD_RANKS) -> Column:
     """The word's rank, and above all of them biohazard-n by n; other words count as unknown."""
     first_level = max(ranks.values()) + 1

@@ -50,6 +50,11 @@ ORACLES["s2_refresh_counts"] = " UNION ALL ".join(
     f"SELECT '{t}' AS \"table\", count(*) AS rows FROM {t}"
     for t in ("region", "nation", "supplier", "customer", "part", "orders")
 )
+ORACLES["s2_versions"] = " UNION ALL ".join(
+    f"SELECT '{t}' AS \"table\", 'before' AS version, count(*) AS rows FROM {t} "
+    f"UNION ALL SELECT '{t}', 'current', count(*) FROM {t} WHERE {key} >= 10"
+    for t, key in (("nation", "n_nationkey"), ("customer", "c_custkey"), ("orders", "o_orderkey"))
+)
 ORACLES["s3_registered_join"] = """
 SELECT n_name, count(*) AS n_orders, round(sum(o_totalprice), 2) AS revenue
 FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
@@ -368,6 +373,7 @@ FROM customer a FULL OUTER JOIN b ON a.c_custkey = b.c_custkey
 WHERE a.c_custkey IS NULL OR b.c_custkey IS NULL OR a.c_acctbal <> b.c_acctbal
   OR a.c_mktsegment = 'BUILDING'
 """
+ORACLES["d5_diff_digests"] = ORACLES["d5_diff_keyed"]
 ORACLES["d5_except_all"] = """
 SELECT o_custkey, o_orderstatus, o_orderpriority, count(*) AS n_left,
   CAST(CASE o_orderstatus WHEN 'P' THEN 0 ELSE 2 * count(*) END AS BIGINT) AS n_right
@@ -522,6 +528,18 @@ ORACLES["i6_escalate"] = f"""
 WITH {_ANSWERS} SELECT doc_id, severity FROM responses WHERE severity IN ('high', 'critical')
 """
 ORACLES["i7_cached"] = f"WITH {_ANSWERS} SELECT doc_id, response, severity FROM responses"
+ORACLES["i7_bucketed"] = ORACLES["i7_cached"]
+ORACLES["i2_retried"] = f"""
+WITH {_ANSWERS}
+SELECT doc_id,
+  CASE WHEN contains(text, '@') THEN 'given up' WHEN severity IS NULL OR severity = 'unclear' THEN 'rejected'
+    ELSE 'valid' END AS outcome,
+  CASE WHEN contains(text, '@') THEN 'RuntimeError: addresses are not allowed'
+    WHEN severity IS NULL THEN 'severity: missing; summary: missing; affected_systems: missing; recommended_action: missing'
+    WHEN severity = 'unclear' THEN 'severity: not allowed' ELSE severity END AS detail,
+  CASE WHEN contains(text, '@') THEN 2 ELSE 1 END AS attempt
+FROM responses
+"""
 ORACLES["i2_telemetry"] = """
 SELECT event_id, CASE WHEN k LIKE '9%' THEN 'a' ELSE 'c' END AS grade,
   CASE WHEN k LIKE '9%' THEN 'near' ELSE 'far' END AS headline,

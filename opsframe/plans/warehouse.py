@@ -16,7 +16,19 @@ from pyspark.sql import functions as F
 
 from opsframe.functions import records, text
 from opsframe.functions.shapes import BIGINT, DATE, DOUBLE, TEXT, shape
-from opsframe.operators import drift, guarded, inference, lines, observe, relational, review, routing
+from opsframe.operators import (
+    answers,
+    digests,
+    drift,
+    guarded,
+    inference,
+    lines,
+    observe,
+    relational,
+    requests,
+    review,
+    routing,
+)
 from opsframe.plans import reports
 from opsframe.sources import files, manifests, tables
 from opsframe.sources.scratch import shared_dir, written
@@ -166,6 +178,25 @@ def s2_refresh_counts(spark: SparkSession, folder: str) -> DataFrame:
     return tables.refresh_tables(spark, specs, shared_dir(spark, "refreshed"))
 
 
+@query
+def s2_versions(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each table in the version before and the current one, of which the last has no small keys."""
+    out, counts = shared_dir(spark, "versions"), []
+    for name, key in (("nation", "n_nationkey"), ("customer", "c_custkey"), ("orders", "o_orderkey")):
+        frame = table(spark, folder, name)
+        for rows in (frame, frame.filter(F.col(key) >= 10)):
+            tables.refresh_versions(spark, {name: (_as_csv(rows, f"{name}-csv"), frame.schema)}, out)
+        before, now = tables.versions(spark, out, name)
+        for version in (before, None):
+            found = tables.read_version(spark, out, name, frame.schema, version)
+            label = F.lit("before" if version else "current")
+            counts.append(found.agg(F.lit(name).alias("table"), label.alias("version"), F.count("*").alias("rows")))
+    every = counts[0]
+    for more in counts[1:]:
+        every = every.unionAll(more)
+    return every
+
+
 @query
 def s3_registered_join(spark: SparkSession, folder: str) -> DataFrame:
     """Three formats as views: CSV nations, JSON customers, Parquet orders."""
@@ -585,9 +616,8 @@ def d4_compat(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query
-def d5_diff_keyed(spark: SparkSession, folder: str) -> DataFrame:
-    """Customers against a copy: debts cleared, one segment moved to other keys, one doubled."""
+def _customer_versions(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    """Customers and a copy: debts cleared, one segment moved to other keys, one doubled."""
     customer = table(spark, folder, "customer")
     moved = F.col("c_mktsegment") == "MACHINERY"
     copy = customer.select(
@@ -598,8 +628,18 @@ def d5_diff_keyed(spark: SparkSession, folder: str) -> DataFrame:
         "c_mktsegment",
     )
     doubled = F.when(F.col("c_mktsegment") == "BUILDING", 2).otherwise(1)
-    copy = copy.withColumn("_", F.explode(F.array_repeat(F.lit(1), doubled))).drop("_")
-    return drift.diff_tables(customer, copy, ["c_custkey"])
+    return customer, copy.withColumn("_", F.explode(F.array_repeat(F.lit(1), doubled))).drop("_")
+
+
+@query
+def d5_diff_keyed(spark: SparkSession, folder: str) -> DataFrame:
+    return drift.diff_tables(*_customer_versions(spark, folder), ["c_custkey"])
+
+
+@query
+def d5_diff_digests(spark: SparkSession, folder: str) -> DataFrame:
+    """The same differences, found through digests of buckets."""
+    return digests.diff_digests(*_customer_versions(spark, folder), ["c_custkey"])
 
 
 @query
@@ -844,6 +884,58 @@ def i7_cached(spark: SparkSession, folder: str) -> DataFrame:
     return run().select("doc_id", "response", "record.severity")
 
 
+@query
+def i7_bucketed(spark: SparkSession, folder: str) -> DataFrame:
+    """The same from a cache in buckets, of which half of the answers came in a call before."""
+    cache = shared_dir(spark, "bucketed")
+    docs = _documents(spark, folder)
+
+    def run(some: DataFrame) -> DataFrame:
+        return answers.infer_bucketed(
+            some, "text", SEVERITY_MODEL, records.SEVERITY_REPORT, cache, buckets=16, most_levels=1
+        )
+
+    run(docs.filter(F.length("text") % 2 == 0))
+    run(docs)
+    return run(docs).select("doc_id", "response", "record.severity")
+
+
+def _careful(prompts_model):
+    """A factory of a model that fails on requests with an address."""
+
+    def make():
+        model = prompts_model()
+
+        def ask(prompts: list[str]) -> list[str]:
+            if any("@" in p for p in prompts):
+                raise RuntimeError("addresses are not allowed")
+            return model(prompts)
+
+        return ask
+
+    return make
+
+
+@query
+def i2_retried(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document once: valid, rejected, or given up with its error."""
+    docs = _documents(spark, folder)
+    answered, given_up = requests.infer_retried(
+        docs, "text", _careful(SEVERITY_MODEL), records.SEVERITY_REPORT, attempts=2
+    )
+    valid, rejected = inference.validate(answered, "record", records.SEVERITY_RULES)
+    parts = (
+        (valid, "valid", F.col("record.severity")),
+        (rejected, "rejected", F.array_join("reasons", "; ")),
+        (given_up, "given up", F.col("error")),
+    )
+    shown = [
+        part.select("doc_id", F.lit(outcome).alias("outcome"), detail.alias("detail"), "attempt")
+        for part, outcome, detail in parts
+    ]
+    return shown[0].unionAll(shown[1]).unionAll(shown[2])
+
+
 @query
 def i8_parse(spark: SparkSession, folder: str) -> DataFrame:
     """Positions stored as nested JSON, made from the event fields."""

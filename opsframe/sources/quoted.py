@@ -9,16 +9,21 @@ border are put together from their pieces.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from opsframe.sources.scratch import written
 
+# Sent to the executors by value, so that they need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 QUOTE = '"'
 #: Options of the CSV reader under which records are found as here.
 KNOWN_OPTIONS = ("sep", "delimiter", "nullvalue", "emptyvalue", "header")
@@ -104,19 +109,13 @@ def _ends(sep: str):
     return of
 
 
-class Starts:
-    """How each split of some files starts: a hash and two flags for each."""
-
-    def __init__(self, splits: np.ndarray, inside: np.ndarray, first: np.ndarray) -> None:
-        order = np.argsort(splits)
-        self.splits, self.inside, self.first = splits[order], inside[order], first[order]
-
-    def of(self, split: int) -> tuple[bool, bool]:
-        """Whether the split starts inside a quoted cell, and whether it is its file's first."""
-        at = int(np.searchsorted(self.splits, split))
-        if at == len(self.splits) or self.splits[at] != split:
-            raise ValueError("files or splits have changed since the table was opened: load it again")
-        return bool(self.inside[at]), bool(self.first[at])
+def _start_of(known: tuple[np.ndarray, np.ndarray, np.ndarray], split: int) -> tuple[bool, bool]:
+    """Whether the split starts inside a quoted cell, and whether it is its file's first."""
+    splits, inside, first = known
+    at = int(np.searchsorted(splits, split))
+    if at == len(splits) or splits[at] != split:
+        raise ValueError("files or splits have changed since the table was opened: load it again")
+    return bool(inside[at]), bool(first[at])
 
 
 def _starts(lines: DataFrame, sep: str) -> DataFrame:
@@ -178,7 +177,7 @@ def _split_records(sep: str, starts, pieces: bool):
             if split != now:
                 close()
                 now, parts = split, []
-                inside, first = starts.value.of(split)
+                inside, first = _start_of(starts.value, split)
                 head = inside
             for line in lines:
                 if not inside and QUOTE not in line and not pieces:
@@ -224,7 +223,10 @@ def records(spark: SparkSession, path: str | Sequence[str], sep: str = ",") -> D
     starts = _starts(lines, sep)
     table = starts.select("split", "inside", "first").toArrow()
     arrays = [table.column(c).combine_chunks().to_numpy(zero_copy_only=False) for c in table.column_names]
-    known = spark.sparkContext.broadcast(Starts(*(np.asarray(x, t) for x, t in zip(arrays, (np.int64, bool, bool), strict=True))))
+    order = np.argsort(arrays[0])
+    known = spark.sparkContext.broadcast(
+        tuple(np.asarray(x, t)[order] for x, t in zip(arrays, (np.int64, bool, bool), strict=True))
+    )
     cells = lines.select("split", "line")
     own = cells.mapInArrow(_split_records(sep, known, False), _RECORD).select("first", "record")
     if not np.asarray(arrays[1], bool).any():

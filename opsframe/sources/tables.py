@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import re
+import time
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -138,7 +141,9 @@ def refresh_tables(
 ) -> DataFrame:
     """Replace every table under ``out_dir`` by its CSV; one (table, rows) row each.
 
-    Several tables load at a time, since one small table leaves a cluster idle.
+    A table is written beside the old one, which goes only when the new one is
+    whole: a load that fails leaves the old rows. For readers that must not see
+    the moment between the two, see ``refresh_versions``. Several tables load at a time, since one small table leaves a cluster idle.
     The counts come from the Parquet footers of what was written: the source is
     scanned once, and a task that ran twice is not counted twice.
     """
@@ -146,7 +151,9 @@ def refresh_tables(
     def refresh(name: str) -> DataFrame:
         path, schema = specs[name]
         target = f"{out_dir.rstrip('/')}/{name}"
-        load_table(spark, path, schema).write.mode("overwrite").parquet(target)
+        beside = f"{out_dir.rstrip('/')}/_{name}-{uuid.uuid4().hex}"
+        load_table(spark, path, schema).write.parquet(beside)
+        _replaced(spark, beside, target)
         rows = spark.read.schema(schema).parquet(target).agg(F.count(F.lit(1)).alias("rows"))
         return rows.select(F.lit(name).alias("table"), "rows")
 
@@ -156,6 +163,103 @@ def refresh_tables(
         return reduce(DataFrame.unionAll, jobs.map(refresh, specs))
 
 
+def _store(spark: SparkSession, path: str):
+    """The file system of a path, and the path as it names it."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store, store.makeQualified(place)
+
+
+def _replaced(spark: SparkSession, source: str, target: str) -> None:
+    """Move a folder to the place of another one, which is deleted last."""
+    store, new = _store(spark, source)
+    _, place = _store(spark, target)
+    old = spark._jvm.org.apache.hadoop.fs.Path(f"{source}-old")
+    if store.exists(place) and not store.rename(place, old):
+        raise OSError(f"{target}: cannot be moved aside")
+    if not store.rename(new, place):
+        store.rename(old, place)
+        raise OSError(f"{target}: cannot be replaced")
+    store.delete(old, True)
+
+
+POINTER = "CURRENT"
+
+
+def current_version(spark: SparkSession, out_dir: str, name: str) -> str | None:
+    """The version that readers of a table get now; None before the first."""
+    store, pointer = _store(spark, f"{out_dir.rstrip('/')}/{name}/{POINTER}")
+    if not store.exists(pointer):
+        return None
+    stream = store.open(pointer)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8").strip()
+    finally:
+        stream.close()
+
+
+def _switched(spark: SparkSession, out_dir: str, name: str, version: str) -> None:
+    """Point readers to a version: a file written beside, renamed over the old one in one step."""
+    jvm, base = spark._jvm, f"{out_dir.rstrip('/')}/{name}"
+    store, beside = _store(spark, f"{base}/_{POINTER}-{uuid.uuid4().hex}")
+    _, pointer = _store(spark, f"{base}/{POINTER}")
+    stream = store.create(beside)
+    try:
+        stream.write(bytearray(version.encode()))
+    finally:
+        stream.close()
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options = spark.sparkContext._gateway.new_array(rename, 1)
+    options[0] = rename.OVERWRITE
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(pointer.toUri(), spark._jsc.hadoopConfiguration())
+    context.rename(beside, pointer, options)
+
+
+def versions(spark: SparkSession, out_dir: str, name: str) -> list[str]:
+    """All versions of a table that are kept, in the order of their making."""
+    store, base = _store(spark, f"{out_dir.rstrip('/')}/{name}")
+    if not store.exists(base):
+        return []
+    names = [status.getPath().getName() for status in store.listStatus(base) if status.isDirectory()]
+    return sorted(n for n in names if re.fullmatch(r"v\d{20}-[0-9a-f]{8}", n))
+
+
+def refresh_versions(
+    spark: SparkSession, specs: Mapping[str, tuple[str, T.StructType]], out_dir: str, *, keep: int = 2
+) -> DataFrame:
+    """Load every CSV as a new version of its table; (table, version, rows) each.
+
+    A version is a folder of its own; when it is whole, readers are switched to it
+    by one rename. A load that fails leaves the pointer and all older versions as
+    they were, and what it wrote is no version that anyone reads. The newest
+    ``keep`` versions stay, so a reader that holds the one before loses nothing.
+    """
+    found = []
+    for name, (path, schema) in specs.items():
+        base = f"{out_dir.rstrip('/')}/{name}"
+        version = f"v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        load_table(spark, path, schema).write.parquet(f"{base}/{version}")
+        _switched(spark, out_dir, name, version)
+        for old in versions(spark, out_dir, name)[:-keep]:
+            store, place = _store(spark, f"{base}/{old}")
+            store.delete(place, True)
+        rows = spark.read.schema(schema).parquet(f"{base}/{version}").agg(F.count(F.lit(1)).alias("rows"))
+        found.append(rows.select(F.lit(name).alias("table"), F.lit(version).alias("version"), "rows"))
+    if not found:
+        return spark.createDataFrame([], "table string, version string, rows bigint")
+    return reduce(DataFrame.unionAll, found)
+
+
+def read_version(
+    spark: SparkSession, out_dir: str, name: str, schema: T.StructType, version: str | None = None
+) -> DataFrame:
+    """The named version of a table, or the current one; no rows before the first."""
+    version = version or current_version(spark, out_dir, name)
+    if version is None:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{out_dir.rstrip('/')}/{name}/{version}")
+
+
 @dataclass(frozen=True)
 class Source:
     """One configured source: view name, location and format."""

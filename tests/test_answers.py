@@ -1,0 +1,245 @@
+"""Bucketed answers, calls that fail, digests, versions, and ways between two hubs."""
+
+import random
+import re
+
+import pytest
+from hypothesis import given
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from opsframe.functions import records
+from opsframe.functions.shapes import BIGINT, TEXT, shape
+from opsframe.operators import answers, digests, drift, requests, routing
+from opsframe.operators.inference import severity_json
+from opsframe.sources import tables
+
+SEVERE = severity_json("high", "s", ["a"], "act")
+
+
+def counting(spark):
+    calls = spark.sparkContext.accumulator(0)
+
+    def make():
+        def model(prompts):
+            calls.add(len(prompts))
+            return [SEVERE for _ in prompts]
+
+        return model
+
+    return calls, make
+
+
+def test_a_call_touches_the_buckets_of_its_prompts(spark, tmp_path):
+    cache, (calls, make) = str(tmp_path / "cache"), counting(spark)
+    prompts = spark.createDataFrame([(i, f"p{i % 90}") for i in range(200)] + [(900, None)], "id int, text string")
+
+    def run(frame, **options):
+        return answers.infer_bucketed(frame, "text", make, records.SEVERITY_REPORT, cache, buckets=64, **options)
+
+    first = run(prompts)
+    assert calls.value == 90 and first.filter("response is null").count() == 1
+    assert sorted(r.id for r in first.collect()) == [*range(200), 900]
+    few = run(prompts.filter("text in ('p1', 'p2')"))
+    assert few.count() == 6 and calls.value == 90
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    (scan,) = {x for x in re.findall(r"PartitionFilters: \[(.*?)\],", plan) if "bucket" in x}
+    mine = {int(x) for x in re.findall(r"\b\d+\b", scan.split("IN")[-1])} or {int(scan.split("=")[-1].strip(" )"))}
+    own = answers.bucket_of(answers.prompt_key(F.col("text"), "model"), 64)
+    assert mine == {r[0] for r in prompts.filter("text in ('p1', 'p2')").select(own).collect()}
+    run(spark.createDataFrame([(1, "new"), (2, None)], "id int, text string")).collect()
+    assert calls.value == 91
+
+
+def test_levels_are_merged_when_many(spark, tmp_path):
+    cache, (calls, make) = str(tmp_path / "cache"), counting(spark)
+
+    def run(lo, hi):
+        frame = spark.range(lo, hi).selectExpr("concat('p', id) AS text")
+        return answers.infer_bucketed(frame, "text", make, records.SEVERITY_REPORT, cache, buckets=2, most_levels=2)
+
+    for i in range(5):
+        assert run(0, 10 * i + 10).filter("response is null").count() == 0
+    assert calls.value == 50
+    levels = answers._folders(spark, cache).groupBy("bucket").count().collect()
+    assert all(r["count"] <= 2 for r in levels)
+    assert answers.stored_answers(spark, cache).count() == 50
+
+
+def test_first_answers_win_over_repeats(spark, tmp_path):
+    cache, (calls, make) = str(tmp_path / "cache"), counting(spark)
+    frame = spark.createDataFrame([("a",), ("b",)], "text string")
+
+    def run():
+        return answers.infer_bucketed(frame, "text", make, records.SEVERITY_REPORT, cache, buckets=4)
+
+    run()
+    late = answers.stored_answers(spark, cache).select("key", "bucket", F.lit("late").alias("response"),
+                                                       F.current_timestamp().alias("written_at"))
+    answers._append(late, cache)
+    assert [r.response for r in run().collect()] == [SEVERE, SEVERE] and calls.value == 2
+
+
+@given(st.lists(st.integers(0, 300), max_size=60), st.integers(1, 200), st.integers(1, 9))
+def test_requests_are_whole_and_balanced(sizes, most_bytes, most):
+    bins = requests.packed(sizes, most_bytes, most)
+    assert sorted(i for b in bins for i in b) == list(range(len(sizes)))
+    assert all(b and len(b) <= most for b in bins)
+    loads = [sum(sizes[i] for i in b) for b in bins if len(b) > 1]
+    assert all(load < 2 * most_bytes for load in loads)
+
+
+def test_failed_prompts_are_asked_again_and_given_up(spark, tmp_path):
+    fuse = str(tmp_path / "fuse")
+    asked = spark.sparkContext.accumulator(0)
+
+    def make():
+        import os
+
+        def model(prompts):
+            asked.add(1)
+            if any("never" in p for p in prompts):
+                raise RuntimeError("no")
+            if any("once" in p for p in prompts) and not os.path.exists(fuse):
+                if len(prompts) == 1:
+                    open(fuse, "w").close()
+                raise OSError("away")
+            if any("short" in p for p in prompts):
+                return []
+            return [SEVERE] * len(prompts)
+
+        return model
+
+    texts = [f"p{i}" for i in range(50)] + ["once", "never 1", "never 2", "short", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    done, given_up = requests.infer_retried(frame, "text", make, records.SEVERITY_REPORT, attempts=3)
+    calls = asked.value
+    rows = {r.id: r for r in done.collect()}
+    lost = {r.id: r for r in given_up.collect()}
+    assert rows.keys() | lost.keys() == set(range(55)) and not rows.keys() & lost.keys()
+    assert {r.text: (r.error, r.attempt) for r in lost.values()} == {
+        "never 1": ("RuntimeError: no", 3), "never 2": ("RuntimeError: no", 3),
+        "short": ("ValueError: 0 answers to 1 prompts", 3),
+    }
+    assert rows[50].attempt == 2 and all(rows[i].attempt == 1 and rows[i].record.severity == "high" for i in range(50))
+    assert rows[54].response is None and asked.value == calls  # reading asks nobody
+
+
+def test_digests_equal_the_keyed_diff(spark, monkeypatch):
+    monkeypatch.setattr(digests, "COARSE", 16)
+    rng = random.Random(1)
+    schema = "k int, g string, n double, tags array<string>"
+    rows = [(i % 260 if i % 7 else None, f"g{i % 5}", rng.choice([None, 1.0, 2.0]), rng.choice([[], [None], None, ["x"]]))
+            for i in range(300)]
+    other = [r for r in rows if rng.random() > 0.02] + [(900, " new\n", None, [])] + rows[5:9]
+    other = [(k, f" {g}\n", n, [] if tags == [None] and k == 8 else tags) for k, g, n, tags in other]
+    a, b = spark.createDataFrame(rows, schema), spark.createDataFrame(other, schema)
+    def of_key(some):
+        found = {}
+        for k, g, n, tags in some:
+            found.setdefault((k, g.strip()), []).append(str((n, tags)))
+        return {key: sorted(x) for key, x in found.items()}
+
+    same = {key for key, x in of_key(rows).items() if of_key(other).get(key) == x}
+    every = drift.diff_tables(a, b, ["k", "g"]).collect()
+    expected = sorted((tuple(r) for r in every if (r.k, r.g) not in same), key=str)
+    assert expected and sorted(map(tuple, digests.diff_digests(a, b, ["k", "g"]).collect()), key=str) == expected
+    assert digests.diff_digests(a, a.repartition(3), ["k", "g"]).count() == 0
+    assert digests.diff_digests(a, None, ["k"]).count() == 0
+
+
+def test_equal_tables_shuffle_digests_only(spark, monkeypatch):
+    frame = spark.range(5_000).selectExpr("id AS k", "concat('text ', id) AS t")
+    moved = monkeypatch.setattr(digests, "diff_tables", lambda *_: pytest.fail("rows were compared"))
+    assert moved is None and digests.diff_digests(frame, frame.repartition(7), ["k"]).count() == 0
+    plan = digests._differing(*[digests._hashed(x, ["k"]) for x in (frame, frame)], ["coarse"])
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(coarse" in text and "hashpartitioning(k" not in text and "row" not in text.split("Exchange")[1]
+
+
+NUMBERS = shape(k=BIGINT, t=TEXT)
+
+
+def csv(path, rows):
+    path.write_text("k,t\n" + "".join(f"{k},{t}\n" for k, t in rows))
+    return str(path)
+
+
+def test_versions_switch_when_whole(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert tables.read_version(spark, out, "n", NUMBERS).count() == 0 and tables.versions(spark, out, "n") == []
+    for n in (3, 5, 7):
+        path = csv(tmp_path / f"{n}.csv", [(i, "x") for i in range(n)])
+        ((name, version, rows),) = tables.refresh_versions(spark, {"n": (path, NUMBERS)}, out).collect()
+        assert (name, rows) == ("n", n) and tables.current_version(spark, out, "n") == version
+    kept = tables.versions(spark, out, "n")
+    assert len(kept) == 2 and [tables.read_version(spark, out, "n", NUMBERS, v).count() for v in kept] == [5, 7]
+
+
+@pytest.mark.parametrize("refresh", [tables.refresh_tables, tables.refresh_versions])
+def test_a_failed_load_leaves_the_old_rows(spark, tmp_path, refresh):
+    out = str(tmp_path / "out")
+
+    def rows():
+        if refresh is tables.refresh_tables:
+            return spark.read.parquet(f"{out}/n").count()
+        return tables.read_version(spark, out, "n", NUMBERS).count()
+
+    good = csv(tmp_path / "good.csv", [(1, "a"), (2, "b")])
+    refresh(spark, {"n": (good, NUMBERS)}, out).collect()
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    csv(bad / "a.csv", [(1, "a")])
+    (bad / "b.csv").write_text("t,k\nx,1\n")  # another order, found while it is loaded
+    with pytest.raises(Exception):
+        refresh(spark, {"n": (str(bad), NUMBERS)}, out).collect()
+    assert rows() == 2
+    refresh(spark, {"n": (good, NUMBERS)}, out).collect()
+    assert rows() == 2
+
+
+def test_ways_between_two_hubs_stay_near_k(spark, monkeypatch):
+    monkeypatch.setattr(routing, "FEW", 2)
+    n, rng = 600, random.Random(3)
+    cost = {("a", "b"): 1}
+    for i in range(n):
+        cost["a", f"v{i}"] = rng.randint(1, 400)
+        if i % 3:
+            cost[f"v{i}", "b"] = rng.randint(1, 400)
+        cost[f"w{i % 20}", f"v{i}"] = 5
+    edges = spark.createDataFrame([(*e, c) for e, c in cost.items()], "origin string, destination string, cost int")
+    closed = edges.filter("origin = 'a' and destination = 'b'")
+    ways = sorted(
+        (cost["a", f"v{i}"] + cost[f"v{i}", "b"], f"v{i}") for i in range(n) if (f"v{i}", "b") in cost
+    )[:4]
+    stored = {}
+    keep = routing.written
+
+    def counted(frame, purpose):
+        out = keep(frame, purpose)
+        stored[purpose] = stored.get(purpose, 0) + out.count()
+        return out
+
+    monkeypatch.setattr(routing, "written", counted)
+    got = routing.reroute(closed, edges, closed, 4).collect()
+    assert sorted((r.cost, r.via) for r in got) == ways and sorted(r["rank"] for r in got) == [1, 2, 3, 4]
+    assert stored["cheapest-origin"] + stored["cheapest-destination"] < n / 2
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_rounds_against_brute_force(spark, monkeypatch, seed):
+    monkeypatch.setattr(routing, "FEW", 0)
+    rng = random.Random(seed)
+    cost = {(o, d): rng.randint(1, 4) for o in range(14) for d in range(14) if rng.random() < 0.7}
+    shut = {e for e in cost if rng.random() < 0.1}
+    expected = []
+    for o, d in shut:
+        ways = sorted(
+            (cost[o, v] + cost[v, d], v) for v in range(14)
+            if v not in (o, d) and {(o, v), (v, d)} <= cost.keys() - shut
+        )
+        expected += [(o, d, v, c) for c, v in ways[:2]]
+    edges = spark.createDataFrame([(*e, c) for e, c in cost.items()], "origin int, destination int, cost int")
+    closed = spark.createDataFrame(sorted(shut), "origin int, destination int")
+    got = routing.reroute(edges, edges, closed, 2).collect()
+    assert sorted((r.origin, r.destination, r.via, r.cost) for r in got) == sorted(e for e in expected if e[0] != e[1])
