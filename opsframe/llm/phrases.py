@@ -24,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,7 +38,7 @@ NO_LANG = "und"
 #: Words of more bytes stand in the tries as a digest, which bounds the depth.
 LONG_WORD = 64
 #: Phrase hashes that a task gathers before it sends their counts.
-HASHES_AT_ONCE = 4_000_000
+HASHES_AT_ONCE = 2_000_000
 #: Different phrases that a task gathers before it passes them on.
 PHRASES_AT_ONCE = 300_000
 #: Text bytes to each 256 segments of the hash space: some 15 MB of hashes a segment.
@@ -264,8 +265,16 @@ def _class(first_word: np.ndarray) -> np.ndarray:
     return (first_word >> np.uint64(48)).astype(np.int64)
 
 
-def _listed(longest: int, filters: list):
-    """Phrases that pass, and the words in them, each once for a task, with the class of the first word."""
+def _first_words(words: Words) -> np.ndarray:
+    """Of words that are phrases, each a piece of its own: the words after a break."""
+    return np.flatnonzero(np.r_[True, ~words.joined[:-1]])
+
+
+def _listed(longest: int, segments: int, filters: list):
+    """Phrases that pass, and the words in them, each about once for a task.
+
+    A row has those of a segment of the hash space, sorted and compressed.
+    """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str, list[pa.Array]] = {}
@@ -277,17 +286,22 @@ def _listed(longest: int, filters: list):
                 keys = pa.concat_arrays(parts).unique()
                 if not len(keys):
                     continue
-                # Each is a piece of its own, so that the words after a break are the first ones.
-                words = Words(keys.to_pylist(), lang)
-                first = np.r_[True, ~words.joined[:-1]]
-                names = [_spelled(x, long) for x in keys.to_pylist()] if long else keys.cast(pa.string())
+                keys = keys.take(pc.array_sort_indices(keys)).to_pylist()
+                words = Words(keys, lang)
+                segment = _mixed(np.add.reduceat(words.word_hashes(), _first_words(words)))
+                segment = (segment >> np.uint64(64 - segments)).astype(np.int64)
+                order = np.argsort(segment, kind="stable")
+                edges = np.flatnonzero(np.diff(segment[order], prepend=-1, append=-1)).tolist()
+                names = [_spelled(x, long) for x in keys] if long else keys
+                lists = [b"\n".join([names[k] for k in order[a:b].tolist()]) for a, b in zip(edges, edges[1:], strict=False)]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * len(keys), pa.string()),
-                        pa.array(names, pa.string()),
-                        pa.array(_class(words.word_hashes()[first])),
+                        pa.array([lang] * len(lists), pa.string()),
+                        pa.array(segment[order[edges[:-1]]]),
+                        pa.array([len(x) for x in lists], pa.int64()),
+                        pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in lists], pa.binary()),
                     ],
-                    ["lang", "phrase", "class"],
+                    ["lang", "segment", "size", "phrases"],
                 )
             found.clear()
             long.clear()
@@ -318,8 +332,27 @@ def _listed(longest: int, filters: list):
     return of
 
 
-def _spelled(key: bytes, long: dict[bytes, bytes]) -> str:
-    return b" ".join(long.get(w, w) for w in key.split(b" ")).decode()
+def _spelled(key: bytes, long: dict[bytes, bytes]) -> bytes:
+    return b" ".join(long.get(w, w) for w in key.split(b" "))
+
+
+def _once(table: pa.Table) -> pa.Table:
+    """The different phrases of a segment, with the class of the first word."""
+    lang = table.column("lang")[0].as_py()
+    pairs = zip(table.column("phrases").to_pylist(), table.column("size").to_pylist(), strict=True)
+    names: set[bytes] = set()
+    for data, size in pairs:
+        names.update(pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True).split(b"\n"))
+    phrases = sorted(names)
+    words = Words(phrases, lang)
+    return pa.table(
+        [
+            pa.array([lang] * len(phrases), pa.string()),
+            pa.array(phrases, pa.binary()).cast(pa.string()),
+            pa.array(_class(words.word_hashes()[_first_words(words)])),
+        ],
+        names=["lang", "phrase", "class"],
+    )
 
 
 class Trie:
@@ -531,8 +564,11 @@ def counted_phrases(
     context, filters = docs.sparkSession.sparkContext, []
     for length in range(1, longest + 1):
         filters.append(context.broadcast(_filter(texts, length, segments, least, filters)))
-    listed = texts.mapInArrow(_listed(longest, filters), "lang string, phrase string, class long")
-    listed = written(listed.groupBy("lang", "phrase").agg(F.first("class").alias("class")), "phrases")
+    sent = texts.mapInArrow(
+        _listed(longest, segments, filters), "lang string, segment long, size long, phrases binary"
+    )
+    once = sent.groupBy("lang", "segment").applyInArrow(_once, "lang string, phrase string, class long")
+    listed = written(once, "phrases")
     for one in filters:
         one.destroy()
     return _counted(texts, _blocks(listed))
