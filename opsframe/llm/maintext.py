@@ -2,8 +2,9 @@
 
 A page is read into blocks: the text between two block-level tags, with its path
 of block-level tags (and their first class) from the root. What stands in
-elements that never hold an article (menus, forms, scripts ...), by tag, role,
-class or id, is left out beforehand. Over the rest, each path's text length and
+elements that never hold an article (menus, forms, scripts ...), by tag or role, is
+left out beforehand, and so is what class or id name as no part of one, unless
+the element turns out to hold the page's article or most of its text. Over the rest, each path's text length and
 punctuation are summed and divided by its number of blocks, less what is linked.
 Both ratios are fused, smoothed over the blocks in page order, and paths that
 reach the threshold are content. The article is the innermost element that holds
@@ -71,6 +72,15 @@ STARTS = ("comment", "advert", "cookie", "sidebar", "breadcrumb", "sponsor", "na
 #: In the names of elements that hold an article, only these count.
 IN_ARTICLE = ("comment", "advert", "sponsor", "promo", "related", "repl")
 MODIFIERS = frozenset("has no not with without is".split())
+#: Of paragraphs in an article, only names that begin so count.
+IN_PARAGRAPH = ("comment", "advert", "sponsor", "promo", "repl", "cookie", "newsletter", "subscri", "copyright")
+#: Elements named so are not kept for the share of text that they hold: replies can be longer than the article.
+REPLIES = ("comment", "repl", "respond", "disqus", "discussion")
+# Shares of the page's unlinked text: an article in a named element that clears it, the text that
+# clears one where no other article is, and what has to be left for the names to count at all.
+CLEARED = 0.3
+MOSTLY = 0.5
+SMALL = 0.1
 HOLDERS = frozenset("html body main article section div td center details".split())
 ROOTS = frozenset(["", "html", "body"])
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -93,26 +103,37 @@ def _attributes(raw: str) -> dict[str, str]:
     return {m[1].lower(): m[2] or m[3] or m[4] or "" for m in ATTRIBUTE.finditer(raw)}
 
 
-def _left_out(tag: str, attributes: dict[str, str]) -> bool:
-    """Whether an element is, by its attributes, no part of an article."""
+def _hidden(tag: str, attributes: dict[str, str]) -> bool:
+    """Whether an element is not shown or, by its role, no part of an article."""
     if not attributes or tag in ("html", "body"):
         return False
     if "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if "display:none" in attributes.get("style", "").replace(" ", "").lower():
         return True
-    if attributes.get("role", "").lower() in ROLES:
-        return True
+    return attributes.get("role", "").lower() in ROLES
+
+
+def _named(tag: str, attributes: dict[str, str], in_article: bool) -> str | None:
+    """The word of its class or id by which an element is no part of an article."""
+    if not attributes or tag in ("html", "body"):
+        return None
     for name in f"{attributes.get('class', '')} {attributes.get('id', '')}".split():
         words = [w.lower() for w in WORDS.findall(name)]
         if not words or words[0] in MODIFIERS:
             continue
-        if tag in ("main", "article"):
-            if any(w.startswith(IN_ARTICLE) for w in words):
-                return True
-        elif any(w in NAMES or w.startswith(STARTS) for w in words):
-            return True
-    return False
+        for k, w in enumerate(words):
+            if k and words[k - 1] in MODIFIERS:
+                continue
+            if tag in ("main", "article"):
+                named = w.startswith(IN_ARTICLE)
+            elif tag == "p" and in_article:
+                named = w.startswith(IN_PARAGRAPH) or w in ("ad", "ads")
+            else:
+                named = w in NAMES or w.startswith(STARTS)
+            if named:
+                return w
+    return None
 
 
 class Page:
@@ -130,11 +151,58 @@ class Page:
         self.instances: Counter[int] = Counter()
         self.parts = 0
         self.blocks: list[tuple[int, str, int]] = []
-        self.open: list[tuple[str, int, bool, bool]] = []
+        # Blocks with the named elements and the articles they are in, before these are judged.
+        self.found: list[tuple[int, str, int, tuple[int, ...], tuple[int, ...]]] = []
+        self.names: list[str] = []
+        self.articles: list[tuple[tuple[int, ...], bool]] = []
+        self.open: list[tuple[str, int, bool, bool, tuple[int, ...], tuple[int, ...]]] = []
         self.counts: Counter[str] = Counter()
         self.pieces: list[str] = []
         self.linked = 0
         self._read(source)
+        self._judge()
+
+    def _judge(self) -> None:
+        """Drop the blocks of named elements, but for those that hold the article."""
+        if not self.names:
+            self.blocks = [x[:3] for x in self.found]
+            return
+        sizes = [len(text) - min(linked, len(text)) for _, text, linked, _, _ in self.found]
+
+        def held(blocks: list[int], at: int) -> Counter[int]:
+            """Unlinked text of those blocks in each named element (3) or article (4)."""
+            out: Counter[int] = Counter()
+            for k in blocks:
+                out.update(dict.fromkeys(self.found[k][at], sizes[k]))
+            return out
+
+        def articles_in(k: int) -> list[int]:
+            return [a for a, (named, own) in enumerate(self.articles) if k in named and not own]
+
+        every = list(range(len(self.found)))
+        whole = held(every, 4)
+        replies = {
+            k for k, word in enumerate(self.names)
+            if word.startswith(REPLIES) and not any(whole[a] >= MOSTLY * sum(sizes) for a in articles_in(k))
+        }
+        own = [k for k in every if replies.isdisjoint(self.found[k][3])]
+        total, inside, article = sum(sizes[k] for k in own), held(own, 3), held(own, 4)
+        free = any(article[a] for a, (named, _) in enumerate(self.articles) if not named)
+
+        def cleared(k: int) -> bool:
+            if k in replies:
+                return False
+            if any(article[a] >= max(CLEARED * total, 1) for a in articles_in(k)):
+                return True
+            if self.names[k].startswith(REPLIES):
+                return True  # it holds the page's article
+            return not free and inside[k] >= max(MOSTLY * total, 1)
+
+        out = {k for k in range(len(self.names)) if not cleared(k)}
+        left = sum(sizes[k] for k in own if out.isdisjoint(self.found[k][3]))
+        if left < SMALL * total and not free:
+            out &= replies
+        self.blocks = [x[:3] for x in self.found if out.isdisjoint(x[3])]
 
     def _tag_end(self, source: str, at: int) -> int:
         """Where the tag ends whose name ends at ``at``; -1 if nowhere.
@@ -189,11 +257,11 @@ class Page:
                 self._start(tag, raw)
         self._block()
 
-    def _top(self) -> tuple[str, int, bool, bool]:
-        return self.open[-1] if self.open else ("", 0, False, False)
+    def _top(self) -> tuple[str, int, bool, bool, tuple[int, ...], tuple[int, ...]]:
+        return self.open[-1] if self.open else ("", 0, False, False, (), ())
 
     def _text(self, raw: str) -> None:
-        _, _, out, linked = self._top()
+        _, _, out, linked, _, _ = self._top()
         if not out:
             text = html.unescape(raw) if "&" in raw else raw
             self.pieces.append(text)
@@ -205,7 +273,8 @@ class Page:
         if self.pieces:
             text = " ".join("".join(self.pieces).split())
             if text:
-                self.blocks.append((self._top()[1], text, self.linked))
+                top = self._top()
+                self.found.append((top[1], text, self.linked, top[4], top[5]))
             self.pieces = []
         self.linked = 0
 
@@ -249,11 +318,11 @@ class Page:
         if tag in SAME_LEVEL:
             self._implied(*SAME_LEVEL[tag])
         attributes = _attributes(raw)
-        above, path, out, linked = self._top()
+        above, path, out, linked, named, articles = self._top()
         if tag in INLINE:
-            out = out or self.strict and _left_out(tag, attributes)
+            out = out or self.strict and (_hidden(tag, attributes) or _named(tag, attributes, False) is not None)
             if not raw.endswith("/>"):
-                self._push(tag, path, out, linked or tag == "a")
+                self._push(tag, path, out, linked or tag == "a", named, articles)
             return
         self._block()
         first = attributes.get("class", "").split()[:1] or attributes.get("id", "").split()[:1]
@@ -271,16 +340,25 @@ class Page:
             out = self._above_header()  # the article's own title
         elif tag in NEVER and (self.strict or tag not in ("form", "label", "fieldset")):
             out = True
-        elif self.strict:
-            out = out or _left_out(tag, attributes)
+        elif self.strict and not out:
+            out = _hidden(tag, attributes)
+            word = None if out else _named(tag, attributes, bool(articles))
+            if word is not None:
+                named = (*named, len(self.names))
+                self.names.append(word)
+            if tag in ("article", "main"):
+                articles = (*articles, len(self.articles))
+                self.articles.append((named, word is not None))
         if not raw.endswith("/>") or tag in ("div", "p"):
-            self._push(tag, number, out, linked)
+            self._push(tag, number, out, linked, named, articles)
 
     def _above_header(self) -> bool:
         return self.open[-2][2] if len(self.open) > 1 else False
 
-    def _push(self, tag: str, path: int, out: bool, linked: bool) -> None:
-        self.open.append((tag, path, out, linked))
+    def _push(
+        self, tag: str, path: int, out: bool, linked: bool, named: tuple[int, ...], articles: tuple[int, ...]
+    ) -> None:
+        self.open.append((tag, path, out, linked, named, articles))
         self.counts[tag] += 1
 
 

@@ -100,6 +100,39 @@ def test_title_and_lead_outside_the_body_element_stay(article, before):
     assert maintext.main_text(LAYOUT.format(article=article)) == before + PLAIN
 
 
+@pytest.mark.parametrize(
+    "article",
+    [
+        "<div class='content-with-sidebar'><article>{}</article></div>",
+        "<div class='layout right-sidebar'><article>{}</article></div>",
+        "<div class='cookie-recipes'><article>{}</article></div>",
+        "<div class='search-engine-history'><article>{}</article></div>",
+        "<article class='related-science'>{}</article>",
+        "<div id='comment-culture'><main>{}</main></div>",
+        "<div class='banner social'><div class='post'>{}</div></div>",
+    ],
+)
+def test_names_do_not_drop_the_article(article):
+    assert maintext.main_text(LAYOUT.format(article=article.format(INNER))) == TEXT
+
+
+def test_paragraphs_of_an_article_may_be_notices():
+    inner = INNER.replace('<p class="lead">', '<p class="notice">')
+    assert maintext.main_text(LAYOUT.format(article=f"<article>{inner}</article>")) == TEXT
+
+
+def test_long_comments_and_teasers_go():
+    """Comments that are articles, and longer than the article; teasers; a short page with a long sidebar."""
+    comments = "".join(f"<li class=comment><article class=comment-body>{LONG}</article></li>" for _ in range(6))
+    teasers = "".join(f"<article><h3><a href=/{i}>Another story, {i}</a></h3></article>" for i in range(5))
+    rest = f"<section class=related>{teasers}</section><div id=comments class=comments-area><ol>{comments}</ol></div>"
+    for holder in ("<article>{}</article>", "<div class=content-with-sidebar><article>{}</article></div>"):
+        assert maintext.main_text(LAYOUT.format(article=holder.format(INNER) + rest)) == TEXT
+    short = "<article><p>One sentence only, this.</p></article>"
+    page = LAYOUT.format(article=short + f"<div class=sidebar>{LONG}</div>")
+    assert maintext.main_text(page) == "One sentence only, this."
+
+
 def test_paths_sum_their_blocks():
     page = maintext.Page("<article><p>aa.</p><p>bb, cc.</p><h2>t</h2></article>")
     assert [text for _, text, _ in page.blocks] == ["aa.", "bb, cc.", "t"]
