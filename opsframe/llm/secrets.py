@@ -53,14 +53,19 @@ BASE = (
     Rule("hex", r"[0-9a-f]{16,}"),
 )
 ADDED = (
-    Rule("private_key", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----"),
+    # Up to its END line; without one, with the lines of base64 that follow.
+    Rule(
+        "private_key",
+        r"-----BEGIN [A-Z ]*PRIVATE KEY-----"
+        r"(?:(?:[^-]|-(?!----))*+-----END [A-Z ]*PRIVATE KEY-----|(?:\s*+[A-Za-z0-9+/=]{32,}+)*+)",
+    ),
     Rule("code_host", r"gh[oprsu]_[A-Za-z0-9]{36,}"),
     Rule("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("cloud_key", r"AIza[A-Za-z0-9_-]{35}"),
     Rule("payment", r"[rs]k_(live|test)_[A-Za-z0-9]{16,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"),
-    Rule("bearer", r"bearer\x20{1,8}[A-Za-z0-9._~+/-]{20,}", either_case=True),
-    Rule("login_url", r"://[^\s/:@]{1,128}:[^\s/:@]{1,128}@"),
+    Rule("bearer", r"bearer\x20+[A-Za-z0-9._~+/-]{20,}", either_case=True),
+    Rule("login_url", r"://[^\s/:@]++:[^\s/:@]++@"),
 )
 RULES = BASE + ADDED
 
