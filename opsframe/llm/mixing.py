@@ -2,12 +2,13 @@
 
 A source's documents stand in the order of a seeded hash, cut into blocks of
 about equal numbers of documents. Its target is so many passes over all its
-blocks and a part of one more: whole blocks in order and, of the block in which
-the target ends, the documents that come nearest to it. The block draws of all
-sources are split among the output shards by a binary tree: each node halves
-every source's quota by hypergeometric draws, one source after the other, so
-that both sides get exactly their share. A shard then takes its quota of each
-source's permuted blocks, disjoint from every other shard's.
+blocks and a part of one more, each pass in a seeded permutation of its own: whole
+blocks and, of the block in which the target ends, the documents that come nearest
+to it. The block draws of all sources are split among the output shards by a
+binary tree: each node halves every source's quota by hypergeometric draws, one
+source after the other, so that both sides get exactly their share. A shard then
+takes its quota of each source's permuted blocks, disjoint from every other
+shard's; a document is taken as often as a shard's quota holds its block.
 
 Only one row per source and at most ``MOST_BLOCKS`` rows per source are gathered
 on the way; documents are read where they are.
@@ -16,7 +17,6 @@ on the way; documents are read where they are.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from math import gcd
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,10 @@ WEIGHTS = (1.0, 2.0, 3.0)
 MOST_TIMES = 3
 SHARDS = 16
 BLOCK_WORDS = 16_384
+#: Blocks of a source, at most, a power of two; beyond, blocks grow with their source.
 MOST_BLOCKS = 4_096
+#: Rounds of the permutation of a pass.
+ROUNDS = 6
 SEED = 10
 _SPAN = float(1 << 62)
 
@@ -111,7 +114,9 @@ def _targets(weights: tuple[float, ...], block_words: int):
         sources["target"] = target
         sources["passes"] = passes.astype(np.int64)
         sources["rest"] = np.maximum(target - passes * sizes, 0.0)
-        sources["blocks"] = np.clip(-(-sizes // block_words), 1, MOST_BLOCKS)
+        bits = np.ceil(np.log2(np.clip(sizes / block_words, 1, MOST_BLOCKS))).astype(np.int64)
+        sources["blocks"] = 1 << bits
+        sources["side"] = 1 << (bits // 2)
         yield sources
 
     return of
@@ -127,19 +132,12 @@ def _places(shards: int, seed: int):
         draws = (sources["passes"] * sources["blocks"] + sources["last"] + 1).astype(int)
         tree = SplittingTree(int(draws.sum()), shards, rng)
         sources["ends"] = [np.cumsum(tree.split(int(n))).tolist() for n in draws]
-        steps = []
-        for n in sources["blocks"]:
-            step = int(rng.integers(1, n + 1))
-            while gcd(step, int(n)) != 1:
-                step = int(rng.integers(1, n + 1))
-            steps.append(step)
-        sources["step"] = steps
-        yield sources[["v", "ends", "step"]]
+        yield sources[["v", "ends"]]
 
     return of
 
 
-_PLAN = "source string, source_size long, target double, passes long, rest double, blocks long"
+_PLAN = "source string, source_size long, target double, passes long, rest double, blocks long, side long"
 
 
 def _in_order(seed: int, id_col: str, text_col: str) -> Column:
@@ -150,6 +148,24 @@ def _block(order: Column, blocks: Column) -> Column:
     return F.least(F.floor(order / F.lit(_SPAN) * blocks), blocks - 1)
 
 
+def _place(block: Column, plan: Column, number: Column | int, seed: int) -> Column:
+    """The block's place among all draws of its source, in the pass of that number.
+
+    The block is two numbers, each in turn moved by a hash of the other: a
+    permutation of all blocks, for every source and pass another one.
+    """
+    number = F.lit(number) if isinstance(number, int) else number
+    across = F.floor(plan["blocks"] / plan["side"])
+    high, low = F.floor(block / plan["side"]), block % plan["side"]
+    for k in range(ROUNDS):
+        by = F.xxhash64(F.lit(seed + 1), plan["source"], number.cast("long"), F.lit(k), low if k % 2 == 0 else high)
+        if k % 2 == 0:
+            high = (high + F.pmod(by, across)) % across
+        else:
+            low = (low + F.pmod(by, plan["side"])) % plan["side"]
+    return number * plan["blocks"] + high * plan["side"] + low
+
+
 def planned(
     rows: DataFrame,
     weights: tuple[float, ...] = WEIGHTS,
@@ -164,11 +180,13 @@ def planned(
         sources.coalesce(1).mapInPandas(_targets(weights, block_words), _PLAN), "targets"
     )
     keyed = rows.join(plan.withColumnRenamed("source", "s"), F.col("source").eqNullSafe(F.col("s")))
-    keyed = keyed.withColumn("block", _block(F.col("h"), F.col("blocks")))
+    own = F.struct("source", "blocks", "side")
+    place = _place(_block(F.col("h"), F.col("blocks")), own, F.col("passes"), seed)
+    keyed = keyed.withColumn("block", place - F.col("passes") * F.col("blocks"))
     so_far = Window.partitionBy("source").orderBy("block")
     sums = keyed.groupBy("source", "block", "rest").agg(F.sum("size").alias("n"))
     ends = sums.withColumn("end", F.sum("n").over(so_far.rowsBetween(Window.unboundedPreceding, 0)))
-    # The block in which the target ends, and what stands before it.
+    # The place of the block in which the target ends, in the last pass, and what stands before it.
     last = written(
         ends.where((F.col("end") > F.col("rest")) & (F.col("rest") > 0))
         .groupBy("source")
@@ -201,7 +219,7 @@ def planned(
     )
     plan = written(plan, "plan")
     places = plan.select(F.col("source").alias("v"), "passes", "blocks", "last").coalesce(1)
-    places = places.mapInPandas(_places(shards, seed), "v string, ends array<long>, step long")
+    places = places.mapInPandas(_places(shards, seed), "v string, ends array<long>")
     placed = plan.join(places, F.col("source").eqNullSafe(F.col("v"))).drop("v")
     return written(placed, "mix")
 
@@ -241,12 +259,14 @@ def mixed(
     )
     plan_of, h = F.col("__plan"), F.col("__h")
     block = _block(h, plan_of["blocks"])
-    more = (
-        (block < plan_of["last"])
-        | ((block == plan_of["last"]) & F.coalesce(h <= plan_of["cut"], F.lit(False)))
-        | h.eqNullSafe(plan_of["extra"])
-    )
-    times = plan_of["passes"] + more.cast("long")
+    # All draws of the shards together; the last one, if the target ends in it, is a part of its block.
+    draws = F.element_at(plan_of["ends"], -1)
+    part = (plan_of["last"] >= 0).cast("long")
+    cut = F.coalesce(h <= plan_of["cut"], F.lit(False)) | h.eqNullSafe(plan_of["extra"])
+    times = F.lit(0).cast("long")
+    for number in range(MOST_TIMES):
+        place = _place(block, plan_of, number, seed)
+        times = times + ((place < draws - part) | ((place == draws - part) & (part == 1) & cut)).cast("long")
     return (
         sized.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
         .withColumn(
@@ -260,8 +280,8 @@ def mixed(
                 h.alias("h"),
                 block.alias("block"),
                 plan_of["blocks"].alias("blocks"),
-                plan_of["passes"].alias("passes"),
-                plan_of["step"].alias("step"),
+                plan_of["side"].alias("side"),
+                plan_of["source"].alias("source"),
                 plan_of["ends"].alias("ends"),
             ),
         )
@@ -272,17 +292,17 @@ def mixed(
 def drawn(mix: DataFrame, seed: int = SEED) -> DataFrame:
     """The rows of ``mixed`` as often as they are taken, with ``shard`` and ``mix_order``.
 
-    In a full pass a source's blocks are permuted, in the last one they stand in
-    order; the shard is the one whose share of the source's draws the block's
-    place falls into. ``mix_order`` shuffles a shard's rows when they are sorted
+    The shard is the one whose share of the source's draws the block's place in the
+    copy's pass falls into. ``mix_order`` shuffles a shard's rows when they are sorted
     by it.
     """
+    m = F.col("mix")
+    # A document's copies are of the passes in order: every pass but the last takes all blocks.
     copies = mix.where("mix.times > 0").withColumn(
-        "__pass", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mix.times") - 1))
+        "__pass", F.explode(F.sequence(F.lit(0).cast("long"), m["times"] - 1))
     )
-    m, at = F.col("mix"), F.col("__pass")
-    permuted = (m["block"] * m["step"] + at) % m["blocks"]
-    place = at * m["blocks"] + F.when(at < m["passes"], permuted).otherwise(m["block"])
+    at = F.col("__pass")
+    place = _place(m["block"], m, at, seed)
     shard = F.size(F.filter(m["ends"], lambda end: end <= place))
     return copies.withColumns(
         {"shard": shard, "mix_order": F.xxhash64(F.lit(seed), m["h"], at)}

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opsframe.llm import mixing, queries
 from tests.llm.cases import DOCS, awkward, sentence
@@ -95,6 +96,41 @@ def test_draws_fill_disjoint_shards(spark):
     assert all(len(shards) <= 3 for shards in per.values())
 
 
+def test_another_seed_draws_others_and_misses_no_target(spark):
+    docs = [d for d in documents(random.Random(4)) if (d[0] or 0) >= 100]
+    frame = spark.createDataFrame(docs, DOCS)
+    taken, shards = [], []
+    for seed in (1, 2):
+        mix = mixing.mixed(frame, block_words=60, shards=4, seed=seed)
+        rows = mix.collect()
+        sums, largest = Counter(), Counter()
+        for r in rows:
+            sums[r.source] += r.mix.taken
+            largest[r.source] = max(largest[r.source], r.mix["size"])
+        assert all(abs(sums[r.source] - r.mix.target) <= largest[r.source] / 2 + 1 for r in rows)
+        taken.append({r.doc_id: r.mix.times for r in rows})
+        shards.append(Counter((r.doc_id, r.shard) for r in mixing.drawn(mix, seed=seed).collect()))
+    assert sum(taken[0][i] != taken[1][i] for i in taken[0]) > 20
+    assert sum((shards[0] - shards[1]).values()) > 100
+
+
+def test_passes_are_permutations_of_their_own(spark):
+    """Every pass has each block once, in another order, without a step that leads from one to the next."""
+    plan = F.struct(F.col("source"), F.lit(512).cast("long").alias("blocks"), F.lit(16).cast("long").alias("side"))
+    blocks = spark.range(512).crossJoin(spark.createDataFrame([("a",), ("b",), (None,)], "source string"))
+    orders = []
+    for number in range(3):
+        rows = blocks.select("source", "id", mixing._place(F.col("id"), plan, number, 10).alias("place")).collect()
+        for source in ("a", "b", None):
+            found = [r.place for r in sorted(rows, key=lambda r: r.id) if r.source == source]
+            assert sorted(found) == list(range(512 * number, 512 * number + 512))
+            orders.append(found)
+    for found in orders:
+        steps = Counter((b - a) % 512 for a, b in zip(found, found[1:], strict=False))
+        assert max(steps.values()) < 16
+    assert len({tuple(x % 512 for x in found) for found in orders}) == 9
+
+
 def test_tree_splits_every_quota_exactly():
     rng = np.random.default_rng(1)
     quotas = [0, 7, 500, 3, 1, 90]
