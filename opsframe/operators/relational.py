@@ -131,11 +131,16 @@ def qualified(
 def join_stored(left: DataFrame, right: DataFrame, on: str, how: str) -> DataFrame:
     """Join with aggregated rows that are unique by ``on``, whatever keys of the left are hot.
 
-    The right side is stored and scanned, so both sides come straight from a
-    shuffle and AQE splits just the keys that turn out hot, into as many tasks
-    as their size asks for. A small right side is broadcast by its measured size.
+    A right side that Catalyst knows to be small is joined as it is, and broadcast.
+    Any other is stored and scanned, so both sides come straight from a shuffle
+    and AQE splits just the keys that turn out hot, into as many tasks as their
+    size asks for, or broadcasts it by its measured size.
     """
-    return left.join(written(right, "join"), on, how)
+    spark = right.sparkSession
+    most = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    most = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(most) if most != "-1" else -1
+    size = int(str(right._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return left.join(right if size <= most else written(right, "join"), on, how)
 
 
 def evidence_per_home(

@@ -67,6 +67,26 @@ SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey,
     WHEN o_orderkey % 89 = 0 THEN concat_ws(',', o_orderkey, o_custkey) END AS broken
 FROM orders WHERE o_orderkey % 97 = 0 OR o_orderkey % 89 = 0 OR o_orderkey % 83 = 0
 """
+ORACLES["s1_flags"] = """
+SELECT c_custkey, CASE WHEN c_acctbal > 100 THEN true WHEN c_acctbal < -100 THEN false END AS active,
+  c_acctbal > 0 AND c_acctbal <= 100 AS rejected
+FROM customer
+"""
+ORACLES["s5_large_pieces"] = """
+SELECT CAST(sum(length(text) + 1) AS BIGINT) AS n_chars, true AS "full" FROM documents
+"""
+ORACLES["i3_cargo"] = """
+WITH answers AS (
+  SELECT o_orderpriority, CASE WHEN contains(o_orderpriority, 'URGENT') THEN 'urgent' WHEN contains(o_orderpriority, 'HIGH') THEN 'high'
+    WHEN contains(o_orderpriority, 'LOW') THEN 'low' WHEN contains(o_orderpriority, 'MEDIUM') THEN 'medium' ELSE 'other' END AS kind
+  FROM orders)
+SELECT o_orderpriority, CASE kind WHEN 'urgent' THEN 'fast_lane' WHEN 'other' THEN 'customs_review' END AS lane,
+  CASE kind WHEN 'urgent' THEN 'urgent' WHEN 'high' THEN 'risk_score: out of range' WHEN 'low' THEN 'lane: not allowed'
+    WHEN 'medium' THEN 'reason: missing'
+    ELSE (length('Which lane for ' || o_orderpriority || '?')) || ' characters' END AS reason,
+  CASE kind WHEN 'urgent' THEN 0.125::DOUBLE WHEN 'other' THEN 1.0::DOUBLE END AS risk_score, count(*) AS n_orders
+FROM answers GROUP BY ALL
+"""
 ORACLES["s4_list_files"] = """
 SELECT DISTINCT 'source=' || source || '/*.parquet' AS path, 1::BIGINT AS n_files FROM documents
 """

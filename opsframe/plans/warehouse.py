@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from opsframe.functions import records, text
-from opsframe.functions.shapes import BIGINT, DATE, DOUBLE, TEXT, shape
+from opsframe.functions.shapes import BIGINT, BOOLEAN, DATE, DOUBLE, TEXT, shape
 from opsframe.operators import (
     answers,
     digests,
@@ -30,7 +30,7 @@ from opsframe.operators import (
     routing,
 )
 from opsframe.plans import reports
-from opsframe.sources import files, manifests, tables
+from opsframe.sources import files, large, manifests, tables
 from opsframe.sources.scratch import shared_dir, written
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,6 +145,22 @@ def s1_load_table(spark: SparkSession, folder: str) -> DataFrame:
     return loaded.withColumn("o_orderdate", F.col("o_orderdate").cast("string"))
 
 
+@query
+def s1_flags(spark: SparkSession, folder: str) -> DataFrame:
+    """Flags written as words: 'true' and 'false' are read, an empty cell and any other word are none."""
+    customer = table(spark, folder, "customer")
+    word = F.when(F.col("c_acctbal") > 100, "true").when(F.col("c_acctbal") < -100, "false").when(
+        F.col("c_acctbal") > 0, "yes"
+    )
+    path = _as_csv(customer.select(word.alias("active"), "c_custkey"), "flags-csv")
+    schema = shape(c_custkey=BIGINT, active=BOOLEAN)
+    loaded = tables.load_table(spark, path, schema)
+    bad = tables.rejected_rows(spark, path, schema).select(F.col("c_custkey").cast("bigint").alias("_bad"))
+    return loaded.join(bad, F.col("c_custkey") == F.col("_bad"), "left").select(
+        "c_custkey", "active", F.col("_bad").isNotNull().alias("rejected")
+    )
+
+
 @query
 def s1_rejected(spark: SparkSession, folder: str) -> DataFrame:
     """What a CSV of orders reports where rows have surplus, missing or unreadable cells."""
@@ -237,6 +253,33 @@ def s4_list_files(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query
+def s4_hidden_files(spark: SparkSession, folder: str) -> DataFrame:
+    """How many files hold the documents of each source, in folders that Spark itself does not list."""
+    out = shared_dir(spark, "documents-hidden")
+    docs = table(spark, folder, "documents").select("doc_id", "source")
+    hidden = F.when(F.crc32("source") % 2 == 0, F.concat(F.lit("_"), "source")).otherwise(F.concat(F.lit("."), "source"))
+    docs.withColumn("at", hidden).repartition("at").write.partitionBy("at").parquet(f"{out}/.parts")
+    listed = files.list_files(spark, out, hidden=True).filter(F.col("path").rlike(r"/part-[^/]*\.parquet$"))
+    return listed.groupBy(F.regexp_extract("path", r"^\.parts/at=([^/]*)/part-", 1).alias("at")).agg(
+        F.count("*").alias("n_files"), (F.min("length") > 0).alias("filled")
+    )
+
+
+@query
+def s5_large_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Characters of text files of all documents, whatever splits and pieces they are read in."""
+    out = shared_dir(spark, "documents-large")
+    table(spark, folder, "documents").select(files.plain_lines(F.col("text")).alias("text")).coalesce(2).write.text(out)
+    read = large.read_large_texts(spark, out, max_chars=10_000)
+    sizes = read.select("path", "piece", F.length("text").alias("n"))
+    last = Window.partitionBy("path")
+    return sizes.withColumn("last", F.max("piece").over(last)).agg(
+        F.sum("n").alias("n_chars"),
+        (F.count_if((F.col("n") != 10_000) & (F.col("piece") < F.col("last"))) == 0).alias("full"),
+    )
+
+
 @query
 def s5_text_files(spark: SparkSession, folder: str) -> DataFrame:
     """How often each line occurs in whole text files of up to 100 documents."""
@@ -835,6 +878,32 @@ def i3_rejected(spark: SparkSession, folder: str) -> DataFrame:
     return rejected.select("doc_id", F.array_join("reasons", "; ").alias("reasons"), "response")
 
 
+CARGO_MODEL = inference.keyword_model(
+    (
+        ("URGENT", '{"lane": "fast_lane", "reason": "urgent", "risk_score": 0.125}'),
+        ("HIGH", '{"lane": "quarantine", "reason": "high", "risk_score": 1.5}'),
+        ("LOW", '{"lane": "hold", "reason": "low", "risk_score": 0.5}'),
+        ("MEDIUM", '{"lane": "customs_review", "risk_score": 0.25}'),
+    ),
+    '{"lane": "customs_review", "reason": "{size} characters", "risk_score": 1}',
+)
+
+
+@query
+def i3_cargo(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders by what the records of their lanes come to: decisions, or reasons for having none."""
+    orders = table(spark, folder, "orders")
+    asked = inference.build_prompts(orders, "Which lane for {}?", ["o_orderpriority"])
+    scored = inference.infer(asked, "prompt", CARGO_MODEL, records.CARGO_DECISION)
+    valid, rejected = inference.validate(scored, "record", records.CARGO_DECISION_RULES)
+    decided = valid.select("o_orderpriority", "record.lane", "record.reason", "record.risk_score")
+    reasons = F.array_join("reasons", "; ").alias("reason")
+    refused = rejected.select("o_orderpriority", F.lit(None).cast("string").alias("lane"), reasons, F.lit(None).cast("double").alias("risk_score"))
+    return decided.unionAll(refused).groupBy("o_orderpriority", "lane", "reason", "risk_score").agg(
+        F.count("*").alias("n_orders")
+    )
+
+
 @query
 def i4_label(spark: SparkSession, folder: str) -> DataFrame:
     labelled = inference.infer_label(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import posixpath
 import re
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -51,12 +52,44 @@ def _files(spark: SparkSession, root: str, subdir: str) -> DataFrame:
     return found.withColumn("path", F.substr(F.col("path"), F.lit(len(base) + 1)))
 
 
-def list_files(spark: SparkSession, root: str, subdir: str = "") -> DataFrame:
+def _listed(spark: SparkSession, root: str, subdir: str, at_a_time: int) -> DataFrame:
+    """Every file below, hidden ones too: folders are listed in rounds, some at a time."""
+    target = re.sub(r"\\([\\*?{}\[\]])", r"\1", _inside(root, subdir))
+    base = _qualified(spark, root)
+    folder = spark._jvm.org.apache.hadoop.fs.Path(target)
+    store = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    rows: list[tuple[str, int, int]] = []
+
+    def listed(path) -> list:
+        """Folders in a folder; its files go to the rows."""
+        below = []
+        for status in store.listStatus(path):
+            if status.isDirectory():
+                below.append(status.getPath())
+            else:
+                rows.append((status.getPath().toString()[len(base) :], status.getLen(), status.getModificationTime()))
+        return below
+
+    front = [store.makeQualified(folder)] if store.exists(folder) else []
+    with ThreadPoolExecutor(at_a_time) as jobs:
+        while front:
+            front = [path for below in jobs.map(listed, front) for path in below]
+    found = spark.createDataFrame(rows, "path string, length bigint, ms bigint")
+    return found.select("path", "length", F.timestamp_millis("ms").alias("modified")).orderBy("path")
+
+
+def list_files(
+    spark: SparkSession, root: str, subdir: str = "", *, hidden: bool = False, at_a_time: int = 16
+) -> DataFrame:
     """(path, length, modified) of every file below, sorted by path.
 
     Paths are relative to the root. A missing folder gives no rows. File
-    content is not read. Spark skips names that start with ``_`` or ``.``.
+    content is not read. Spark skips names that start with ``_`` or ``.``; with
+    ``hidden`` these are listed too, folder by folder, ``at_a_time`` of them at once.
+    Either way the driver holds the list of files.
     """
+    if hidden:
+        return _listed(spark, root, subdir, at_a_time)
     return (
         _files(spark, root, subdir)
         .select("path", "length", F.col("modificationTime").alias("modified"))

@@ -260,7 +260,7 @@ def raw_cells(
     sep = {k.lower(): v for k, v in options.items()}.get("sep") or options.get("delimiter") or ","
     cells = T.StructType([T.StructField(name, T.StringType()) for name in [*names, broken]])
     given = {"mode": "PERMISSIVE", "escape": QUOTE, **options, "columnNameOfCorruptRecord": broken, "columnPruning": "false"}
-    text = F.regexp_replace(F.regexp_replace("record", "\r$", ""), "\r\n", "\n")
+    text = F.regexp_replace(F.regexp_replace("record", r"\r\z", ""), "\r\n", "\n")
     row = F.from_csv(text, _ddl(cells), given)
     header = F.array(*[F.col("row")[n] for n in names])
     same = F.coalesce(header == F.array(*[F.lit(n) for n in names]), F.lit(False))

@@ -1,0 +1,48 @@
+"""Files larger than a split, and files that Spark does not list."""
+
+import random
+
+import pytest
+
+from opsframe.sources import files, large
+
+
+@pytest.mark.parametrize("size, max_chars", [("64", 50), ("300", 7), ("1000", 4096)])
+def test_pieces_of_many_splits_equal_those_of_the_whole(spark, tmp_path, size, max_chars):
+    rng = random.Random(max_chars)
+    ends = ["\n", "\r\n", "\n\n"]
+    for i in range(3):
+        folder = tmp_path / ("a dir" if i else ".")
+        folder.mkdir(exist_ok=True)
+        text = "".join("é\U0001f600x \ry"[: rng.randint(0, 7)] * rng.randint(0, 12) + rng.choice(ends) for _ in range(60))
+        (folder / f"f+{i}%20.txt").write_bytes((text + ("" if i == 1 else "no end")).encode())
+    (tmp_path / "empty.txt").write_text("")
+    (tmp_path / "one.txt").write_text("\n")
+    expected = {(r.path, r.piece): r.text for r in files.read_text_files(spark, str(tmp_path), max_chars=max_chars).collect()}
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+    try:
+        found = large.read_large_texts(spark, str(tmp_path), max_chars=max_chars)
+        assert {(r.path, r.piece): r.text for r in found.collect()} == expected
+    finally:
+        for key, value in saved.items():
+            spark.conf.set(key, value)
+
+
+def test_hidden_files_are_listed(spark, tmp_path):
+    for name in ("a.txt", ".x", "_y", ".dir/_deep/z.txt", "b/.w"):
+        path = tmp_path / "r[1]" / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_text(name)
+    root = str(tmp_path / "r[1]")
+    found = files.list_files(spark, root, hidden=True).collect()
+    assert [(r.path, r.length) for r in found] == sorted(
+        (n, len(n)) for n in ("a.txt", ".x", "_y", ".dir/_deep/z.txt", "b/.w")
+    )
+    assert [r.path for r in files.list_files(spark, root, ".dir", hidden=True).collect()] == [".dir/_deep/z.txt"]
+    assert files.list_files(spark, root, "absent", hidden=True).count() == 0
+    with pytest.raises(ValueError, match="escapes"):
+        files.list_files(spark, root, "..", hidden=True)
+    modified = {r.path: r.modified for r in files.list_files(spark, root).collect()}
+    assert modified["a.txt"] == {r.path: r.modified for r in found}["a.txt"]

@@ -66,11 +66,11 @@ def test_many_splits_equal_one_task(spark, tmp_path, tiny_splits, size, end):
 def test_another_header_and_other_splits_fail(spark, tmp_path, tiny_splits):
     written_file(tmp_path / "a.csv", random.Random(1), 20)
     written_file(tmp_path / "b.csv", random.Random(2), 20, header=("size", "id", "note", "more"))
-    tiny_splits("200")
+    tiny_splits("90")
     with pytest.raises(Exception, match="another header|header"):
         tables.load_table(spark, str(tmp_path), TABLE).collect()
     frame = tables.load_table(spark, str(tmp_path / "a.csv"), TABLE)
-    tiny_splits("150")
+    tiny_splits("60")
     with pytest.raises(Exception, match="load it again"):
         frame.collect()
 
