@@ -90,6 +90,10 @@ FROM answers GROUP BY ALL
 ORACLES["s4_list_files"] = """
 SELECT DISTINCT 'source=' || source || '/*.parquet' AS path, 1::BIGINT AS n_files FROM documents
 """
+ORACLES["s4_hidden_files"] = """
+SELECT DISTINCT CASE length(source) % 2 WHEN 0 THEN '_' ELSE '.' END || source AS "at", 1::BIGINT AS n_files, true AS filled
+FROM documents
+"""
 ORACLES["s5_text_files"] = """
 SELECT line, count(*) AS n FROM (SELECT unnest(string_split(text, chr(10))) AS line FROM documents)
 WHERE line <> '' GROUP BY line

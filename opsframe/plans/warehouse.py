@@ -258,7 +258,7 @@ def s4_hidden_files(spark: SparkSession, folder: str) -> DataFrame:
     """How many files hold the documents of each source, in folders that Spark itself does not list."""
     out = shared_dir(spark, "documents-hidden")
     docs = table(spark, folder, "documents").select("doc_id", "source")
-    hidden = F.when(F.crc32("source") % 2 == 0, F.concat(F.lit("_"), "source")).otherwise(F.concat(F.lit("."), "source"))
+    hidden = F.when(F.length("source") % 2 == 0, F.concat(F.lit("_"), "source")).otherwise(F.concat(F.lit("."), "source"))
     docs.withColumn("at", hidden).repartition("at").write.partitionBy("at").parquet(f"{out}/.parts")
     listed = files.list_files(spark, out, hidden=True).filter(F.col("path").rlike(r"/part-[^/]*\.parquet$"))
     return listed.groupBy(F.regexp_extract("path", r"^\.parts/at=([^/]*)/part-", 1).alias("at")).agg(
