@@ -63,8 +63,8 @@ def corpus():
 def test_equals_brute_force(spark, monkeypatch, small):
     """Also with blocks, gathered phrases and hashes so small that each is cut many times."""
     if small:
-        for name, value in (("BLOCK_BYTES", 300), ("PHRASES_AT_ONCE", 20), ("HASHES_AT_ONCE", 50),
-                            ("SEGMENT_TEXT", 500), ("BLOCKS_AT_ONCE", 3), ("BYTES_AT_ONCE", 64)):
+        for name, value in (("BLOCK_BYTES", 4_000), ("PHRASES_AT_ONCE", 20), ("HASHES_AT_ONCE", 50),
+                            ("SEGMENT_TEXT", 500), ("BLOCKS_AT_ONCE", 2), ("BYTES_AT_ONCE", 64)):
             monkeypatch.setattr(phrases, name, value)
     docs = corpus()
     found = phrases.collocations(spark.createDataFrame(docs, DOCS))
