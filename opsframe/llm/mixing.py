@@ -155,15 +155,23 @@ def _place(block: Column, plan: Column, number: Column | int, seed: int) -> Colu
     permutation of all blocks, for every source and pass another one.
     """
     number = F.lit(number) if isinstance(number, int) else number
-    across = F.floor(plan["blocks"] / plan["side"])
-    high, low = F.floor(block / plan["side"]), block % plan["side"]
-    for k in range(ROUNDS):
-        by = F.xxhash64(F.lit(seed + 1), plan["source"], number.cast("long"), F.lit(k), low if k % 2 == 0 else high)
-        if k % 2 == 0:
-            high = (high + F.pmod(by, across)) % across
-        else:
-            low = (low + F.pmod(by, plan["side"])) % plan["side"]
-    return number * plan["blocks"] + high * plan["side"] + low
+    number, side = number.cast("long"), plan["side"]
+    across = F.floor(plan["blocks"] / side)
+
+    def moved(pair: Column, k: Column) -> Column:
+        """One round. Rounds are steps of a fold, for nested they would double the expression."""
+        by = F.xxhash64(
+            F.lit(seed + 1), plan["source"], number, k, F.when(k % 2 == 0, pair["low"]).otherwise(pair["high"])
+        )
+        high = F.when(k % 2 == 0, (pair["high"] + F.pmod(by, across)) % across).otherwise(pair["high"])
+        low = F.when(k % 2 == 0, pair["low"]).otherwise((pair["low"] + F.pmod(by, side)) % side)
+        return F.struct(high.alias("high"), low.alias("low"))
+
+    start = F.struct(F.floor(block / side).cast("long").alias("high"), (block % side).cast("long").alias("low"))
+    end = F.aggregate(
+        F.array(*[F.lit(k) for k in range(ROUNDS)]), start, moved, lambda pair: pair["high"] * side + pair["low"]
+    )
+    return number * plan["blocks"] + end
 
 
 def planned(
@@ -263,10 +271,12 @@ def mixed(
     draws = F.element_at(plan_of["ends"], -1)
     part = (plan_of["last"] >= 0).cast("long")
     cut = F.coalesce(h <= plan_of["cut"], F.lit(False)) | h.eqNullSafe(plan_of["extra"])
-    times = F.lit(0).cast("long")
-    for number in range(MOST_TIMES):
-        place = _place(block, plan_of, number, seed)
-        times = times + ((place < draws - part) | ((place == draws - part) & (part == 1) & cut)).cast("long")
+    places = F.transform(
+        F.array(*[F.lit(n) for n in range(MOST_TIMES)]), lambda n: _place(block, plan_of, n, seed)
+    )
+    whole = draws - part
+    taken = F.filter(places, lambda at: (at < whole) | ((at == whole) & (part == 1) & cut))
+    times = F.size(taken).cast("long")
     return (
         sized.join(plan, F.col(source_col).cast("string").eqNullSafe(F.col("__source")))
         .withColumn(
