@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsframe.llm.batches import hash_share
 from opsframe.sources.scratch import written
 
 TREES = 40
@@ -179,10 +180,13 @@ def forests_of(rows: np.ndarray, seed: int = SEED) -> Forests:
 
 
 def _grown(stats: DataFrame, id_col: str, seed: int) -> Forests:
-    passing = stats.where(~base_failed(F.col("__counts")))
     # The id tells documents of equal statistics apart, so that each is drawn by itself.
+    passing = stats.where(~base_failed(F.col("__counts"))).select(
+        F.xxhash64(F.lit(seed), id_col, "__counts").alias("__order"), "__counts.*"
+    )
+    # Only this share leaves the tasks.
     sample = (
-        passing.select(F.xxhash64(F.lit(seed), id_col, "__counts").alias("__order"), "__counts.*")
+        passing.where(hash_share(F.col("__order"), SAMPLE_ROWS, passing.count()))
         .orderBy("__order", *COUNTS)
         .limit(SAMPLE_ROWS)
         .toPandas()

@@ -16,10 +16,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsframe.llm.batches import hash_share
 from opsframe.sources.scratch import written
 
 #: Labelled URLs the trees learn from, at most.
 TRAIN_ROWS = 20_000
+#: Parts of the labelled URLs; a suffix's statistics leave out the part of the row that learns.
+FOLDS = 5
 TREES = 10
 DEPTH = 4
 SEED = 9
@@ -127,44 +130,131 @@ def lexical(urls: DataFrame) -> DataFrame:
     )
 
 
-def suffix_statistics(labelled: DataFrame) -> tuple[DataFrame, float]:
-    """Per suffix the smoothed share of blocked URLs and its share of all labelled ones; and the
-    share of blocked URLs among all of them, zero if there are none."""
-    per = written(
-        labelled.groupBy("suffix").agg(F.sum("label").alias("bad"), F.count("*").alias("n")),
-        "suffixes",
-    )
-    bad, n = per.agg(F.sum("bad"), F.sum("n")).first()
-    usual = bad / n if n else 0.0
-    statistics = per.select(
-        F.col("suffix").alias("__suffix"),
-        ((F.col("bad") + 10 * usual) / (F.col("n") + 10)).alias("suffix_rate"),
-        (F.col("n") / F.lit(float(n or 1))).alias("suffix_share"),
-    )
-    return statistics, usual
+def fold_of(url: Column, seed: int = SEED) -> Column:
+    """The part of a labelled URL, the same for all its copies."""
+    return F.pmod(F.xxhash64(F.lit(seed + 1), url), F.lit(FOLDS)).cast("int")
 
 
-def _with_statistics(urls: DataFrame, statistics: DataFrame, usual: float) -> DataFrame:
-    return (
-        urls.join(statistics, F.col("suffix") == F.col("__suffix"), "left")
-        .drop("__suffix")
-        .fillna({"suffix_rate": usual, "suffix_share": 0.0})
-    )
+def _rates(bad: Column, n: Column, all_bad: Column | float, all_n: Column | float) -> list[Column]:
+    """The smoothed share of blocked URLs of a suffix, and its share of all labelled ones."""
+    usual = _share(F.lit(all_bad) if isinstance(all_bad, float) else all_bad, F.lit(all_n))
+    return [((bad + 10 * usual) / (n + 10)).alias("suffix_rate"), _share(n, F.lit(all_n)).alias("suffix_share")]
 
 
-def trained(labelled: DataFrame, seed: int = SEED) -> GBTClassificationModel:
-    """Trees on the bounded sample of labelled rows that come first by a seeded hash of ``__key``."""
-    sample = written(
-        labelled.withColumn("__h", F.xxhash64(F.lit(seed), "url", "__key"))
-        .orderBy("__h", "url", "__key")
-        .limit(TRAIN_ROWS)
-        .select("label", *FEATURES),
-        "urls",
-    )
+class SuffixStatistics:
+    """Blocked and all labelled URLs (suffix, fold, label) per suffix and fold.
+
+    ``usual`` is the share of blocked ones among all of them, zero if there are none.
+    """
+
+    def __init__(self, labelled: DataFrame) -> None:
+        self.per = written(
+            labelled.groupBy("suffix", "fold").agg(F.sum("label").alias("bad"), F.count("*").alias("n")),
+            "suffixes",
+        )
+        folds = {r["fold"]: (r["bad"], float(r["n"])) for r in self._folds().collect()}
+        self.folds = [folds.get(fold, (0.0, 0.0)) for fold in range(FOLDS)]
+        self.bad, self.n = (sum(x) for x in zip(*self.folds, strict=True))
+        self.usual = self.bad / self.n if self.n else 0.0
+
+    def _folds(self) -> DataFrame:
+        return self.per.groupBy("fold").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+
+    def _by_suffix(self) -> DataFrame:
+        every = self.per.groupBy("suffix").agg(F.sum("bad").alias("bad"), F.sum("n").alias("n"))
+        return every.withColumnRenamed("suffix", "__suffix")
+
+    def joined(self, urls: DataFrame) -> DataFrame:
+        """The URLs with the statistics of all labelled ones."""
+        per = self._by_suffix().select("__suffix", *_rates(F.col("bad"), F.col("n"), self.bad, self.n))
+        return (
+            urls.join(per, F.col("suffix") == F.col("__suffix"), "left")
+            .drop("__suffix")
+            .fillna({"suffix_rate": self.usual, "suffix_share": 0.0})
+        )
+
+    def joined_apart(self, labelled: DataFrame) -> DataFrame:
+        """The labelled URLs, each with the statistics of those of all other folds.
+
+        So no URL's own label, nor that of a copy, is in what it learns from.
+        """
+        rest = [(self.bad - bad, self.n - n) for bad, n in self.folds]
+        all_bad, all_n = (
+            F.element_at(F.array(*[F.lit(float(x)) for x in column]), F.col("__fold") + 1)
+            for column in zip(*rest, strict=True)
+        )
+        own = self.per.select(F.col("suffix").alias("__s"), F.col("fold").alias("__fold"), "bad", "n")
+        every = self._by_suffix().withColumnsRenamed({"bad": "__bad", "n": "__n"})
+        per = own.join(every, F.col("__s") == F.col("__suffix")).select(
+            "__s", "__fold", *_rates(F.col("__bad") - F.col("bad"), F.col("__n") - F.col("n"), all_bad, all_n)
+        )
+        same = (F.col("suffix") == F.col("__s")) & (F.col("fold") == F.col("__fold"))
+        return labelled.join(per, same).drop("__s", "__fold")
+
+
+def _drawn(labelled: DataFrame, n: int, seed: int) -> DataFrame:
+    """The bounded sample of labelled rows that come first by a seeded hash of ``__key``."""
+    keyed = labelled.withColumn("__h", F.xxhash64(F.lit(seed), "url", "__key"))
+    # Only this share leaves the tasks.
+    some = keyed.where(hash_share(F.col("__h"), TRAIN_ROWS, n))
+    return some.orderBy("__h", "url", "__key").limit(TRAIN_ROWS)
+
+
+def trained(sample: DataFrame, seed: int = SEED) -> GBTClassificationModel:
+    """Trees on stored rows of the label and every feature."""
     rows = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(sample)
     return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=seed, stepSize=0.3).fit(rows)
 
 
+def _scored(urls: DataFrame, model: GBTClassificationModel) -> DataFrame:
+    """The URLs with ``score``, the model's probability that they are blocked."""
+    model = model.setRawPredictionCol("").setPredictionCol("__guess").setProbabilityCol("__p")
+    ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(urls)
+    return model.transform(ready).withColumn("score", vector_to_array(F.col("__p"))[1])
+
+
+def _labelled(urls: DataFrame) -> DataFrame:
+    """The URLs that a rule decides, with ``label`` (1 if blocked) and ``fold``."""
+    blocked = (F.col("__fit.verdict") == "block").cast("double")
+    return urls.where("__fit is not null").withColumns({"label": blocked, "fold": fold_of(F.col("url"))})
+
+
+def held_out(
+    pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "url", fold: int = 0
+) -> DataFrame:
+    """How trees that learn from the labelled URLs of the other folds judge one fold's.
+
+    One row per label and verdict: ``label``, ``predicted`` (0 or 1) and ``n``.
+    Statistics of suffixes come from the other folds too. Without labelled URLs
+    of both kinds there is nothing to measure: no row.
+    """
+    url = F.col(url_col)
+    urls = lexical(
+        pages.select(
+            url.alias("url"),
+            host_of(url).alias("host"),
+            path_of(url).alias("path"),
+            F.xxhash64(F.lit(0), *(c for c in pages.columns if _plain(pages, c))).alias("__key"),
+        )
+    ).withColumn("__fit", rule_of(F.col("host"), F.col("path"), rules))
+    labelled = _labelled(urls)
+    rest = labelled.where(F.col("fold") != fold)
+    statistics = SuffixStatistics(rest)
+    schema = "label int, predicted int, n long"
+    if not 0 < statistics.usual < 1:
+        return pages.sparkSession.createDataFrame([], schema)
+    sample = _drawn(statistics.joined_apart(rest), int(statistics.n), SEED)
+    model = trained(written(sample.select("label", *FEATURES), "urls"))
+    tested = _scored(statistics.joined(labelled.where(F.col("fold") == fold)), model)
+    return tested.groupBy(
+        F.col("label").cast("int").alias("label"), (F.col("score") >= 0.5).cast("int").alias("predicted")
+    ).agg(F.count("*").alias("n"))
+
+
+def _plain(frame: DataFrame, column: str) -> bool:
+    return isinstance(frame.schema[column].dataType, T.AtomicType)
+
+
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "url") -> DataFrame:
     """``pages`` with host, path, ``rule`` (null if none fits), ``score`` and ``verdict``.
 
@@ -186,22 +276,16 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES, url_col: str = "ur
             path_of(url).alias("path"),
         )
     ).withColumn("__fit", rule_of(F.col("host"), F.col("path"), rules))
-    blocked = (F.col("__fit.verdict") == "block").cast("double")
     # Rows of one URL are drawn each by itself, told apart by their other plain columns.
-    plain = [c for c in kept if isinstance(pages.schema[c].dataType, T.AtomicType)]
-    key = F.xxhash64(F.lit(0), *(F.col("__row").getField(c) for c in plain))
-    labelled = (
-        urls.where("__fit is not null").withColumns({"label": blocked, "__key": key}).drop("__row")
-    )
-    statistics, usual = suffix_statistics(labelled)
-    all_urls = _with_statistics(urls, statistics, usual)
-    if 0 < usual < 1:
-        model = trained(_with_statistics(labelled, statistics, usual))
-        model = model.setRawPredictionCol("").setPredictionCol("__guess").setProbabilityCol("__p")
-        ready = VectorAssembler(inputCols=list(FEATURES), outputCol="features").transform(all_urls)
-        guess = model.transform(ready).withColumn("score", vector_to_array(F.col("__p"))[1])
+    key = F.xxhash64(F.lit(0), *(F.col("__row").getField(c) for c in kept if _plain(pages, c)))
+    labelled = _labelled(urls.withColumn("__key", key).drop("__row"))
+    statistics = SuffixStatistics(labelled)
+    all_urls = statistics.joined(urls)
+    if 0 < statistics.usual < 1:
+        sample = _drawn(statistics.joined_apart(labelled), int(statistics.n), SEED)
+        guess = _scored(all_urls, trained(written(sample.select("label", *FEATURES), "urls")))
     else:
-        guess = all_urls.withColumn("score", F.lit(usual))
+        guess = all_urls.withColumn("score", F.lit(statistics.usual))
     verdict = F.coalesce(
         F.col("__fit.verdict"), F.when(F.col("score") >= 0.5, "block").otherwise("allow")
     )

@@ -107,3 +107,38 @@ def test_query_rules_and_no_python(spark):
         assert verdict is None or found[i].verdict == verdict
     plan = out._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def mixed_suffixes():
+    """Verdicts follow the host's suffix alone; one suffix has a single URL."""
+    found = [f"https://site{i}.com/fr/{i % 13}" for i in range(150)]
+    found += [f"https://site{i}.example.org/es/{i % 13}" for i in range(150)]
+    return found + ["https://only.com/de/x"] * 40
+
+
+def test_statistics_leave_out_the_rows_own_fold(spark):
+    """Against counts by hand: no copy of a URL is in the statistics that it learns from."""
+    frame = spark.createDataFrame(
+        [(u, u.split("/")[2].rsplit(".", 1)[1], float("/fr/" not in u)) for u in mixed_suffixes()],
+        "url string, suffix string, label double",
+    ).withColumn("fold", urls.fold_of(F.col("url")))
+    rows = frame.collect()
+    out = urls.SuffixStatistics(frame).joined_apart(frame).collect()
+    assert len(out) == len(rows)
+    for row in out:
+        rest = [r for r in rows if r.fold != row.fold]
+        same = [r for r in rest if r.suffix == row.suffix]
+        usual = sum(r.label for r in rest) / len(rest)
+        assert row.suffix_rate == pytest.approx((sum(r.label for r in same) + 10 * usual) / (len(same) + 10))
+        assert row.suffix_share == pytest.approx(len(same) / len(rest))
+
+
+def test_held_out_urls_are_told_apart(spark):
+    """Every labelled URL of the fold is counted once, most of them rightly."""
+    frame = spark.createDataFrame([(u,) for u in mixed_suffixes()], "url string")
+    in_fold = frame.where(urls.fold_of(F.col("url")) == 1)
+    got = {(r.label, r.predicted): r.n for r in urls.held_out(frame, fold=1).collect()}
+    assert sum(got.values()) == in_fold.count()
+    assert got.get((0, 0), 0) + got.get((1, 1), 0) >= 0.7 * sum(got.values())
+    assert urls.held_out(frame, rules=()).count() == 0
+    assert urls.held_out(frame.limit(0)).count() == 0
