@@ -5,13 +5,15 @@ unlabelled, toxic ones among them. A linear classifier in numpy minimises the
 logistic risk estimated from both with the share of toxic documents (the class
 prior), whose negative part is kept from falling below zero.
 
-A document's features are its distinct words and their beginnings. Which of
-them the classifier sees is decided by counts over every document; it is fitted
-on bounded samples of rows.
+A document's features are its distinct words, their beginnings, and the beginnings
+that several of its words share. Which of them the classifier sees is decided by
+counts over every document, copies of a text counted once; it is fitted on bounded
+samples of rows.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from math import exp, lgamma, log, sqrt
 from zlib import crc32
@@ -29,8 +31,6 @@ CUT = 0.3
 #: Rows the classifier is fitted on, at most: confirmed and unlabelled ones.
 POSITIVES = 8_000
 UNLABELLED = 16_000
-#: Features fitted, at most: those whose counts are least likely by chance.
-FEATURES = 4_096
 PREFIXES = (4, 5, 6)
 #: A feature is used if its count among toxic texts is less likely by chance (a logarithm).
 CHANCE = -15.0
@@ -39,6 +39,8 @@ ROUNDS = 400
 COUNTED_AT_ONCE = 200_000
 #: Remainders of feature hashes, by which counts over all texts are filtered before they are shuffled.
 BITS = 1 << 20
+#: Bits of the filter of texts that have copies (8 MB); a table with more of them shuffles more texts.
+COPY_BITS = 1 << 26
 SEED = 8
 _FOLD = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32
@@ -47,9 +49,16 @@ _FOLD = bytes(
 
 
 def features_of(text: bytes | None) -> set[str]:
-    """Distinct words, A-Z lower-cased, and their first characters (marked with ``*``)."""
+    """Distinct words, A-Z lower-cased, their first characters (marked with ``*``), and those of
+    two or more of the words (marked with ``**``)."""
     words = {w.decode() for w in (text or b"").translate(_FOLD).split()}
-    return words | {w[:n] + "*" for n in PREFIXES for w in words if len(w) >= n}
+    found = set(words)
+    for n in PREFIXES:
+        for start, times in Counter([w[:n] for w in words if len(w) >= n]).items():
+            found.add(start + "*")
+            if times > 1:
+                found.add(start + "**")
+    return found
 
 
 def in_fold(id_col: str) -> Column:
@@ -57,10 +66,40 @@ def in_fold(id_col: str) -> Column:
     return F.crc32(F.col(id_col).cast("string")) % FOLDS != HELD_OUT
 
 
-def _counts(wanted: bytes | None):
+def _in_filter(filter_: bytes, hashes: pa.Array) -> np.ndarray:
+    bit = hashes.to_numpy(zero_copy_only=False).astype(np.int64) & (8 * len(filter_) - 1)
+    return np.frombuffer(filter_, np.uint8)[bit >> 3] >> (bit & 7) & 1 > 0
+
+
+def _may_repeat(filter_: bytes, hashed: Column) -> Column:
+    @F.arrow_udf("boolean")
+    def of(hashes: pa.Array) -> pa.Array:
+        return pa.array(_in_filter(filter_, hashes))
+
+    return of(hashed)
+
+
+def _copied(copies: DataFrame) -> bytes:
+    """The filter of the hashes ``__h`` of stored texts (``__h``, ``__g``, ``times``) that repeat."""
+    bit = F.pmod(F.col("__h"), F.lit(COPY_BITS)) + 1
+    parts = (
+        copies.where("times > 1")
+        .groupBy(F.bitmap_bucket_number(bit).alias("part"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(bit)).alias("bits"))
+    )
+    filter_ = np.zeros(COPY_BITS // 8, np.uint8)
+    for row in parts.collect():
+        bits = np.frombuffer(bytes(row["bits"]), np.uint8)
+        start = (row["part"] - 1) * len(bits)
+        filter_[start : start + len(bits)] = bits
+    return filter_.tobytes()
+
+
+def _counts(wanted: bytes | None, copied: bytes | None = None):
     """Per task, how many of its texts have each feature, in parts.
 
     Counts of features whose bit of ``wanted`` is not set are not passed on.
+    Texts whose hash, the second column, is in the filter ``copied`` are passed over.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,7 +113,10 @@ def _counts(wanted: bytes | None):
             )
 
         for batch in batches:
-            for raw in batch.column(0).cast(pa.binary()):
+            texts = batch.column(0).cast(pa.binary())
+            if copied is not None:
+                texts = texts.filter(pa.array(~_in_filter(copied, batch.column(1))))
+            for raw in texts:
                 for feature in features_of(raw.as_py()):
                     counts[feature] = counts.get(feature, 0) + 1
                 if len(counts) > COUNTED_AT_ONCE:
@@ -85,12 +127,20 @@ def _counts(wanted: bytes | None):
     return of
 
 
-def _counted(texts: DataFrame, wanted: bytes | None = None) -> DataFrame:
-    return (
-        texts.mapInArrow(_counts(wanted), "feature string, n long")
-        .groupBy("feature")
-        .agg(F.sum("n").alias("n"))
-    )
+def _counted(texts: DataFrame, wanted: bytes | None = None, copied: bytes | None = None) -> DataFrame:
+    """How many of the texts have each feature.
+
+    With the filter ``copied`` the texts are those of a frame by ``_keyed``, and each
+    counts once: only those in the filter shuffle, to find one of their copies.
+    """
+    kind = "feature string, n long"
+    if copied is None:
+        parts = texts.mapInArrow(_counts(wanted), kind)
+    else:
+        again = _distinct(texts.where(_may_repeat(copied, F.col("__h")))).select("text")
+        parts = texts.select("__text", "__h").mapInArrow(_counts(wanted, copied), kind)
+        parts = parts.union(again.mapInArrow(_counts(wanted), kind))
+    return parts.groupBy("feature").agg(F.sum("n").alias("n"))
 
 
 def _bits(features: DataFrame) -> bytes:
@@ -218,19 +268,24 @@ def _distinct(keyed: DataFrame) -> DataFrame:
     return keyed.groupBy("__h", "__g").agg(F.min("__text").alias("text"))
 
 
-def _chosen(positive: DataFrame, texts: DataFrame, n_positive: int, total: int) -> list[str]:
-    """Features that point to toxic texts, by counts over the ``total`` distinct texts."""
+def _chosen(
+    positive: DataFrame, texts: DataFrame, n_positive: int, total: int, copied: bytes | None = None
+) -> list[str]:
+    """Features that point to toxic texts, by counts over the ``total`` distinct texts.
+
+    Three or more of the confirmed texts have each, so those bound their number.
+    """
     n, expected = F.col("n"), F.col("expected")
     mine = written(_counted(positive).where(n >= 3), "features")
     # The bits spare the shuffle of most other features; the join drops the rest of them.
-    every = _counted(texts, _bits(mine)).withColumnRenamed("n", "every")
+    every = _counted(texts, _bits(mine), copied).withColumnRenamed("n", "every")
     both = mine.join(every, "feature")
     more = both.withColumn("expected", F.col("every") * n_positive / total).where(n >= 3 * expected)
     # The longest of a word's beginnings that have the same counts stands for them all.
     longest = F.min_by("feature", F.struct(-F.length("feature"), "feature")).alias("feature")
     ones = more.groupBy(F.substring("feature", 1, min(PREFIXES)), n, "every", expected).agg(longest)
     found = ones.withColumn("chance", _chance(n, expected)).where(F.col("chance") <= CHANCE)
-    return [r["feature"] for r in found.orderBy("chance", "feature").limit(FEATURES).collect()]
+    return [r["feature"] for r in found.orderBy("chance", "feature").collect()]
 
 
 def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed: int = SEED) -> Classifier:
@@ -266,9 +321,11 @@ def trained(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, seed
         )
         n_known, n_toxic = per_text.agg(F.count("*"), F.sum("toxic")).first()
     prior = min(max(n_toxic / n_known, 1e-4), 0.9)
-    total = keyed.select("__h", "__g").distinct().count()
-    texts = _distinct(keyed).select("text")
-    chosen = _chosen(positive.select("text"), texts, n_positive, total) if n_positive else []
+    chosen = []
+    if n_positive:
+        copies = written(keyed.groupBy("__h", "__g").agg(F.count("*").alias("times")), "copies")
+        total = copies.count()
+        chosen = _chosen(positive.select("text"), keyed, n_positive, total, _copied(copies))
     if not chosen:
         return Classifier({}, float(np.log(prior / (1 - prior))))
     numbers = {feature: i for i, feature in enumerate(chosen)}

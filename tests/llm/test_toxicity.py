@@ -1,8 +1,10 @@
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from opsframe.llm import queries, toxicity
 from opsframe.llm.toxicity import Risk
@@ -91,6 +93,47 @@ def test_rare_toxic_words_are_tested_however_many_words_are_more_frequent(spark)
     assert toxicity._chosen(mine, every, 22, 382) == ["vilest*"]
 
 
+def test_features_against_plain_code():
+    """Words, their beginnings, and beginnings of two different words."""
+    found = toxicity.features_of("Abcd abcde ABCD x abcdefg".encode())
+    assert found == {"abcd", "abcde", "x", "abcdefg", "abcd*", "abcd**", "abcde*", "abcde**", "abcdef*"}
+    assert toxicity.features_of(None) == toxicity.features_of(b" ,") == set()
+
+
+@pytest.mark.parametrize("bits", [1 << 15, 1 << 26])
+def test_every_text_counts_once_whatever_its_copies(spark, monkeypatch, bits):
+    """Also null and empty texts, and with a filter so small that it suspects texts without copies."""
+    monkeypatch.setattr(toxicity, "COPY_BITS", bits)
+    rng = random.Random(6)
+    some = [sentence(rng, rng.randint(0, 9)) for _ in range(200)] + ["", None, "one of a kind"]
+    docs = spark.createDataFrame(rows(some + some[:90] + ["hot words"] * 150 + [None, ""]), DOCS)
+    keyed = toxicity._keyed(docs, "text", 3)
+    copied = toxicity._copied(keyed.groupBy("__h", "__g").agg(F.count("*").alias("times")))
+    got = {r.feature: r.n for r in toxicity._counted(keyed, copied=copied).collect()}
+    expected = Counter(f for t in {*some, "hot words"} for f in toxicity.features_of((t or "").encode()))
+    assert got == expected
+
+
+def test_only_texts_with_copies_shuffle(spark):
+    """Of 2,000 texts without copies none is moved to be counted."""
+    rng = random.Random(7)
+    docs = spark.createDataFrame(rows([f"{i} " + sentence(rng, 5) for i in range(2_000)] + ["same"] * 9), DOCS)
+    keyed = toxicity._keyed(docs, "text", 3)
+    copied = toxicity._copied(keyed.groupBy("__h", "__g").agg(F.count("*").alias("times")))
+    moved = keyed.where(toxicity._may_repeat(copied, F.col("__h")))
+    assert {r.text for r in moved.collect()} == {"same"}
+
+
+def test_clashing_columns(spark):
+    docs, labels = documents(random.Random(3), 120)
+    frame = spark.createDataFrame(docs, DOCS).withColumns(
+        {"toxicity": F.lit("x"), "toxic": F.lit(0), "feature": F.lit("y"), "n": F.lit(1)}
+    )
+    out = toxicity.scored(frame, spark.createDataFrame(labels, LABELS).withColumn("text", F.lit("z")))
+    assert sorted(out.columns) == sorted(frame.columns)
+    assert all(0 <= r.toxicity <= 1 and r.feature == "y" for r in out.collect())
+
+
 def test_labels_of_the_held_out_fold_change_nothing(spark):
     docs, labels = documents(random.Random(2), 200)
     frame = spark.createDataFrame(docs, DOCS)
