@@ -14,7 +14,7 @@ samples of rows.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from math import exp, lgamma, log, sqrt
 from zlib import crc32
 
@@ -61,6 +61,26 @@ def features_of(text: bytes | None) -> set[str]:
     return found
 
 
+class Known:
+    """Some features, and which of them a text has: ``features_of`` without forming all others."""
+
+    def __init__(self, features: Iterable[str]):
+        self.features = frozenset(features)
+        marked = {f.rstrip("*") for f in self.features if f.endswith("*")}
+        self.starts = {n: frozenset(x for x in marked if len(x) == n) for n in PREFIXES}
+
+    def of(self, text: bytes | None) -> set[str]:
+        words = {w.decode() for w in (text or b"").translate(_FOLD).split()}
+        found = words & self.features
+        for n, starts in self.starts.items():
+            begun = [w[:n] for w in words if len(w) >= n]
+            for start in starts.intersection(begun):
+                found.add(start + "*")
+                if begun.count(start) > 1:
+                    found.add(start + "**")
+        return found & self.features
+
+
 def in_fold(id_col: str) -> Column:
     """Whether labels of the id may be learned from; a null id has none."""
     return F.crc32(F.col(id_col).cast("string")) % FOLDS != HELD_OUT
@@ -163,13 +183,14 @@ def _chance(n: Column, expected: Column) -> Column:
 
 def _rows(known: dict[str, int]):
     """Numbers of the known features that a text has."""
+    some = Known(known)
 
     @F.arrow_udf("array<int>")
     def of(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             raw = batch.cast(pa.binary())
             yield pa.array(
-                [sorted(known[f] for f in features_of(x.as_py()) & known.keys()) for x in raw],
+                [sorted(known[f] for f in some.of(x.as_py())) for x in raw],
                 pa.list_(pa.int32()),
             )
 
@@ -237,9 +258,10 @@ class Classifier:
 
     def __init__(self, weights: dict[str, float], bias: float):
         self.weights, self.bias = weights, bias
+        self.known = Known(weights)
 
     def score(self, text: bytes | None) -> float:
-        found = sorted(self.weights[f] for f in features_of(text) & self.weights.keys())
+        found = sorted(self.weights[f] for f in self.known.of(text))
         return 1 / (1 + exp(-self.bias - sum(found) / sqrt(max(len(found), 1))))
 
 

@@ -100,6 +100,16 @@ def test_features_against_plain_code():
     assert toxicity.features_of(None) == toxicity.features_of(b" ,") == set()
 
 
+def test_known_features_are_those_of_all(spark):
+    rng = random.Random(8)
+    texts = [sentence(rng, rng.randint(0, 60)).encode() for _ in range(200)] + [None, b"", b"abcd abcde abcdefg"]
+    every = sorted(set().union(*map(toxicity.features_of, texts)))
+    for share in (0.01, 0.3, 1.0):
+        some = {f for f in every if rng.random() < share}
+        known = toxicity.Known(some)
+        assert all(known.of(t) == toxicity.features_of(t) & some for t in texts)
+
+
 @pytest.mark.parametrize("bits", [1 << 15, 1 << 26])
 def test_every_text_counts_once_whatever_its_copies(spark, monkeypatch, bits):
     """Also null and empty texts, and with a filter so small that it suspects texts without copies."""
