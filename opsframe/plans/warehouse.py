@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsframe.functions import records, text
@@ -270,13 +270,16 @@ def s4_hidden_files(spark: SparkSession, folder: str) -> DataFrame:
 def s5_large_pieces(spark: SparkSession, folder: str) -> DataFrame:
     """Characters of text files of all documents, whatever splits and pieces they are read in."""
     out = shared_dir(spark, "documents-large")
-    table(spark, folder, "documents").select(files.plain_lines(F.col("text")).alias("text")).coalesce(2).write.text(out)
+    # A file for each split of the table: what a task writes does not grow with it.
+    table(spark, folder, "documents").select(files.plain_lines(F.col("text")).alias("text")).write.text(out)
     read = large.read_large_texts(spark, out, max_chars=10_000)
-    sizes = read.select("path", "piece", F.length("text").alias("n"))
-    last = Window.partitionBy("path")
-    return sizes.withColumn("last", F.max("piece").over(last)).agg(
-        F.sum("n").alias("n_chars"),
-        (F.count_if((F.col("n") != 10_000) & (F.col("piece") < F.col("last"))) == 0).alias("full"),
+    n, piece = F.length("text"), F.col("piece")
+    # Combined before the shuffle: the pieces of a file do not meet in one task.
+    sizes = read.groupBy("path").agg(
+        F.sum(n).alias("n"), F.max(piece).alias("last"), F.min(F.when(n != 10_000, piece)).alias("first_short")
+    )
+    return sizes.agg(
+        F.sum("n").alias("n_chars"), (F.count_if(F.col("first_short") < F.col("last")) == 0).alias("full")
     )
 
 

@@ -1,9 +1,11 @@
 """Files larger than a split, and files that Spark does not list."""
 
 import random
+from pathlib import Path
 
 import pytest
 
+from opsframe.plans import warehouse
 from opsframe.sources import files, large
 
 
@@ -46,3 +48,23 @@ def test_hidden_files_are_listed(spark, tmp_path):
         files.list_files(spark, root, "..", hidden=True)
     modified = {r.path: r.modified for r in files.list_files(spark, root).collect()}
     assert modified["a.txt"] == {r.path: r.modified for r in found}["a.txt"]
+
+
+def test_large_pieces_share_out_over_tasks(spark, tmp_path):
+    texts = ["é\n" + "x" * (2_990 + i) for i in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows.repartition(6).write.parquet(f"{tmp_path}/documents.parquet")
+    shared = Path(spark.conf.get("spark.checkpoint.dir"), "opsframe")
+    before = set(shared.glob("documents-large-*"))
+    saved = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "128m")  # a task for each file
+    try:
+        found = warehouse.QUERIES["s5_large_pieces"](spark, str(tmp_path))
+        assert [tuple(r) for r in found.collect()] == [(sum(len(t) + 1 for t in texts), True)]
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", saved)
+    (out,) = set(shared.glob("documents-large-*")) - before
+    sizes = [p.stat().st_size for p in out.glob("part-*")]
+    assert len(sizes) == 6 and max(sizes) < sum(sizes) / 3
+    # Pieces are combined by file before they shuffle; a window would take all of a file's into one task.
+    assert "Window" not in found._jdf.queryExecution().executedPlan().toString()
