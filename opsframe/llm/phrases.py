@@ -1,19 +1,22 @@
 """Collocations: word sequences of each language that stand together more than their parts do.
 
-Only phrases that can be frequent are counted, by broadcast double-array tries:
+Only phrases that can be frequent are counted, by double-array tries:
 
 * Level by level (words, pairs, ...) each task hashes the phrases whose shorter
   parts all passed and sends sorted hashes with counts; a segment of the hash
   space adds them up and keeps those with enough occurrences in its slice of a
   Bloom filter. Hashes that meet and bits that are set by others only let more
   phrases pass, so no frequent phrase is lost.
-* The phrases that passed are listed, each once, and dealt to blocks of bounded
-  size by their first word. A block becomes a double-array trie over bytes.
-* Every word of a text starts at its language's state; numpy advances all of
-  them together, byte by byte, through the trie of their first word, and counts
-  the accepting states at word ends. The counts of all tasks are summed.
-
-Spark joins, scores and ranks the counted phrases.
+* Every word that passed starts a run: the longest phrase from there on of which
+  each beginning passed. One more reading of the texts sends each task's
+  different runs with how often they stand there, and its words likewise, dealt
+  to groups by a run's first two words.
+* The beginnings of a group's runs become double-array tries over bytes, of
+  bounded size. numpy advances all runs together, byte by byte, and counts the
+  accepting states at word ends as often as the run stands in the texts.
+
+So the texts are read once for each level and once to count, whatever number of
+phrases passes. Spark joins, scores and ranks the counted phrases.
 """
 
 from __future__ import annotations
@@ -39,17 +42,18 @@ NO_LANG = "und"
 LONG_WORD = 64
 #: Phrase hashes that a task gathers before it sends their counts.
 HASHES_AT_ONCE = 2_000_000
-#: Different phrases that a task gathers before it passes them on.
-PHRASES_AT_ONCE = 300_000
+#: Different runs that a task gathers before it passes them on.
+PHRASES_AT_ONCE = 1_000_000
 #: Text bytes to each 256 segments of the hash space: some 15 MB of hashes a segment.
 SEGMENT_TEXT = 4 << 30
 #: Bits of a level's Bloom filter (16 MB), and how many a hash sets.
 FILTER_BITS = 27
 PROBES = (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)
-#: Phrase bytes of one trie, and tries that are broadcast at a time. A byte takes 12 bytes at most.
+#: Run bytes of one trie, and tries of a group, which builds one at a time. A byte takes 12 bytes at most.
 BLOCK_BYTES = 4 << 20
 BLOCKS_AT_ONCE = 4
-CLASSES = 1 << 16
+#: Groups of runs to one group of single words, of which far fewer differ: as a power of two.
+WORD_GROUPS = 4
 BYTES_AT_ONCE = 1 << 20
 
 _SPACE, _BREAK, _ESCAPE = 32, 10, 0xFF
@@ -150,6 +154,44 @@ class Words:
             found.append(pa.Array.from_buffers(pa.binary(), len(some), data).unique())
         return pa.concat_arrays(found).unique() if found else pa.array([], pa.binary())
 
+    def lines(self, at: np.ndarray, lengths: np.ndarray) -> pa.Array:
+        """The phrases of so many words that start there, each with a break behind it."""
+        starts, sizes = self.starts[at], self.ends[at + lengths - 1] - self.starts[at] + 1
+        offsets = np.r_[0, np.cumsum(sizes)]
+        data = np.empty(offsets[-1], np.uint8)
+        step = max(1, BYTES_AT_ONCE // 8)
+        for a in range(0, len(at), step):
+            low, high = offsets[a], offsets[min(a + step, len(at))]
+            places = np.repeat((starts - offsets[:-1])[a : a + step], sizes[a : a + step])
+            data[low:high] = self.letters[places + np.arange(low, high)]
+        data[offsets[1:] - 1] = _BREAK
+        return _lines(data, offsets)
+
+    def pieces(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first word of each piece, and how many words it has."""
+        first = np.flatnonzero(np.r_[True, ~self.joined[:-1]][: len(self)])
+        return first, np.diff(first, append=len(self))
+
+
+def _lines(data: np.ndarray, offsets: np.ndarray) -> pa.Array:
+    buffers = [None, pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(data)]
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, buffers)
+
+
+def _letters(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of some lines in a row, and where each begins and the last one ends."""
+    offsets = np.frombuffer(lines.buffers()[1], np.int64)[lines.offset : lines.offset + len(lines) + 1]
+    data = np.frombuffer(lines.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    return data, offsets - offsets[0]
+
+
+def _summed(lines: list[pa.Array], counts: list[np.ndarray]) -> tuple[pa.Array, np.ndarray]:
+    """The different lines, with the sums of their counts."""
+    numbered = pa.concat_arrays(lines).dictionary_encode()
+    sums = np.zeros(len(numbered.dictionary), np.int64)
+    np.add.at(sums, numbered.indices.to_numpy(), np.concatenate(counts))
+    return numbered.dictionary, sums
+
 
 def _by_lang(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     """Texts of each language; a null text is empty, a null language ``NO_LANG``."""
@@ -261,70 +303,99 @@ def _filter(texts: DataFrame, length: int, segments: int, least: int, filters: l
     return Filter(bytes(bits), segments)
 
 
-def _class(first_word: np.ndarray) -> np.ndarray:
-    return (first_word >> np.uint64(48)).astype(np.int64)
+def _runs(words: Words, longest: int, filters: list) -> np.ndarray:
+    """For each word, how many words from there on make the longest phrase of which every beginning passes."""
+    passes = filters[0].value.has(words.word_hashes())
+    lengths = passes.astype(np.int64)
+    for length in range(2, longest + 1):
+        at = words.at(length)
+        at = at[passes[at] & passes[at + 1]]
+        at = at[filters[length - 1].value.has(words.hashes(at, length))]
+        passes = np.zeros(len(words), bool)
+        passes[at] = True
+        lengths[at] = length
+    return lengths
+
 
+def _spelled(line: bytes, long: dict[bytes, bytes]) -> bytes:
+    return b" ".join(long.get(w, w) for w in line.split(b" "))
 
-def _first_words(words: Words) -> np.ndarray:
-    """Of words that are phrases, each a piece of its own: the words after a break."""
-    return np.flatnonzero(np.r_[True, ~words.joined[:-1]])
 
+def _written_out(lines: pa.Array, counts: np.ndarray, long: dict[bytes, bytes]) -> tuple[pa.Array, np.ndarray]:
+    """The lines with their long words instead of digests, these lines last."""
+    data, offsets = _letters(lines)
+    held = np.zeros(len(lines), bool)
+    held[np.searchsorted(offsets, np.flatnonzero(data == _ESCAPE), "right") - 1] = True
+    if not held.any():
+        return lines, counts
+    odd = [_spelled(x[:-1], long) + x[-1:] for x in lines.filter(pa.array(held)).to_pylist()]
+    plain = lines.filter(pa.array(~held))
+    return pa.concat_arrays([plain, pa.array(odd, pa.large_binary())]), np.r_[counts[~held], counts[held]]
 
-def _listed(longest: int, segments: int, filters: list):
-    """Phrases that pass, and the words in them, each about once for a task.
 
-    A row has those of a segment of the hash space, sorted and compressed.
+def _sent_runs(longest: int, groups: int, filters: list):
+    """Per task and some hundred thousand different runs: a row for each language and group, compressed.
+
+    A group has runs of two words or more with the hash of their first two, or single words.
     """
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: dict[str, list[pa.Array]] = {}
+        found: dict[tuple[str, bool], tuple[list[pa.Array], list[np.ndarray]]] = {}
         long: dict[bytes, bytes] = {}
         n = 0
 
         def sent() -> Iterator[pa.RecordBatch]:
-            for lang, parts in found.items():
-                keys = pa.concat_arrays(parts).unique()
-                if not len(keys):
+            for (lang, single), parts in found.items():
+                lines, counts = _written_out(*_summed(*parts), long)
+                if not len(lines):
                     continue
-                keys = keys.take(pc.array_sort_indices(keys)).to_pylist()
-                words = Words(keys, lang)
-                segment = _mixed(np.add.reduceat(words.word_hashes(), _first_words(words)))
-                segment = (segment >> np.uint64(64 - segments)).astype(np.int64)
-                order = np.argsort(segment, kind="stable")
-                edges = np.flatnonzero(np.diff(segment[order], prepend=-1, append=-1)).tolist()
-                names = [_spelled(x, long) for x in keys] if long else keys
-                lists = [b"\n".join([names[k] for k in order[a:b].tolist()]) for a, b in zip(edges, edges[1:], strict=False)]
+                order = pc.array_sort_indices(lines)
+                lines, counts = lines.take(order), counts[order.to_numpy()]
+                words = Words([_letters(lines)[0].tobytes()], lang)
+                hashes = words.hashes(words.pieces()[0], 1 if single else 2)
+                bits = groups - WORD_GROUPS if single else groups
+                group = (hashes >> np.uint64(64 - bits)).astype(np.int64)
+                order = np.argsort(group, kind="stable")
+                group, counts = group[order], counts[order].astype("<i8")
+                data, offsets = _letters(lines.take(pa.array(order)))
+                edges = np.flatnonzero(np.diff(group, prepend=-1, append=-1)).tolist()
+                cuts = list(zip(edges, edges[1:], strict=False))
+                lists = [data[offsets[a] : offsets[b]].tobytes() for a, b in cuts]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array([lang] * len(lists), pa.string()),
-                        pa.array(segment[order[edges[:-1]]]),
+                        pa.array([lang] * len(cuts), pa.string()),
+                        pa.array(group[edges[:-1]] + (single << groups)),
                         pa.array([len(x) for x in lists], pa.int64()),
                         pa.array([pa.compress(x, codec="zstd", asbytes=True) for x in lists], pa.binary()),
+                        pa.array([b - a for a, b in cuts], pa.int64()),
+                        pa.array([pa.compress(counts[a:b].tobytes(), codec="zstd", asbytes=True) for a, b in cuts],
+                                 pa.binary()),
                     ],
-                    ["lang", "segment", "size", "phrases"],
-                )
+                    ["lang", "group", "size", "runs", "n", "counts"],
+                )
             found.clear()
             long.clear()
 
         for batch in batches:
             for lang, texts in _by_lang(batch):
                 words = Words(texts, lang)
-                held = np.zeros(len(words), bool)
-                parts = found.setdefault(lang, [])
-                for length in range(2, longest + 1):
-                    at = _passing(words, length, filters)
-                    at = at[filters[length - 1].value.has(words.hashes(at, length))]
-                    for k in range(length):
-                        held[at + k] = True
-                    parts.append(words.phrases(at, length))
-                parts.append(words.phrases(np.flatnonzero(held), 1))
+                lengths = _runs(words, longest, filters)
+                for single, at in ((True, np.flatnonzero(lengths)), (False, np.flatnonzero(lengths > 1))):
+                    lines, counts = found.setdefault((lang, single), ([], []))
+                    for a in range(0, max(1, len(at)), PHRASES_AT_ONCE):
+                        some = at[a : a + PHRASES_AT_ONCE]
+                        some = words.lines(some, np.ones(len(some), np.int64) if single else lengths[some])
+                        some = some.value_counts()
+                        lines.append(some.field(0))
+                        counts.append(some.field(1).to_numpy())
+                        n += len(some)
                 long.update(words.long)
-                n += sum(map(len, parts[-longest:]))
             if n >= PHRASES_AT_ONCE:
-                for lang, parts in found.items():
-                    found[lang] = [pa.concat_arrays(parts).unique()]
-                n = sum(len(x) for (x,) in found.values())
-                if n >= PHRASES_AT_ONCE:
+                for key, parts in found.items():
+                    lines, counts = _summed(*parts)
+                    found[key] = [lines], [counts]
+                n = sum(len(x) for (x,), _ in found.values())
+                if n >= PHRASES_AT_ONCE // 2:
                     yield from sent()
                     n = 0
         yield from sent()
@@ -332,29 +403,6 @@ def _listed(longest: int, segments: int, filters: list):
     return of
 
 
-def _spelled(key: bytes, long: dict[bytes, bytes]) -> bytes:
-    return b" ".join(long.get(w, w) for w in key.split(b" "))
-
-
-def _once(table: pa.Table) -> pa.Table:
-    """The different phrases of a segment, with the class of the first word."""
-    lang = table.column("lang")[0].as_py()
-    pairs = zip(table.column("phrases").to_pylist(), table.column("size").to_pylist(), strict=True)
-    names: set[bytes] = set()
-    for data, size in pairs:
-        names.update(pa.decompress(data, decompressed_size=size, codec="zstd", asbytes=True).split(b"\n"))
-    phrases = sorted(names)
-    words = Words(phrases, lang)
-    return pa.table(
-        [
-            pa.array([lang] * len(phrases), pa.string()),
-            pa.array(phrases, pa.binary()).cast(pa.string()),
-            pa.array(_class(words.word_hashes()[_first_words(words)])),
-        ],
-        names=["lang", "phrase", "class"],
-    )
-
-
 class Trie:
     """A double array over the bytes of sorted keys; ``accept`` has a key's number at its state.
 
@@ -426,129 +474,70 @@ class Trie:
             state = up
         return state
 
-    def counted(self, words: Words, at: np.ndarray, state: int) -> np.ndarray:
-        """How often each key follows the state in the text, from the given words on."""
+    def counted(self, words: Words, at: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """How often each key stands in the text, from the given words on, each of which counts so many times."""
         counts = np.zeros(self.size, np.int64)
         places = words.starts[at]
-        states = np.full(len(places), state, np.int64)
+        states = np.full(len(places), self.ROOT, np.int64)
         while len(places):
             letter = words.letters[places]
-            ended = self.accept[states[(letter == _SPACE) | (letter == _BREAK)]]
-            counts += np.bincount(ended[ended >= 0], minlength=self.size)
+            ends = np.flatnonzero((letter == _SPACE) | (letter == _BREAK))
+            ended = self.accept[states[ends]]
+            np.add.at(counts, ended[ended >= 0], times[ends[ended >= 0]])
             on = self.base[states] + self.code[letter]
             goes = self.check[on] == states
-            states, places = on[goes], places[goes] + 1
+            states, places, times = on[goes], places[goes] + 1, times[goes]
         return counts
 
 
-def _key(lang: str, phrase: str) -> bytes:
-    """Language, a break and the phrase, with digests for long words: no phrase holds a break."""
-    words = phrase.encode().split(b" ")
-    short = b" ".join(_digest(w) if len(w) > LONG_WORD else w for w in words)
-    return lang.encode() + b"\n" + short
-
-
-def _numbered(table: pa.Table) -> pa.Table:
-    """Phrases of a block with their numbers, in the order of their keys."""
-    pairs = zip(table.column("lang").to_pylist(), table.column("phrase").to_pylist(), strict=True)
-    rows = sorted((_key(lang, phrase), lang, phrase) for lang, phrase in pairs)
-    n = len(rows)
-    keys, langs, phrases = map(list, zip(*rows, strict=True))
-    same = {name: pa.array([table.column(name)[0].as_py()] * n, pa.int64()) for name in ("block", "low", "high")}
-    return pa.table(
-        {**same, "number": pa.array(range(n), pa.int64()), "lang": pa.array(langs, pa.string()),
-         "phrase": pa.array(phrases, pa.string()), "key": pa.array(keys, pa.binary())}
-    )
-
-
-_NUMBERED = "block long, low long, high long, number long, lang string, phrase string, key binary"
-
-
-def _blocks(listed: DataFrame) -> DataFrame:
-    """Listed phrases with ``block``, and the range of classes of first words that go there.
+def _counted(longest: int, groups: int, least: int):
+    """The beginnings of a group's runs that occur often enough, and how often; single words are whole runs."""
 
-    A block is one of equal ranges of classes, or one of several that the hash
-    of a phrase chooses from where a range holds more than a block's bytes.
-    """
-    bytes_of = F.octet_length("phrase") + F.octet_length("lang") + 1
-    total = listed.agg(F.sum(bytes_of)).first()[0] or 0
-    ranges = 1
-    while ranges < min(CLASSES, 2 * total / BLOCK_BYTES):
-        ranges *= 2
-    width = CLASSES // ranges
-    ranged = listed.withColumn("range", F.floor(F.col("class") / width))
-    parts = F.ceil(F.sum(bytes_of) / BLOCK_BYTES).alias("parts")
-    sizes = written(ranged.groupBy("range").agg(parts), "ranges")
-    part = F.pmod(F.xxhash64("lang", "phrase"), F.col("parts"))
-    dealt = ranged.join(sizes, "range").select(
-        (F.col("range") * (1 << 32) + part).alias("block"),
-        (F.col("range") * width).alias("low"),
-        ((F.col("range") + 1) * width).alias("high"),
-        "lang",
-        "phrase",
-    )
-    return written(dealt.groupBy("block").applyInArrow(_numbered, _NUMBERED), "blocks")
-
-
-def _trie_counts(tries: list):
-    """Per task and trie, the occurrences of its keys; with block -1, the words of each language."""
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: dict[int, np.ndarray] = {}
-        for batch in batches:
-            for lang, texts in _by_lang(batch):
-                words = Words(texts, lang)
-                classes = _class(words.word_hashes())
-                for block, low, high, trie in tries:
-                    state = trie.value.after(lang.encode() + b"\n")
-                    if state < 0:
-                        continue
-                    at = np.flatnonzero((classes >= low) & (classes < high))
-                    found = trie.value.counted(words, at, state)
-                    counts[block] = counts[block] + found if block in counts else found
-        for block, found in counts.items():
-            numbers = np.flatnonzero(found)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(numbers), block)), pa.array(numbers), pa.array(found[numbers])],
-                ["block", "number", "f"],
-            )
+    def of(table: pa.Table) -> pa.Table:
+        lang = table.column("lang")[0].as_py()
+        fewest = 1 if table.column("group")[0].as_py() >> groups else 2
+        sent = table.select(["size", "runs", "n", "counts"]).to_pylist()
+        lists = [pa.decompress(x["runs"], decompressed_size=x["size"], codec="zstd", asbytes=True) for x in sent]
+        counts = [np.frombuffer(pa.decompress(x["counts"], 8 * x["n"], "zstd", asbytes=True), "<i8") for x in sent]
+        words = Words(lists, lang)
+        long = words.long
+        starts = np.r_[words.starts[words.pieces()[0]], len(words.letters)]
+        runs, times = _summed([_lines(words.letters, starts)], counts)
+        words = Words([_letters(runs)[0].tobytes()], lang)
+        first, lengths = words.pieces()
+        parts = -(-len(words.letters) // BLOCK_BYTES)
+        part = _mixed(words.hashes(first, fewest)) % np.uint64(parts)
+        phrases, found = [], []
+        for number in range(parts):
+            mine = np.flatnonzero(part == number)
+            if not len(mine):
+                continue
+            at = first[mine]
+            keys = [words.phrases(at[lengths[mine] >= length], length) for length in range(fewest, longest + 1)]
+            keys = pa.concat_arrays(keys)
+            keys = keys.take(pc.array_sort_indices(keys))
+            f = Trie(keys.to_pylist()).counted(words, at, times[mine])
+            often = np.flatnonzero(f >= least)
+            names = keys.take(pa.array(often)).to_pylist()
+            phrases += [_spelled(x, long) for x in names] if long else names
+            found.append(f[often])
+        return pa.table(
+            [
+                pa.array([lang] * len(phrases), pa.string()),
+                pa.array(phrases, pa.binary()).cast(pa.string()),
+                pa.array(np.concatenate(found), pa.int64()),
+            ],
+            names=["lang", "phrase", "f"],
+        )
 
     return of
 
 
-def _counted(texts: DataFrame, blocks: DataFrame) -> DataFrame:
-    """(lang, phrase, f): exact counts of every listed phrase that occurs.
-
-    Some tries at a time are broadcast, so what is held does not grow with the
-    phrases; each further round reads the texts once more.
-    """
-    spark = texts.sparkSession
-    names = sorted(tuple(r) for r in blocks.select("block", "low", "high").distinct().collect())
-    rounds = []
-    for a in range(0, len(names), BLOCKS_AT_ONCE):
-        some = []
-        for block, low, high in names[a : a + BLOCKS_AT_ONCE]:
-            keys = blocks.where(F.col("block") == block).orderBy("number").select("key").toArrow()
-            trie = Trie([x.as_py() for x in keys.column("key").combine_chunks()])
-            some.append((block, low, high, spark.sparkContext.broadcast(trie)))
-        found = texts.mapInArrow(_trie_counts(some), "block long, number long, f long")
-        rounds.append(written(found.groupBy("block", "number").agg(F.sum("f").alias("f")), "counts"))
-        for *_, trie in some:
-            trie.destroy()
-    if not rounds:
-        return spark.createDataFrame([], "lang string, phrase string, f long")
-    every = rounds[0]
-    for more in rounds[1:]:
-        every = every.unionByName(more)
-    counted = every.join(blocks.drop("key", "low", "high"), ["block", "number"])
-    return written(counted.select("lang", "phrase", "f"), "counted")
-
-
 def counted_phrases(
     docs: DataFrame, text_col: str = "text", lang_col: str = "lang", longest: int = LONGEST, least: int = LEAST
 ) -> DataFrame:
-    """(lang, phrase, f): all phrases of 2 to ``longest`` words that occur ``least`` times or more,
-    the words in them, and some rarer phrases; ``f`` is exact. A stored table.
+    """(lang, phrase, f): all phrases of up to ``longest`` words that occur ``least`` times
+    or more; ``f`` is exact. A stored table.
 
     A language is that of ``lang_col``, null being ``und``. Texts are
     lower-cased (A-Z) and split at ``. , ; : ! ?`` and line breaks into pieces,
@@ -561,17 +550,23 @@ def counted_phrases(
     segments = 8
     while segments < 20 and size > SEGMENT_TEXT << (segments - 8):
         segments += 1
+    groups = 6
+    while groups < 20 and size * longest > BLOCKS_AT_ONCE * BLOCK_BYTES << groups:
+        groups += 1
     context, filters = docs.sparkSession.sparkContext, []
     for length in range(1, longest + 1):
         filters.append(context.broadcast(_filter(texts, length, segments, least, filters)))
     sent = texts.mapInArrow(
-        _listed(longest, segments, filters), "lang string, segment long, size long, phrases binary"
+        _sent_runs(longest, groups, filters),
+        "lang string, group long, size long, runs binary, n long, counts binary",
+    )
+    counted = sent.groupBy("lang", "group").applyInArrow(
+        _counted(longest, groups, least), "lang string, phrase string, f long"
     )
-    once = sent.groupBy("lang", "segment").applyInArrow(_once, "lang string, phrase string, class long")
-    listed = written(once, "phrases")
+    counted = written(counted, "counted")
     for one in filters:
         one.destroy()
-    return _counted(texts, _blocks(listed))
+    return counted
 
 
 def _score(a: Column, left: Column, right: Column) -> Column:

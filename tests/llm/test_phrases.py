@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -139,3 +140,44 @@ def test_rows_and_null_language(spark):
     docs = rows([sentence(random.Random(1), 30)] * 15)
     found = phrases.collocations(spark.createDataFrame(docs, DOCS)).collect()
     assert {r.lang for r in found} == {"en"} and all(r.a >= 15 for r in found)
+
+
+def test_texts_are_read_as_often_for_many_tries(spark, monkeypatch):
+    """Once a level and once to count, whatever number of tries the phrases fill."""
+    docs = [(i, t, ("en", "de")[i % 2], "s", 0) for i, (_, t, *_) in enumerate(corpus()) if t and len(t) < 2_000]
+    frame, readings = spark.createDataFrame(docs, DOCS), []
+    whole = type(frame).mapInArrow
+    monkeypatch.setattr(type(frame), "mapInArrow", lambda *a, **k: readings.append(1) or whole(*a, **k))
+    expected = sorted(plain([(d[1], d[2]) for d in docs]))
+    for block in (4 << 20, 200):
+        monkeypatch.setattr(phrases, "BLOCK_BYTES", block)
+        monkeypatch.setattr(phrases, "BLOCKS_AT_ONCE", 1)
+        readings.clear()
+        assert sorted(map(tuple, phrases.collocations(frame).collect())) == expected
+        assert len(readings) == phrases.LONGEST + 1
+
+
+class Sent:
+    def __init__(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("block", [1 << 20, 50])
+def test_groups_count_every_beginning_of_a_run(monkeypatch, block):
+    """Also of runs with long words, in several tries of a group, sent by several tasks."""
+    monkeypatch.setattr(phrases, "BLOCK_BYTES", block)
+    monkeypatch.setattr(phrases, "PHRASES_AT_ONCE", 60)
+    docs = [(d[1], d[2] or "und") for d in corpus() if d[1] is None or len(d[1]) < 2_000]
+    every = [Sent(phrases.Filter(b"\xff" * (1 << (phrases.FILTER_BITS - 3)), 8))] * 3
+    tasks = [pa.RecordBatch.from_pylist([{"lang": x, "text": t} for t, x in docs[k::2]]) for k in range(2)]
+    sent = pa.Table.from_batches([b for task in tasks for b in phrases._sent_runs(3, 6, every)(iter([task, task]))])
+    expected, found = Counter(), {}
+    for text, lang in docs + docs:
+        for w in pieces(text):
+            expected.update((lang, " ".join(w[i : i + k])) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    for lang, group in sorted(set(zip(*(sent.column(c).to_pylist() for c in ("lang", "group")), strict=True))):
+        rows_of = [r for r in sent.to_pylist() if (r["lang"], r["group"]) == (lang, group)]
+        counted = phrases._counted(3, 6, 3)(pa.Table.from_pylist(rows_of, sent.schema)).to_pylist()
+        assert not found.keys() & {(r["lang"], r["phrase"]) for r in counted}
+        found |= {(r["lang"], r["phrase"]): r["f"] for r in counted}
+    assert found == {x: f for x, f in expected.items() if f >= 3}
