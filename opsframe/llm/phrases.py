@@ -55,6 +55,8 @@ BLOCKS_AT_ONCE = 4
 #: Groups of runs to one group of single words, of which far fewer differ: as a power of two.
 WORD_GROUPS = 4
 BYTES_AT_ONCE = 1 << 20
+#: Parts of a language's phrases that are ranked on their own first.
+SHARES = 64
 
 _SPACE, _BREAK, _ESCAPE = 32, 10, 0xFF
 _FOLD = bytes(
@@ -643,8 +645,12 @@ def collocations(
     kept = written(best, "scores").join(most, ["lang", "phrase"], "left").where(
         F.col("longer").isNull() | (F.col("longer") * 100 < F.col("a") * covered)
     )
-    order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= first)
+    # Of each share of a language only the first ones can be among its first, so no task ranks a whole language.
+    order = F.desc("score"), F.desc("a"), F.col("phrase")
+    ranked = kept.withColumn("share", F.pmod(F.xxhash64("phrase"), F.lit(SHARES)))
+    for keys in (("lang", "share"), ("lang",)):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        ranked = ranked.withColumn("rank", rank.cast("long")).where(F.col("rank") <= first)
     return ranked.join(word_totals(docs, text_col, lang_col), "lang").select(
         "lang", "rank", "phrase", "a", "l", "r", "n", "score"
     )
